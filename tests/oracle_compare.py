@@ -1,0 +1,110 @@
+"""Run registered queries in Spark and their oracle SQL in DuckDB; compare.
+
+Comparison: column names (sorted), row count, and the multiset of rows with
+columns in sorted-name order. Usage::
+
+    python tests/oracle_compare.py [/root/testdata/sf0.01] [name ...]
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+from collections import Counter
+from datetime import date, datetime
+from decimal import Decimal
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLE_NAMES = ("region nation customer supplier part orders lineitem events documents "
+               "embeddings pages benchmark labels conversations").split()
+
+
+def norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return float(f"{v:.12g}")
+    if isinstance(v, Decimal):
+        return float(v)
+    if isinstance(v, (list, tuple)):
+        return tuple(norm(x) for x in v)
+    if isinstance(v, dict):
+        return tuple(sorted((k, norm(x)) for k, x in v.items()))
+    if hasattr(v, "asDict"):
+        return tuple(norm(x) for x in v)
+    if isinstance(v, (datetime, date)):
+        return v.isoformat()
+    return v
+
+
+def duck(sf_dir: str):
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLE_NAMES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def compare_one(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    s_cols = list(sdf.columns)
+    s_rows = sdf.collect()
+    secs = time.time() - t0
+    cur = con.execute(sql)
+    o_cols = [d[0] for d in cur.description]
+    o_rows = cur.fetchall()
+    out = {"name": name, "secs": round(secs, 2), "spark_rows": len(s_rows),
+           "oracle_rows": len(o_rows)}
+    if sorted(s_cols) != sorted(o_cols):
+        out["ok"] = False
+        out["why"] = f"columns {sorted(s_cols)} vs {sorted(o_cols)}"
+        return out
+    s_idx = [s_cols.index(c) for c in sorted(s_cols)]
+    o_idx = [o_cols.index(c) for c in sorted(o_cols)]
+    a = Counter(tuple(norm(r[i]) for i in s_idx) for r in s_rows)
+    b = Counter(tuple(norm(r[i]) for i in o_idx) for r in o_rows)
+    out["ok"] = a == b
+    if a != b:
+        only_s = list((a - b).items())[:3]
+        only_o = list((b - a).items())[:3]
+        out["why"] = f"spark-only {only_s} | oracle-only {only_o}"
+    return out
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
+    names = [a for a in argv[1:] if not a.startswith("/")]
+    import __spark_entry__ as E
+    from cellfold.session import local_session
+    spark = local_session()
+    qs, sqls = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    bad = 0
+    for name in names or list(qs):
+        if name not in sqls:
+            t0 = time.time()
+            n = qs[name](spark, sf_dir).count()
+            print(f"{name:24s} rows-only {n} rows {time.time() - t0:.1f}s", flush=True)
+            continue
+        try:
+            r = compare_one(spark, con, name, qs[name], sqls[name], sf_dir)
+        except Exception as e:  # report and continue
+            r = {"name": name, "ok": False, "why": f"{type(e).__name__}: {str(e)[:400]}"}
+        bad += not r["ok"]
+        print(f"{name:24s} {'OK ' if r['ok'] else 'BAD'} {r.get('spark_rows')}/"
+              f"{r.get('oracle_rows')} {r.get('secs')}s {r.get('why', '')}", flush=True)
+    print(f"mismatches: {bad}")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv) else 0)
