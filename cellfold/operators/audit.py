@@ -17,6 +17,30 @@ from cellfold.functions.names import qcol
 from cellfold.functions.text import from_text
 
 
+def _has_map(dt: T.DataType) -> bool:
+    if isinstance(dt, T.MapType):
+        return True
+    if isinstance(dt, T.ArrayType):
+        return _has_map(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return any(_has_map(f.dataType) for f in dt.fields)
+    return False
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """``df`` with map columns as sorted entry arrays, so set operations
+    (``exceptAll``), which refuse maps, can compare it."""
+    cols = []
+    for f in df.schema.fields:
+        c = qcol(f.name)
+        if isinstance(f.dataType, T.MapType):
+            c = F.array_sort(F.map_entries(c))
+        elif _has_map(f.dataType):
+            c = F.to_json(c)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
 def _metric(df: DataFrame, name: str, value) -> DataFrame:
     return df.agg(value.cast("long").alias("value")).select(
         F.lit(name).alias("metric"), "value")
@@ -64,8 +88,9 @@ def audit_round_trip(original: DataFrame, cells: DataFrame, restored: DataFrame,
     parts.append(spark.range(1).select(F.lit("schema_equal").alias("metric"),
                                        F.lit(same).cast("long").alias("value")))
     if exact and same:
-        parts.append(_metric(original.exceptAll(restored), "missing_rows", F.count(F.lit(1))))
-        parts.append(_metric(restored.exceptAll(original), "extra_rows", F.count(F.lit(1))))
+        a, b = comparable(original), comparable(restored)
+        parts.append(_metric(a.exceptAll(b), "missing_rows", F.count(F.lit(1))))
+        parts.append(_metric(b.exceptAll(a), "extra_rows", F.count(F.lit(1))))
     elif same:
         def fingerprint(df: DataFrame, tag: str) -> list[DataFrame]:
             cols = [qcol(c) for c in df.columns]

@@ -65,6 +65,15 @@ def melt_cells(df: DataFrame, ids: str = "unique",
     are kept with a null ``val``. ``id_col`` uses an existing id column
     instead of generating one (e.g. for a streaming frame).
     """
+    if len(set(df.columns)) != len(df.columns):
+        if id_col is not None or columns is not None:
+            raise ValueError("id_col and columns need unique column names")
+        # duplicate names: melt by position under positional names
+        first = {}
+        for i, c in enumerate(df.columns):
+            first.setdefault(c, f"__cellfold_c{i}")
+        order_by = [first.get(k, k) if isinstance(k, str) else k for k in (order_by or [])]
+        df = df.toDF(*[f"__cellfold_c{i}" for i in range(len(df.columns))])
     if id_col is None and columns is not None:
         positions = {c: i for i, c in enumerate(df.columns, start=1)}
         wanted = [c for c in df.columns if c in set(columns)]
