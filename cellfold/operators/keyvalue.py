@@ -62,8 +62,9 @@ def melt_cells(df: DataFrame, ids: str = "unique",
 
     ``num`` is the 1-based position of the column in ``df``; ``columns``
     melts only those (positions kept) so the scan reads only them. Null cells
-    are kept with a null ``val``. ``id_col`` uses an existing id column
-    instead of generating one (e.g. for a streaming frame).
+    are kept with a null ``val``. ``id_col`` takes ids from an existing unique
+    column (>= 1) instead of generating them, which also works on a streaming
+    frame; that column is melted like the others.
     """
     if len(set(df.columns)) != len(df.columns):
         if id_col is not None or columns is not None:
@@ -85,9 +86,8 @@ def melt_cells(df: DataFrame, ids: str = "unique",
             keep += [k for k in (order_by or []) if isinstance(k, str) and k not in keep]
         source = df.select(*[qcol(c) for c in keep])
     else:
-        positions = {c: i for i, c in enumerate(
-            [c for c in df.columns if c != id_col], start=1)}
-        wanted = [c for c in df.columns if c != id_col]
+        positions = {c: i for i, c in enumerate(df.columns, start=1)}
+        wanted = list(df.columns)
         source = df
     framed, ident, _ = _ids(source, ids, order_by, id_col, unique_keys)
     types = {f.name: f.dataType for f in df.schema.fields}

@@ -42,10 +42,12 @@ from cellfold.operators.nested import (
 )
 from cellfold.operators.partitions import add_partition_column, partitions_length
 from cellfold.plans import sqltext as S
-from cellfold.plans.jobs import load_key_value, read_key_value, restore_table
+from cellfold.plans.jobs import load_key_value, read_key_value, restore_table, write_key_value
 from cellfold.session import ensure_checkpoint_dir, scratch_path
 from cellfold.sinks.csv import write_csv
+from cellfold.sinks.zipped import write_zipped_csv
 from cellfold.sources.csv import read_csv
+from cellfold.sources.zipped import read_zipped_csv
 from cellfold.sources.options import KEY_VALUE_CSV, KEY_VALUE_CSV_READ, overlay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,6 +283,28 @@ def q_parquet_restore_job(spark, d):
     return table
 
 
+def q_zip_read(spark, d):
+    path = _scratch(spark, "zip-read")
+    write_zipped_csv(_table(spark, d, "nation").repartition(3), path, {"header": "true"})
+    return read_zipped_csv(spark, path, {"header": "true", "inferSchema": "true"})
+
+
+def q_zip_key_value(spark, d):
+    path = _scratch(spark, "zip-key-value")
+    docs = _table(spark, d, "documents")
+    kv = key_value_columns(docs, ids="ordered", order_by=["doc_id"])
+    write_key_value(kv, path, "zip")
+    return read_key_value(spark, path, "zip")
+
+
+def q_zip_restore_job(spark, d):
+    target = _scratch(spark, "zip-restore-job")
+    load_key_value(spark, _table(spark, d, "customer"), target, name="customer",
+                   kv_format="zip")
+    table, _ = restore_table(spark, target, kv_format="zip")
+    return table
+
+
 QUERIES: dict[str, Query] = {
     "key_value": q_key_value,
     "key_value_lineitem": q_key_value_lineitem,
@@ -312,6 +336,9 @@ QUERIES: dict[str, Query] = {
     "load_job": q_load_job,
     "restore_job": q_restore_job,
     "parquet_restore_job": q_parquet_restore_job,
+    "zip_read": q_zip_read,
+    "zip_key_value": q_zip_key_value,
+    "zip_restore_job": q_zip_restore_job,
 }
 
 
@@ -448,4 +475,9 @@ ORACLE_SQL: dict[str, str] = {
     "load_job": _meta_sql("orders") + " UNION ALL " + S.key_value(_ORDERS_CELLS),
     "restore_job": _select_all("orders"),
     "parquet_restore_job": _select_all("lineitem"),
+    "zip_read": _select_all("nation"),
+    "zip_key_value": S.key_value(S.cells("documents", [
+        ("doc_id", "BIGINT"), ("text", "VARCHAR"), ("lang", "VARCHAR"), ("source", "VARCHAR"),
+        ("n_chars", "BIGINT")], ["doc_id"])),
+    "zip_restore_job": _select_all("customer"),
 }

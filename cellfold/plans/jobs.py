@@ -77,7 +77,7 @@ def read_key_value(spark: SparkSession, paths: str | Sequence[str], fmt: str = "
         return spark.read.parquet(*paths)
     if fmt == "zip":
         from cellfold.sources.zipped import read_zipped_csv
-        opts = overlay(KEY_VALUE_CSV, {"comment": None}, options)
+        opts = overlay(KEY_VALUE_CSV, {"comment": "", "mode": "FAILFAST"}, options)
         return read_zipped_csv(spark, paths, opts, schema=KV_SCHEMA)
     raise ValueError(f"fmt must be one of {KV_FORMATS}")
 

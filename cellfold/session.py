@@ -84,3 +84,37 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cellfold`` importable in Python tasks (``mapInPandas``, data sources).
+
+    Zips the package once per application and hands it to ``addPyFile``, the
+    standard way to distribute Python code to executors. Skipped when the
+    executors can already import it (``CELLFOLD_INSTALLED=1``).
+    """
+    if os.environ.get("CELLFOLD_INSTALLED") == "1":
+        return
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the package must be installed on the cluster
+        return
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    package_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="cellfold-pkg-")
+    archive = os.path.join(out_dir, "cellfold.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _, files in os.walk(package_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(base, name)
+                    rel = os.path.relpath(full, os.path.dirname(package_dir))
+                    zf.write(full, rel)
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
