@@ -28,12 +28,12 @@ BAD_TEXT = ("null", "raise")
 
 # ---------------------------------------------------------------- melt side
 
-def _ids(df: DataFrame, ids: str, order_by, id_col: str | None,
+def _ids(df: DataFrame, ids: str, order_by, id_col: str | Column | None,
          unique_keys: bool) -> tuple[DataFrame, Column, list[str]]:
     """(frame with an id column, that column, the data columns)."""
     if id_col is not None:
-        data = [c for c in df.columns if c != id_col]
-        return df, qcol(id_col).cast("long"), data
+        ident = qcol(id_col) if isinstance(id_col, str) else id_col
+        return df, ident.cast("long"), list(df.columns)
     with_id = with_row_ids(df, ids, id_col=_ID, order_by=order_by,
                            unique_keys=unique_keys)
     return with_id, F.col(_ID), list(df.columns)
@@ -56,7 +56,7 @@ def number_cells(df: DataFrame, ids: str = "unique",
 
 def melt_cells(df: DataFrame, ids: str = "unique",
                order_by: Sequence[str | Column] | None = None,
-               id_col: str | None = None, columns: Sequence[str] | None = None,
+               id_col: str | Column | None = None, columns: Sequence[str] | None = None,
                nested: str = "json", unique_keys: bool = True) -> DataFrame:
     """One row per cell: ``(id long, num long, val string)`` (T2 core, G2).
 
@@ -111,7 +111,8 @@ def cells_to_key_value(cells: DataFrame) -> DataFrame:
 
 def key_value_columns(df: DataFrame, ids: str = "unique",
                       order_by: Sequence[str | Column] | None = None,
-                      id_col: str | None = None, columns: Sequence[str] | None = None,
+                      id_col: str | Column | None = None,
+                      columns: Sequence[str] | None = None,
                       nested: str = "json", unique_keys: bool = True) -> DataFrame:
     """Melt to the two-column form ``(key string, val string)``.
 

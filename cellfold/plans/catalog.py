@@ -45,9 +45,12 @@ from cellfold.plans import sqltext as S
 from cellfold.plans.jobs import load_key_value, read_key_value, restore_table, write_key_value
 from cellfold.session import ensure_checkpoint_dir, scratch_path
 from cellfold.sinks.csv import write_csv
+from cellfold.sinks.workbook import write_workbooks
 from cellfold.sinks.zipped import write_zipped_csv
 from cellfold.sources.csv import read_csv
+from cellfold.sources.workbook import read_workbooks
 from cellfold.sources.zipped import read_zipped_csv
+from cellfold.streaming.melt import start_key_value_stream
 from cellfold.sources.options import KEY_VALUE_CSV, KEY_VALUE_CSV_READ, overlay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,6 +308,41 @@ def q_zip_restore_job(spark, d):
     return table
 
 
+def q_workbook_read(spark, d):
+    path = _scratch(spark, "workbook-read")
+    write_workbooks(_table(spark, d, "supplier").repartition(3), path, {"header": "true"})
+    return read_workbooks(spark, path, {"header": "true", "inferSchema": "true"})
+
+
+def q_workbook_load_job(spark, d):
+    books, target = _scratch(spark, "workbook-src"), _scratch(spark, "workbook-load")
+    write_workbooks(_table(spark, d, "supplier").repartition(2), books, {"header": "true"})
+    meta, data = load_key_value(spark, books, target, name="supplier", fmt="excel",
+                                read_options={"header": "true", "inferSchema": "true"},
+                                ids="ordered", order_by=["s_suppkey"])
+    return read_key_value(spark, [meta, data])
+
+
+def q_csv_load_job(spark, d):
+    src, target = _scratch(spark, "csv-src"), _scratch(spark, "csv-load")
+    write_csv(_table(spark, d, "part"), src, {"header": "true"})
+    meta, data = load_key_value(spark, src, target, name="part", fmt="csv",
+                                read_options={"header": "true", "inferSchema": "true"},
+                                ids="ordered", order_by=["p_partkey"])
+    return read_key_value(spark, [meta, data])
+
+
+def q_stream_key_value(spark, d):
+    events = _table(spark, d, "events")
+    stream = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
+              .parquet(d))
+    out, ckpt = _scratch(spark, "stream-out"), _scratch(spark, "stream-ckpt")
+    query = start_key_value_stream(stream, F.col("event_id") + 1, out, ckpt,
+                                   available_now=True)
+    query.awaitTermination()
+    return spark.read.parquet(out)
+
+
 QUERIES: dict[str, Query] = {
     "key_value": q_key_value,
     "key_value_lineitem": q_key_value_lineitem,
@@ -339,6 +377,10 @@ QUERIES: dict[str, Query] = {
     "zip_read": q_zip_read,
     "zip_key_value": q_zip_key_value,
     "zip_restore_job": q_zip_restore_job,
+    "workbook_read": q_workbook_read,
+    "workbook_load_job": q_workbook_load_job,
+    "csv_load_job": q_csv_load_job,
+    "stream_key_value": q_stream_key_value,
 }
 
 
@@ -480,4 +522,22 @@ ORACLE_SQL: dict[str, str] = {
         ("doc_id", "BIGINT"), ("text", "VARCHAR"), ("lang", "VARCHAR"), ("source", "VARCHAR"),
         ("n_chars", "BIGINT")], ["doc_id"])),
     "zip_restore_job": _select_all("customer"),
+    "workbook_read": ("SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, "
+                      "s_acctbal FROM supplier"),
+    "workbook_load_job": S.meta_values("supplier", [
+        _json_of("s_suppkey", "integer"), _json_of("s_name", "string"),
+        _json_of("s_nationkey", "integer"), _json_of("s_acctbal", "double")])
+    + " UNION ALL " + S.key_value(S.cells("supplier", [
+        ("s_suppkey", "BIGINT"), ("s_name", "VARCHAR"), ("s_nationkey", "INTEGER"),
+        ("s_acctbal", "DOUBLE")], ["s_suppkey"])),
+    "csv_load_job": S.meta_values("part", [
+        _json_of("p_partkey", "integer"), _json_of("p_name", "string"),
+        _json_of("p_brand", "string"), _json_of("p_type", "string"),
+        _json_of("p_size", "integer"), _json_of("p_retailprice", "double")])
+    + " UNION ALL " + S.key_value(S.cells("part", [
+        ("p_partkey", "BIGINT"), ("p_name", "VARCHAR"), ("p_brand", "VARCHAR"),
+        ("p_type", "VARCHAR"), ("p_size", "INTEGER"), ("p_retailprice", "DOUBLE")],
+        ["p_partkey"])),
+    "stream_key_value": S.key_value(S.cells("events", _cols("events"), [],
+                                            id_expr="event_id + 1")),
 }

@@ -11,28 +11,20 @@ from __future__ import annotations
 
 import csv
 import io
-import uuid
 import zipfile
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter
 
-from cellfold.sources.files import exists, filesystem, open_output
-from cellfold.sources.options import WRITER_CSV_DEFAULTS, flag, overlay, parse_save_mode
+from cellfold.sinks.staged import StagedFiles, Staging
+from cellfold.sources.files import exists, open_output
+from cellfold.sources.options import WRITER_CSV_DEFAULTS, canonical, flag, overlay, parse_save_mode
 from cellfold.sources.zipped import csv_dialect
 
 FORMAT = "cellfold_zipcsv"
 
 
-@dataclass
-class _Written(WriterCommitMessage):
-    temp: str
-    final: str
-    rows: int
-
-
 def _text(v, null_value: str) -> str:
     if v is None:
         return null_value
@@ -43,27 +35,20 @@ def _text(v, null_value: str) -> str:
 
 class ZippedCsvWriter(DataSourceArrowWriter):
     def __init__(self, options: Mapping[str, str], schema, overwrite: bool):
-        self.options = overlay(WRITER_CSV_DEFAULTS, options)
-        self.path = self.options["path"].rstrip("/")
+        self.options = overlay(WRITER_CSV_DEFAULTS, canonical(options))
+        self.staging = Staging(self.options["path"], overwrite)
         self.names = [f.name for f in schema.fields]
-        self.overwrite = overwrite
-        self.job = uuid.uuid4().hex
-
-    def write(self, iterator: Iterator) -> _Written:
-        from pyspark import TaskContext
-        ctx = TaskContext.get()
-        part = ctx.partitionId() if ctx else 0
-        attempt = ctx.taskAttemptId() if ctx else 0
-        name = f"part-{part:05d}-{self.job}"
-        temp = f"{self.path}/_temporary/{self.job}/{name}-{attempt}.zip"
-        final = f"{self.path}/{name}.zip"
+
+    def write(self, iterator: Iterator) -> StagedFiles:
+        temp, final = self.staging.task_names(".zip")
+        entry = final.rsplit("/", 1)[-1][:-len(".zip")] + ".csv"
         null_value = self.options.get("nullValue", "")
         dialect = csv_dialect(self.options)
         dialect.setdefault("quoting", csv.QUOTE_MINIMAL)
         rows = 0
         sink = open_output(temp)
         with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as zf:
-            with zf.open(f"{name}.csv", "w") as raw:
+            with zf.open(entry, "w") as raw:
                 text = io.TextIOWrapper(raw, encoding=self.options.get("charset", "UTF-8"),
                                         newline="")
                 out = csv.writer(text, lineterminator="\n", **dialect)
@@ -77,29 +62,13 @@ class ZippedCsvWriter(DataSourceArrowWriter):
                 text.flush()
                 text.detach()
         sink.close()
-        return _Written(temp, final, rows)
+        return StagedFiles([(temp, final)], rows)
 
     def commit(self, messages) -> None:
-        from pyarrow import fs
-        f, root = filesystem(self.path)
-        if self.overwrite:
-            for info in f.get_file_info(fs.FileSelector(root, allow_not_found=True)):
-                if info.base_name != "_temporary":
-                    if info.type == fs.FileType.Directory:
-                        f.delete_dir(info.path)
-                    else:
-                        f.delete_file(info.path)
-        for m in messages:
-            if m is not None:
-                f.move(filesystem(m.temp)[1], filesystem(m.final)[1])
-        f.delete_dir(f"{root}/_temporary/{self.job}")
+        self.staging.commit(messages)
 
     def abort(self, messages) -> None:
-        f, root = filesystem(self.path)
-        try:
-            f.delete_dir(f"{root}/_temporary/{self.job}")
-        except OSError:
-            pass
+        self.staging.abort(messages)
 
 
 class ZippedCsvDataSource(DataSource):

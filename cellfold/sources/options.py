@@ -78,6 +78,19 @@ def overlay(*layers: Mapping[str, object] | None) -> dict[str, str]:
     return out
 
 
+_KNOWN_KEYS = sorted({k for d in (READER_CSV_DEFAULTS, READER_EXCEL_DEFAULTS, WRITER_CSV_DEFAULTS,
+                                   WRITER_EXCEL_DEFAULTS, KEY_VALUE_CSV_READ) for k in d}
+                     | {"path", "sep", "encoding", "sheetName", "maxRowsPerFile",
+                        "maxRecordsPerFile", "quoteAll"})
+
+
+def canonical(options: Mapping[str, object] | None) -> dict[str, str]:
+    """Options with their usual camel-case keys (data source writers receive
+    them lower-cased)."""
+    names = {k.lower(): k for k in _KNOWN_KEYS}
+    return overlay({names.get(k.lower(), k): v for k, v in (options or {}).items()})
+
+
 def options_for(config: Mapping[str, object], prefix: str) -> dict[str, str]:
     """Keys under ``prefix.`` with the prefix stripped (``reader.csv`` ...)."""
     head = prefix.rstrip(".") + "."

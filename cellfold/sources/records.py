@@ -68,7 +68,7 @@ def typed_table(records: DataFrame, names: list[str], opts: Mapping[str, str],
     ones dropped); ``DROPMALFORMED`` drops records with another field count or
     a text that does not parse as its type; ``FAILFAST`` raises on them.
     """
-    null_value = opts.get("nullValue", "")
+    null_value = opts.get("nullValue")
     if schema is not None and len(schema.fields) != len(names):
         names = schema.names
     n = len(names)
