@@ -31,11 +31,13 @@ def read_csv(spark: SparkSession, path: str | list[str],
         with_corrupt = T.StructType(list(st.fields) + [T.StructField(_CORRUPT, T.StringType())])
         opts = overlay(opts, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
         raw = reader.options(**opts).schema(with_corrupt).csv(path)
-        # keep a data column in the scan next to the corrupt column: a scan that
-        # would need only the corrupt column is refused by Spark
-        guard = F.col(f"`{st.fields[0].name}`").isNull() | F.col(
-            f"`{st.fields[0].name}`").isNotNull() if st.fields else F.lit(True)
-        return raw.where(F.col(_CORRUPT).isNull() & guard).drop(_CORRUPT)
+        # reference every column in a predicate the optimizer cannot fold, so the
+        # parser always sees whole records (column pruning would let a count
+        # skip the malformed-record check) and the scan never needs only the
+        # corrupt-record column (which Spark refuses)
+        whole = F.length(F.concat_ws("\u0001", *[
+            F.col(f"`{f.name}`").cast("string") for f in st.fields])) >= 0
+        return raw.where(F.col(_CORRUPT).isNull() & whole).drop(_CORRUPT)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.options(**opts).csv(path)

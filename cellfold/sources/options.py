@@ -58,6 +58,7 @@ KEY_VALUE_CSV = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "charset": "UTF-8",
+    "lineSep": "\n",  # an explicit separator keeps CRLF inside quoted values on read
 }
 KEY_VALUE_CSV_READ = {**KEY_VALUE_CSV, "multiLine": "true", "mode": "FAILFAST"}
 

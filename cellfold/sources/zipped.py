@@ -115,9 +115,19 @@ def zip_records(spark: SparkSession, path: str | Sequence[str],
 
 
 def _first_record(spark, path, opts) -> list[str] | None:
-    first = (zip_entries(spark, path).orderBy("path", "entry_index").limit(1)
-             .mapInPandas(_entry_reader(opts, limit=1), RECORD_SCHEMA)
-             .select("fields").collect())
+    """First record of the first entry (in archive, entry order) that has one.
+
+    Tries the first non-empty entry alone; only if that holds no record (e.g.
+    only comment lines) reads the first record of every entry and keeps the
+    earliest, a distributed top-1.
+    """
+    entries = zip_entries(spark, path)
+    read_one = _entry_reader(opts, limit=1)
+    first = (entries.where(F.col("size") > 0).orderBy("path", "entry_index").limit(1)
+             .mapInPandas(read_one, RECORD_SCHEMA).select("fields").collect())
+    if not first:
+        first = (entries.mapInPandas(read_one, RECORD_SCHEMA)
+                 .orderBy("path", "entry_index").limit(1).select("fields").collect())
     return list(first[0]["fields"]) if first else None
 
 
