@@ -45,11 +45,15 @@ def clear_columns(df: DataFrame, pattern: str, replacement: str) -> DataFrame:
 def id_num_columns(df: DataFrame, key: str = "key") -> DataFrame:
     """Split the ``"id,num"`` key into ``id`` and ``num`` (long), placed first;
     the other columns follow unchanged (P4). Bad key text gives null."""
-    parts = F.split(qcol(key), ",")
+    k = qcol(key)
+    comma = F.instr(k, ",")
+    has = comma > 0
     rest = [qcol(c) for c in df.columns if c != key]
+    # substrings around the first comma: no array per row (a second comma
+    # makes ``num`` unparsable, hence null)
     return df.select(
-        F.get(parts, 0).try_cast("long").alias("id"),
-        F.get(parts, 1).try_cast("long").alias("num"),
+        F.when(has, k.substr(F.lit(1), comma - 1)).try_cast("long").alias("id"),
+        F.when(has, k.substr(comma + 1, F.lit(1 << 30))).try_cast("long").alias("num"),
         *rest,
     )
 

@@ -30,8 +30,10 @@ from cellfold.operators.keyvalue import (
     melt_cells,
     meta_columns,
     number_cells,
+    plain_columns,
     restore,
     schema_frame,
+    schema_name,
 )
 from cellfold.operators.nested import (
     array_column,
@@ -136,6 +138,25 @@ def q_restore_table(spark, d):
     return table
 
 
+def q_restore_lenient(spark, d):
+    orders = _table(spark, d, "orders")
+    cells = combined_cells(orders, "orders")
+    schema, _ = schema_name(cells)
+    return plain_columns(cells, schema, mode="lenient")
+
+
+def q_key_value_subset(spark, d):
+    # melt two columns only: the scan reads just those (and the key)
+    return key_value_columns(_table(spark, d, "lineitem"), ids="ordered",
+                             order_by=LINEITEM_ORDER, unique_keys=False,
+                             columns=["l_extendedprice", "l_shipdate"])
+
+
+def q_combined_export_text(spark, d):
+    return combined_export(_table(spark, d, "nation"), "nation", ids="ordered",
+                           order_by=["n_nationkey"], text_order=True)
+
+
 def q_combined_export(spark, d):
     return combined_export(_table(spark, d, "nation"), "nation", ids="ordered",
                            order_by=["n_nationkey"])
@@ -352,6 +373,9 @@ QUERIES: dict[str, Query] = {
     "id_num": q_id_num,
     "restore_table": q_restore_table,
     "combined_export": q_combined_export,
+    "combined_export_text": q_combined_export_text,
+    "restore_lenient": q_restore_lenient,
+    "key_value_subset": q_key_value_subset,
     "string_columns": q_string_columns,
     "prefix_columns": q_prefix_columns,
     "clear_columns": q_clear_columns,
@@ -487,6 +511,11 @@ ORACLE_SQL: dict[str, str] = {
     "id_num": f"SELECT id, num, val FROM ({S.cells('region', _cols('region'), ['r_regionkey'])}) c",
     "restore_table": _select_all("lineitem"),
     "combined_export": _meta_sql("nation") + " UNION ALL " + S.key_value(_NATION_CELLS),
+    "combined_export_text": _meta_sql("nation") + " UNION ALL " + S.key_value(_NATION_CELLS),
+    "restore_lenient": _select_all("orders"),
+    "key_value_subset": S.key_value(
+        f"SELECT id, num, val FROM ({S.cells('lineitem', _cols('lineitem'), LINEITEM_ORDER)}) c "
+        "WHERE num IN (6, 11)"),
     "string_columns": _string_columns_sql(),
     "prefix_columns": _prefix_sql(),
     "clear_columns": ("SELECT conv_id, turn, regexp_replace(role, '\\d+', '#', 'g') AS role, "
