@@ -10,6 +10,8 @@ table name and ``0,k`` the one-field schema JSON of column ``k``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from cellfold.operators.columns import id_num_columns
 from cellfold.operators.ids import with_row_ids
 
 _ID = "__cellfold_id"
-RESTORE_MODES = ("strict", "lenient")
+RESTORE_MODES = ("strict", "lenient", "map")
 BAD_TEXT = ("null", "raise")
 
 
@@ -193,12 +195,17 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
     """Restore the typed table from ``(id, num, val)`` cells (T5).
 
     One row per data id (> 0) with exactly ``schema``: names, types,
-    nullability and metadata. Row order is not promised.
-
-    ``strict`` gathers a row's cells in a map keyed by ``num``; a duplicate
-    cell fails the job, a missing one gives null. ``lenient`` takes per column
-    the greatest text among duplicates. Both are one shuffle by ``id``, after a
-    partial aggregation that folds the cells of a row lying together.
+    nullability and metadata. Row order is not promised. All modes are one
+    shuffle by ``id`` after a partial aggregation that folds the cells of a row
+    lying together, and none depends on the order of cells.
+
+    ``strict`` (default) keeps per column the cell text and the number of cells
+    seen: a duplicate cell fails the job, a missing one gives null. Its buffer
+    is fixed (two slots per column) however many cells share an id, so even a
+    damaged table with one huge id group cannot exhaust a task's memory.
+    ``lenient`` takes the greatest text among duplicates. ``map`` gathers a
+    row's cells in a map (one aggregate instead of one per column, for very
+    wide tables; a duplicate fails with ``DUPLICATED_MAP_KEY``).
     ``bad_text="raise"`` fails on a non-null cell that does not parse as its
     type; by default such a cell becomes null (count them with the audit).
     """
@@ -208,16 +215,22 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
         raise ValueError(f"bad_text must be one of {BAD_TEXT}")
     data = cells.where(F.col("id") > 0)
     fields = list(schema.fields)
-    if mode == "strict":
+    nums = range(1, len(fields) + 1)
+    checks: list[Column] = []
+    if mode == "map":
         grouped = data.groupBy("id").agg(
             F.map_from_entries(F.collect_list(F.struct("num", "val"))).alias("m"))
-        texts = [F.try_element_at(F.col("m"), F.lit(k).cast("long"))
-                 for k in range(1, len(fields) + 1)]
+        texts = [F.try_element_at(F.col("m"), F.lit(k).cast("long")) for k in nums]
     else:
-        grouped = data.groupBy("id").agg(*[
-            F.max(F.when(F.col("num") == k, F.col("val"))).alias(f"v{k}")
-            for k in range(1, len(fields) + 1)])
-        texts = [F.col(f"v{k}") for k in range(1, len(fields) + 1)]
+        aggs = [F.max(F.when(F.col("num") == k, F.col("val"))).alias(f"v{k}") for k in nums]
+        if mode == "strict":
+            aggs += [F.count_if(F.col("num") == k).alias(f"n{k}") for k in nums]
+        grouped = data.groupBy("id").agg(*aggs)
+        texts = [F.col(f"v{k}") for k in nums]
+        if mode == "strict" and fields:
+            dup = reduce(or_, [F.col(f"n{k}") > 1 for k in nums])
+            checks.append(F.when(dup, F.raise_error(F.concat(
+                F.lit("duplicate cell in row "), F.col("id").cast("string")))))
     out = []
     for f, text in zip(fields, texts):
         value = from_text(text, f.dataType)
@@ -229,6 +242,9 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
         if not f.nullable:
             value = non_null(value, f.dataType, f.name)
         out.append(value.alias(f.name, metadata=f.metadata))
+    if checks:
+        # a filter predicate runs on every row, so the duplicate check fires
+        grouped = grouped.where(F.coalesce(checks[0], F.lit(True)))
     return grouped.select(*out)
 
 

@@ -71,8 +71,11 @@ def round_trip(df, name="t", **kw):
     return back, got_name
 
 
-def test_round_trip_every_type(typed):
-    back, name = round_trip(typed)
+@pytest.mark.parametrize("mode", ["strict", "lenient", "map"])
+def test_round_trip_every_type(typed, mode):
+    meta = meta_columns(typed, "t")
+    kv = key_value_columns(typed)
+    back, name = restore_key_value(meta.unionByName(kv), mode=mode)
     assert name == "t"
     assert back.schema == typed.schema
     assert same_rows(back, typed)
@@ -194,8 +197,11 @@ def test_strict_restore_rejects_duplicate_cells(spark):
                                "key string, val string")
     schema = T.StructType([T.StructField("p", T.StringType()), T.StructField("q", T.StringType())])
     strict = plain_columns(id_num_columns(kv), schema, mode="strict")
-    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY|Duplicate map key"):
+    with pytest.raises(Exception, match="duplicate cell in row 1"):
         strict.collect()
+    by_map = plain_columns(id_num_columns(kv), schema, mode="map")
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY|Duplicate map key"):
+        by_map.collect()
     lenient = plain_columns(id_num_columns(kv), schema, mode="lenient").collect()
     assert lenient == [Row(p="b", q="x")]
 
