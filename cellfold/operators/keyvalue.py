@@ -22,6 +22,7 @@ from cellfold.functions.schema_json import field_json, parse_field_json
 from cellfold.functions.text import check_supported, from_text, non_null, to_text
 from cellfold.operators.columns import id_num_columns
 from cellfold.operators.ids import with_row_ids
+from cellfold.operators.partitions import spread_input
 
 _ID = "__cellfold_id"
 RESTORE_MODES = ("strict", "lenient", "map")
@@ -59,14 +60,16 @@ def number_cells(df: DataFrame, ids: str = "unique",
 def melt_cells(df: DataFrame, ids: str = "unique",
                order_by: Sequence[str | Column] | None = None,
                id_col: str | Column | None = None, columns: Sequence[str] | None = None,
-               nested: str = "json", unique_keys: bool = True) -> DataFrame:
+               nested: str = "json", unique_keys: bool = True,
+               spread: bool = True) -> DataFrame:
     """One row per cell: ``(id long, num long, val string)`` (T2 core, G2).
 
     ``num`` is the 1-based position of the column in ``df``; ``columns``
     melts only those (positions kept) so the scan reads only them. Null cells
     are kept with a null ``val``. ``id_col`` takes ids from an existing unique
     column (>= 1) instead of generating them, which also works on a streaming
-    frame; that column is melted like the others.
+    frame; that column is melted like the others. ``spread`` spreads a
+    coarsely split input over the default parallelism first (``spread_input``).
     """
     if len(set(df.columns)) != len(df.columns):
         if id_col is not None or columns is not None:
@@ -91,6 +94,10 @@ def melt_cells(df: DataFrame, ids: str = "unique",
         positions = {c: i for i, c in enumerate(df.columns, start=1)}
         wanted = list(df.columns)
         source = df
+    if spread and id_col is None and ids != "ordered":
+        # ordered ids range-partition anyway; the others would inherit the scan's
+        # splits, which for a coarsely split input means one core
+        source = spread_input(source)
     framed, ident, _ = _ids(source, ids, order_by, id_col, unique_keys)
     types = {f.name: f.dataType for f in df.schema.fields}
     cells = []
@@ -115,14 +122,15 @@ def key_value_columns(df: DataFrame, ids: str = "unique",
                       order_by: Sequence[str | Column] | None = None,
                       id_col: str | Column | None = None,
                       columns: Sequence[str] | None = None,
-                      nested: str = "json", unique_keys: bool = True) -> DataFrame:
+                      nested: str = "json", unique_keys: bool = True,
+                      spread: bool = True) -> DataFrame:
     """Melt to the two-column form ``(key string, val string)``.
 
     rows x columns rows, nulls kept. With ``ids="unique"`` (default) the plan
     is a single scan -> project -> generate stage: no shuffle, no job before it.
     """
     return cells_to_key_value(melt_cells(df, ids, order_by, id_col, columns, nested,
-                                         unique_keys))
+                                         unique_keys, spread))
 
 
 # ------------------------------------------------------------ metadata side
@@ -257,8 +265,14 @@ def restore(cells: DataFrame, mode: str = "strict", bad_text: str = "null"
 
 def restore_key_value(kv: DataFrame, mode: str = "strict", bad_text: str = "null"
                       ) -> tuple[DataFrame, str | None]:
-    """Combined ``(key, val)`` table -> (typed table, table name)."""
-    return restore(id_num_columns(kv), mode, bad_text)
+    """Combined ``(key, val)`` table -> (typed table, table name).
+
+    The metadata rows are selected by the key prefix ``0,`` before the key is
+    parsed, so the filter reaches the scan (row groups are skipped by it).
+    """
+    meta = id_num_columns(kv.where(F.col("key").startswith("0,")))
+    schema, name = schema_name(meta)
+    return plain_columns(id_num_columns(kv), schema, mode, bad_text), name
 
 
 # ----------------------------------------------------------- combined form

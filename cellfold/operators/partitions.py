@@ -54,3 +54,29 @@ def max_partition_length(df: DataFrame) -> int:
         .collect()[0]
     )
     return int(row["m"] or 0)
+
+
+def spread_input(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Spread a coarsely split input over at least ``target`` partitions.
+
+    A file with one large row group (or a few big unsplittable files) scans as
+    one task; the row-local operators after it (melt, partial aggregation)
+    would then run on one core. When the input has fewer partitions than
+    ``target`` (default: the default parallelism) it is round-robin
+    repartitioned, which cannot skew; input that is already split finely, as
+    any large table is, is returned as it is (no shuffle). Streaming frames are
+    returned unchanged.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    if target is None:
+        try:
+            target = spark.sparkContext.defaultParallelism
+        except Exception:  # Spark Connect
+            return df
+    try:
+        have = num_partitions(df)
+    except Exception:
+        return df
+    return df.repartition(target) if have < target else df

@@ -15,7 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellfold.operators.columns import clear_columns, id_num_columns
-from cellfold.operators.keyvalue import key_value_columns, meta_columns, restore
+from cellfold.operators.keyvalue import (
+    key_value_columns,
+    meta_columns,
+    plain_columns,
+    restore_key_value,
+    schema_name,
+)
 from cellfold.sinks.csv import write_csv
 from cellfold.sources.csv import read_csv, repartition_input
 from cellfold.sources.options import KEY_VALUE_CSV, KEY_VALUE_CSV_READ, overlay, parse_save_mode
@@ -121,15 +127,21 @@ def restore_table(spark: SparkSession, source: str | Sequence[str], kv_format: s
                   bad_text: str = "null") -> tuple[DataFrame, str | None]:
     """Restore job (T7): key-value files -> id/num -> schema -> typed table.
 
-    ``source`` is a load-job target (its ``meta`` and ``data`` folders are read)
-    or any list of paths holding a combined key-value table.
+    ``source`` is a load-job target: the schema is read from its small
+    ``meta`` folder alone and the rows from ``data``, so recovering the schema
+    never scans the data. Any other path (or list of paths) is taken as a
+    combined key-value table; its metadata rows are found by the key prefix
+    ``0,``, a filter that reaches the scan (parquet skips row groups by it).
     """
     if isinstance(source, str) and not source.endswith((".zip", ".csv")):
-        paths = [f"{source.rstrip('/')}/meta", f"{source.rstrip('/')}/data"]
-    else:
-        paths = [source] if isinstance(source, str) else list(source)
+        root = source.rstrip("/")
+        meta = id_num_columns(read_key_value(spark, f"{root}/meta", kv_format, options))
+        schema, name = schema_name(meta)
+        data = id_num_columns(read_key_value(spark, f"{root}/data", kv_format, options))
+        return plain_columns(data, schema, mode, bad_text), name
+    paths = [source] if isinstance(source, str) else list(source)
     kv = read_key_value(spark, paths, kv_format, options)
-    return restore(id_num_columns(kv), mode, bad_text)
+    return restore_key_value(kv, mode, bad_text)
 
 
 def key_value_cells(kv: DataFrame) -> DataFrame:

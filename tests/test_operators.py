@@ -24,7 +24,7 @@ from cellfold import (
     with_row_ids,
 )
 from cellfold.operators.audit import audit_round_trip, describe_table, random_table
-from cellfold.operators.keyvalue import combined_cells, restore
+from cellfold.operators.keyvalue import combined_cells, melt_cells, meta_cells, restore
 from cellfold.plans.inspect import exchanges, has_python_or_rdd_scan, plan_text
 from cellfold.streaming import stream_key_value
 from conftest import SF_SMALL
@@ -172,25 +172,34 @@ def test_streaming_melt_matches_batch(spark, scratch):
 
 def test_unique_melt_is_one_stage_without_shuffle(spark):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    kv = key_value_columns(orders)
+    kv = key_value_columns(orders, spread=False)
     assert exchanges(kv) == 0
     assert not has_python_or_rdd_scan(kv)
     # scan, projection and generator fused into one whole-stage codegen span
     assert "* Generate" in plan_text(kv) and "* ColumnarToRow" in plan_text(kv)
 
 
+def test_spread_only_for_coarse_input(spark):
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")  # one row group: one split
+    text = plan_text(key_value_columns(orders))
+    assert exchanges(key_value_columns(orders)) == 1 and "RoundRobinPartitioning" in text
+    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
+    assert exchanges(key_value_columns(wide)) == 0
+
+
 def test_melt_reads_only_chosen_columns(spark):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    kv = key_value_columns(orders, columns=["o_orderkey"])
+    kv = key_value_columns(orders, columns=["o_orderkey"], spread=False)
     text = plan_text(kv)
     assert "ReadSchema: struct<o_orderkey:bigint>" in text
 
 
 def test_restore_has_one_exchange(spark):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    cells = combined_cells(orders, "orders")
+    cells = meta_cells(spark, orders.schema, "orders").unionByName(
+        melt_cells(orders, spread=False))
     table, _ = restore(cells)
-    assert exchanges(table) == 1
+    assert exchanges(table) == 1  # the shuffle by id; nothing else
     assert "Window" not in plan_text(table)
 
 
