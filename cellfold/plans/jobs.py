@@ -22,6 +22,7 @@ from cellfold.operators.keyvalue import (
     restore_key_value,
     schema_name,
 )
+from cellfold.session import release_scratch, staged_paths
 from cellfold.sinks.csv import write_csv
 from cellfold.sources.csv import read_csv, repartition_input
 from cellfold.sources.options import KEY_VALUE_CSV, KEY_VALUE_CSV_READ, overlay, parse_save_mode
@@ -105,6 +106,7 @@ def load_key_value(spark: SparkSession, source: str | DataFrame, target: str,
     the reference's turning of quote runs into ``'`` (lossy; restore accepts
     the metadata it produces). Returns the two output paths.
     """
+    before = set(staged_paths())
     df = source if isinstance(source, DataFrame) else read_source(
         spark, source, fmt, read_options)
     if name is None:
@@ -119,6 +121,8 @@ def load_key_value(spark: SparkSession, source: str | DataFrame, target: str,
     write_key_value(meta, meta_path, kv_format, write_options, mode, n_files=1, coalesce=True)
     write_key_value(data, data_path, kv_format, write_options, mode,
                     max_records_per_file=max_records_per_file)
+    # the outputs are committed: drop the stages this job materialised (ids)
+    release_scratch([p for p in staged_paths() if p not in before])
     return meta_path, data_path
 
 

@@ -54,19 +54,47 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{root.rstrip('/')}/{_SCRATCH_SUBDIR}/{tag}-{uuid.uuid4().hex}"
 
 
+_STAGED: list[str] = []
+
+
 def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     """Write ``df`` as parquet under the scratch folder and read it back.
 
     Cuts lineage so that later jobs see exactly the rows and derived columns of
     this one execution (task retries rewrite whole files through the commit
-    protocol, so the result survives lost executors).
+    protocol, so the result survives lost executors). The path is remembered
+    until ``release_scratch`` deletes it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     df.write.mode("errorifexists").parquet(path)
+    _STAGED.append(path)
     return spark.read.parquet(path)
 
 
+def staged_paths() -> list[str]:
+    """Materialised stages not yet released, oldest first."""
+    return list(_STAGED)
+
+
+def release_scratch(paths: list[str] | None = None) -> int:
+    """Delete materialised stages (default: all of this process); returns how
+    many were removed. Call it once the jobs reading them have finished."""
+    from cellfold.sources.files import filesystem
+    chosen = list(_STAGED) if paths is None else list(paths)
+    removed = 0
+    for path in chosen:
+        try:
+            f, p = filesystem(path)
+            f.delete_dir(p)
+            removed += 1
+        except (OSError, ValueError):
+            pass
+        if path in _STAGED:
+            _STAGED.remove(path)
+    return removed
+
+
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
                   app: str = "cellfold") -> SparkSession:
     """A local session for tests and benches (UI off, UTC, AQE on)."""

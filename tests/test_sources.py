@@ -209,3 +209,14 @@ def test_workbook_sink_rolls_files_at_row_limit(spark, scratch):
     assert len(files) == 4  # 200 rows, 50 per file next to the header
     back = read_workbooks(spark, path, {"header": "true"}, schema="p_partkey long, p_name string")
     assert same_rows(back, part)
+
+
+def test_load_job_releases_its_stages(spark, scratch):
+    from cellfold.session import staged_paths
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    before = set(staged_paths())
+    target = scratch("release")
+    load_key_value(spark, orders, target, ids="ordered", order_by=["o_orderkey"])
+    assert set(staged_paths()) == before
+    back, _ = restore_table(spark, target)
+    assert same_rows(back, orders)
