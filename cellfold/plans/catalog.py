@@ -277,6 +277,15 @@ def q_csv_read(spark, d):
     return read_csv(spark, path, {"header": "true", "inferSchema": "true"})
 
 
+def q_csv_read_schema(spark, d):
+    # reference writer defaults out, reference reader defaults in (DROPMALFORMED,
+    # comment '#', empty null text), with the table's schema given
+    orders = _table(spark, d, "orders")
+    path = _scratch(spark, "csv-read-schema")
+    write_csv(orders, path)
+    return read_csv(spark, path, schema=orders.schema)
+
+
 def q_csv_round_trip(spark, d):
     docs = _table(spark, d, "documents")
     path = _scratch(spark, "csv-round-trip")
@@ -394,6 +403,7 @@ QUERIES: dict[str, Query] = {
     "audit_cells": q_audit_cells,
     "describe_table": q_describe_table,
     "csv_read": q_csv_read,
+    "csv_read_schema": q_csv_read_schema,
     "csv_round_trip": q_csv_round_trip,
     "load_job": q_load_job,
     "restore_job": q_restore_job,
@@ -542,6 +552,7 @@ ORACLE_SQL: dict[str, str] = {
     "describe_table": _describe_sql(),
     "csv_read": ("SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, "
                  "p_size, p_retailprice FROM part"),
+    "csv_read_schema": _select_all("orders"),
     "csv_round_trip": _select_all("documents"),
     "load_job": _meta_sql("orders") + " UNION ALL " + S.key_value(_ORDERS_CELLS),
     "restore_job": _select_all("orders"),
