@@ -33,6 +33,8 @@ _O = "__cellfold_o"
 _SALT = "__cellfold_salt"
 # monotonically_increasing_id() = (partition index << 33) + position
 _POSITION_MASK = (1 << 33) - 1
+# partition offsets up to this many travel as an array literal in the plan
+_LITERAL_LIMIT = 20_000
 
 
 def _orderable(dt: T.DataType) -> bool:
@@ -107,6 +109,13 @@ def with_row_ids(df: DataFrame, strategy: str = "unique", id_col: str = "id",
         acc += sizes.get(p, 0)
     if not starts:
         return staged.select(F.lit(1).cast("long").alias(id_col), *cols).where(F.lit(False))
-    offset = F.element_at(F.lit(starts).cast("array<bigint>"), F.col(_P) + 1)
-    ident = offset + F.col(_O) + F.lit(1)
-    return staged.select(ident.alias(id_col), *[qcol(c) for c in df.columns])
+    if len(starts) <= _LITERAL_LIMIT:
+        offset = F.element_at(F.lit(starts).cast("array<bigint>"), F.col(_P) + 1)
+        ident = offset + F.col(_O) + F.lit(1)
+        return staged.select(ident.alias(id_col), *[qcol(c) for c in df.columns])
+    # very many partitions: look the offsets up in a broadcast table whose size
+    # is bounded by the partition count (16 bytes per partition), not the data
+    table = spark.createDataFrame(list(enumerate(starts)), f"{_P} int, __cellfold_start long")
+    joined = staged.join(F.broadcast(table), _P)
+    ident = F.col("__cellfold_start") + F.col(_O) + F.lit(1)
+    return joined.select(ident.alias(id_col), *[qcol(c) for c in df.columns])

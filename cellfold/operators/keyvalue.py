@@ -156,7 +156,8 @@ def meta_columns(df: DataFrame, name: str) -> DataFrame:
     Runs no job over the data: the rows come from ``df.schema`` alone.
     """
     rows = [(f"{i},{n}", v) for i, n, v in meta_rows(df.schema, name)]
-    return df.sparkSession.createDataFrame(rows, "key string, val string")
+    # one partition, rows in num order (merging keeps the list's order)
+    return df.sparkSession.createDataFrame(rows, "key string, val string").coalesce(1)
 
 
 def _meta_only(cells: DataFrame) -> DataFrame:

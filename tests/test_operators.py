@@ -208,3 +208,32 @@ def test_ordered_ids_use_no_global_window(spark):
     kv = key_value_columns(orders, ids="ordered", order_by=["o_orderkey"])
     text = plan_text(kv)
     assert "Window" not in text and exchanges(kv) == 0  # reads the materialised copy
+
+
+def test_ordered_ids_broadcast_offsets_for_many_partitions(spark, monkeypatch):
+    import cellfold.operators.ids as ids_mod
+    monkeypatch.setattr(ids_mod, "_LITERAL_LIMIT", 2)
+    df = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    dense = with_row_ids(df, "ordered", order_by=["p_partkey"], n_partitions=6)
+    assert "BroadcastHashJoin" in plan_text(dense) or "BroadcastExchange" in plan_text(dense)
+    rows = dense.orderBy("id").collect()
+    assert [r.id for r in rows] == list(range(1, 201))
+    assert [r.p_partkey for r in rows] == sorted(r.p_partkey for r in rows)
+
+
+def test_streaming_restart_is_exactly_once(spark, scratch):
+    from cellfold.streaming import start_key_value_stream
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    out, ckpt = scratch("so"), scratch("sc")
+
+    def run():
+        stream = (spark.readStream.schema(events.schema)
+                  .option("pathGlobFilter", "events.parquet").parquet(SF_SMALL))
+        start_key_value_stream(stream, F.col("event_id") + 1, out, ckpt,
+                               available_now=True).awaitTermination()
+
+    run()
+    run()  # restart on the same checkpoint: nothing new, nothing twice
+    got = spark.read.parquet(out)
+    assert got.count() == events.count() * len(events.columns)
+    assert got.select("key").distinct().count() == got.count()
