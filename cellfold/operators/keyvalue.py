@@ -25,7 +25,9 @@ from cellfold.operators.ids import with_row_ids
 from cellfold.operators.partitions import spread_input
 
 _ID = "__cellfold_id"
+_KNOWN_SCHEMA = "_cellfold_known_schema"
 RESTORE_MODES = ("strict", "lenient", "map")
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 BAD_TEXT = ("null", "raise")
 
 
@@ -212,7 +214,10 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
     seen: a duplicate cell fails the job, a missing one gives null. Its buffer
     is fixed (two slots per column) however many cells share an id, so even a
     damaged table with one huge id group cannot exhaust a task's memory.
-    ``lenient`` takes the greatest text among duplicates. ``map`` gathers a
+    Fixed-width columns (numbers, booleans, dates, timestamps) are parsed per
+    cell and aggregated typed, so their buffers are small and their parse
+    failures are counted inside the same aggregation.
+    ``lenient`` keeps the greatest value among duplicates. ``map`` gathers a
     row's cells in a map (one aggregate instead of one per column, for very
     wide tables; a duplicate fails with ``DUPLICATED_MAP_KEY``).
     ``bad_text="raise"`` fails on a non-null cell that does not parse as its
@@ -225,25 +230,41 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
     data = cells.where(F.col("id") > 0)
     fields = list(schema.fields)
     nums = range(1, len(fields) + 1)
-    checks: list[Column] = []
+    checks: list[tuple[Column, Column]] = []  # (condition, message) failing a row
+    early = {k: mode != "map" and isinstance(f.dataType, _FIXED_WIDTH)
+             for k, f in zip(nums, fields)}
     if mode == "map":
         grouped = data.groupBy("id").agg(
             F.map_from_entries(F.collect_list(F.struct("num", "val"))).alias("m"))
         texts = [F.try_element_at(F.col("m"), F.lit(k).cast("long")) for k in nums]
     else:
-        aggs = [F.max(F.when(F.col("num") == k, F.col("val"))).alias(f"v{k}") for k in nums]
+        aggs = []
+        for k, f in zip(nums, fields):
+            text = F.when(F.col("num") == k, F.col("val"))
+            if early[k]:
+                # fixed-width types are parsed per cell and kept typed: smaller
+                # buffers, less to shuffle, no parse after the aggregation
+                parsed = from_text(text, f.dataType)
+                aggs.append(F.max(parsed).alias(f"v{k}"))
+                if bad_text == "raise":
+                    aggs.append(F.count_if(text.isNotNull() & parsed.isNull()).alias(f"b{k}"))
+                    checks.append((F.col(f"b{k}") > 0, F.concat(
+                        F.lit(f"cell of {f.name} does not parse as "
+                              f"{f.dataType.simpleString()} in row "),
+                        F.col("id").cast("string"))))
+            else:
+                aggs.append(F.max(text).alias(f"v{k}"))
         if mode == "strict":
             aggs += [F.count_if(F.col("num") == k).alias(f"n{k}") for k in nums]
         grouped = data.groupBy("id").agg(*aggs)
         texts = [F.col(f"v{k}") for k in nums]
         if mode == "strict" and fields:
-            dup = reduce(or_, [F.col(f"n{k}") > 1 for k in nums])
-            checks.append(F.when(dup, F.raise_error(F.concat(
-                F.lit("duplicate cell in row "), F.col("id").cast("string")))))
+            checks.insert(0, (reduce(or_, [F.col(f"n{k}") > 1 for k in nums]), F.concat(
+                F.lit("duplicate cell in row "), F.col("id").cast("string"))))
     out = []
-    for f, text in zip(fields, texts):
-        value = from_text(text, f.dataType)
-        if bad_text == "raise" and not isinstance(f.dataType, T.StringType):
+    for k, f, text in zip(nums, fields, texts):
+        value = text if early[k] else from_text(text, f.dataType)
+        if bad_text == "raise" and not early[k] and not isinstance(f.dataType, T.StringType):
             value = F.when(text.isNotNull() & value.isNull(), F.raise_error(
                 F.concat(F.lit(f"cell of {f.name} does not parse as "
                                f"{f.dataType.simpleString()}: "), text))
@@ -252,15 +273,26 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
             value = non_null(value, f.dataType, f.name)
         out.append(value.alias(f.name, metadata=f.metadata))
     if checks:
-        # a filter predicate runs on every row, so the duplicate check fires
-        grouped = grouped.where(F.coalesce(checks[0], F.lit(True)))
+        # a filter predicate runs on every row, so the checks fire
+        guard = None
+        for cond, message in checks:
+            guard = (F.when(cond, F.raise_error(message)) if guard is None
+                     else guard.when(cond, F.raise_error(message)))
+        grouped = grouped.where(guard.otherwise(F.lit(True)))
     return grouped.select(*out)
 
 
 def restore(cells: DataFrame, mode: str = "strict", bad_text: str = "null"
             ) -> tuple[DataFrame, str | None]:
-    """Combined cells (metadata + data) -> (typed table, table name)."""
-    schema, name = schema_name(cells)
+    """Combined cells (metadata + data) -> (typed table, table name).
+
+    A frame fresh from ``combined_cells`` carries the schema its metadata rows
+    were built from, so no job looks for them; any other frame (a transformed
+    one included, as the attribute does not survive a transformation) is
+    searched for its id-0 rows.
+    """
+    known = getattr(cells, _KNOWN_SCHEMA, None)
+    schema, name = known if known is not None else schema_name(cells)
     return plain_columns(cells, schema, mode, bad_text), name
 
 
@@ -283,8 +315,10 @@ def combined_cells(df: DataFrame, name: str, ids: str = "unique",
                    nested: str = "json", unique_keys: bool = True) -> DataFrame:
     """Metadata cells unioned with data cells (M6)."""
     meta = meta_cells(df.sparkSession, df.schema, name)
-    return meta.unionByName(melt_cells(df, ids, order_by, nested=nested,
-                                       unique_keys=unique_keys))
+    combined = meta.unionByName(melt_cells(df, ids, order_by, nested=nested,
+                                           unique_keys=unique_keys))
+    setattr(combined, _KNOWN_SCHEMA, (df.schema, name))
+    return combined
 
 
 def combined_export(df: DataFrame, name: str, ids: str = "unique",

@@ -272,3 +272,13 @@ def test_lineitem_round_trip_sf001(spark):
     back, _ = restore(combined_cells(li, "lineitem"))
     assert back.schema == li.schema
     assert same_rows(back, li)
+
+
+def test_known_schema_only_on_fresh_combined_frame(spark):
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    cells = combined_cells(orders, "orders")
+    assert getattr(cells, "_cellfold_known_schema")[1] == "orders"
+    changed = cells.where(~((F.col("id") == 0) & (F.col("num") == 6)))
+    assert getattr(changed, "_cellfold_known_schema", None) is None
+    table, _ = restore(changed)
+    assert table.columns == orders.columns[:5]
