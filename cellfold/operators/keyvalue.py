@@ -317,7 +317,10 @@ def combined_cells(df: DataFrame, name: str, ids: str = "unique",
     meta = meta_cells(df.sparkSession, df.schema, name)
     combined = meta.unionByName(melt_cells(df, ids, order_by, nested=nested,
                                            unique_keys=unique_keys))
-    setattr(combined, _KNOWN_SCHEMA, (df.schema, name))
+    try:
+        setattr(combined, _KNOWN_SCHEMA, (df.schema, name))
+    except (AttributeError, TypeError):  # a DataFrame class refusing attributes
+        pass
     return combined
 
 

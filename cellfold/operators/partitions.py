@@ -64,11 +64,17 @@ def spread_input(df: DataFrame, target: int | None = None) -> DataFrame:
     would then run on one core. When the input has fewer partitions than
     ``target`` (default: the default parallelism) it is round-robin
     repartitioned, which cannot skew; input that is already split finely, as
-    any large table is, is returned as it is (no shuffle). Streaming frames are
-    returned unchanged.
+    any large table is, is returned as it is (no shuffle), and so is a plan
+    that already shuffles. Streaming frames are returned unchanged. Only the
+    scan's split count is read (planning, no job).
     """
     if df.isStreaming:
         return df
+    from cellfold.plans.inspect import exchanges
+    if exchanges(df) > 0:
+        # already shuffled: the partition count is the shuffle's (and adaptive
+        # execution's) business, and asking for it would run the shuffle
+        return df
     spark = df.sparkSession
     if target is None:
         try:

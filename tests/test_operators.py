@@ -237,3 +237,11 @@ def test_streaming_restart_is_exactly_once(spark, scratch):
     got = spark.read.parquet(out)
     assert got.count() == events.count() * len(events.columns)
     assert got.select("key").distinct().count() == got.count()
+
+
+def test_spread_leaves_shuffled_plans_alone(spark):
+    from cellfold.operators.partitions import spread_input
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    grouped = orders.groupBy("o_custkey").count()
+    assert spread_input(grouped) is grouped
+    assert exchanges(spread_input(orders)) == 1
