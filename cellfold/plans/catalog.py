@@ -23,11 +23,9 @@ from cellfold.operators.columns import (
 )
 from cellfold.operators.ids import with_row_ids
 from cellfold.operators.keyvalue import (
-    cells_to_key_value,
     combined_cells,
     combined_export,
     key_value_columns,
-    melt_cells,
     meta_columns,
     number_cells,
     plain_columns,

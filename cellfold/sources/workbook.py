@@ -33,7 +33,6 @@ RECORD_SCHEMA = "path string, sheet string, rec long, fields array<string>"
 _BATCH = 4096
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL_NS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
-_PKG_REL_NS = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 # Built-in number formats that show dates or times (ECMA-376).
 _DATE_FORMAT_IDS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 _TIME_FORMAT_IDS = {18, 19, 20, 21, 22, 45, 46, 47}

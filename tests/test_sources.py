@@ -1,6 +1,5 @@
 """Sources and sinks: CSV, zipped CSV, workbooks, option sets, save modes."""
 
-import io
 import os
 import zipfile
 
