@@ -133,16 +133,21 @@ def ship_package(spark: SparkSession) -> None:
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    import io
     import zipfile
     package_dir = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="cellfold-pkg-")
-    archive = os.path.join(out_dir, "cellfold.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
         for base, _, files in os.walk(package_dir):
             for name in files:
                 if name.endswith(".py"):
                     full = os.path.join(base, name)
-                    rel = os.path.relpath(full, os.path.dirname(package_dir))
-                    zf.write(full, rel)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(package_dir)))
+    # the archive goes to the shared scratch folder, not a machine-local one
+    from cellfold.sources.files import open_output
+    archive = scratch_path(spark, "package") + "/cellfold.zip"
+    sink = open_output(archive)
+    sink.write(buf.getvalue())
+    sink.close()
     sc.addPyFile(archive)
     _SHIPPED.add(app)
