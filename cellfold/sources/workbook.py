@@ -142,7 +142,8 @@ class _Book:
 
 
 def _date_text(serial: float, date_fmt_has_time: bool) -> str:
-    moment = _EPOCH + timedelta(days=serial)
+    # serials are float days: round to the microsecond so 12:00 never reads 11:59:59.999999
+    moment = _EPOCH + timedelta(microseconds=round(serial * 86_400_000_000))
     if moment.hour == moment.minute == moment.second == moment.microsecond == 0 \
             and not date_fmt_has_time:
         return moment.strftime("%Y-%m-%d")

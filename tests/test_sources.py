@@ -219,3 +219,17 @@ def test_load_job_releases_its_stages(spark, scratch):
     assert set(staged_paths()) == before
     back, _ = restore_table(spark, target)
     assert same_rows(back, orders)
+
+
+def test_workbook_round_trip_types_and_hostile_text(spark, scratch):
+    from datetime import date, datetime
+    rows = [(1, 2.5, True, date(2024, 2, 29), datetime(2024, 1, 2, 3, 4, 5), "a<b>&\"c'"),
+            (2, -1e-3, False, date(1999, 12, 31), datetime(1970, 1, 1, 0, 0, 0), "tab\tnl\nx"),
+            (3, None, None, None, None, "ctl\x01\x1fz"),
+            (4, 1e15, True, date(2000, 1, 1), datetime(2038, 1, 19, 3, 14, 7), None)]
+    schema = "i int, d double, b boolean, day date, at timestamp_ntz, s string"
+    df = spark.createDataFrame(rows, schema)
+    path = scratch("xlsx-types")
+    write_workbooks(df.repartition(2), path, {"header": "true"})
+    back = read_workbooks(spark, path, {"header": "true"}, schema=schema)
+    assert same_rows(back, df)
