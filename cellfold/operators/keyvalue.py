@@ -102,14 +102,17 @@ def melt_cells(df: DataFrame, ids: str = "unique",
         source = spread_input(source)
     framed, ident, _ = _ids(source, ids, order_by, id_col, unique_keys)
     types = {f.name: f.dataType for f in df.schema.fields}
-    cells = []
+    pairs = []
     for c in wanted:
         check_supported(c, types[c])
-        cells.append(F.struct(
-            F.lit(positions[c]).cast("long").alias("num"),
-            to_text(qcol(c), types[c], nested).alias("val"),
-        ))
-    return framed.select(ident.alias("id"), F.inline(F.array(*cells)))
+        pairs += [F.lit(positions[c]).cast("long"), to_text(qcol(c), types[c], nested)]
+    if not pairs:
+        return framed.select(ident.alias("id"), F.lit(None).cast("long").alias("num"),
+                             F.lit(None).cast("string").alias("val")).where(F.lit(False))
+    # ``stack`` emits the (num, val) pairs of a row straight from the generator,
+    # without building an array of structs per row first
+    cells = F.stack(F.lit(len(wanted)), *pairs).alias("num", "val")
+    return framed.select(ident.alias("id"), cells)
 
 
 def cells_to_key_value(cells: DataFrame) -> DataFrame:
