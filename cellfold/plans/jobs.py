@@ -2,9 +2,9 @@
 from them (T7).
 
 Layout written by ``load_key_value``: ``<target>/meta`` (n+1 rows, one file)
-and ``<target>/data`` (rows x columns cells), both ``(key, val)``. The
-interchange format is CSV with an option set under which every text survives
-(``KEY_VALUE_CSV``), or parquet.
+and ``<target>/data`` (rows x columns cells). The interchange format is CSV
+or zipped CSV of ``(key, val)`` with an option set under which every text
+survives (``KEY_VALUE_CSV``), or parquet of typed ``(id, num, val)``.
 """
 
 from __future__ import annotations
@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from cellfold.operators.columns import clear_columns, id_num_columns
 from cellfold.operators.keyvalue import (
-    key_value_columns,
-    meta_columns,
+    cells_to_key_value,
+    melt_cells,
+    meta_cells,
     plain_columns,
+    restore,
     restore_key_value,
     schema_name,
 )
@@ -53,24 +55,38 @@ def read_source(spark: SparkSession, path: str, fmt: str = "csv",
     raise ValueError(f"fmt must be one of {SOURCE_FORMATS}")
 
 
+def _as_key_value(frame: DataFrame) -> DataFrame:
+    return cells_to_key_value(frame) if "id" in frame.columns else frame
+
+
+def _as_cells(frame: DataFrame) -> DataFrame:
+    return frame if "id" in frame.columns else id_num_columns(frame)
+
+
 def write_key_value(kv: DataFrame, path: str, fmt: str = "csv",
                     options: Mapping[str, object] | None = None, mode: str | None = "overwrite",
                     n_files: int | None = None, coalesce: bool = False,
                     max_records_per_file: int | None = None) -> None:
-    """Write a ``(key, val)`` table as CSV (safe option set), parquet or zip."""
+    """Write key-value cells as CSV (safe option set), zip or parquet.
+
+    Takes ``(key, val)`` or ``(id, num, val)``. CSV and zip hold the text form
+    ``(key, val)``; parquet holds typed ``(id long, num long, val string)``:
+    no key text to build or parse, smaller files, and min/max statistics on
+    ``id`` that let the metadata filter ``id = 0`` skip row groups.
+    """
+    frame = _as_cells(kv) if fmt == "parquet" else _as_key_value(kv)
+    if n_files:
+        frame = frame.coalesce(n_files) if coalesce else frame.repartition(n_files)
     if fmt == "csv":
-        write_csv(kv, path, overlay(KEY_VALUE_CSV, options), mode, n_files, coalesce,
-                  max_records_per_file)
+        write_csv(frame, path, overlay(KEY_VALUE_CSV, options), mode,
+                  max_records_per_file=max_records_per_file)
     elif fmt == "parquet":
-        writer = (kv.coalesce(n_files) if coalesce and n_files else
-                  kv.repartition(n_files) if n_files else kv).write.mode(parse_save_mode(mode))
+        writer = frame.write.mode(parse_save_mode(mode)).options(**overlay(options))
         if max_records_per_file:
             writer = writer.option("maxRecordsPerFile", max_records_per_file)
         writer.parquet(path)
     elif fmt == "zip":
         from cellfold.sinks.zipped import write_zipped_csv
-        frame = (kv.coalesce(n_files) if coalesce and n_files else
-                 kv.repartition(n_files) if n_files else kv)
         write_zipped_csv(frame, path, overlay(KEY_VALUE_CSV, options), mode=mode)
     else:
         raise ValueError(f"fmt must be one of {KV_FORMATS}")
@@ -78,13 +94,13 @@ def write_key_value(kv: DataFrame, path: str, fmt: str = "csv",
 
 def read_key_value(spark: SparkSession, paths: str | Sequence[str], fmt: str = "csv",
                    options: Mapping[str, object] | None = None) -> DataFrame:
-    """Read ``(key, val)`` files written by ``write_key_value``."""
+    """Read key-value files written by ``write_key_value`` as ``(key, val)``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "csv":
         return (spark.read.schema(KV_SCHEMA)
                 .options(**overlay(KEY_VALUE_CSV_READ, options)).csv(paths))
     if fmt == "parquet":
-        return spark.read.parquet(*paths)
+        return _as_key_value(spark.read.parquet(*paths))
     if fmt == "zip":
         from cellfold.sources.zipped import read_zipped_csv
         opts = overlay(KEY_VALUE_CSV, {"comment": "", "mode": "FAILFAST"}, options)
@@ -92,6 +108,15 @@ def read_key_value(spark: SparkSession, paths: str | Sequence[str], fmt: str = "
     raise ValueError(f"fmt must be one of {KV_FORMATS}")
 
 
+def read_cells(spark: SparkSession, paths: str | Sequence[str], fmt: str = "csv",
+               options: Mapping[str, object] | None = None) -> DataFrame:
+    """Read key-value files as ``(id, num, val)`` cells (parquet: as stored)."""
+    if fmt == "parquet":
+        paths = [paths] if isinstance(paths, str) else list(paths)
+        return _as_cells(spark.read.parquet(*paths))
+    return id_num_columns(read_key_value(spark, paths, fmt, options))
+
+
 def load_key_value(spark: SparkSession, source: str | DataFrame, target: str,
                    name: str | None = None, fmt: str = "csv",
                    read_options: Mapping[str, object] | None = None,
@@ -115,8 +140,8 @@ def load_key_value(spark: SparkSession, source: str | DataFrame, target: str,
     if name is None:
         name = source.rstrip("/").rsplit("/", 1)[-1] if isinstance(source, str) else "table"
     df = repartition_input(df, n_partitions)
-    meta = meta_columns(df, name)
-    data = key_value_columns(df, ids=ids, order_by=order_by)
+    meta = meta_cells(spark, df.schema, name)
+    data = melt_cells(df, ids=ids, order_by=order_by)
     if clear_quotes:
         meta = clear_columns(meta, _QUOTE_RUN, _QUOTE_REPLACEMENT)
         data = clear_columns(data, _QUOTE_RUN, _QUOTE_REPLACEMENT)
@@ -140,15 +165,16 @@ def restore_table(spark: SparkSession, source: str | Sequence[str], kv_format: s
     combined key-value table; its metadata rows are found by the key prefix
     ``0,``, a filter that reaches the scan (parquet skips row groups by it).
     """
-    if isinstance(source, str) and not source.endswith((".zip", ".csv")):
+    if isinstance(source, str) and not source.endswith((".zip", ".csv", ".parquet")):
         root = source.rstrip("/")
-        meta = id_num_columns(read_key_value(spark, f"{root}/meta", kv_format, options))
-        schema, name = schema_name(meta)
-        data = id_num_columns(read_key_value(spark, f"{root}/data", kv_format, options))
+        schema, name = schema_name(read_cells(spark, f"{root}/meta", kv_format, options))
+        data = read_cells(spark, f"{root}/data", kv_format, options)
         return plain_columns(data, schema, mode, bad_text), name
     paths = [source] if isinstance(source, str) else list(source)
-    kv = read_key_value(spark, paths, kv_format, options)
-    return restore_key_value(kv, mode, bad_text)
+    if kv_format == "parquet":
+        # typed ids: the id-0 filter reaches the parquet scan
+        return restore(read_cells(spark, paths, kv_format, options), mode, bad_text)
+    return restore_key_value(read_key_value(spark, paths, kv_format, options), mode, bad_text)
 
 
 def key_value_cells(kv: DataFrame) -> DataFrame:
