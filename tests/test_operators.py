@@ -245,3 +245,11 @@ def test_spread_leaves_shuffled_plans_alone(spark):
     grouped = orders.groupBy("o_custkey").count()
     assert spread_input(grouped) is grouped
     assert exchanges(spread_input(orders)) == 1
+
+
+def test_fixed_width_table_restores_by_hash_aggregate(spark):
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    table, _ = restore(combined_cells(labels, "labels"))
+    text = plan_text(table)
+    assert "HashAggregate" in text and "SortAggregate" not in text
+    assert table.exceptAll(labels).count() == 0 and labels.exceptAll(table).count() == 0
