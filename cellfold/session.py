@@ -80,21 +80,37 @@ def staged_paths() -> list[str]:
 def release_scratch(paths: list[str] | None = None) -> int:
     """Delete materialised stages (default: all of this process); returns how
     many were removed. Call it once the jobs reading them have finished."""
-    from cellfold.sources.files import filesystem
     chosen = list(_STAGED) if paths is None else list(paths)
     removed = 0
     for path in chosen:
-        try:
-            f, p = filesystem(path)
-            f.delete_dir(p)
+        if _delete_tree(path):
             removed += 1
-        except (OSError, ValueError):
-            pass
         if path in _STAGED:
             _STAGED.remove(path)
     return removed
 
 
+def _delete_tree(path: str) -> bool:
+    """Delete a folder through Spark's Hadoop file system (any store Spark
+    writes to), else through pyarrow."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        try:
+            jvm = spark.sparkContext._jvm
+            hpath = jvm.org.apache.hadoop.fs.Path(path)
+            fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            return bool(fs.delete(hpath, True))
+        except Exception:
+            pass
+    from cellfold.sources.files import filesystem
+    try:
+        f, p = filesystem(path)
+        f.delete_dir(p)
+        return True
+    except (OSError, ValueError):
+        return False
+
+
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
                   app: str = "cellfold") -> SparkSession:
     """A local session for tests and benches (UI off, UTC, AQE on)."""

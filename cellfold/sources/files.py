@@ -6,12 +6,17 @@ from __future__ import annotations
 from urllib.parse import urlparse
 
 
+# Hadoop scheme names and the pyarrow file system that serves them
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs", "abfss": "abfs"}
+
+
 def _normalise(uri: str) -> str:
     if uri.startswith("file:") and not uri.startswith("file://"):
         return "file://" + uri[len("file:"):]
     if "://" not in uri:
         return "file://" + uri
-    return uri
+    head, rest = uri.split("://", 1)
+    return f"{_SCHEMES.get(head.lower(), head)}://{rest}"
 
 
 def filesystem(uri: str):
