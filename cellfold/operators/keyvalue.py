@@ -27,6 +27,7 @@ from cellfold.operators.partitions import spread_input
 _ID = "__cellfold_id"
 _KNOWN_SCHEMA = "_cellfold_known_schema"
 RESTORE_MODES = ("strict", "lenient", "map")
+RESTORE_PLANS = ("auto", "single", "split")
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 BAD_TEXT = ("null", "raise")
 
@@ -204,14 +205,51 @@ def schema_frame(cells: DataFrame) -> DataFrame:
     ).where(F.col("name").isNotNull())
 
 
+def _hash_aggregatable(dt: T.DataType) -> bool:
+    """Types whose typed aggregation buffer is fixed-width (hash aggregation)."""
+    if isinstance(dt, T.DecimalType):
+        return dt.precision <= 18
+    return isinstance(dt, _FIXED_WIDTH)
+
+
+def _cheap_to_rescan(cells: DataFrame) -> bool:
+    """True when reading the cells twice costs little: they come straight from
+    a columnar scan, not from text parsing, Python tasks or an in-plan melt
+    (which a second read would run again)."""
+    from cellfold.plans.inspect import plan_text
+    text = plan_text(cells)
+    return not any(s in text for s in ("Scan csv", "Scan json", "Scan text", "MapInPandas",
+                                       "PythonMapInArrow", "BatchEvalPython", "ArrowEvalPython",
+                                       "Generate"))
+
+
+def _aggregate(data: DataFrame, cols: list[tuple[int, T.StructField]], mode: str,
+               bad_text: str, early: dict[int, bool]) -> DataFrame:
+    """Per id: ``v<k>`` (text, or typed for early-parsed columns), ``n<k>``
+    (cell count, strict) and ``b<k>`` (unparsable cells, early + raise)."""
+    aggs = []
+    for k, f in cols:
+        text = F.when(F.col("num") == k, F.col("val"))
+        if early[k]:
+            parsed = from_text(text, f.dataType)
+            aggs.append(F.max(parsed).alias(f"v{k}"))
+            if bad_text == "raise":
+                aggs.append(F.count_if(text.isNotNull() & parsed.isNull()).alias(f"b{k}"))
+        else:
+            aggs.append(F.max(text).alias(f"v{k}"))
+        if mode == "strict":
+            aggs.append(F.count_if(F.col("num") == k).alias(f"n{k}"))
+    return data.groupBy("id").agg(*aggs)
+
+
 def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
-                  bad_text: str = "null") -> DataFrame:
+                  bad_text: str = "null", plan: str = "auto") -> DataFrame:
     """Restore the typed table from ``(id, num, val)`` cells (T5).
 
     One row per data id (> 0) with exactly ``schema``: names, types,
-    nullability and metadata. Row order is not promised. All modes are one
-    shuffle by ``id`` after a partial aggregation that folds the cells of a row
-    lying together, and none depends on the order of cells.
+    nullability and metadata. Row order is not promised. No mode depends on
+    the order of cells; each shuffles by ``id`` after a partial aggregation
+    that folds the cells of a row lying together.
 
     ``strict`` (default) keeps per column the cell text and the number of cells
     seen: a duplicate cell fails the job, a missing one gives null. Its buffer
@@ -225,42 +263,57 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
     wide tables; a duplicate fails with ``DUPLICATED_MAP_KEY``).
     ``bad_text="raise"`` fails on a non-null cell that does not parse as its
     type; by default such a cell becomes null (count them with the audit).
+
+    ``plan``: ``single`` aggregates all columns at once (a sort-based
+    aggregation as soon as one column is text). ``split`` aggregates the
+    fixed-width columns by a code-generated hash aggregation and the others
+    by a sort-based one, then full-outer joins the two by ``id``; both sides
+    come hash-partitioned by ``id``, so the join adds no shuffle, but the cells
+    are read twice. ``auto`` splits when most columns are fixed-width and the
+    cells come straight from a columnar scan (about twice as fast there; with
+    CSV parsing, Python tasks or an in-plan melt the second read eats the gain).
     """
     if mode not in RESTORE_MODES:
         raise ValueError(f"mode must be one of {RESTORE_MODES}")
     if bad_text not in BAD_TEXT:
         raise ValueError(f"bad_text must be one of {BAD_TEXT}")
+    if plan not in RESTORE_PLANS:
+        raise ValueError(f"plan must be one of {RESTORE_PLANS}")
     data = cells.where(F.col("id") > 0)
     fields = list(schema.fields)
     nums = range(1, len(fields) + 1)
+    numbered = list(zip(nums, fields))
     checks: list[tuple[Column, Column]] = []  # (condition, message) failing a row
-    early = {k: mode != "map" and isinstance(f.dataType, _FIXED_WIDTH)
-             for k, f in zip(nums, fields)}
+    early = {k: mode != "map" and isinstance(f.dataType, _FIXED_WIDTH) for k, f in numbered}
     if mode == "map":
         grouped = data.groupBy("id").agg(
             F.map_from_entries(F.collect_list(F.struct("num", "val"))).alias("m"))
         texts = [F.try_element_at(F.col("m"), F.lit(k).cast("long")) for k in nums]
     else:
-        aggs = []
-        for k, f in zip(nums, fields):
-            text = F.when(F.col("num") == k, F.col("val"))
-            if early[k]:
-                # fixed-width types are parsed per cell and kept typed: smaller
-                # buffers, less to shuffle, no parse after the aggregation
-                parsed = from_text(text, f.dataType)
-                aggs.append(F.max(parsed).alias(f"v{k}"))
-                if bad_text == "raise":
-                    aggs.append(F.count_if(text.isNotNull() & parsed.isNull()).alias(f"b{k}"))
-                    checks.append((F.col(f"b{k}") > 0, F.concat(
+        hashed = [(k, f) for k, f in numbered if _hash_aggregatable(f.dataType)]
+        others = [(k, f) for k, f in numbered if not _hash_aggregatable(f.dataType)]
+        split = bool(hashed) and bool(others) and (
+            plan == "split" or (plan == "auto" and len(hashed) * 2 >= len(numbered)
+                                and _cheap_to_rescan(cells)))
+        if split:
+            side_a = _aggregate(data.where(F.col("num").isin([k for k, _ in hashed])),
+                                hashed, mode, bad_text, early)
+            side_b = _aggregate(data.where(F.col("num").isin([k for k, _ in others])),
+                                others, mode, bad_text, early)
+            grouped = side_a.join(side_b, "id", "full_outer")
+            if mode == "strict":
+                # a row missing from one side has no counts there: none seen
+                grouped = grouped.fillna(0, subset=[f"n{k}" for k in nums])
+        else:
+            grouped = _aggregate(data, numbered, mode, bad_text, early)
+        texts = [F.col(f"v{k}") for k in nums]
+        if bad_text == "raise":
+            for k, f in numbered:
+                if early[k]:
+                    checks.append((F.coalesce(F.col(f"b{k}"), F.lit(0)) > 0, F.concat(
                         F.lit(f"cell of {f.name} does not parse as "
                               f"{f.dataType.simpleString()} in row "),
                         F.col("id").cast("string"))))
-            else:
-                aggs.append(F.max(text).alias(f"v{k}"))
-        if mode == "strict":
-            aggs += [F.count_if(F.col("num") == k).alias(f"n{k}") for k in nums]
-        grouped = data.groupBy("id").agg(*aggs)
-        texts = [F.col(f"v{k}") for k in nums]
         if mode == "strict" and fields:
             checks.insert(0, (reduce(or_, [F.col(f"n{k}") > 1 for k in nums]), F.concat(
                 F.lit("duplicate cell in row "), F.col("id").cast("string"))))

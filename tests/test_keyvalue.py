@@ -71,14 +71,17 @@ def round_trip(df, name="t", **kw):
     return back, got_name
 
 
-@pytest.mark.parametrize("mode", ["strict", "lenient", "map"])
-def test_round_trip_every_type(typed, mode):
-    meta = meta_columns(typed, "t")
-    kv = key_value_columns(typed)
-    back, name = restore_key_value(meta.unionByName(kv), mode=mode)
-    assert name == "t"
+@pytest.mark.parametrize("mode,plan", [("strict", "single"), ("strict", "split"),
+                                       ("lenient", "single"), ("lenient", "split"),
+                                       ("map", "auto")])
+def test_round_trip_every_type(typed, mode, plan):
+    cells = combined_cells(typed, "t")
+    back = plain_columns(cells, typed.schema, mode=mode, plan=plan)
     assert back.schema == typed.schema
     assert same_rows(back, typed)
+    meta = meta_columns(typed, "t")
+    back2, name = restore_key_value(meta.unionByName(key_value_columns(typed)), mode=mode)
+    assert name == "t" and same_rows(back2, typed)
 
 
 @pytest.mark.parametrize("ids", ["unique", "partition"])
@@ -206,6 +209,21 @@ def test_strict_restore_rejects_duplicate_cells(spark):
     assert lenient == [Row(p="b", q="x")]
 
 
+def test_split_plan_checks_duplicates_missing_and_bad_text(spark):
+    kv = spark.createDataFrame(
+        [("1,1", "7"), ("1,2", "a"), ("2,2", "b"), ("3,1", "9"), ("3,1", "9")],
+        "key string, val string")
+    schema = T.StructType([T.StructField("n", T.IntegerType()),
+                           T.StructField("s", T.StringType())])
+    ok = plain_columns(id_num_columns(kv).where("id < 3"), schema, plan="split").collect()
+    assert sorted(ok, key=str) == sorted([Row(n=7, s="a"), Row(n=None, s="b")], key=str)
+    with pytest.raises(Exception, match="duplicate cell in row 3"):
+        plain_columns(id_num_columns(kv), schema, plan="split").collect()
+    bad = spark.createDataFrame([("1,1", "x"), ("1,2", "a")], "key string, val string")
+    with pytest.raises(Exception, match="does not parse as int"):
+        plain_columns(id_num_columns(bad), schema, plan="split", bad_text="raise").collect()
+
+
 def test_missing_cell_gives_null_and_bad_text_policy(spark):
     kv = spark.createDataFrame([("1,1", "7"), ("2,1", "x"), ("2,2", "y"), ("3,2", "z")],
                                "key string, val string")

@@ -24,7 +24,13 @@ from cellfold import (
     with_row_ids,
 )
 from cellfold.operators.audit import audit_round_trip, describe_table, random_table
-from cellfold.operators.keyvalue import combined_cells, melt_cells, meta_cells, restore
+from cellfold.operators.keyvalue import (
+    combined_cells,
+    melt_cells,
+    meta_cells,
+    plain_columns,
+    restore,
+)
 from cellfold.plans.inspect import exchanges, has_python_or_rdd_scan, plan_text
 from cellfold.streaming import stream_key_value
 from conftest import SF_SMALL
@@ -198,9 +204,15 @@ def test_restore_has_one_exchange(spark):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     cells = meta_cells(spark, orders.schema, "orders").unionByName(
         melt_cells(orders, spread=False))
-    table, _ = restore(cells)
-    assert exchanges(table) == 1  # the shuffle by id; nothing else
-    assert "Window" not in plan_text(table)
+    schema = orders.schema
+    single = plain_columns(cells, schema, plan="single")
+    assert exchanges(single) == 1  # the shuffle by id; nothing else
+    assert "Window" not in plan_text(single)
+    # split: one shuffle by id per side, none for the join of the two
+    split = plain_columns(cells, schema, plan="split")
+    text = plan_text(split)
+    assert exchanges(split) == 2 and "HashAggregate" in text and "SortMergeJoin" in text
+    assert exchanges(restore(cells)[0]) == 1  # auto: an in-plan melt is not re-read
 
 
 def test_ordered_ids_use_no_global_window(spark):
