@@ -43,4 +43,22 @@ from cellfold.operators.partitions import (
     partitions_length,
 )
 
+from cellfold.operators.audit import audit_round_trip, describe_table, random_table
+from cellfold.operators.partitions import spread_input
+from cellfold.plans.jobs import (
+    load_key_value,
+    read_cells,
+    read_key_value,
+    restore_table,
+    write_key_value,
+)
+from cellfold.session import release_scratch
+from cellfold.sinks.csv import write_csv
+from cellfold.sinks.workbook import write_workbooks
+from cellfold.sinks.zipped import write_zipped_csv
+from cellfold.sources.csv import read_csv
+from cellfold.sources.workbook import read_workbooks
+from cellfold.sources.zipped import read_zipped_csv
+from cellfold.streaming.melt import start_key_value_stream, stream_key_value
+
 __version__ = "0.1.0"
