@@ -30,8 +30,6 @@ from cellfold.sources.csv import read_csv, repartition_input
 from cellfold.sources.options import KEY_VALUE_CSV, KEY_VALUE_CSV_READ, overlay, parse_save_mode
 
 SOURCE_FORMATS = ("csv", "excel", "zip", "parquet")
-# The older package names of the CSV and workbook formats.
-_FORMAT_ALIASES = {"com.databricks.spark.csv": "csv", "com.crealytics.spark.excel": "excel"}
 KV_FORMATS = ("csv", "parquet", "zip")
 KV_SCHEMA = "key string, val string"
 # a double quote run becomes one apostrophe when quote clearing is asked for
@@ -41,7 +39,6 @@ _QUOTE_RUN, _QUOTE_REPLACEMENT = '"+', "'"
 def read_source(spark: SparkSession, path: str, fmt: str = "csv",
                 options: Mapping[str, object] | None = None, schema=None) -> DataFrame:
     """Read the job's input in one of ``SOURCE_FORMATS``."""
-    fmt = _FORMAT_ALIASES.get(fmt, fmt)
     if fmt == "csv":
         return read_csv(spark, path, options, schema)
     if fmt == "zip":
