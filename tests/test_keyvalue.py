@@ -300,3 +300,19 @@ def test_known_schema_only_on_fresh_combined_frame(spark):
     assert getattr(changed, "_cellfold_known_schema", None) is None
     table, _ = restore(changed)
     assert table.columns == orders.columns[:5]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_round_trip_with_and_without_ansi(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        schema = T.StructType([T.StructField(f"c{i}", t, False) for i, t in enumerate([
+            T.ByteType(), T.ShortType(), T.FloatType(), T.DecimalType(38, 18), T.BinaryType(),
+            T.DateType(), T.TimestampNTZType()])])
+        df = spark.createDataFrame([(1, 2, 1.5, Decimal("1.5"), b"x", date(2020, 1, 1),
+                                     datetime(2020, 1, 1, 1, 1, 1))], schema)
+        back, _ = restore(combined_cells(df, "t"))
+        assert back.schema == df.schema and back.collect() == df.collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
