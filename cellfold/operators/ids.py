@@ -57,7 +57,10 @@ def with_row_ids(df: DataFrame, strategy: str = "unique", id_col: str = "id",
                  seed: int = 17) -> DataFrame:
     """``df`` with a leading non-null long ``id_col`` (>= 1) by ``strategy``.
 
-    For ``ordered``: ``order_by`` names the sort keys. With
+    For ``ordered``: ``order_by`` names the sort keys; ``n_partitions`` fixes
+    the number of range partitions, else adaptive execution sizes them from
+    ``spark.sql.shuffle.partitions`` (or its initial partition number) down to
+    the advisory partition size. With
     ``unique_keys=False`` the remaining orderable columns and then a seeded
     salt break ties, so rows that are equal in every column are spread over
     range partitions (a hot key cannot fill one task) and the result is still
@@ -86,7 +89,6 @@ def with_row_ids(df: DataFrame, strategy: str = "unique", id_col: str = "id",
     if not order_by:
         raise ValueError("ids='ordered' needs order_by")
     spark = df.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _key_columns(order_by)
     source = df
     if not unique_keys:
@@ -95,7 +97,10 @@ def with_row_ids(df: DataFrame, strategy: str = "unique", id_col: str = "id",
                  if f.name not in named and _orderable(f.dataType)]
         source = df.select(*cols, F.rand(seed).alias(_SALT))
         keys.append(F.col(_SALT))
-    ranged = source.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # without an explicit count, adaptive execution sizes the range partitions
+    # (merging neighbours keeps them contiguous, so offsets stay in key order)
+    ranged = (source.repartitionByRange(n_partitions, *keys) if n_partitions
+              else source.repartitionByRange(*keys)).sortWithinPartitions(*keys)
     staged = materialize(ranged.select(
         *cols,
         F.spark_partition_id().alias(_P),
