@@ -233,3 +233,17 @@ def test_workbook_round_trip_types_and_hostile_text(spark, scratch):
     write_workbooks(df.repartition(2), path, {"header": "true"})
     back = read_workbooks(spark, path, {"header": "true"}, schema=schema)
     assert same_rows(back, df)
+
+
+def test_zip_reader_spreads_entries_and_prunes_contents(spark, scratch):
+    from cellfold.plans.inspect import plan_text
+    region = spark.read.parquet(f"{SF_SMALL}/region.parquet")
+    path = scratch("zip-plan")
+    write_zipped_csv(region.repartition(2), path)
+    df = read_zipped_csv(spark, path, schema="k int, n string")
+    text = plan_text(df)
+    head = text.split("\n\n\n", 1)[0]
+    # listing -> exchange (entries over tasks) -> reading
+    assert head.count("MapInPandas") == 2 and "Exchange" in head
+    assert "ReadSchema: struct<path:string>" in text  # contents are not loaded
+    assert df.count() == 5
