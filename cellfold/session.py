@@ -1,15 +1,15 @@
-"""Session helpers: the shared scratch folder and materialisation.
+"""Session helpers: the shared scratch folder and stages written to it.
 
-Materialised frames go to the folder the cluster names in
-``spark.checkpoint.dir`` (a shared file system on a real cluster), never to a
-machine-local temporary folder. Library code only *reads* that setting;
-``ensure_checkpoint_dir`` sets one where it is unset, for tests and benches.
+Intermediate tables go to the folder the cluster names in
+``spark.checkpoint.dir`` (a shared file system on a real cluster). Where that
+is unset they go below ``spark.sql.warehouse.dir``, which is always set and is
+shared on a cluster as well. Nothing is written to a machine-local temporary
+folder, and no setting is changed.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,98 +17,59 @@ from pyspark.sql import DataFrame, SparkSession
 _SCRATCH_SUBDIR = "cellfold-scratch"
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The checkpoint folder of the session, or None when unset."""
-    found = None
-    try:
-        found = spark.sparkContext.getCheckpointDir()
-    except Exception:  # Spark Connect has no SparkContext
-        found = None
-    if not found:
-        found = spark.conf.get("spark.checkpoint.dir", None)
-    return found or None
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, setting a fresh local one only if unset.
-
-    Meant for tests, benches and the local smoke entry; a cluster names its
-    own shared folder in ``spark.checkpoint.dir``.
-    """
-    found = checkpoint_dir(spark)
-    if found:
-        return found
-    local = tempfile.mkdtemp(prefix="cellfold-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return checkpoint_dir(spark) or local
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder for intermediate data (see the module docstring)."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    return (found or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh, unused path below the shared scratch folder."""
-    root = checkpoint_dir(spark)
-    if not root:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set: materialised stages need a shared "
-            "folder visible to every executor"
-        )
-    return f"{root.rstrip('/')}/{_SCRATCH_SUBDIR}/{tag}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/{_SCRATCH_SUBDIR}/{tag}-{uuid.uuid4().hex}"
 
 
-_STAGED: list[str] = []
+def delete_tree(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through Spark's Hadoop file system, which serves every
+    store that Spark writes to. False when there was nothing to delete; a
+    failure is raised."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))
 
 
-def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
-    """Write ``df`` as parquet under the scratch folder and read it back.
+class Stages:
+    """Tables that one job writes to the shared folder and reads again.
 
-    Cuts lineage so that later jobs see exactly the rows and derived columns of
-    this one execution (task retries rewrite whole files through the commit
-    protocol, so the result survives lost executors). The path is remembered
-    until ``release_scratch`` deletes it.
+    ``save`` cuts the lineage: later jobs see exactly the rows of one
+    execution, and a lost executor costs only the tasks it ran, because the
+    files of committed tasks are on the shared store. The stages belong to this
+    object alone; ``release`` (or leaving the ``with`` block) deletes them,
+    also after a failure, and never touches those of other jobs.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, tag)
-    df.write.mode("errorifexists").parquet(path)
-    _STAGED.append(path)
-    return spark.read.parquet(path)
-
-
-def staged_paths() -> list[str]:
-    """Materialised stages not yet released, oldest first."""
-    return list(_STAGED)
 
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def save(self, df: DataFrame, tag: str = "stage") -> DataFrame:
+        path = scratch_path(self.spark, tag)
+        self.paths.append(path)
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> int:
+        """Delete this job's stages; returns how many were there."""
+        found = 0
+        while self.paths:
+            found += delete_tree(self.spark, self.paths.pop())
+        return found
 
-def release_scratch(paths: list[str] | None = None) -> int:
-    """Delete materialised stages (default: all of this process); returns how
-    many were removed. Call it once the jobs reading them have finished."""
-    chosen = list(_STAGED) if paths is None else list(paths)
-    removed = 0
-    for path in chosen:
-        if _delete_tree(path):
-            removed += 1
-        if path in _STAGED:
-            _STAGED.remove(path)
-    return removed
+    def __enter__(self) -> "Stages":
+        return self
 
-
-def _delete_tree(path: str) -> bool:
-    """Delete a folder through Spark's Hadoop file system (any store Spark
-    writes to), else through pyarrow."""
-    spark = SparkSession.getActiveSession()
-    if spark is not None:
-        try:
-            jvm = spark.sparkContext._jvm
-            hpath = jvm.org.apache.hadoop.fs.Path(path)
-            fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-            return bool(fs.delete(hpath, True))
-        except Exception:
-            pass
-    from cellfold.sources.files import filesystem
-    try:
-        f, p = filesystem(path)
-        f.delete_dir(p)
-        return True
-    except (OSError, ValueError):
-        return False
+    def __exit__(self, *exc) -> None:
+        self.release()
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
@@ -126,10 +87,37 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
+_STAGED: list[str] = []
+
+
+def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
+    """``Stages.save`` with the stage remembered for ``release_scratch``."""
+    stages = Stages(df.sparkSession)
+    out = stages.save(df, tag)
+    _STAGED.extend(stages.paths)
+    return out
+
+
+def staged_paths() -> list[str]:
+    """Materialised stages not yet released, oldest first."""
+    return list(_STAGED)
+
+
+def release_scratch(paths: list[str] | None = None) -> int:
+    """Delete materialised stages (default: all of this process); returns how
+    many were removed."""
+    spark = SparkSession.getActiveSession()
+    removed = 0
+    for path in list(_STAGED) if paths is None else list(paths):
+        removed += delete_tree(spark, path)
+        if path in _STAGED:
+            _STAGED.remove(path)
+    return removed
+
+
 _SHIPPED: set[str] = set()
 
 

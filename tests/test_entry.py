@@ -6,9 +6,11 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 40
+def test_every_query_of_the_catalog_has_an_oracle():
+    from cellfold.plans.catalog import ORACLE_SQL, QUERIES
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
+    assert len(QUERIES) >= 40
 
 
 def test_entry_runs_on_the_smoke_tables(spark):
