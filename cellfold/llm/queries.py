@@ -5,10 +5,10 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.llm import chat, licenses, secrets, syncmers
+from cellfold.llm import chat, decontamination, licenses, quality, secrets, syncmers
 from cellfold.llm.mixing import mix_sources
 from cellfold.llm.resharding import reshard
 from cellfold.llm.url_rules import judge_urls
@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def byte_size(text) -> F.Column:
+def byte_size(text) -> Column:
     return (F.octet_length(text_of(text)) + 8).cast("long")
 
 
@@ -59,6 +59,10 @@ def op4_syncmers(spark, d):
                       F.coalesce(syncmers.likeness(F.col("marks"), F.col("next_marks")), F.lit(0.0)).alias("near_next"))
 
 
+def op5_decontaminate(spark, d):
+    return decontamination.find_items(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op6_licenses(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     return licenses.find_licenses(docs).select("doc_id", "n_units", "license", "dice")
@@ -73,6 +77,17 @@ def op7_reshard(spark, d):
                          F.lit(None).cast("int").alias("grown_shard"), "moved")
 
 
+def held_out(ident: str) -> Column:
+    return F.coalesce(F.crc32(F.col(ident).cast("string")) % 3 == 1, F.lit(False))
+
+
+def op8_quality(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    forest = quality.train(docs, table(spark, d, "labels"), usable=~held_out("doc_id"))
+    return quality.score(docs, forest).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_chat(spark, d):
     rows = table(spark, d, "conversations").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"),
@@ -90,8 +105,8 @@ def op10_url_rules(spark, d):
     return judge_urls(table(spark, d, "pages").select("page_id", "url"), rules).drop("url")
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_secrets, op4_syncmers, op6_licenses, op7_reshard,
-                               op9_chat, op10_url_rules)}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_secrets, op4_syncmers, op5_decontaminate, op6_licenses, op7_reshard,
+                               op8_quality, op9_chat, op10_url_rules)}
 
 def _license_sql() -> str:
     grams = ", ".join(f"('{name}', '{g}')" for name, t in licenses.TEMPLATES.items() for g in licenses.bigrams_of(t))
