@@ -8,7 +8,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.llm import chat, decontamination, licenses, quality, secrets, syncmers
+from cellfold.llm import chat, decontamination, licenses, near_dups, quality, secrets, syncmers
 from cellfold.llm.mixing import mix_sources
 from cellfold.llm.resharding import reshard
 from cellfold.llm.url_rules import judge_urls
@@ -28,6 +28,11 @@ def byte_size(text) -> Column:
     return (F.octet_length(text_of(text)) + 8).cast("long")
 
 
+def op1_near_duplicates(spark, d):
+    found = near_dups.near_duplicates(table(spark, d, "documents"), Stages(spark))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
 def op2_mix_sources(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source", n_words(F.col("text")).alias("size"))
     return mix_sources(docs, Stages(spark), source=F.col("source"), size=F.col("size"), key=F.col("doc_id"))
@@ -105,7 +110,7 @@ def op10_url_rules(spark, d):
     return judge_urls(table(spark, d, "pages").select("page_id", "url"), rules).drop("url")
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_secrets, op4_syncmers, op5_decontaminate, op6_licenses, op7_reshard,
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_mix_sources, op3_secrets, op4_syncmers, op5_decontaminate, op6_licenses, op7_reshard,
                                op8_quality, op9_chat, op10_url_rules)}
 
 def _license_sql() -> str:
@@ -134,6 +139,23 @@ FROM documents d LEFT JOIN per USING (doc_id)
 
 
 ORACLE_SQL = {
+    "op1_near_duplicates": r"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+shingle AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM word WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM shingle a JOIN shingle b USING (s)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT u, v FROM shared JOIN size a ON a.doc_id = u JOIN size b ON b.doc_id = v
+  WHERE 100 * c >= 75 * (a.n + b.n - c)),
+reach AS (SELECT doc_id AS u, doc_id AS v FROM documents
+  UNION SELECT r.u, l.v FROM reach r JOIN link l ON r.v = l.u),
+low AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM low LEFT JOIN size USING (doc_id)
+""",
     "op6_licenses": _license_sql(),
     "op9_chat": r"""
 WITH turns AS (
