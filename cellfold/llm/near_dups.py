@@ -8,13 +8,14 @@ are linked when ``100 * intersection >= 75 * union``.
    odd sketch: ``BITS`` parity bits, each sample flips one. Documents of equal
    digest are one class from here on, so exact copies are never paired.
 2. Classes that share a band key are candidates. A bucket of up to ``SMALL``
-   classes gives its pairs at once. A larger one, such as a group of thousands
-   of near copies, is resolved in rounds: classes are paired with a leader
-   (later with about ``LEADERS``) of the bucket only. After every round links are
-   contracted to components; pairs inside a component need no test, and a
-   bucket is done when one component or one untested class is left. So every
-   pair of a bucket is tested or already connected, but a round emits a number
-   of pairs that is linear in the bucket sizes.
+   classes gives its pairs at once. In a larger one, such as a group of thousands
+   of near copies, every class is paired with one leader only, the class that
+   lies in most large buckets; links are contracted to components. Where a
+   bucket still holds several components, the classes outside its largest one
+   are held against all of the bucket in cells of about ``CELL`` by ``CELL``
+   classes: a cell counts all its intersections with one matrix product over
+   its full shingle sets and gives only the links that join components. So every
+   pair of a bucket is tested or already connected, and no list of pairs is made.
 3. Two odd sketches differ in at most two bits for every differing sample, so
    the population count of their XOR gives the similarity: with ``z`` bits it is
    estimated as ``1 + BITS / (4 * SAMPLES) * ln(1 - 2 z / BITS)``. Pairs whose
@@ -48,7 +49,8 @@ from cellfold.session import Stages
 WORDS, NEAR = 5, 75  # shingle length; percent of the union that the intersection must have
 ROWS, BANDS, BITS = 4, 32, 1024
 SAMPLES = ROWS * BANDS
-SMALL, LEADERS = 16, 16
+SMALL = 16
+CELL, CELL_SHINGLES, COLUMNS = 512, 200_000, 4096  # classes, shingles in a cell's side; columns of a product
 _RANDOM = np.random.Generator(np.random.PCG64(11))
 _A = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RANDOM.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
@@ -180,20 +182,106 @@ def _confirm_batches(batches):
         yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stages: Stages) -> DataFrame:
-    """The linked pairs among distinct candidate ``pairs`` (u, v)."""
+def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose odd sketches allow a link."""
     odd = classes.select("cls", "odd")
-    close = (pairs.join(odd.select(F.col("cls").alias("u"), F.col("odd").alias("ou")), "u")
-             .join(odd.select(F.col("cls").alias("v"), F.col("odd").alias("ov")), "v")
-             .filter(_differing(F.col("ou"), F.col("ov")) <= most_bits()).select("u", "v"))
-    close = stages.save(close, "near-candidates")
-    ids = close.select(F.col("u").alias("id")).union(close.select("v")).distinct()
-    texts = stages.save(docs.join(ids, "id", "left_semi"), "near-texts")
+    return (pairs.join(odd.select(F.col("cls").alias("u"), F.col("odd").alias("ou")), "u")
+            .join(odd.select(F.col("cls").alias("v"), F.col("odd").alias("ov")), "v")
+            .filter(_differing(F.col("ou"), F.col("ov")) <= most_bits()).select("u", "v"))
+
+
+def _confirmed(close: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs that are near on their full sets."""
     both = (close.join(texts.select(F.col("id").alias("v"), F.col("text").alias("tv")), "v")
             .join(texts.select(F.col("id").alias("u"), F.col("text").alias("tu")), "u"))
     return both.select("u", "v", "tu", "tv").mapInArrow(_confirm_batches, "u long, v long").distinct()
 
 
+def _set_batches(batches):
+    """(cls, text) in, (cls, shingles) out."""
+    for batch in batches:
+        ends, values = [np.zeros(1, np.int64)], [np.zeros(0, np.uint64)]
+        for _, raw, bounds in tokens.chunks(batch.column(1)):
+            text, value = shingle_sets(raw, bounds)
+            ends.append(ends[-1][-1] + np.searchsorted(text, np.arange(1, len(bounds))))
+            values.append(value)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)),
+                                         pa.array(np.concatenate(values).view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["cls", "shingles"])
+
+
+def joining_links(sets: list[np.ndarray], comp: list[int], outside: list[bool]) -> list[tuple[int, int]]:
+    """Links between an outside set and any other set of another component,
+    as few as connect what they connect (positions in ``sets``)."""
+    left = [i for i, x in enumerate(outside) if x]
+    right = [i for i, x in enumerate(outside) if not x]
+    size = np.array([len(s) for s in sets])
+    lines = np.concatenate([sets[i] for i in left + right])
+    owner = np.repeat(np.arange(len(sets)), size[left + right])
+    _, column = np.unique(lines, return_inverse=True)
+    in_left = np.zeros(column.max() + 1, dtype=bool)
+    in_right = in_left.copy()
+    in_left[column[owner < len(left)]] = True
+    in_right[column[owner >= len(left)]] = True
+    both = np.flatnonzero(in_left & in_right)  # shingles that can count
+    place = np.full(len(in_left), -1)
+    place[both] = np.arange(len(both))
+    at = place[column]
+    shared = np.zeros((len(left), len(right)), dtype=np.float32)
+    for low in range(0, len(both), COLUMNS):
+        here = (at >= low) & (at < low + COLUMNS)
+        dense = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        dense[owner[here], at[here] - low] = 1
+        shared += dense[:len(left)] @ dense[len(left):].T  # whole numbers below 2^24 are exact
+    union = size[left][:, None] + size[right][None, :] - shared
+    up = {c: c for c in comp}
+
+    def root(c):
+        while up[c] != c:
+            up[c] = up[up[c]]
+            c = up[c]
+        return c
+    out = []
+    for i, j in np.argwhere(100 * shared.astype(np.int64) >= NEAR * union.astype(np.int64)):
+        x, y = left[i], right[j]
+        a, b = root(comp[x]), root(comp[y])
+        if a != b:
+            up[a] = b
+            out.append((x, y))
+    return out
+
+
+def _link_cell(cell: pa.Table) -> pa.Table:
+    sets = [np.asarray(x.values) for x in cell.column("shingles")]
+    comp, cls = cell.column("comp").to_pylist(), cell.column("cls").to_pylist()
+    outside = cell.column("outside").to_pylist()
+    found = joining_links(sets, comp, outside) if any(outside) and not all(outside) else []
+    return pa.table({"u": pa.array([cls[x] for x, _ in found], pa.int64()),
+                     "v": pa.array([cls[y] for _, y in found], pa.int64())})
+
+
+def _cells(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, i, j, outside, cls, comp): the sides of every cell of the buckets
+    with several components."""
+    named = (large.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+             .select("key", "cls", "n", F.coalesce("label", "cls").alias("comp")))
+    parts = named.groupBy("key", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
+    cells = lambda m, s: F.ceil(F.greatest(m / CELL, s / CELL_SHINGLES)).cast("int")
+    opened = (parts.groupBy("key").agg(F.max(F.struct("m", "s", "comp")).alias("top"), F.sum("m").alias("m"),
+                                       F.sum("s").alias("s"), F.count("*").alias("parts")).filter("parts > 1")
+              .select("key", F.col("top.comp").alias("giant"), cells(F.col("m"), F.col("s")).alias("nj"),
+                      cells(F.col("m") - F.col("top.m"), F.col("s") - F.col("top.s")).alias("ni")))
+    rows = named.join(opened, "key")
+    places = lambda n: F.sequence(F.lit(0), n - 1)
+    inside = rows.select("key", F.explode(places(F.col("ni"))).alias("i"),
+                         F.pmod(F.xxhash64("cls"), F.col("nj")).cast("int").alias("j"), F.lit(False).alias("outside"),
+                         "cls", "comp")
+    outside = rows.filter("comp != giant").select(
+        "key", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("ni")).cast("int").alias("i"),
+        F.explode(places(F.col("nj"))).alias("j"), F.lit(True).alias("outside"), "cls", "comp")
+    return inside.unionByName(outside)
+
+
 def near_duplicates(df: DataFrame, stages: Stages, *, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (smallest id reachable over
     links) for every row of ``df``."""
@@ -205,43 +293,31 @@ def near_duplicates(df: DataFrame, stages: Stages, *, ident: str = "doc_id", tex
         F.min("doc_id").alias("cls"), F.any_value("bands").alias("bands"), F.any_value("odd").alias("odd")), "near-classes")
     member = classes.select("cls", "n", F.explode("bands").alias("key"))
     shared = member.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    active = stages.save(member.join(shared, "key").distinct(), "near-buckets")
+    buckets = stages.save(member.join(shared, "key"), "near-buckets")
 
-    # small buckets: all pairs at once; large ones: the first leader
-    small = active.filter(F.col("m") <= SMALL).select("key", F.col("cls").alias("u"), F.col("n").alias("nu"))
+    # small buckets: all pairs; large ones: pairs with the leader
+    small = buckets.filter(F.col("m") <= SMALL).select("key", F.col("cls").alias("u"), F.col("n").alias("nu"))
     direct = (small.join(small.select("key", F.col("u").alias("v"), F.col("nu").alias("nv")), "key")
               .filter((F.col("u") < F.col("v")) & _sizes_allow(F.col("nu"), F.col("nv"))).select("u", "v"))
-    active = active.filter(F.col("m") > SMALL).select("key", "cls", "n")
-    lead = active.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("lead")).select(
-        "key", F.col("lead.cls").alias("u"), F.col("lead.n").alias("nu"))
-    star = (active.join(lead, "key").filter((F.col("cls") != F.col("u")) & _sizes_allow(F.col("n"), F.col("nu")))
-            .select("u", F.col("cls").alias("v")))
-    links = stages.save(_confirmed(direct.unionByName(star).distinct(), classes, docs, stages), "near-links")
-    active = active.join(lead.select("key", F.col("u").alias("cls")), ["key", "cls"], "left_anti")
+    large = buckets.filter(F.col("m") > SMALL).select("key", "cls", "n")
+    degree = large.groupBy("cls").agg(F.count("*").alias("degree"))
+    lead = (large.join(degree, "cls").groupBy("key").agg(F.max(F.struct("degree", -F.col("cls"), "cls", "n")).alias("lead"))
+            .select("key", F.col("lead.cls").alias("w"), F.col("lead.n").alias("nw")))
+    star = (large.join(lead, "key").filter((F.col("cls") != F.col("w")) & _sizes_allow(F.col("n"), F.col("nw")))
+            .select(F.least("w", "cls").alias("u"), F.greatest("w", "cls").alias("v")))
+    close = stages.save(_close(direct.unionByName(star).distinct(), classes), "near-candidates")
+    wanted = (close.select(F.col("u").alias("id")).union(close.select("v")).union(large.select("cls"))).distinct()
+    texts = stages.save(docs.join(wanted, "id", "left_semi"), "near-texts")
+    links = stages.save(_confirmed(close, texts), "near-links")
     labels = components(links, stages, "near-components")
 
-    turn = 0
-    while True:
-        turn += 1
-        named = (active.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-                 .select("key", "cls", "n", F.coalesce("label", "cls").alias("comp")))
-        open_keys = (named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-                     .filter("lo != hi").select("key", "m"))
-        left = stages.save(named.join(open_keys, "key"), "near-open")
-        if left.isEmpty():
-            break
-        # about LEADERS classes a bucket, by hash, and the smallest so that every round makes progress
-        picked = left.withColumn("lead", F.pmod(F.xxhash64("cls", F.lit(turn)), F.col("m")) < LEADERS)
-        least = left.groupBy("key").agg(F.min("cls").alias("cls")).withColumn("lead2", F.lit(True))
-        picked = picked.join(least, ["key", "cls"], "left").withColumn("lead", F.col("lead") | F.coalesce("lead2", F.lit(False)))
-        lead = picked.filter("lead").select("key", F.col("cls").alias("u"), F.col("n").alias("nu"), F.col("comp").alias("cu"))
-        pairs = (picked.join(lead, "key").filter((F.col("comp") != F.col("cu")) & _sizes_allow(F.col("n"), F.col("nu")))
-                 .select(F.least("u", "cls").alias("u"), F.greatest("u", "cls").alias("v")).distinct())
-        more = stages.save(_confirmed(pairs, classes, docs, stages), "near-links")
-        active = picked.filter("not lead").select("key", "cls", "n")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = components(links, stages, "near-components")
+    cells = stages.save(_cells(large, labels), "near-cells")
+    if not cells.isEmpty():
+        sets = texts.join(cells.select(F.col("cls").alias("id")).distinct(), "id", "left_semi").select(
+            F.col("id").alias("cls"), "text").mapInArrow(_set_batches, "cls long, shingles array<long>")
+        more = stages.save(cells.join(sets, "cls").groupBy("key", "i", "j").applyInArrow(
+            _link_cell, "u long, v long").distinct(), "near-links")
+        labels = components(links.unionByName(more), stages, "near-components")
 
     per_class = classes.select("n", "d1", "d2", "cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
         "n", "d1", "d2", F.coalesce("label", "cls").alias("component_id"))

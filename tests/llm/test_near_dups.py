@@ -71,7 +71,7 @@ def corpus():
 @pytest.mark.parametrize("small", [16, 3])
 def test_components_equal_brute_force(spark, monkeypatch, small):
     monkeypatch.setattr(N, "SMALL", small)
-    monkeypatch.setattr(N, "LEADERS", small)
+    monkeypatch.setattr(N, "CELL", 2 * small)
     docs = corpus()
     frame = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, N long")
     with Stages(spark) as stages:
