@@ -25,12 +25,25 @@ _REFUSED = tuple(
 )
 
 NESTED_MODES = ("json", "cast")
+# nested timestamps keep their microseconds
+_JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def check_supported(name: str, dt: T.DataType) -> None:
     """Raise for column types that cannot cross the string boundary."""
     if isinstance(dt, _REFUSED) or type(dt).__name__ in ("TimeType",):
         raise TypeError(f"column {name!r} of type {dt.simpleString()} has no text form")
+    if isinstance(dt, T.ArrayType):
+        check_supported(name, dt.elementType)
+    elif isinstance(dt, T.StructType):
+        for f in dt.fields:
+            check_supported(f"{name}.{f.name}", f.dataType)
+    elif isinstance(dt, T.MapType):
+        if not isinstance(dt.keyType, T.StringType):  # JSON objects have text keys only
+            raise TypeError(f"column {name!r} of type {dt.simpleString()} has no text form: "
+                            "turn the map into an array of entries first")
+        check_supported(name, dt.valueType)
 
 
 def to_text(c: Column, dt: T.DataType, nested: str = "json") -> Column:
@@ -42,7 +55,7 @@ def to_text(c: Column, dt: T.DataType, nested: str = "json") -> Column:
     if isinstance(dt, T.BinaryType):
         return F.base64(c)
     if isinstance(dt, _NESTED) and nested == "json":
-        return F.to_json(c)
+        return F.to_json(c, _JSON_TIMES)
     return c.cast("string")
 
 
@@ -53,7 +66,7 @@ def from_text(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.BinaryType):
         return F.try_to_binary(c, F.lit("base64"))
     if isinstance(dt, _NESTED):
-        return F.from_json(c, dt)
+        return F.from_json(c, dt, _JSON_TIMES)
     return c.try_cast(dt)
 
 

@@ -122,65 +122,3 @@ def describe_table(df: DataFrame) -> DataFrame:
         ) for k, f in enumerate(fields, 1)
     ])
     return df.agg(*aggs).select(F.inline(rows))
-
-
-# ------------------------------------------------------------ random tables
-
-RANDOM_SHAPES = ("integers", "numbers", "decimal", "strings", "dateTime", "random")
-
-
-def random_table(spark: SparkSession, n: int, shape: str = "random", seed: int = 7,
-                 null_fraction: float = 0.0) -> DataFrame:
-    """Seeded random typed table of ``n`` rows (D2), built in Spark from ``range``.
-
-    Shapes follow the six kinds of test table: integers, numbers, decimal,
-    strings, dateTime, random (mixed). ``null_fraction`` nulls cells at random.
-    """
-    if shape not in RANDOM_SHAPES:
-        raise ValueError(f"shape must be one of {RANDOM_SHAPES}")
-    s = iter(range(seed * 100, seed * 100 + 100))
-
-    def u():
-        return F.rand(next(s))
-
-    def ints(bits: int):
-        span = float(2 ** (bits - 1))
-        return F.floor((u() * 2 - 1) * span)
-
-    def text(length: int):
-        chars = [F.char(F.floor(u() * 26 + 97).cast("int")) for _ in range(length)]
-        return F.concat(*chars)
-
-    def day():
-        return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(u() * 36500).cast("int"))
-
-    def instant():
-        secs = F.floor(u() * 1.8e9)
-        return F.timestamp_seconds(secs)
-
-    cols = {
-        "integers": lambda: [
-            F.floor(u() * 32767).cast("short").alias("a"), ints(32).cast("int").alias("b"),
-            ints(63).cast("long").alias("c"), F.floor(u() * 32767).cast("short").alias("d"),
-            ints(32).cast("int").alias("e"), ints(63).cast("long").alias("f")],
-        "numbers": lambda: [
-            F.floor(u() * 127).cast("byte").alias("a"), ints(16).cast("short").alias("b"),
-            ints(32).cast("int").alias("c"), ints(63).cast("long").alias("d"),
-            u().cast("float").alias("e"), F.randn(next(s)).alias("f")],
-        "decimal": lambda: [u().cast("decimal(38,18)").alias(c) for c in "abcdef"],
-        "strings": lambda: [text(12).alias(c) for c in "abcdef"],
-        "dateTime": lambda: [
-            day().alias("a"), instant().alias("b"), day().alias("c"),
-            instant().alias("d"), day().alias("e"), instant().alias("f")],
-        "random": lambda: [
-            F.floor(u() * 255 - 128).cast("byte").alias("a"), ints(16).cast("short").alias("b"),
-            ints(32).cast("int").alias("c"), ints(63).cast("long").alias("d"),
-            u().cast("float").alias("e"), (F.randn(next(s)) * 1e6).alias("f"),
-            (u() > 0.5).alias("g"), (u() * 1000).cast("decimal(20,6)").alias("h"),
-            text(1).alias("i"), text(20).alias("j"), day().alias("k"), instant().alias("l")],
-    }[shape]()
-    df = spark.range(n).select(*cols)
-    if null_fraction > 0:
-        df = df.select(*[
-            F.when(F.rand(next(s)) >= null_fraction, qcol(c)).alias(c) for c in df.columns])
-    return df

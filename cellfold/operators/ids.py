@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellfold.functions.names import qcol
-from cellfold.session import materialize
+from cellfold.session import Stages
 
 STRATEGIES = ("unique", "partition", "ordered")
 
@@ -33,8 +33,6 @@ _O = "__cellfold_o"
 _SALT = "__cellfold_salt"
 # monotonically_increasing_id() = (partition index << 33) + position
 _POSITION_MASK = (1 << 33) - 1
-# partition offsets up to this many travel as an array literal in the plan
-_LITERAL_LIMIT = 20_000
 
 
 def _orderable(dt: T.DataType) -> bool:
@@ -54,7 +52,8 @@ def _key_columns(order_by: Sequence[str | Column]) -> list[Column]:
 def with_row_ids(df: DataFrame, strategy: str = "unique", id_col: str = "id",
                  order_by: Sequence[str | Column] | None = None,
                  unique_keys: bool = True, n_partitions: int | None = None,
-                 seed: int = 17) -> DataFrame:
+                 seed: int = 17,
+                 stages: Stages | None = None) -> DataFrame:
     """``df`` with a leading non-null long ``id_col`` (>= 1) by ``strategy``.
 
     For ``ordered``: ``order_by`` names the sort keys; ``n_partitions`` fixes
@@ -71,12 +70,14 @@ def with_row_ids(df: DataFrame, strategy: str = "unique", id_col: str = "id",
     if id_col in df.columns:
         raise ValueError(f"column {id_col!r} already exists")
     cols = [qcol(c) for c in df.columns]
+    # the caller who passes ``stages`` releases the copies after its last job
+    stages = stages or Stages(df.sparkSession)
 
     if strategy == "unique":
         return df.select((F.monotonically_increasing_id() + 1).alias(id_col), *cols)
 
     if strategy == "partition":
-        staged = materialize(df.select(
+        staged = stages.save(df.select(
             *cols,
             F.spark_partition_id().alias(_P),
             (F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK))).alias(_O),
@@ -101,7 +102,7 @@ def with_row_ids(df: DataFrame, strategy: str = "unique", id_col: str = "id",
     # (merging neighbours keeps them contiguous, so offsets stay in key order)
     ranged = (source.repartitionByRange(n_partitions, *keys) if n_partitions
               else source.repartitionByRange(*keys)).sortWithinPartitions(*keys)
-    staged = materialize(ranged.select(
+    staged = stages.save(ranged.select(
         *cols,
         F.spark_partition_id().alias(_P),
         (F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK))).alias(_O),
@@ -114,13 +115,7 @@ def with_row_ids(df: DataFrame, strategy: str = "unique", id_col: str = "id",
         acc += sizes.get(p, 0)
     if not starts:
         return staged.select(F.lit(1).cast("long").alias(id_col), *cols).where(F.lit(False))
-    if len(starts) <= _LITERAL_LIMIT:
-        offset = F.element_at(F.lit(starts).cast("array<bigint>"), F.col(_P) + 1)
-        ident = offset + F.col(_O) + F.lit(1)
-        return staged.select(ident.alias(id_col), *[qcol(c) for c in df.columns])
-    # very many partitions: look the offsets up in a broadcast table whose size
-    # is bounded by the partition count (16 bytes per partition), not the data
-    table = spark.createDataFrame(list(enumerate(starts)), f"{_P} int, __cellfold_start long")
-    joined = staged.join(F.broadcast(table), _P)
-    ident = F.col("__cellfold_start") + F.col(_O) + F.lit(1)
-    return joined.select(ident.alias(id_col), *[qcol(c) for c in df.columns])
+    # one number per partition, as one constant of the plan
+    starts = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
+    ident = F.element_at(starts, F.col(_P) + 1) + F.col(_O) + F.lit(1)
+    return staged.select(ident.alias(id_col), *[qcol(c) for c in df.columns])

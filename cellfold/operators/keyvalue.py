@@ -25,23 +25,20 @@ from cellfold.operators.ids import with_row_ids
 from cellfold.operators.partitions import spread_input
 
 _ID = "__cellfold_id"
-_KNOWN_SCHEMA = "_cellfold_known_schema"
-RESTORE_MODES = ("strict", "lenient", "map")
-RESTORE_PLANS = ("auto", "single", "split")
-_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+RESTORE_MODES = ("strict", "lenient")
 BAD_TEXT = ("null", "raise")
 
 
 # ---------------------------------------------------------------- melt side
 
 def _ids(df: DataFrame, ids: str, order_by, id_col: str | Column | None,
-         unique_keys: bool) -> tuple[DataFrame, Column, list[str]]:
+         unique_keys: bool, stages=None) -> tuple[DataFrame, Column, list[str]]:
     """(frame with an id column, that column, the data columns)."""
     if id_col is not None:
         ident = qcol(id_col) if isinstance(id_col, str) else id_col
         return df, ident.cast("long"), list(df.columns)
     with_id = with_row_ids(df, ids, id_col=_ID, order_by=order_by,
-                           unique_keys=unique_keys)
+                           unique_keys=unique_keys, stages=stages)
     return with_id, F.col(_ID), list(df.columns)
 
 
@@ -64,7 +61,7 @@ def melt_cells(df: DataFrame, ids: str = "unique",
                order_by: Sequence[str | Column] | None = None,
                id_col: str | Column | None = None, columns: Sequence[str] | None = None,
                nested: str = "json", unique_keys: bool = True,
-               spread: bool = True) -> DataFrame:
+               spread: bool = True, stages=None) -> DataFrame:
     """One row per cell: ``(id long, num long, val string)`` (T2 core, G2).
 
     ``num`` is the 1-based position of the column in ``df``; ``columns``
@@ -83,7 +80,7 @@ def melt_cells(df: DataFrame, ids: str = "unique",
             first.setdefault(c, f"__cellfold_c{i}")
         order_by = [first.get(k, k) if isinstance(k, str) else k for k in (order_by or [])]
         df = df.toDF(*[f"__cellfold_c{i}" for i in range(len(df.columns))])
-    if id_col is None and columns is not None:
+    if columns is not None:
         positions = {c: i for i, c in enumerate(df.columns, start=1)}
         wanted = [c for c in df.columns if c in set(columns)]
         missing = set(columns) - set(wanted)
@@ -92,7 +89,8 @@ def melt_cells(df: DataFrame, ids: str = "unique",
         keep = list(wanted)
         if ids == "ordered":
             keep += [k for k in (order_by or []) if isinstance(k, str) and k not in keep]
-        source = df.select(*[qcol(c) for c in keep])
+        # an id column stays for the ids; Spark prunes what is not read
+        source = df if id_col is not None else df.select(*[qcol(c) for c in keep])
     else:
         positions = {c: i for i, c in enumerate(df.columns, start=1)}
         wanted = list(df.columns)
@@ -101,7 +99,7 @@ def melt_cells(df: DataFrame, ids: str = "unique",
         # ordered ids range-partition anyway; the others would inherit the scan's
         # splits, which for a coarsely split input means one core
         source = spread_input(source)
-    framed, ident, _ = _ids(source, ids, order_by, id_col, unique_keys)
+    framed, ident, _ = _ids(source, ids, order_by, id_col, unique_keys, stages)
     types = {f.name: f.dataType for f in df.schema.fields}
     pairs = []
     for c in wanted:
@@ -170,16 +168,13 @@ def _meta_only(cells: DataFrame) -> DataFrame:
     return cells.where(F.col("id") == 0)
 
 
-def schema_name(cells: DataFrame, max_columns: int = 100_000
-                ) -> tuple[T.StructType, str | None]:
+def schema_name(cells: DataFrame) -> tuple[T.StructType, str | None]:
     """Recover ``(schema, name)`` from ``(id, num, val)`` cells (T4).
 
     Columns are ordered by ``num``; non-struct JSON is ignored; no name row
     gives ``None``. Only the id-0 rows are collected (one per column).
     """
-    meta = _meta_only(cells).select("num", "val").limit(max_columns + 2).collect()
-    if len(meta) > max_columns + 1:
-        raise ValueError(f"more than {max_columns} metadata rows")
+    meta = _meta_only(cells).select("num", "val").collect()
     names = [r["val"] for r in meta if r["num"] == 0]
     if len(names) > 1:
         raise ValueError("several name rows (0,0) in the metadata")
@@ -205,122 +200,60 @@ def schema_frame(cells: DataFrame) -> DataFrame:
     ).where(F.col("name").isNotNull())
 
 
-def _hash_aggregatable(dt: T.DataType) -> bool:
-    """Types whose typed aggregation buffer is fixed-width (hash aggregation)."""
-    if isinstance(dt, T.DecimalType):
-        return dt.precision <= 18
-    return isinstance(dt, _FIXED_WIDTH)
-
-
-def _cheap_to_rescan(cells: DataFrame) -> bool:
-    """True when reading the cells twice costs little: they come straight from
-    a columnar scan, not from text parsing, Python tasks or an in-plan melt
-    (which a second read would run again)."""
-    from cellfold.plans.inspect import plan_text
-    text = plan_text(cells)
-    return not any(s in text for s in ("Scan csv", "Scan json", "Scan text", "MapInPandas",
-                                       "PythonMapInArrow", "BatchEvalPython", "ArrowEvalPython",
-                                       "Generate"))
-
-
-def _aggregate(data: DataFrame, cols: list[tuple[int, T.StructField]], mode: str,
-               bad_text: str, early: dict[int, bool]) -> DataFrame:
-    """Per id: ``v<k>`` (text, or typed for early-parsed columns), ``n<k>``
-    (cell count, strict) and ``b<k>`` (unparsable cells, early + raise)."""
-    aggs = []
-    for k, f in cols:
-        text = F.when(F.col("num") == k, F.col("val"))
-        if early[k]:
-            parsed = from_text(text, f.dataType)
-            aggs.append(F.max(parsed).alias(f"v{k}"))
-            if bad_text == "raise":
-                aggs.append(F.count_if(text.isNotNull() & parsed.isNull()).alias(f"b{k}"))
-        else:
-            aggs.append(F.max(text).alias(f"v{k}"))
-        if mode == "strict":
-            aggs.append(F.count_if(F.col("num") == k).alias(f"n{k}"))
-    return data.groupBy("id").agg(*aggs)
+def _is_column(k: int):
+    return lambda cell: cell["num"] == k
 
 
 def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
-                  bad_text: str = "null", plan: str = "auto") -> DataFrame:
+                  bad_text: str = "null") -> DataFrame:
     """Restore the typed table from ``(id, num, val)`` cells (T5).
 
-    One row per data id (> 0) with exactly ``schema``: names, types,
-    nullability and metadata. Row order is not promised. No mode depends on
-    the order of cells; each shuffles by ``id`` after a partial aggregation
-    that folds the cells of a row lying together.
-
-    ``strict`` (default) keeps per column the cell text and the number of cells
-    seen: a duplicate cell fails the job, a missing one gives null. Its buffer
-    is fixed (two slots per column) however many cells share an id, so even a
-    damaged table with one huge id group cannot exhaust a task's memory.
-    Fixed-width columns (numbers, booleans, dates, timestamps) are parsed per
-    cell and aggregated typed, so their buffers are small and their parse
-    failures are counted inside the same aggregation.
-    ``lenient`` keeps the greatest value among duplicates. ``map`` gathers a
-    row's cells in a map (one aggregate instead of one per column, for very
-    wide tables; a duplicate fails with ``DUPLICATED_MAP_KEY``).
+    One row per data id (> 0) that has a cell of a column of ``schema``, with
+    exactly its names, types, nullability and metadata. Row order is not
+    promised, and no result depends on the order of cells.
+
+    One shuffle, by ``id``: the cells of an id are first reduced to one per
+    column, so an id's buffer holds a cell per column however many cells a
+    damaged table has for it; then they are gathered, sorted by column, and
+    column ``k`` is read at position ``k`` (searched for only in rows with
+    missing cells). The work is linear in the cells.
+
+    ``strict`` (default) fails on a duplicate cell, on a column number that the
+    schema does not have, and on a null or negative row id or column number
+    (an unreadable key). ``lenient`` keeps the greatest value among duplicates
+    and drops the cells that fit nowhere. A missing cell gives null in both.
     ``bad_text="raise"`` fails on a non-null cell that does not parse as its
     type; by default such a cell becomes null (count them with the audit).
-
-    ``plan``: ``single`` aggregates all columns at once (a sort-based
-    aggregation as soon as one column is text). ``split`` aggregates the
-    fixed-width columns by a code-generated hash aggregation and the others
-    by a sort-based one, then full-outer joins the two by ``id``; both sides
-    come hash-partitioned by ``id``, so the join adds no shuffle, but the cells
-    are read twice. ``auto`` splits when most columns are fixed-width and the
-    cells come straight from a columnar scan (about twice as fast there; with
-    CSV parsing, Python tasks or an in-plan melt the second read eats the gain).
     """
     if mode not in RESTORE_MODES:
         raise ValueError(f"mode must be one of {RESTORE_MODES}")
     if bad_text not in BAD_TEXT:
         raise ValueError(f"bad_text must be one of {BAD_TEXT}")
-    if plan not in RESTORE_PLANS:
-        raise ValueError(f"plan must be one of {RESTORE_PLANS}")
-    data = cells.where(F.col("id") > 0)
     fields = list(schema.fields)
-    nums = range(1, len(fields) + 1)
-    numbered = list(zip(nums, fields))
-    checks: list[tuple[Column, Column]] = []  # (condition, message) failing a row
-    early = {k: mode != "map" and isinstance(f.dataType, _FIXED_WIDTH) for k, f in numbered}
-    if mode == "map":
-        grouped = data.groupBy("id").agg(
-            F.map_from_entries(F.collect_list(F.struct("num", "val"))).alias("m"))
-        texts = [F.try_element_at(F.col("m"), F.lit(k).cast("long")) for k in nums]
+    if not fields:
+        raise ValueError("the schema has no column: no metadata rows were found")
+    known = F.col("num").between(1, len(fields))
+    if mode == "strict":
+        odd = (F.col("id").isNull() | (F.col("id") < 0)
+               | ((F.col("id") > 0) & ~F.coalesce(known, F.lit(False))))
+        found = F.concat(F.lit("cell that fits no column: id "), F.coalesce(F.col("id").cast("string"), F.lit("?")),
+                         F.lit(", num "), F.coalesce(F.col("num").cast("string"), F.lit("?")))
+        data = cells.where(F.when(odd, F.raise_error(found)).otherwise(F.col("id") > 0))
     else:
-        hashed = [(k, f) for k, f in numbered if _hash_aggregatable(f.dataType)]
-        others = [(k, f) for k, f in numbered if not _hash_aggregatable(f.dataType)]
-        split = bool(hashed) and bool(others) and (
-            plan == "split" or (plan == "auto" and len(hashed) * 2 >= len(numbered)
-                                and _cheap_to_rescan(cells)))
-        if split:
-            side_a = _aggregate(data.where(F.col("num").isin([k for k, _ in hashed])),
-                                hashed, mode, bad_text, early)
-            side_b = _aggregate(data.where(F.col("num").isin([k for k, _ in others])),
-                                others, mode, bad_text, early)
-            grouped = side_a.join(side_b, "id", "full_outer")
-            if mode == "strict":
-                # a row missing from one side has no counts there: none seen
-                grouped = grouped.fillna(0, subset=[f"n{k}" for k in nums])
-        else:
-            grouped = _aggregate(data, numbered, mode, bad_text, early)
-        texts = [F.col(f"v{k}") for k in nums]
-        if bad_text == "raise":
-            for k, f in numbered:
-                if early[k]:
-                    checks.append((F.coalesce(F.col(f"b{k}"), F.lit(0)) > 0, F.concat(
-                        F.lit(f"cell of {f.name} does not parse as "
-                              f"{f.dataType.simpleString()} in row "),
-                        F.col("id").cast("string"))))
-        if mode == "strict" and fields:
-            checks.insert(0, (reduce(or_, [F.col(f"n{k}") > 1 for k in nums]), F.concat(
-                F.lit("duplicate cell in row "), F.col("id").cast("string"))))
+        data = cells.where((F.col("id") > 0) & known)
+    single = data.repartition("id").groupBy("id", "num").agg(
+        F.max("val").alias("val"), F.count(F.lit(1)).alias("n"))
+    if mode == "strict":
+        single = single.where(F.when(F.col("n") > 1, F.raise_error(F.concat(
+            F.lit("duplicate cell in row "), F.col("id").cast("string")))).otherwise(F.lit(True)))
+    rows = single.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("num", "val"))).alias("cells"))
     out = []
-    for k, f, text in zip(nums, fields, texts):
-        value = text if early[k] else from_text(text, f.dataType)
-        if bad_text == "raise" and not early[k] and not isinstance(f.dataType, T.StringType):
+    for k, f in enumerate(fields, 1):
+        at = F.get(F.col("cells"), F.lit(k - 1))
+        searched = F.get(F.filter("cells", _is_column(k)), F.lit(0))
+        text = F.when(at["num"] == k, at["val"]).otherwise(searched["val"])
+        value = from_text(text, f.dataType)
+        if bad_text == "raise" and not isinstance(f.dataType, T.StringType):
             value = F.when(text.isNotNull() & value.isNull(), F.raise_error(
                 F.concat(F.lit(f"cell of {f.name} does not parse as "
                                f"{f.dataType.simpleString()}: "), text))
@@ -328,27 +261,16 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
         if not f.nullable:
             value = non_null(value, f.dataType, f.name)
         out.append(value.alias(f.name, metadata=f.metadata))
-    if checks:
-        # a filter predicate runs on every row, so the checks fire
-        guard = None
-        for cond, message in checks:
-            guard = (F.when(cond, F.raise_error(message)) if guard is None
-                     else guard.when(cond, F.raise_error(message)))
-        grouped = grouped.where(guard.otherwise(F.lit(True)))
-    return grouped.select(*out)
+    return rows.select(*out)
 
 
 def restore(cells: DataFrame, mode: str = "strict", bad_text: str = "null"
             ) -> tuple[DataFrame, str | None]:
     """Combined cells (metadata + data) -> (typed table, table name).
 
-    A frame fresh from ``combined_cells`` carries the schema its metadata rows
-    were built from, so no job looks for them; any other frame (a transformed
-    one included, as the attribute does not survive a transformation) is
-    searched for its id-0 rows.
+    The schema is always recovered from the id-0 rows.
     """
-    known = getattr(cells, _KNOWN_SCHEMA, None)
-    schema, name = known if known is not None else schema_name(cells)
+    schema, name = schema_name(cells)
     return plain_columns(cells, schema, mode, bad_text), name
 
 
@@ -356,12 +278,9 @@ def restore_key_value(kv: DataFrame, mode: str = "strict", bad_text: str = "null
                       ) -> tuple[DataFrame, str | None]:
     """Combined ``(key, val)`` table -> (typed table, table name).
 
-    The metadata rows are selected by the key prefix ``0,`` before the key is
-    parsed, so the filter reaches the scan (row groups are skipped by it).
+    The metadata rows are those whose parsed id is 0, however the key is written.
     """
-    meta = id_num_columns(kv.where(F.col("key").startswith("0,")))
-    schema, name = schema_name(meta)
-    return plain_columns(id_num_columns(kv), schema, mode, bad_text), name
+    return restore(id_num_columns(kv), mode, bad_text)
 
 
 # ----------------------------------------------------------- combined form
@@ -371,13 +290,8 @@ def combined_cells(df: DataFrame, name: str, ids: str = "unique",
                    nested: str = "json", unique_keys: bool = True) -> DataFrame:
     """Metadata cells unioned with data cells (M6)."""
     meta = meta_cells(df.sparkSession, df.schema, name)
-    combined = meta.unionByName(melt_cells(df, ids, order_by, nested=nested,
-                                           unique_keys=unique_keys))
-    try:
-        setattr(combined, _KNOWN_SCHEMA, (df.schema, name))
-    except (AttributeError, TypeError):  # a DataFrame class refusing attributes
-        pass
-    return combined
+    return meta.unionByName(melt_cells(df, ids, order_by, nested=nested,
+                                       unique_keys=unique_keys))
 
 
 def combined_export(df: DataFrame, name: str, ids: str = "unique",

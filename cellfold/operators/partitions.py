@@ -27,8 +27,8 @@ def partitions_length(df: DataFrame, n_partitions: int | None = None) -> DataFra
 
     One aggregation pass; the partial counts are combined before the shuffle,
     so only one row per partition moves. ``n_partitions`` defaults to the
-    partition count of ``df``; partitions beyond the observed ones are joined
-    in from ``range`` (the join side is one row per partition).
+    partition count of ``df``; partitions without rows come from ``range``, and
+    those beyond ``n_partitions`` are reported as well.
     """
     counts = (
         df.select(F.spark_partition_id().alias("part"))
@@ -39,10 +39,9 @@ def partitions_length(df: DataFrame, n_partitions: int | None = None) -> DataFra
         n_partitions = num_partitions(df)
     spark = df.sparkSession
     every = spark.range(n_partitions).select(F.col("id").cast("int").alias("part"))
-    return (
-        every.join(F.broadcast(counts), "part", "left")
-        .select("part", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
-    )
+    # a sum over both, so that partitions beyond ``n_partitions`` stay too
+    zeros = every.select("part", F.lit(0).cast("long").alias("n"))
+    return counts.unionByName(zeros).groupBy("part").agg(F.sum("n").alias("n"))
 
 
 def max_partition_length(df: DataFrame) -> int:

@@ -30,6 +30,7 @@ from cellfold.operators.keyvalue import (
     number_cells,
     plain_columns,
     restore,
+    restore_key_value,
     schema_frame,
     schema_name,
 )
@@ -135,6 +136,13 @@ def q_restore_table(spark, d):
     return table
 
 
+def q_restore_combined(spark, d):
+    # one text (key, val) table with metadata and data rows, schema recovered from it
+    orders = _table(spark, d, "orders")
+    kv = meta_columns(orders, "orders").unionByName(key_value_columns(orders))
+    return restore_key_value(kv)[0]
+
+
 def q_restore_lenient(spark, d):
     orders = _table(spark, d, "orders")
     cells = combined_cells(orders, "orders")
@@ -380,6 +388,7 @@ QUERIES: dict[str, Query] = {
     "restore_table": q_restore_table,
     "combined_export": q_combined_export,
     "combined_export_text": q_combined_export_text,
+    "restore_combined": q_restore_combined,
     "restore_lenient": q_restore_lenient,
     "key_value_subset": q_key_value_subset,
     "string_columns": q_string_columns,
@@ -519,6 +528,7 @@ ORACLE_SQL: dict[str, str] = {
     "restore_table": _select_all("lineitem"),
     "combined_export": _meta_sql("nation") + " UNION ALL " + S.key_value(_NATION_CELLS),
     "combined_export_text": _meta_sql("nation") + " UNION ALL " + S.key_value(_NATION_CELLS),
+    "restore_combined": _select_all("orders"),
     "restore_lenient": _select_all("orders"),
     "key_value_subset": S.key_value(
         f"SELECT id, num, val FROM ({S.cells('lineitem', _cols('lineitem'), LINEITEM_ORDER)}) c "

@@ -24,7 +24,7 @@ from cellfold.operators.keyvalue import (
     restore_key_value,
     schema_name,
 )
-from cellfold.session import release_scratch, staged_paths
+from cellfold.session import Stages
 from cellfold.sinks.csv import write_csv
 from cellfold.sources.csv import read_csv, repartition_input
 from cellfold.sources.options import KEY_VALUE_CSV, KEY_VALUE_CSV_READ, overlay, parse_save_mode
@@ -74,6 +74,12 @@ def write_key_value(kv: DataFrame, path: str, fmt: str = "csv",
     frame = _as_cells(kv) if fmt == "parquet" else _as_key_value(kv)
     if n_files:
         frame = frame.coalesce(n_files) if coalesce else frame.repartition(n_files)
+    if fmt in ("csv", "zip"):
+        # a cell that reads like the null text would come back as null
+        null_text = overlay(KEY_VALUE_CSV, options).get("nullValue", "")
+        frame = frame.where(F.when(F.col("val") == null_text, F.raise_error(F.concat(
+            F.lit(f"cell equals the null text {null_text!r}; set another nullValue: key "), F.col("key"))))
+            .otherwise(F.lit(True)))
     if fmt == "csv":
         write_csv(frame, path, overlay(KEY_VALUE_CSV, options), mode,
                   max_records_per_file=max_records_per_file)
@@ -131,38 +137,39 @@ def load_key_value(spark: SparkSession, source: str | DataFrame, target: str,
     the reference's turning of quote runs into ``'`` (lossy; restore accepts
     the metadata it produces). Returns the two output paths.
     """
-    before = set(staged_paths())
     df = source if isinstance(source, DataFrame) else read_source(
         spark, source, fmt, read_options)
     if name is None:
         name = source.rstrip("/").rsplit("/", 1)[-1] if isinstance(source, str) else "table"
     df = repartition_input(df, n_partitions)
     meta = meta_cells(spark, df.schema, name)
-    data = melt_cells(df, ids=ids, order_by=order_by)
-    if clear_quotes:
-        meta = clear_columns(meta, _QUOTE_RUN, _QUOTE_REPLACEMENT)
-        data = clear_columns(data, _QUOTE_RUN, _QUOTE_REPLACEMENT)
     meta_path, data_path = f"{target.rstrip('/')}/meta", f"{target.rstrip('/')}/data"
-    write_key_value(meta, meta_path, kv_format, write_options, mode, n_files=1, coalesce=True)
-    write_key_value(data, data_path, kv_format, write_options, mode,
-                    max_records_per_file=max_records_per_file)
-    # the outputs are committed: drop the stages this job materialised (ids)
-    release_scratch([p for p in staged_paths() if p not in before])
+    with Stages(spark) as stages:  # this job's own; freed after a failure too
+        data = melt_cells(df, ids=ids, order_by=order_by, stages=stages)
+        if clear_quotes:
+            meta = clear_columns(meta, _QUOTE_RUN, _QUOTE_REPLACEMENT)
+            data = clear_columns(data, _QUOTE_RUN, _QUOTE_REPLACEMENT)
+        write_key_value(meta, meta_path, kv_format, write_options, mode, n_files=1, coalesce=True)
+        write_key_value(data, data_path, kv_format, write_options, mode,
+                        max_records_per_file=max_records_per_file)
     return meta_path, data_path
 
 
 def restore_table(spark: SparkSession, source: str | Sequence[str], kv_format: str = "csv",
                   options: Mapping[str, object] | None = None, mode: str = "strict",
-                  bad_text: str = "null") -> tuple[DataFrame, str | None]:
+                  bad_text: str = "null", layout: str = "folders") -> tuple[DataFrame, str | None]:
     """Restore job (T7): key-value files -> id/num -> schema -> typed table.
 
-    ``source`` is a load-job target: the schema is read from its small
-    ``meta`` folder alone and the rows from ``data``, so recovering the schema
-    never scans the data. Any other path (or list of paths) is taken as a
-    combined key-value table; its metadata rows are found by the key prefix
-    ``0,``, a filter that reaches the scan (parquet skips row groups by it).
+    ``layout="folders"``: ``source`` is a load-job target, whatever its name; the
+    schema is read from its small ``meta`` folder alone and the rows from
+    ``data``. ``layout="combined"``: ``source`` is a path, or a list of paths, of
+    tables that hold metadata and data rows together.
     """
-    if isinstance(source, str) and not source.endswith((".zip", ".csv", ".parquet")):
+    if layout not in ("folders", "combined"):
+        raise ValueError("layout must be 'folders' or 'combined'")
+    if layout == "folders":
+        if not isinstance(source, str):
+            raise ValueError("a list of paths needs layout='combined'")
         root = source.rstrip("/")
         schema, name = schema_name(read_cells(spark, f"{root}/meta", kv_format, options))
         data = read_cells(spark, f"{root}/data", kv_format, options)
@@ -172,8 +179,3 @@ def restore_table(spark: SparkSession, source: str | Sequence[str], kv_format: s
         # typed ids: the id-0 filter reaches the parquet scan
         return restore(read_cells(spark, paths, kv_format, options), mode, bad_text)
     return restore_key_value(read_key_value(spark, paths, kv_format, options), mode, bad_text)
-
-
-def key_value_cells(kv: DataFrame) -> DataFrame:
-    """``(key, val)`` -> ``(id, num, val)``; keys that do not parse are dropped."""
-    return id_num_columns(kv).where(F.col("id").isNotNull() & F.col("num").isNotNull())

@@ -46,11 +46,3 @@ def meta_values(name: str, jsons: Sequence[str]) -> str:
     rows = [f"('0,0', {quote_literal(name)})"] + [
         f"('0,{k}', {quote_literal(j)})" for k, j in enumerate(jsons, start=1)]
     return "SELECT * FROM (VALUES " + ", ".join(rows) + ") AS m(key, val)"
-
-
-def meta_cell_values(name: str, jsons: Sequence[str]) -> str:
-    """Metadata rows ``(id, num, val)`` as a VALUES list."""
-    rows = [f"(CAST(0 AS BIGINT), CAST(0 AS BIGINT), {quote_literal(name)})"] + [
-        f"(CAST(0 AS BIGINT), CAST({k} AS BIGINT), {quote_literal(j)})"
-        for k, j in enumerate(jsons, start=1)]
-    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") AS m(id, num, val)"

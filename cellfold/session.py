@@ -90,34 +90,6 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     return spark
 
 
-_STAGED: list[str] = []
-
-
-def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
-    """``Stages.save`` with the stage remembered for ``release_scratch``."""
-    stages = Stages(df.sparkSession)
-    out = stages.save(df, tag)
-    _STAGED.extend(stages.paths)
-    return out
-
-
-def staged_paths() -> list[str]:
-    """Materialised stages not yet released, oldest first."""
-    return list(_STAGED)
-
-
-def release_scratch(paths: list[str] | None = None) -> int:
-    """Delete materialised stages (default: all of this process); returns how
-    many were removed."""
-    spark = SparkSession.getActiveSession()
-    removed = 0
-    for path in list(_STAGED) if paths is None else list(paths):
-        removed += delete_tree(spark, path)
-        if path in _STAGED:
-            _STAGED.remove(path)
-    return removed
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -65,11 +65,16 @@ KEY_VALUE_CSV_READ = {**KEY_VALUE_CSV, "multiLine": "true", "mode": "FAILFAST"}
 SAVE_MODES = ("append", "overwrite", "errorifexists", "ignore")
 
 
+# option names that mean the same, so that a later layer replaces an earlier one
+_SAME = {"sep": "delimiter", "encoding": "charset"}
+
+
 def overlay(*layers: Mapping[str, object] | None) -> dict[str, str]:
     """Merge option layers left to right; later keys win; values as text."""
     out: dict[str, str] = {}
     for layer in layers:
         for k, v in (layer or {}).items():
+            k = _SAME.get(k.lower(), k)
             if v is None:
                 out.pop(k, None)
             elif isinstance(v, bool):

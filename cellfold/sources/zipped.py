@@ -58,11 +58,24 @@ def csv_dialect(opts: Mapping[str, str]) -> dict:
     return args
 
 
-def _uncommented(text: io.TextIOBase, comment: str | None) -> Iterator[str]:
-    for line in text:
-        if comment and line.startswith(comment):
-            continue
-        yield line
+class _Lines:
+    """Lines without comment lines. A line is a comment only where a record
+    may start: inside a quoted cell it is text. The caller sets ``fresh`` after
+    every record that it got."""
+
+    def __init__(self, text: io.TextIOBase, comment: str | None):
+        self.text, self.comment, self.fresh = text, comment, True
+
+    def __iter__(self) -> "_Lines":
+        return self
+
+    def __next__(self) -> str:
+        for line in self.text:
+            if self.fresh and self.comment and line.startswith(self.comment):
+                continue
+            self.fresh = False
+            return line
+        raise StopIteration
 
 
 def _entry_reader(opts: Mapping[str, str], limit: int | None = None):
@@ -72,14 +85,16 @@ def _entry_reader(opts: Mapping[str, str], limit: int | None = None):
 
     def read(batches: Iterator) -> Iterator:
         import pandas as pd
+        csv.field_size_limit(2**31 - 1)  # cells of any size
         cols = ["path", "entry", "entry_index", "rec", "fields"]
         for pdf in batches:
             for path, entry, idx in zip(pdf["path"], pdf["entry"], pdf["entry_index"]):
                 with open_input(path) as fh, zipfile.ZipFile(fh) as zf, zf.open(entry) as raw:
                     text = io.TextIOWrapper(raw, encoding=charset, newline="")
                     buf = []
-                    for rec_no, fields in enumerate(csv.reader(_uncommented(text, comment),
-                                                               **dialect)):
+                    lines = _Lines(text, comment)
+                    for rec_no, fields in enumerate(csv.reader(lines, **dialect)):
+                        lines.fresh = True
                         if limit is not None and rec_no >= limit:
                             break
                         buf.append((path, entry, int(idx), rec_no, fields))

@@ -25,10 +25,10 @@ def stream_key_value(df: DataFrame, id_col: str | Column,
     """``(key, val)`` cells of a (streaming or batch) table.
 
     ``id_col`` is a unique column or expression with values >= 1 (0 is the
-    metadata row id); every column of ``df`` is melted, the id column too.
+    metadata row id); every column of ``df`` is melted, the id column too, or
+    those in ``columns``, under their positions in ``df``.
     """
-    frame = df if columns is None else df.select(*columns)
-    return key_value_columns(frame, id_col=id_col, nested=nested)
+    return key_value_columns(df, id_col=id_col, columns=columns, nested=nested)
 
 
 def start_key_value_stream(df: DataFrame, id_col: str | Column, path: str,

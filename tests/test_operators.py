@@ -1,6 +1,7 @@
 """Column-set, nested, partition, audit and streaming operators, and plan shape."""
 
 import pytest
+from seeded import TYPE_LISTS, seeded_table
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,7 @@ from cellfold import (
     string_columns,
     with_row_ids,
 )
-from cellfold.operators.audit import audit_round_trip, describe_table, random_table
+from cellfold.operators.audit import audit_round_trip, describe_table
 from cellfold.operators.keyvalue import (
     combined_cells,
     melt_cells,
@@ -33,7 +34,7 @@ from cellfold.operators.keyvalue import (
 )
 from cellfold.plans.inspect import exchanges, has_python_or_rdd_scan, plan_text
 from cellfold.streaming import stream_key_value
-from conftest import SF_SMALL
+from conftest import SF_SMALL, same_rows
 
 
 @pytest.fixture(scope="module")
@@ -146,7 +147,7 @@ def test_audit_round_trip(spark):
 
 
 def test_describe_table(spark):
-    df = random_table(spark, 500, "random", seed=1, null_fraction=0.3)
+    df = seeded_table(spark, 500, [t for ts in TYPE_LISTS.values() for t in ts], 1, 0.3)
     rows = describe_table(df).orderBy("num").collect()
     assert [r.name for r in rows] == df.columns
     nulls = df.select([F.count_if(F.col(c).isNull()) for c in df.columns]).first()
@@ -154,10 +155,19 @@ def test_describe_table(spark):
     assert all(r.n_rows == 500 for r in rows)
 
 
-def test_random_table_is_seeded(spark):
-    a = random_table(spark, 50, "random", seed=5).collect()
-    b = random_table(spark, 50, "random", seed=5).collect()
-    assert a == b
+def test_partition_profile_loses_no_partition(spark):
+    df = spark.range(100, numPartitions=8)
+    assert partitions_length(df, 4).agg(F.sum("n"), F.count("*")).first()[:] == (100, 8)
+    empty = spark.createDataFrame([(1,)], "a int").repartition(5)
+    assert partitions_length(empty, 7).agg(F.sum("n"), F.count("*")).first()[:] == (1, 7)
+
+
+def test_melt_of_chosen_columns_with_an_id_column(spark):
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    some = ["o_totalprice", "o_orderstatus"]
+    got = key_value_columns(orders, id_col="o_orderkey", columns=some)
+    want = key_value_columns(orders, id_col="o_orderkey").where(F.split("key", ",")[1].isin("3", "4"))
+    assert same_rows(got, want) and got.count() == 3000
 
 
 def test_streaming_melt_matches_batch(spark, scratch):
@@ -205,14 +215,9 @@ def test_restore_has_one_exchange(spark):
     cells = meta_cells(spark, orders.schema, "orders").unionByName(
         melt_cells(orders, spread=False))
     schema = orders.schema
-    single = plain_columns(cells, schema, plan="single")
-    assert exchanges(single) == 1  # the shuffle by id; nothing else
-    assert "Window" not in plan_text(single)
-    # split: one shuffle by id per side, none for the join of the two
-    split = plain_columns(cells, schema, plan="split")
-    text = plan_text(split)
-    assert exchanges(split) == 2 and "HashAggregate" in text and "SortMergeJoin" in text
-    assert exchanges(restore(cells)[0]) == 1  # auto: an in-plan melt is not re-read
+    assert exchanges(plain_columns(cells, schema)) == 1  # the shuffle by id; nothing else
+    assert "Window" not in plan_text(plain_columns(cells, schema))
+    assert exchanges(restore(cells)[0]) == 1
 
 
 def test_ordered_ids_use_no_global_window(spark):
@@ -222,17 +227,6 @@ def test_ordered_ids_use_no_global_window(spark):
     assert "Window" not in text and exchanges(kv) == 0  # reads the materialised copy
 
 
-def test_ordered_ids_broadcast_offsets_for_many_partitions(spark, monkeypatch):
-    import cellfold.operators.ids as ids_mod
-    monkeypatch.setattr(ids_mod, "_LITERAL_LIMIT", 2)
-    df = spark.read.parquet(f"{SF_SMALL}/part.parquet")
-    dense = with_row_ids(df, "ordered", order_by=["p_partkey"], n_partitions=6)
-    assert "BroadcastHashJoin" in plan_text(dense) or "BroadcastExchange" in plan_text(dense)
-    rows = dense.orderBy("id").collect()
-    assert [r.id for r in rows] == list(range(1, 201))
-    assert [r.p_partkey for r in rows] == sorted(r.p_partkey for r in rows)
-
-
 def test_streaming_restart_is_exactly_once(spark, scratch):
     from cellfold.streaming import start_key_value_stream
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
@@ -257,11 +251,3 @@ def test_spread_leaves_shuffled_plans_alone(spark):
     grouped = orders.groupBy("o_custkey").count()
     assert spread_input(grouped) is grouped
     assert exchanges(spread_input(orders)) == 1
-
-
-def test_fixed_width_table_restores_by_hash_aggregate(spark):
-    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
-    table, _ = restore(combined_cells(labels, "labels"))
-    text = plan_text(table)
-    assert "HashAggregate" in text and "SortAggregate" not in text
-    assert table.exceptAll(labels).count() == 0 and labels.exceptAll(table).count() == 0

@@ -210,15 +210,34 @@ def test_workbook_sink_rolls_files_at_row_limit(spark, scratch):
     assert same_rows(back, part)
 
 
-def test_load_job_releases_its_stages(spark, scratch):
-    from cellfold.session import staged_paths
+def test_load_jobs_release_only_their_own_stages(spark, scratch, monkeypatch):
+    from cellfold import session
+    made, gone = [], []
+    save, delete = session.Stages.save, session.delete_tree
+    monkeypatch.setattr(session.Stages, "save", lambda self, df, tag="stage": (save(self, df, tag), made.extend(self.paths))[0])
+    monkeypatch.setattr(session, "delete_tree", lambda s, p: (delete(s, p), gone.append(p))[0])
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    before = set(staged_paths())
-    target = scratch("release")
+    other = session.Stages(spark)
+    kept = other.save(orders.limit(3), "other")
+    target = scratch("release") + ".csv"  # the name of a target says nothing about its layout
     load_key_value(spark, orders, target, ids="ordered", order_by=["o_orderkey"])
-    assert set(staged_paths()) == before
+    assert set(made) - set(other.paths) == set(gone) and gone and kept.count() == 3
     back, _ = restore_table(spark, target)
     assert same_rows(back, orders)
+    bad = orders.withColumn("o_orderpriority", F.lit("\\N"))
+    with pytest.raises(Exception, match="equals the null text"):
+        load_key_value(spark, bad, target, ids="ordered", order_by=["o_orderkey"])
+    assert set(made) - set(other.paths) == set(gone)
+    other.release()
+
+
+def test_zipped_cells_may_hold_comments_and_any_length(spark, scratch):
+    path = scratch("zipnasty")
+    rows = [(1, "line one\n# heading\nline three"), (2, "x" * 200_000), (3, "plain")]
+    df = spark.createDataFrame(rows, "id long, txt string").coalesce(1)
+    write_zipped_csv(df, path, {"header": "true", "sep": ";"})
+    back = read_zipped_csv(spark, path, {"header": "true", "sep": ";"}, schema="id long, txt string")
+    assert same_rows(back, df)
 
 
 def test_workbook_round_trip_types_and_hostile_text(spark, scratch):
