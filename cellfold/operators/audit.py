@@ -1,15 +1,15 @@
-"""Audit and test-support operators: round-trip audit (A4), table description
-(D1), seeded random typed tables (D2).
+"""Round-trip audit (A4) and table description.
 
 Results are long-format ``(metric, value)`` or one row per column, built from
-single-pass aggregates combined by ``union`` (no joins).
+aggregates combined by ``union`` (no joins).
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +41,19 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _metric(df: DataFrame, name: str, value) -> DataFrame:
-    return df.agg(value.cast("long").alias("value")).select(
-        F.lit(name).alias("metric"), "value")
+def _metrics(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """One aggregation of ``df`` as rows ``(metric, value)``; a null is 0."""
+    rows = [F.struct(F.lit(name).alias("metric"),
+                     F.coalesce(value.cast("long"), F.lit(0).cast("long")).alias("value"))
+            for name, value in values.items()]
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
+def _does_not_parse(schema: T.StructType) -> Column:
+    parses = F.lit(False)
+    for k, f in enumerate(schema.fields, start=1):
+        parses = F.when(F.col("num") == k, from_text(F.col("val"), f.dataType).isNotNull()).otherwise(parses)
+    return (F.col("id") > 0) & F.col("val").isNotNull() & ~parses
 
 
 def unparsed_cells(cells: DataFrame, schema: T.StructType) -> DataFrame:
@@ -52,14 +62,13 @@ def unparsed_cells(cells: DataFrame, schema: T.StructType) -> DataFrame:
     ``try_cast`` (used by restore) turns such text into null silently; this
     finds it. Cells whose ``num`` has no column are reported too.
     """
-    data = cells.where(F.col("id") > 0)
-    branches = None
-    for k, f in enumerate(schema.fields, start=1):
-        ok = from_text(F.col("val"), f.dataType).isNotNull()
-        branches = (F.when(F.col("num") == k, ok) if branches is None
-                    else branches.when(F.col("num") == k, ok))
-    parses = F.lit(False) if branches is None else branches.otherwise(F.lit(False))
-    return data.where(F.col("val").isNotNull() & ~parses)
+    return cells.where(_does_not_parse(schema))
+
+
+def _row_hash(df: DataFrame, salt: int) -> Column:
+    """Sum of a 64-bit hash of every row, folded to 63 bits."""
+    total = F.sum(F.xxhash64(F.lit(salt), *[qcol(c) for c in df.columns]).cast("decimal(20,0)"))
+    return F.pmod(total, F.lit(Decimal(1 << 63)))
 
 
 def audit_round_trip(original: DataFrame, cells: DataFrame, restored: DataFrame,
@@ -68,38 +77,40 @@ def audit_round_trip(original: DataFrame, cells: DataFrame, restored: DataFrame,
 
     Metrics: ``rows``, ``columns``, ``cells_expected`` (rows x columns),
     ``data_cells``, ``meta_cells``, ``restored_rows``, ``unparsed_cells``,
-    ``schema_equal`` (1/0) and, with ``exact``, ``missing_rows`` /
-    ``extra_rows`` by multiset difference (``exceptAll``; one shuffle each).
-    Without ``exact`` a row fingerprint (count and sum of two 64-bit hashes per
-    side) stands in for the difference, one pass per side and no shuffle.
+    ``schema_equal`` (1/0) and, where the schemas are equal, ``missing_rows`` /
+    ``extra_rows`` by multiset difference. One pass over the cells gives all of
+    their metrics; one pass over both tables together and one shuffle by row
+    give the rest. Without ``exact`` a fingerprint per side (the sums of two
+    independent 64-bit row hashes, ``original_hash_a`` ...) stands in for the
+    difference, with no shuffle of rows.
     """
     n_cols = len(original.columns)
-    parts = [
-        _metric(original, "rows", F.count(F.lit(1))),
-        _metric(original, "columns", F.lit(n_cols)),
-        _metric(original, "cells_expected", F.count(F.lit(1)) * F.lit(n_cols)),
-        _metric(cells.where(F.col("id") > 0), "data_cells", F.count(F.lit(1))),
-        _metric(cells.where(F.col("id") == 0), "meta_cells", F.count(F.lit(1))),
-        _metric(restored, "restored_rows", F.count(F.lit(1))),
-        _metric(unparsed_cells(cells, restored.schema), "unparsed_cells", F.count(F.lit(1))),
-    ]
-    spark = original.sparkSession
-    same = 1 if restored.schema == original.schema else 0
-    parts.append(spark.range(1).select(F.lit("schema_equal").alias("metric"),
-                                       F.lit(same).cast("long").alias("value")))
+    same = restored.schema == original.schema
+    cell_side = _metrics(cells, {
+        "data_cells": F.count_if(F.col("id") > 0), "meta_cells": F.count_if(F.col("id") == 0),
+        "unparsed_cells": F.count_if(_does_not_parse(restored.schema))})
+
+    # literals, so that an empty table has them too
+    fixed = original.sparkSession.range(1)
     if exact and same:
-        a, b = comparable(original), comparable(restored)
-        parts.append(_metric(a.exceptAll(b), "missing_rows", F.count(F.lit(1))))
-        parts.append(_metric(b.exceptAll(a), "extra_rows", F.count(F.lit(1))))
-    elif same:
-        def fingerprint(df: DataFrame, tag: str) -> list[DataFrame]:
-            cols = [qcol(c) for c in df.columns]
-            return [
-                _metric(df, f"{tag}_hash_a", F.sum(F.xxhash64(*cols) % F.lit(1 << 40))),
-                _metric(df, f"{tag}_hash_b", F.sum(F.hash(*cols).cast("long"))),
-            ]
-        parts += fingerprint(original, "original") + fingerprint(restored, "restored")
-    return reduce(DataFrame.unionByName, parts)
+        slots = [f"__c{i}" for i in range(n_cols)]
+        a, b = (comparable(df).toDF(*slots) for df in (original, restored))
+        both = (a.withColumns({"__a": F.lit(1), "__b": F.lit(0)})
+                .union(b.withColumns({"__a": F.lit(0), "__b": F.lit(1)})))
+        per_row = both.groupBy(*slots).agg(F.sum("__a").alias("__a"), F.sum("__b").alias("__b"))
+        tables = [_metrics(per_row, {
+            "rows": F.sum("__a"), "cells_expected": F.sum("__a") * n_cols, "restored_rows": F.sum("__b"),
+            "missing_rows": F.sum(F.greatest(F.col("__a") - F.col("__b"), F.lit(0))),
+            "extra_rows": F.sum(F.greatest(F.col("__b") - F.col("__a"), F.lit(0)))})]
+    else:
+        rows = F.count(F.lit(1))
+        sides = {"original": {"rows": rows, "cells_expected": rows * n_cols}, "restored": {"restored_rows": rows}}
+        tables = []
+        for tag, df in (("original", comparable(original)), ("restored", comparable(restored))):
+            hashes = {f"{tag}_hash_a": _row_hash(df, 1), f"{tag}_hash_b": _row_hash(df, 2)} if same else {}
+            tables.append(_metrics(df, sides[tag] | hashes))
+    return reduce(DataFrame.unionByName, tables + [cell_side, _metrics(fixed, {
+        "columns": F.max(F.lit(n_cols)), "schema_equal": F.max(F.lit(int(same)))})])
 
 
 def describe_table(df: DataFrame) -> DataFrame:

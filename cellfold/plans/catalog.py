@@ -26,6 +26,8 @@ from cellfold.operators.keyvalue import (
     combined_cells,
     combined_export,
     key_value_columns,
+    melt_cells,
+    meta_cells,
     meta_columns,
     number_cells,
     plain_columns,
@@ -157,6 +159,33 @@ def q_key_value_subset(spark, d):
                              columns=["l_extendedprice", "l_shipdate"])
 
 
+def q_key_value_id_subset(spark, d):
+    # two columns under ids taken from the data; positions are those of the table
+    return key_value_columns(_table(spark, d, "events"), id_col=F.col("event_id") + 1,
+                             columns=["user_id", "value"])
+
+
+def q_meta_counts(spark, d):
+    # the description of a table next to what its data cells hold
+    cells = combined_cells(_table(spark, d, "orders"), "orders")
+    held = (cells.where(F.col("id") > 0).groupBy("num")
+            .agg(F.count(F.lit(1)).alias("n_cells"), F.count("val").alias("n_values")))
+    return schema_frame(cells).join(held, "num")
+
+
+def _nested_events(spark, d):
+    e = _table(spark, d, "events")
+    return e.select("event_id", F.struct("ts", F.array("user_id", "event_id").alias("ids")).alias("info"),
+                    F.create_map(F.col("event_type"), F.col("value")).alias("measured"))
+
+
+def q_restore_nested(spark, d):
+    table, _ = restore(combined_cells(_nested_events(spark, d), "events"))
+    return table.select("event_id", "info.ts", F.col("info.ids")[0].alias("user_id"),
+                        F.map_keys("measured")[0].alias("event_type"),
+                        F.map_values("measured")[0].alias("value"))
+
+
 def q_combined_export_text(spark, d):
     return combined_export(_table(spark, d, "nation"), "nation", ids="ordered",
                            order_by=["n_nationkey"], text_order=True)
@@ -167,6 +196,22 @@ def q_combined_export(spark, d):
                            order_by=["n_nationkey"])
 
 
+def _emitted(export: DataFrame) -> DataFrame:
+    """The rows of an ordered export numbered in the order they come out."""
+    return with_row_ids(export.withColumn("at", F.monotonically_increasing_id()), "ordered",
+                        order_by=["at"]).drop("at")
+
+
+def q_combined_export_order(spark, d):
+    return _emitted(combined_export(_table(spark, d, "orders"), "orders", ids="ordered",
+                                    order_by=["o_orderkey"]))
+
+
+def q_combined_export_text_order(spark, d):
+    return _emitted(combined_export(_table(spark, d, "orders"), "orders", ids="ordered",
+                                    order_by=["o_orderkey"], text_order=True))
+
+
 # ----------------------------------------------------------- projections
 
 def q_string_columns(spark, d):
@@ -230,6 +275,13 @@ def q_partition_profile(spark, d):
                     F.count_if(F.col("n") == 0).alias("n_empty"))
 
 
+def q_partition_profile_empty(spark, d):
+    # at most three of eight partitions have rows; no count is given
+    prof = partitions_length(_table(spark, d, "orders").repartition(8, "o_orderstatus"))
+    return prof.agg(F.count(F.lit(1)).alias("n_partitions"), F.sum("n").alias("n_rows"),
+                    (F.count_if(F.col("n") == 0) >= 5).alias("has_empty"))
+
+
 def q_add_partition(spark, d):
     tagged = add_partition_column(_table(spark, d, "lineitem").repartition(8))
     return tagged.agg(F.count_distinct("part").alias("n_partitions"),
@@ -270,6 +322,21 @@ def q_audit_cells(spark, d):
     return audit_round_trip(customer, cells, restored)
 
 
+def q_audit_damaged(spark, d):
+    # every name whose text ends in 7 is lost and every balance's text spoilt in
+    # rows of segment BUILDING; the audit has to count both
+    customer = _table(spark, d, "customer")
+    ident, segment = F.col("c_custkey") + 1, F.col("c_mktsegment") == "BUILDING"
+    in_building = melt_cells(customer.where(segment), id_col=ident, columns=["c_acctbal"])
+    spoilt = (meta_cells(spark, customer.schema, "customer")
+              .unionByName(melt_cells(customer, id_col=ident)
+                           .where(~((F.col("num") == 2) & F.col("val").endswith("7")))
+                           .join(in_building.select("id", "num", F.lit(True).alias("bad")), ["id", "num"], "left")
+                           .select("id", "num", F.when(F.col("bad"), "spoilt").otherwise(F.col("val")).alias("val"))))
+    restored, _ = restore(spoilt)
+    return audit_round_trip(customer, spoilt, restored)
+
+
 def q_describe_table(spark, d):
     return describe_table(_table(spark, d, "customer"))
 
@@ -299,6 +366,38 @@ def q_csv_round_trip(spark, d):
             .options(**overlay(KEY_VALUE_CSV_READ)).csv(path))
 
 
+def q_csv_malformed(spark, d):
+    # no schema, ';', all cells quoted; every seventh line has a cell too many
+    path = _scratch(spark, "csv-malformed")
+    cells = ["p_partkey", "p_name", "p_size"]
+    line = F.concat_ws(";", *[F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"')) for c in cells])
+    more = F.when(F.col("p_partkey") % 7 == 3, F.concat(line, F.lit(';"extra"'))).otherwise(line)
+    _table(spark, d, "part").select(more.alias("value")).write.text(path)
+    read = read_csv(spark, path, {"sep": ";"}).toDF(*cells)
+    return read.withColumn("n_counted", F.lit(read.count()).cast("long"))
+
+
+def q_save_modes(spark, d):
+    path, part = _scratch(spark, "save-modes"), _table(spark, d, "part")
+    schema = part.schema
+    kept = []
+    for step, mode in enumerate(["append", "append", "ignore", "overwrite"], 1):
+        write_csv(part, path, mode=mode, n_files=2)
+        # counted now: the next step replaces the files
+        kept.append((step, mode, read_csv(spark, path, schema=schema).count()))
+    return spark.createDataFrame(kept, "step int, mode string, n_rows long")
+
+
+def q_load_files(spark, d):
+    # the partition count asked for shows in the files; the metadata is one file
+    target = _scratch(spark, "load-files")
+    meta, data = load_key_value(spark, _table(spark, d, "orders"), target, name="orders",
+                                n_partitions=3, max_records_per_file=None)
+    read = read_key_value(spark, [meta, data]).withColumn("file", F.input_file_name())
+    kind = F.when(F.col("file").contains("/meta/"), "meta").otherwise("data").alias("kind")
+    return read.groupBy(kind).agg(F.count_distinct("file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def q_load_job(spark, d):
     target = _scratch(spark, "load-job")
     meta, data = load_key_value(spark, _table(spark, d, "orders"), target, name="orders",
@@ -327,6 +426,26 @@ def q_zip_read(spark, d):
     return read_zipped_csv(spark, path, {"header": "true", "inferSchema": "true"})
 
 
+def q_zip_entries(spark, d):
+    # three archives of several entries, each with its header; ';' and a date format
+    path = _scratch(spark, "zip-entries")
+    orders = _table(spark, d, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_totalprice",
+        F.date_format("o_orderdate", "dd.MM.yyyy").alias("o_orderdate"))
+    layout = {"header": "true", "sep": ";"}
+    write_zipped_csv(orders.repartition(3), path, layout, max_records_per_file=1000)
+    return read_zipped_csv(spark, path, layout | {"inferSchema": "true", "dateFormat": "dd.MM.yyyy"})
+
+
+def q_zip_documents(spark, d):
+    # whole documents, with line breaks, '#' lines and quotes inside cells
+    path = _scratch(spark, "zip-documents")
+    docs = _table(spark, d, "documents")
+    layout = {"header": "true", "nullValue": "\\N"}
+    write_zipped_csv(docs.repartition(4), path, layout, max_records_per_file=200)
+    return read_zipped_csv(spark, path, layout, schema=docs.schema)
+
+
 def q_zip_key_value(spark, d):
     path = _scratch(spark, "zip-key-value")
     docs = _table(spark, d, "documents")
@@ -378,6 +497,17 @@ def q_stream_key_value(spark, d):
     return spark.read.parquet(out)
 
 
+def q_stream_key_value_subset(spark, d):
+    events = _table(spark, d, "events")
+    stream = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
+              .parquet(d))
+    out, ckpt = _scratch(spark, "stream-out"), _scratch(spark, "stream-ckpt")
+    query = start_key_value_stream(stream, F.col("event_id") + 1, out, ckpt,
+                                   available_now=True, columns=["user_id", "value"])
+    query.awaitTermination()
+    return spark.read.parquet(out)
+
+
 QUERIES: dict[str, Query] = {
     "key_value": q_key_value,
     "key_value_lineitem": q_key_value_lineitem,
@@ -421,6 +551,19 @@ QUERIES: dict[str, Query] = {
     "workbook_load_job": q_workbook_load_job,
     "csv_load_job": q_csv_load_job,
     "stream_key_value": q_stream_key_value,
+    "key_value_id_subset": q_key_value_id_subset,
+    "meta_counts": q_meta_counts,
+    "restore_nested": q_restore_nested,
+    "combined_export_order": q_combined_export_order,
+    "combined_export_text_order": q_combined_export_text_order,
+    "partition_profile_empty": q_partition_profile_empty,
+    "audit_damaged": q_audit_damaged,
+    "csv_malformed": q_csv_malformed,
+    "save_modes": q_save_modes,
+    "load_files": q_load_files,
+    "zip_entries": q_zip_entries,
+    "zip_documents": q_zip_documents,
+    "stream_key_value_subset": q_stream_key_value_subset,
 }
 
 
@@ -512,6 +655,39 @@ def _audit_sql():
         + (" FROM customer" if "count" in v else "") for m, v in metrics)
 
 
+def _damaged_sql():
+    lost, spoilt = "c_name LIKE '%7'", "c_mktsegment = 'BUILDING' AND c_acctbal IS NOT NULL"
+    metrics = [("rows", "count(*)"), ("columns", "5"), ("cells_expected", "count(*) * 5"),
+               ("data_cells", f"count(*) * 5 - count(*) FILTER ({lost})"), ("meta_cells", "6"),
+               ("restored_rows", "count(*)"), ("unparsed_cells", f"count(*) FILTER ({spoilt})"),
+               ("schema_equal", "1"),
+               ("missing_rows", f"count(*) FILTER ({lost} OR ({spoilt}))"),
+               ("extra_rows", f"count(*) FILTER ({lost} OR ({spoilt}))")]
+    return " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, CAST({v} AS BIGINT) AS value"
+        + (" FROM customer" if "count" in v else "") for m, v in metrics)
+
+
+def _meta_counts_sql():
+    return " UNION ALL ".join(
+        f"SELECT CAST({k} AS BIGINT) AS num, '{c}' AS name, '{j}' AS type, true AS nullable, "
+        f"count(*) AS n_cells, count({c}) AS n_values FROM orders"
+        for k, (c, _, j) in enumerate(TABLES["orders"], start=1))
+
+
+def _export_order_sql(text_order):
+    """Rows of the export of ``orders`` numbered by the order asked for."""
+    export = f"{_meta_sql('orders')} UNION ALL {S.key_value(_ORDERS_CELLS)}"
+    by = "key" if text_order else ("CAST(split_part(key, ',', 1) AS BIGINT), "
+                                   "CAST(split_part(key, ',', 2) AS BIGINT)")
+    return f"SELECT row_number() OVER (ORDER BY {by}) AS id, key, val FROM ({export}) x"
+
+
+def _id_subset_sql():
+    cells = S.cells("events", _cols("events"), [], id_expr="event_id + 1")
+    return S.key_value(f"SELECT id, num, val FROM ({cells}) c WHERE num IN (3, 5)")
+
+
 def _rows_matching_sql():
     p = MATCH_PATTERN
     return (f"SELECT * FROM conversations WHERE regexp_matches(role, '{p}') "
@@ -587,4 +763,25 @@ ORACLE_SQL: dict[str, str] = {
         ["p_partkey"])),
     "stream_key_value": S.key_value(S.cells("events", _cols("events"), [],
                                             id_expr="event_id + 1")),
+    "key_value_id_subset": _id_subset_sql(),
+    "meta_counts": _meta_counts_sql(),
+    "restore_nested": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "combined_export_order": _export_order_sql(False),
+    "combined_export_text_order": _export_order_sql(True),
+    "partition_profile_empty": ("SELECT CAST(8 AS BIGINT) AS n_partitions, count(*) AS n_rows, "
+                                "true AS has_empty FROM orders"),
+    "audit_damaged": _damaged_sql(),
+    "csv_malformed": ("SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, "
+                      "CAST(p_size AS VARCHAR) AS p_size, count(*) OVER () AS n_counted "
+                      "FROM part WHERE p_partkey % 7 <> 3"),
+    "save_modes": " UNION ALL ".join(
+        f"SELECT {step} AS step, '{mode}' AS mode, count(*) * {times} AS n_rows FROM part"
+        for step, mode, times in [(1, "append", 1), (2, "append", 2), (3, "ignore", 2),
+                                  (4, "overwrite", 1)]),
+    "load_files": ("SELECT 'data' AS kind, CAST(3 AS BIGINT) AS n_files, count(*) * 6 AS n_rows "
+                   "FROM orders UNION ALL SELECT 'meta', 1, 7"),
+    "zip_entries": ("SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderpriority, o_totalprice, "
+                    "CAST(o_orderdate AS DATE) AS o_orderdate FROM orders"),
+    "zip_documents": _select_all("documents"),
+    "stream_key_value_subset": _id_subset_sql(),
 }

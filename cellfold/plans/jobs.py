@@ -90,7 +90,8 @@ def write_key_value(kv: DataFrame, path: str, fmt: str = "csv",
         writer.parquet(path)
     elif fmt == "zip":
         from cellfold.sinks.zipped import write_zipped_csv
-        write_zipped_csv(frame, path, overlay(KEY_VALUE_CSV, options), mode=mode)
+        write_zipped_csv(frame, path, overlay(KEY_VALUE_CSV, options), mode=mode,
+                         max_records_per_file=max_records_per_file)
     else:
         raise ValueError(f"fmt must be one of {KV_FORMATS}")
 

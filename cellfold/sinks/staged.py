@@ -6,6 +6,7 @@ lost task leaves no partial or duplicate file behind."""
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql.datasource import WriterCommitMessage
@@ -13,6 +14,9 @@ from pyspark.sql.datasource import WriterCommitMessage
 from cellfold.sources.files import filesystem
 
 
+_RENAMES = 16  # renames in flight at commit
+
+
 @dataclass
 class StagedFiles(WriterCommitMessage):
     moves: list = field(default_factory=list)  # (temp uri, final uri)
@@ -36,20 +40,24 @@ class Staging:
                 f"{self.path}/{name}")
 
     def commit(self, messages) -> None:
+        """Publish the new files, then delete the old ones: a crash between
+        leaves both, never neither."""
         from pyarrow import fs
         f, root = filesystem(self.path)
-        if self.overwrite:
-            for info in f.get_file_info(fs.FileSelector(root, allow_not_found=True)):
-                if info.base_name == "_temporary":
-                    continue
-                if info.type == fs.FileType.Directory:
-                    f.delete_dir(info.path)
-                else:
-                    f.delete_file(info.path)
         f.create_dir(root, recursive=True)
-        for m in messages:
-            for temp, final in (m.moves if m is not None else []):
-                f.move(filesystem(temp)[1], filesystem(final)[1])
+        old = f.get_file_info(fs.FileSelector(root)) if self.overwrite else []
+        moves = [move for m in messages if m is not None for move in m.moves]
+
+        def publish(move: tuple[str, str]) -> None:
+            f.move(filesystem(move[0])[1], filesystem(move[1])[1])
+
+        def drop(info: fs.FileInfo) -> None:
+            if info.base_name != "_temporary":
+                (f.delete_dir if info.type == fs.FileType.Directory else f.delete_file)(info.path)
+
+        with ThreadPoolExecutor(_RENAMES) as pool:  # list() raises what a call raised
+            list(pool.map(publish, moves))
+            list(pool.map(drop, old))
         self.abort(messages)
 
     def abort(self, messages) -> None:

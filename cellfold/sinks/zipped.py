@@ -9,14 +9,18 @@ the counterpart of the zipped-CSV source, used to produce its archives.
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter
 
+from cellfold.functions.text import to_text
 from cellfold.sinks.staged import StagedFiles, Staging
 from cellfold.sources.files import exists, open_output
 from cellfold.sources.options import WRITER_CSV_DEFAULTS, canonical, flag, overlay, parse_save_mode
@@ -25,14 +29,6 @@ from cellfold.sources.zipped import csv_dialect
 FORMAT = "cellfold_zipcsv"
 
 
-def _text(v, null_value: str) -> str:
-    if v is None:
-        return null_value
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    return str(v)
-
-
 class ZippedCsvWriter(DataSourceArrowWriter):
     def __init__(self, options: Mapping[str, str], schema, overwrite: bool):
         self.options = overlay(WRITER_CSV_DEFAULTS, canonical(options))
@@ -41,26 +37,33 @@ class ZippedCsvWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator) -> StagedFiles:
         temp, final = self.staging.task_names(".zip")
-        entry = final.rsplit("/", 1)[-1][:-len(".zip")] + ".csv"
+        stem = final.rsplit("/", 1)[-1][:-len(".zip")]
+        limit = int(self.options.get("maxRecordsPerFile", 0)) or None
         null_value = self.options.get("nullValue", "")
         dialect = csv_dialect(self.options)
         dialect.setdefault("quoting", csv.QUOTE_MINIMAL)
         rows = 0
         sink = open_output(temp)
         with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as zf:
-            with zf.open(entry, "w") as raw:
-                text = io.TextIOWrapper(raw, encoding=self.options.get("charset", "UTF-8"),
-                                        newline="")
-                out = csv.writer(text, lineterminator="\n", **dialect)
-                if flag(self.options, "header"):
-                    out.writerow(self.names)
-                for batch in iterator:
-                    cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-                    for values in zip(*cols):
-                        out.writerow([_text(v, null_value) for v in values])
+            records = (values for batch in iterator
+                       for values in zip(*(c.to_pylist() for c in batch.columns)))
+            for number in itertools.count():
+                entry = list(itertools.islice(records, 1))
+                if number and not entry:
+                    break
+                with zf.open(f"{stem}-{number:03d}.csv", "w", force_zip64=True) as raw:
+                    buffered = io.BufferedWriter(raw)
+                    # a stream writer sets the byte order mark that UTF-16 needs
+                    text = codecs.getwriter(self.options.get("charset", "UTF-8"))(buffered)
+                    out = csv.writer(text, lineterminator="\n", **dialect)
+                    if flag(self.options, "header"):
+                        out.writerow(self.names)
+                    more = itertools.islice(records, limit - 1 if limit else None)
+                    for values in itertools.chain(entry, more):
+                        out.writerow([null_value if v is None else v for v in values])
                         rows += 1
-                text.flush()
-                text.detach()
+                    buffered.flush()
+                    buffered.detach()
         sink.close()
         return StagedFiles([(temp, final)], rows)
 
@@ -87,8 +90,12 @@ def register(spark) -> None:
 
 
 def write_zipped_csv(df: DataFrame, path: str, options: Mapping[str, object] | None = None,
-                     mode: str | None = "overwrite") -> None:
-    """Write ``df`` as zipped CSV: one archive (one entry) per partition."""
+                     mode: str | None = "overwrite",
+                     max_records_per_file: int | None = None) -> None:
+    """Write ``df`` as zipped CSV: one archive per partition, with a new entry
+    (the unit that one task reads back) every ``max_records_per_file`` records.
+    Cells are turned to text in Spark (``to_text``), so binary and nested values
+    are written in the form that restore reads."""
     mode = parse_save_mode(mode)
     if mode in ("errorifexists", "ignore") and exists(path):
         if mode == "ignore":
@@ -96,4 +103,8 @@ def write_zipped_csv(df: DataFrame, path: str, options: Mapping[str, object] | N
         raise FileExistsError(path)
     register(df.sparkSession)
     save_mode = "overwrite" if mode == "overwrite" else "append"
-    df.write.format(FORMAT).mode(save_mode).options(**overlay(options)).save(path)
+    slots = [f"__c{i}" for i in range(len(df.columns))]  # by position: names may repeat
+    texts = df.toDF(*slots).select(*[to_text(F.col(c), f.dataType).alias(f.name)
+                                     for c, f in zip(slots, df.schema.fields)])
+    opts = overlay(options, {"maxRecordsPerFile": max_records_per_file} if max_records_per_file else None)
+    texts.write.format(FORMAT).mode(save_mode).options(**opts).save(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellfold.functions.names import qcol
 from cellfold.sources.options import READER_CSV_DEFAULTS, overlay
 
 _CORRUPT = "_cellfold_corrupt"
@@ -18,16 +19,21 @@ def read_csv(spark: SparkSession, path: str | list[str],
              schema: T.StructType | str | None = None) -> DataFrame:
     """Read CSV with the reference defaults overlaid by ``options``.
 
-    Give ``schema`` at scale: inference costs a full extra pass. With an
-    explicit schema and ``mode=DROPMALFORMED`` the read runs as ``PERMISSIVE``
-    with a corrupt-record column and an explicit filter, so that ``count()``
-    and ``collect()`` agree (``DROPMALFORMED`` with column pruning counts
-    malformed rows that a full read drops).
+    Give ``schema`` at scale: inference costs a full extra pass. Without one the
+    names (and, with ``inferSchema``, the types) are taken first. With
+    ``mode=DROPMALFORMED`` the read runs as ``PERMISSIVE`` with a
+    corrupt-record column and an explicit filter, so that ``count()`` and
+    ``collect()`` agree (``DROPMALFORMED`` with column pruning counts malformed
+    rows that a full read drops).
     """
     opts = overlay(READER_CSV_DEFAULTS, options)
     reader = spark.read
-    if schema is not None and opts.get("mode", "").upper() == "DROPMALFORMED":
+    if opts.get("mode", "").upper() == "DROPMALFORMED":
+        if schema is None:
+            schema = reader.options(**opts).csv(path).schema
         st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        if not st.fields:
+            return reader.schema(st).options(**opts).csv(path)
         with_corrupt = T.StructType(list(st.fields) + [T.StructField(_CORRUPT, T.StringType())])
         opts = overlay(opts, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
         raw = reader.options(**opts).schema(with_corrupt).csv(path)
@@ -36,7 +42,7 @@ def read_csv(spark: SparkSession, path: str | list[str],
         # skip the malformed-record check) and the scan never needs only the
         # corrupt-record column (which Spark refuses)
         whole = F.length(F.concat_ws("\u0001", *[
-            F.col(f"`{f.name}`").cast("string") for f in st.fields])) >= 0
+            qcol(f.name).cast("string") for f in st.fields])) >= 0
         return raw.where(F.col(_CORRUPT).isNull() & whole).drop(_CORRUPT)
     if schema is not None:
         reader = reader.schema(schema)

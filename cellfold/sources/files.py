@@ -3,7 +3,7 @@ object stores), for sources and sinks that unpack archives or workbooks."""
 
 from __future__ import annotations
 
-from urllib.parse import urlparse
+from urllib.parse import quote, urlparse
 
 
 # Hadoop scheme names and the pyarrow file system that serves them
@@ -22,7 +22,11 @@ def _normalise(uri: str) -> str:
 def filesystem(uri: str):
     """``(pyarrow FileSystem, path inside it)`` for a URI or local path."""
     from pyarrow import fs
-    return fs.FileSystem.from_uri(_normalise(uri))
+    uri = _normalise(uri)
+    if uri.startswith("file://"):
+        return fs.LocalFileSystem(), "/" + uri[len("file://"):].lstrip("/")
+    # paths come as plain text: what a URI reserves (spaces, percent signs) is quoted
+    return fs.FileSystem.from_uri(quote(uri, safe="/:@?&=+$,;~!*'()[]"))
 
 
 def open_input(uri: str):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellfold.functions.names import qcol
 from cellfold.functions.text import from_text
 from cellfold.sources.options import flag
 
@@ -37,15 +38,34 @@ def cell(fields_col: str, i: int, null_value: str | None) -> F.Column:
     return v
 
 
-def infer_types(texts: DataFrame, names: list[str]) -> T.StructType:
+def safe_names(header: list[str | None], case_sensitive: bool = False) -> list[str]:
+    """Column names from a header, as Spark's CSV reader makes them: an empty
+    name becomes ``_c<i>`` and names that occur twice get their position."""
+    keys = [(h or "") if case_sensitive else (h or "").lower() for h in header]
+    return [f"_c{i}" if not h else f"{h}{i}" if keys.count(k) > 1 else h
+            for i, (h, k) in enumerate(zip(header, keys))]
+
+
+def parse_cell(text: F.Column, dt: T.DataType, opts: Mapping[str, str]) -> F.Column:
+    """Typed value of a cell; ``dateFormat`` and ``timestampFormat`` are obeyed
+    where given. Text that does not parse gives null."""
+    if isinstance(dt, T.DateType) and opts.get("dateFormat"):
+        return F.try_to_date(text, opts["dateFormat"])
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)) and opts.get("timestampFormat"):
+        return F.try_to_timestamp(text, F.lit(opts["timestampFormat"])).cast(dt)
+    return from_text(text, dt)
+
+
+def infer_types(texts: DataFrame, names: list[str], opts: Mapping[str, str]) -> T.StructType:
     """One aggregation pass: for each column and candidate type, does every
     non-null text parse? Returns the narrowest type per column."""
+    formats = {"date": opts.get("dateFormat"), "timestamp": opts.get("timestampFormat")}
     checks = []
     for i, name in enumerate(names):
-        v = F.col(f"`{name}`")
+        v = qcol(name)
         for tag, dt, shape in _CANDIDATES:
-            ok = v.try_cast(dt).isNotNull()
-            if shape is not None:
+            ok = parse_cell(v, dt, opts).isNotNull()
+            if shape is not None and not formats.get(tag):
                 ok = ok & v.rlike(shape)
             checks.append(F.bool_and(v.isNull() | ok).alias(f"{i}_{tag}"))
     row = texts.agg(*checks).collect()[0].asDict() if checks else {}
@@ -69,27 +89,31 @@ def typed_table(records: DataFrame, names: list[str], opts: Mapping[str, str],
     a text that does not parse as its type; ``FAILFAST`` raises on them.
     """
     null_value = opts.get("nullValue")
+    names = list(names)
     if schema is not None and len(schema.fields) != len(names):
         names = schema.names
     n = len(names)
+    # by position, so that no header can meet another name of the plan
+    slots = [f"__cell{i}" for i in range(n)]
     texts = records.select(
-        *[cell("fields", i, null_value).alias(name) for i, name in enumerate(names)],
+        *[cell("fields", i, null_value).alias(slot) for i, slot in enumerate(slots)],
         F.size("fields").alias("__n_fields"),
     )
     if schema is None:
         if flag(opts, "inferSchema"):
-            schema = infer_types(texts.drop("__n_fields"), names)
+            found = infer_types(texts, slots, opts)
+            schema = T.StructType([T.StructField(c, f.dataType, True) for c, f in zip(names, found.fields)])
         else:
             schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
-    typed = [from_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields]
+    typed = [parse_cell(F.col(slot), f.dataType, opts).alias(f.name) for slot, f in zip(slots, schema.fields)]
     mode = opts.get("mode", "PERMISSIVE").upper()
     if mode == "PERMISSIVE":
         return texts.select(*typed)
     bad = F.col("__n_fields") != F.lit(n)
-    for f in schema.fields:
+    for slot, f in zip(slots, schema.fields):
         if not isinstance(f.dataType, T.StringType):
-            src = F.col(f"`{f.name}`")
-            bad = bad | (src.isNotNull() & from_text(src, f.dataType).isNull())
+            src = F.col(slot)
+            bad = bad | (src.isNotNull() & parse_cell(src, f.dataType, opts).isNull())
     if mode == "DROPMALFORMED":
         return texts.where(~bad).select(*typed)
     if mode == "FAILFAST":

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from cellfold.session import ship_package
 from cellfold.sources.files import open_input
 from cellfold.sources.options import READER_EXCEL_DEFAULTS, flag, overlay
-from cellfold.sources.records import typed_table
+from cellfold.sources.records import safe_names, typed_table
 
 RECORD_SCHEMA = "path string, sheet string, rec long, fields array<string>"
 _BATCH = 4096
@@ -102,6 +102,9 @@ class _Book:
                 target = r.get("Target", "")
                 target = target.lstrip("/") if target.startswith("/") else "xl/" + target
                 rels[r.get("Id")] = target
+        for pr in wb.iter(f"{_NS}workbookPr"):
+            if pr.get("date1904") in ("1", "true"):
+                raise ValueError("workbooks with the 1904 date system are not supported")
         self.sheets = []
         for s in wb.iter(f"{_NS}sheet"):
             rid = s.get(f"{_REL_NS}id")
@@ -154,6 +157,9 @@ def _date_text(serial: float, date_fmt_has_time: bool) -> str:
 
 
 def _number_text(v: str) -> str:
+    v = v.strip()
+    if re.fullmatch(r"-?\d+", v) or len(re.sub(r"[eE].*|\D", "", v).strip("0")) > 17:
+        return v  # whole numbers and more digits than a double holds: as stored
     x = float(v)
     if x.is_integer() and abs(x) < 2 ** 53:
         return str(int(x))
@@ -235,6 +241,13 @@ def _workbook_reader(opts: Mapping[str, str], limit: int | None = None):
     return read
 
 
+def _books(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path`` of every workbook, whatever the case of its suffix."""
+    files = (spark.read.format("binaryFile")
+             .option("pathGlobFilter", "*.[xX][lL][sS][xXmM]").load(paths))
+    return files.select("path")
+
+
 def workbook_records(spark: SparkSession, path: str | Sequence[str],
                      options: Mapping[str, object] | None = None,
                      n_tasks: int | None = None) -> DataFrame:
@@ -244,8 +257,7 @@ def workbook_records(spark: SparkSession, path: str | Sequence[str],
     opts = overlay(READER_EXCEL_DEFAULTS, options)
     paths = [path] if isinstance(path, str) else list(path)
     n = n_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    books = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
-             .load(paths).select("path").repartition(n, "path"))
+    books = _books(spark, paths).repartition(n, "path")
     return books.mapInPandas(_workbook_reader(opts), RECORD_SCHEMA)
 
 
@@ -269,13 +281,15 @@ def read_workbooks(spark: SparkSession, path: str | Sequence[str],
         names = st.names
     else:
         paths = [path] if isinstance(path, str) else list(path)
-        first = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
-                 .load(paths).select("path").orderBy("path").limit(1)
+        first = (_books(spark, paths).orderBy("path").limit(1)
                  .mapInPandas(_workbook_reader(opts, limit=1), RECORD_SCHEMA)
                  .select("fields").collect())
         if not first:
             return spark.createDataFrame([], T.StructType([]))
-        row = [x if x is not None else f"_c{i}" for i, x in enumerate(first[0]["fields"])]
-        names = row if header else [f"_c{i}" for i in range(len(row))]
-    # workbooks have no text for null: only real empty cells are null
-    return typed_table(records, names, overlay(opts, {"nullValue": None}), st)
+        row = first[0]["fields"]
+        sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
+        names = safe_names(row, sensitive) if header else [f"_c{i}" for i in range(len(row))]
+    # workbooks have no text for null: only real empty cells are null; date cells
+    # come as ISO text, whatever format they are shown in
+    plain = {"nullValue": None, "dateFormat": None, "timestampFormat": None}
+    return typed_table(records, names, overlay(opts, plain), st)

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from cellfold.session import ship_package
 from cellfold.sources.files import open_input
 from cellfold.sources.options import READER_CSV_DEFAULTS, flag, overlay
-from cellfold.sources.records import typed_table
+from cellfold.sources.records import safe_names, typed_table
 
 ENTRY_SCHEMA = "path string, entry string, entry_index int, size long"
 RECORD_SCHEMA = "path string, entry string, entry_index int, rec long, fields array<string>"
@@ -153,7 +153,8 @@ def read_zipped_csv(spark: SparkSession, path: str | Sequence[str],
     """Read all CSV entries of the archives under ``path`` as one table (S3).
 
     Options as for CSV (reference defaults: no header, ``,``, ``"``, ``\\``,
-    ``DROPMALFORMED``, comment ``#``, null text empty). Column names come from
+    ``DROPMALFORMED``, comment ``#``, null text empty); ``dateFormat`` and
+    ``timestampFormat`` are obeyed. Column names come from
     the first entry's header (``header=true``) or are ``_c0…``; every entry is
     parsed to one schema: the given one, one inferred over all entries in a
     single pass (``inferSchema=true``), or all strings.
@@ -170,5 +171,6 @@ def read_zipped_csv(spark: SparkSession, path: str | Sequence[str],
         first = _first_record(spark, path, opts)
         if first is None:
             return spark.createDataFrame([], T.StructType([]))
-        names = first if header else [f"_c{i}" for i in range(len(first))]
+        sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
+        names = safe_names(first, sensitive) if header else [f"_c{i}" for i in range(len(first))]
     return typed_table(records, names, opts, st)

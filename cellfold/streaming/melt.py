@@ -36,8 +36,9 @@ def start_key_value_stream(df: DataFrame, id_col: str | Column, path: str,
                            options: Mapping[str, str] | None = None,
                            available_now: bool = False,
                            processing_time: str | None = None,
-                           max_records_per_file: int | None = None) -> StreamingQuery:
-    """Start melting ``df`` into ``path`` (append mode, file sink).
+                           max_records_per_file: int | None = None,
+                           columns: Sequence[str] | None = None) -> StreamingQuery:
+    """Start melting ``df`` (or ``columns`` of it) into ``path`` (append mode, file sink).
 
     ``available_now`` processes what is there and stops (batch-like runs);
     otherwise micro-batches run every ``processing_time`` (default: as fast
@@ -45,7 +46,7 @@ def start_key_value_stream(df: DataFrame, id_col: str | Column, path: str,
     """
     if fmt not in SINK_FORMATS:
         raise ValueError(f"fmt must be one of {SINK_FORMATS}")
-    writer = (stream_key_value(df, id_col).writeStream.format(fmt)
+    writer = (stream_key_value(df, id_col, columns).writeStream.format(fmt)
               .outputMode("append").option("checkpointLocation", checkpoint)
               .options(**(options or {})))
     if max_records_per_file:

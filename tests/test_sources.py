@@ -266,3 +266,50 @@ def test_zip_reader_spreads_entries_and_prunes_contents(spark, scratch):
     assert head.count("MapInPandas") == 2 and "Exchange" in head
     assert "ReadSchema: struct<path:string>" in text  # contents are not loaded
     assert df.count() == 5
+
+
+def test_csv_without_schema_counts_what_it_collects(spark, scratch):
+    path = scratch("bad-csv")
+    spark.createDataFrame([("1,a",), ("2,b,extra",), ("3",), ("4,d",)], "value string").coalesce(1).write.text(path)
+    for options in ({}, {"inferSchema": "true"}):
+        df = read_csv(spark, path, options)
+        assert df.count() == len(df.collect()) == 2
+    assert [f.dataType.simpleString() for f in df.schema] == ["int", "string"]
+
+
+def test_zip_formats_duplicate_headers_and_paths_with_spaces(spark, scratch):
+    path = scratch("zip") + "/a folder with 100%"
+    rows = [("31.12.2024", "1", "x`y"), ("01.02.2025", "2", None)]
+    df = spark.createDataFrame(rows, "`a.b` string, `n` string, `A.B` string")
+    layout = {"header": "true", "sep": ";", "encoding": "UTF-16"}
+    write_zipped_csv(df.coalesce(1), path, layout, max_records_per_file=1)
+    assert zip_entries(spark, path).count() == 2
+    back = read_zipped_csv(spark, path, layout | {"inferSchema": "true", "dateFormat": "dd.MM.yyyy"})
+    assert back.columns == ["a.b0", "n", "A.B2"]
+    assert [f.dataType.simpleString() for f in back.schema] == ["date", "int", "string"]
+    assert sorted((str(a), n, t) for a, n, t in back.collect()) == [("2024-12-31", 1, "x`y"), ("2025-02-01", 2, None)]
+
+
+def test_zip_sink_writes_binary_and_nested_text(spark, scratch):
+    path = scratch("zip-binary")
+    df = spark.sql("select X'00FF' as b, array(1, 2) as a, struct(TIMESTAMP_NTZ'2024-01-01 00:00:00.123456' as t) as s")
+    write_zipped_csv(df, path)
+    back = read_zipped_csv(spark, path, schema=df.schema)
+    assert back.collect() == df.collect()
+
+
+def test_zip_overwrite_leaves_new_files_only(spark, scratch):
+    path = scratch("zip-twice")
+    for n in (5, 3):
+        write_zipped_csv(spark.range(n), path)
+    assert read_zipped_csv(spark, path, schema="id long").count() == 3
+    write_zipped_csv(spark.range(2), path, mode="append")
+    assert read_zipped_csv(spark, path, schema="id long").count() == 5
+
+
+@pytest.mark.parametrize("stored, text", [
+    ("9007199254740993", "9007199254740993"), ("12345678901234567890.123456", "12345678901234567890.123456"),
+    ("5.0", "5"), ("0.10000000000000001", "0.1"), ("1E+20", "1e+20"), ("-0.5", "-0.5")])
+def test_workbook_numbers_keep_their_digits(stored, text):
+    from cellfold.sources.workbook import _number_text
+    assert _number_text(stored) == text
