@@ -43,7 +43,8 @@ def op3_secrets(spark, d):
     found = secrets.find_secrets(docs)
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
                         F.sha2(secrets.joined("base_spans").cast("binary"), 256).alias("base_sha256"),
-                        secrets.joined("all_spans").alias("spans"), "n_entropy")
+                        secrets.joined("all_spans").alias("spans"), "n_entropy",
+                        "n_random", secrets.joined("random_spans").alias("random"))
 
 
 def op4_syncmers(spark, d):

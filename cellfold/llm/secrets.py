@@ -12,6 +12,15 @@ reaches from the first to the last window whose Shannon entropy
 ``log2 20 - sum / 20`` meets the threshold of the class. Candidates that a
 pattern of the allow-list finds are suppressed.
 
+The spans above are fixed by their tests. ``random_spans`` is the scan without
+their gaps: candidates have 20 characters or more, every candidate has a class
+with a threshold of its own (``hex``, ``mixed``, ``lower`` or ``upper`` with
+digits, ``letters``, else ``digits``), and the allow-list suppresses the path
+segment that it matches (``/`` parts segments), not the whole run. What is
+left between suppressed segments is classed and scanned by itself. Segments
+that are words are suppressed in paths only, and a word is shorter than a
+window.
+
 One projection over whole texts, no shuffle; expressions only. Defined cases:
 a null or empty text has no spans; rows are judged one by one, so repeated
 rows and ties give equal results; other columns pass through, those named like
@@ -37,15 +46,24 @@ BASE = {
 CANDIDATE = r"[A-Za-z0-9+/_-]{24,}"
 WINDOW = 20
 THRESHOLDS = {"hex": 3.0, "mixed": 3.8}  # bits a character
+RANDOM = r"[A-Za-z0-9+/_-]{20,}"  # as many as WINDOW
+RANDOM_THRESHOLDS = {"hex": 3.0, "mixed": 3.8, "lower": 3.5, "upper": 3.3, "letters": 3.6, "digits": 2.9}
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
     r"(?i)example|sample|placeholder|changeme|your[_-]?(api|secret|token|key)",
     r"(?i)0123456789abcdef|abcdefghijklmnop",
     r"/[A-Za-z_-]+/|^[A-Za-z_-]+/[A-Za-z_-]+/",  # paths made of words
 )
+ALLOWED_SEGMENTS = (
+    *ALLOWED[:2],
+    r"(?i)^[_-]*(0123456789)?abcdefghijklmnop(qrstuvwxyz)?[_-]*$|0123456789abcdef",
+)
+_WORD = r"([A-Z]?[a-z]{2,18}|[A-Z]{3,19})"
+WORDS = rf"^[_-]*{_WORD}([_-]+{_WORD})*[_-]*$"  # a segment of a path
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 UNIT = 1 << 20
-OUTPUT = ("n_assign", "n_access", "n_hex", "n_entropy", "base_spans", "all_spans")
+CHUNK = 512  # windows walked at a time: reading a character of a long string costs its position
+OUTPUT = ("n_assign", "n_access", "n_hex", "n_entropy", "base_spans", "all_spans", "n_random", "random_spans")
 
 
 def weight(count: int) -> int:
@@ -83,11 +101,42 @@ def _hot_part(thresholds) -> str:
     return f"transform(array({f}), f -> transform(array(case c.kind {limit} end), lim -> {walk})[0])[0]"
 
 
-def find_secrets(df: DataFrame, *, text: str = "text", thresholds=THRESHOLDS, allowed=ALLOWED) -> DataFrame:
+def _scanned(of: str, thresholds, no: int) -> str:
+    """SQL: the spans of all candidates in the array ``of``, one each at most. They are
+    walked in chunks; one with fewer than 2^threshold distinct characters has no hot window."""
+    chunk = (f"named_struct('start', o.start + {CHUNK} * k, 'value', substring(o.value, {CHUNK} * k + 1, "
+             f"{CHUNK + WINDOW - 1}), 'kind', o.kind)")
+    fewest = " ".join(f"when '{k}' then {math.ceil(2 ** v - 1e-9)}" for k, v in thresholds.items())
+    chunks = (f"filter(transform(sequence(0, (length(o.value) - {WINDOW}) div {CHUNK}), k -> {chunk}), "
+              f"c -> size(array_distinct(split(c.value, ''))) >= case c.kind {fewest} end)")
+    span = f"named_struct('start', h[0].start, 'no', {no}, 'kind', h[0].kind, 'stop', element_at(h, -1).stop)"
+    return (f"transform(filter(transform(filter({of}, o -> o.kind is not null), "
+            f"o -> flatten(transform({chunks}, c -> {_hot_part(thresholds)}))), h -> size(h) > 0), h -> {span})")
+
+
+def _pieces(allowed) -> str:
+    """SQL: for a candidate ``c`` (start, stop, value), the array of (start,
+    value, kind) of what the allow-list leaves of it."""
+    skip = " or ".join([f"(c.value like '%/%' and s rlike {quoted(WORDS)})", *(f"s rlike {quoted(p)}" for p in allowed)])
+    # suppressed segments become spaces, so positions stay; so do the slashes beside them
+    masked = (f"regexp_replace(array_join(transform(split(c.value, '/', -1), "
+              f"s -> if({skip}, repeat(' ', length(s)), s)), '/'), r'(?<=\x20)/|/(?=\x20)', ' ')")
+    has = lambda p: f"x.value rlike r'[{p}]'"
+    kind = (f"case when x.value rlike r'^[0-9a-fA-F]*$' and {has('0-9')} and {has('a-fA-F')} then 'hex' "
+            f"when {has('0-9')} and {has('a-z')} and {has('A-Z')} then 'mixed' "
+            f"when {has('0-9')} and {has('a-z')} then 'lower' when {has('0-9')} and {has('A-Z')} then 'upper' "
+            f"when {has('A-Za-z')} then 'letters' else 'digits' end")
+    return (f"transform(array({masked}), v -> transform({spans('v', RANDOM)}, "
+            f"x -> named_struct('start', c.start + x.start, 'value', x.value, 'kind', {kind})))[0]")
+
+
+def find_secrets(df: DataFrame, *, text: str = "text", thresholds=THRESHOLDS, allowed=ALLOWED,
+                 random_thresholds=RANDOM_THRESHOLDS, allowed_segments=ALLOWED_SEGMENTS) -> DataFrame:
     """``df`` with the counts per base kind, ``n_entropy``, and arrays
-    ``base_spans`` and ``all_spans`` of (start, no, kind, stop), sorted."""
+    ``base_spans`` and ``all_spans`` of (start, no, kind, stop), sorted; and
+    ``random_spans``, the whole entropy scan, with its count ``n_random``."""
     keep = [F.col(f"`{c}`") for c in df.columns if c.lower() not in OUTPUT]
-    t, base, cand, hot = unused_name(df, "_t", "_base", "_cand", "_hot")
+    t, base, runs, cand, part, hot, rand = unused_name(df, "_t", "_base", "_runs", "_cand", "_part", "_hot", "_random")
     kinds = list(BASE)
     at = df.withColumn(t, text_of(F.col(f"`{text}`")))
     parts = [f"transform({spans(t, p, group=g, least=n)}, x -> named_struct("
@@ -96,17 +145,18 @@ def find_secrets(df: DataFrame, *, text: str = "text", thresholds=THRESHOLDS, al
     skip = " or ".join(["false", *(f"x.value rlike {quoted(p)}" for p in allowed)])
     kind = ("case when x.value rlike r'^[0-9a-fA-F]*$' and x.value rlike r'[0-9]' and x.value rlike r'[a-fA-F]' then 'hex' "
             "when x.value rlike r'[0-9]' and x.value rlike r'[a-z]' and x.value rlike r'[A-Z]' then 'mixed' end")
+    at = at.withColumns({base: F.expr(f"array_sort(concat({', '.join(parts)}))"), runs: F.expr(spans(t, RANDOM))})
     at = at.withColumns({
-        base: F.expr(f"array_sort(concat({', '.join(parts)}))"),
-        cand: F.expr(f"transform(filter({spans(t, CANDIDATE)}, x -> not ({skip})), x -> named_struct("
-                     f"'start', x.start, 'value', x.value, 'kind', {kind}))")})
-    at = at.withColumn(hot, F.expr(
-        f"transform(flatten(transform(filter({cand}, c -> c.kind is not null), c -> {_hot_part(thresholds)})), "
-        f"x -> named_struct('start', x.start, 'no', {len(kinds)}, 'kind', x.kind, 'stop', x.stop))"))
+        cand: F.expr(f"transform(filter({runs}, x -> x.value rlike {quoted(CANDIDATE)} and not ({skip})), x -> named_struct("
+                     f"'start', x.start, 'value', x.value, 'kind', {kind}))"),
+        part: F.expr(f"flatten(transform({runs}, c -> {_pieces(allowed_segments)}))")})
+    at = at.withColumns({hot: F.expr(_scanned(cand, thresholds, len(kinds))),
+                         rand: F.expr(_scanned(part, random_thresholds, len(kinds)))})
     count = lambda k: F.size(F.filter(base, lambda x: x["no"] == k)).cast("long")
     return at.select(*keep, *[count(k).alias(f"n_{kind}") for k, kind in enumerate(kinds)],
                      F.size(hot).cast("long").alias("n_entropy"), F.col(base).alias("base_spans"),
-                     F.array_sort(F.concat(base, hot)).alias("all_spans"))
+                     F.array_sort(F.concat(base, hot)).alias("all_spans"),
+                     F.size(rand).cast("long").alias("n_random"), F.col(rand).alias("random_spans"))
 
 
 def joined(spans_column: str):

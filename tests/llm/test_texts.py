@@ -92,6 +92,40 @@ def test_op3_contract(which, edge_dir, rows, docs_of):  # noqa: F811
     assert sorted(str((r["doc_id"], r["base_sha256"], r["spans"])) for r in rows("op3", folder)) == want
 
 
+def test_every_class_is_scanned_and_only_segments_are_suppressed(spark):
+    rng = random.Random(4)
+    drawn = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    letters = "qWxZvKjTpLmRsYdFgHcBnEaUoI"
+    hook = "T0A1B2C3D/B0A1B2C3D/aB3dE5fG7hJ9kL1mN3pQ5rS7"
+    found = {  # text: class and piece that is scanned
+        "JBSWY3DPEHPK3PXPJBSWY3DPEHPK3PXP": ("upper", "JBSWY3DPEHPK3PXPJBSWY3DPEHPK3PXP"),
+        "é k3j9x0q2m7z5v8b1n4c6l0p9w2e5r7t1": ("lower", "k3j9x0q2m7z5v8b1n4c6l0p9w2e5r7t1"),
+        letters: ("letters", letters), letters.lower()[:20]: ("letters", letters.lower()[:20]),
+        "a9B8c7D6e5F4g3H2i1J0kL==": ("mixed", "a9B8c7D6e5F4g3H2i1J0kL"), "hooks.slack.com/services/" + hook: ("mixed", hook),
+        "usr/local/" + letters + "/share": ("letters", letters), "31415926535897932384": ("digits", "31415926535897932384"),
+        "example/a9B8c7D6e5F4g3H2i1J0/k3j9x0q2m7z5": ("mixed", "a9B8c7D6e5F4g3H2i1J0/k3j9x0q2m7z5"),
+        "A1b" * 600 + letters + "7": ("mixed", "A1b" * 600 + letters + "7")}
+    none = ["my-example-key-" + letters, "the/usual/directory/of/documents/with/long/names", "a" * 30_000, "A1b" * 40, "deadbeef" * 8,
+            str(uuid.UUID(int=7 << 90)), "-" * 40, "src/main/java/org/" + str(uuid.UUID(int=rng.getrandbits(128))), letters[:19], "/" * 50,
+            "0123456789abcdefghijklmnopqrstuvwxyz"]
+    drawn_keys = [drawn(chars, 48) for chars in ("abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", letters,
+                                                 "0123456789abcdef", secrets.ALPHABET) for _ in range(20)]
+    texts = [*found, *none, *drawn_keys]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    got = {r["i"]: r for r in secrets.find_secrets(df).collect()}
+    for i, t in enumerate(texts):
+        spans = [(s["kind"].removeprefix("entropy_"), s["start"], s["stop"]) for s in got[i]["random_spans"]]
+        assert got[i]["n_random"] == len(spans)
+        if t in none:
+            assert not spans, t
+        elif t in found:
+            kind, piece = found[t]
+            bits = [-sum(c / 20 * math.log2(c / 20) for c in Counter(piece[k:k + 20]).values()) for k in range(len(piece) - 19)]
+            hot = [t.index(piece) + k for k, b in enumerate(bits) if b >= secrets.RANDOM_THRESHOLDS[kind]]
+            assert spans == [(kind, hot[0], hot[-1] + 20)], t
+    assert sum(bool(got[i]["n_random"]) for i in range(len(texts) - 100, len(texts))) >= 98
+
+
 # ------------------------------------------------------------------ fingerprints
 
 def closed(words, hashes, grams, k=syncmers.K, s=syncmers.S):
