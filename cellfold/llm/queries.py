@@ -8,7 +8,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.llm import chat, decontamination, licenses, near_dups, quality, secrets, syncmers
+from cellfold.llm import chat, decontamination, licenses, near_dups, notices, quality, secrets, syncmers
 from cellfold.llm.mixing import mix_sources
 from cellfold.llm.resharding import reshard
 from cellfold.llm.url_rules import judge_urls
@@ -74,6 +74,11 @@ def op6_licenses(spark, d):
     return licenses.find_licenses(docs).select("doc_id", "n_units", "license", "dice")
 
 
+def op6_license_notices(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return notices.find_notices(docs).select("doc_id", "n_units", "license", "dice")
+
+
 def op7_reshard(spark, d):
     docs = table(spark, d, "documents").select(
         "doc_id", byte_size(F.col("text")).alias("size"), F.crc32(text_of(F.col("text"))).alias("text_crc32"))
@@ -111,7 +116,7 @@ def op10_url_rules(spark, d):
     return judge_urls(table(spark, d, "pages").select("page_id", "url"), rules).drop("url")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_mix_sources, op3_secrets, op4_syncmers, op5_decontaminate, op6_licenses, op7_reshard,
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_mix_sources, op3_secrets, op4_syncmers, op5_decontaminate, op6_licenses, op6_license_notices, op7_reshard,
                                op8_quality, op9_chat, op10_url_rules)}
 
 def _license_sql() -> str:

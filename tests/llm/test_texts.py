@@ -11,7 +11,8 @@ import pytest
 from llm_cases import SF_MID, docs_of, edge_dir, rows  # noqa: F401
 from pyspark.sql import functions as F
 
-from cellfold.llm import chat, licenses, secrets, syncmers
+from cellfold.llm import chat, licenses, notices, secrets, syncmers
+from cellfold.llm.queries import QUERIES
 
 
 # ------------------------------------------------------------------ secrets
@@ -222,6 +223,39 @@ def test_licenses_against_every_template(spark, docs_of):  # noqa: F811
     assert got[5][1] == "Apache-2.0-header" and got[3][1:] == ("MIT", 1.0) and got[10][0] == 3  # two lines and their paragraph
 
 
+APACHE = ["Licensed under the Apache License, Version 2.0 (the \"License\");", "you may not use this file except in compliance with the License.",
+          "You may obtain a copy of the License at", "", "    http://www.apache.org/licenses/LICENSE-2.0", "",
+          "Unless required by applicable law or agreed to in writing, software", 'distributed under the License is distributed on an "AS IS" BASIS,',
+          "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+          "See the License for the specific language governing permissions and", "limitations under the License."]
+
+
+def test_notices_share_lines_and_span_blank_lines(spark):
+    shared = ("The toolkit was written in 2019 by the team. Released under the MIT License. "
+              "See the notes for details on how to build it.")
+    apache = ["\n".join(["Copyright 2020 é", "", *(mark + x for x in APACHE), "", "import os"]) for mark in ("", "# ", " * ")]
+    texts = [None, "", "no license", shared, *apache, "Licensed under CC BY 4.0\n" * 2000, "license " * 5000,
+             shared + "\n\n" + apache[1], "This work is licensed under the GNU Affero General Public License, version 3."]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, Dice string")
+    out = notices.find_notices(df)
+    assert out.columns == ["doc_id", "text", "n_units", "license", "dice", "matches"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert [got[i]["license"] for i in range(10)] == [None, None, None, "MIT", *["Apache-2.0"] * 3, "CC-BY-4.0", None, "Apache-2.0"]
+    assert [got[i]["dice"] for i in range(10)] == [0.0, 0.0, 0.0, *[1.0] * 5, 0.0, 1.0]
+    assert [m["unit"] for m in got[3]["matches"]] == ["released under the mit license"]
+    assert {m["license"] for m in got[9]["matches"]} == {"MIT", "Apache-2.0"}
+    assert max(m["shared"] for m in got[5]["matches"]) == len(licenses.bigrams_of(licenses.TEMPLATES["Apache-2.0-header"]))
+    assert got[10]["license"] in (None, "AGPL-3.0")
+    assert licenses.find_licenses(df).filter("doc_id = 3 and license is not null").count() == 0  # lines and paragraphs alone
+
+
+def test_notices_find_what_lines_hold(spark):
+    lines, got = ({r["doc_id"]: r for r in QUERIES[q](spark, SF_MID).collect()} for q in ("op6_licenses", "op6_license_notices"))
+    assert set(lines) == set(got)
+    assert any(r["license"] for r in lines.values())
+    assert all(got[i]["license"] == r["license"] for i, r in lines.items() if r["license"])
+
+
 # ------------------------------------------------------------------ chat
 
 def test_layouts_meet_in_canonical_turns(spark):
