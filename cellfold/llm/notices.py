@@ -38,20 +38,88 @@ class Notice(NamedTuple):
     never: tuple[str, ...] = ()
 
 
-NOTICES = [
-    Notice("Apache-2.0", T["Apache-2.0"], ("apache license version 2 0",)),
-    Notice("Apache-2.0", T["Apache-2.0-header"], ("apache license version 2 0",)),
-    Notice("BSD-3-Clause", T["BSD-3-Clause"], ("bsd 3 clause",)),
-    Notice("CC-BY-4.0", T["CC-BY-4.0"], ("cc by 4 0",)),
-    Notice("CC-BY-NC-4.0", T["CC-BY-NC-4.0"], ("cc by nc 4 0",)),
-    Notice("CC-BY-SA-4.0", T["CC-BY-SA-4.0"], ("cc by sa 4 0",)),
-    Notice("GPL-2.0", T["GPL-2.0"], ("gnu general public license", "version 2")),
-    Notice("GPL-3.0", T["GPL-3.0"], ("gnu general public license", "version 3")),
-    Notice("LGPL-3.0", T["LGPL-3.0"], ("gnu lesser general public license", "version 3")),
-    Notice("MIT", T["MIT"], ("mit license",)),
-    Notice("MIT", T["MIT-permission"], ("permission is hereby granted free of charge",)),
-    Notice("MPL-2.0", T["MPL-2.0"], ("mozilla public license v 2 0",)),
-]
+_GNU_HEADER = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the {name} as published by "
+    "the Free Software Foundation, either version {v} of the License, or (at your option) any later version. This program is "
+    "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details.")
+_GNU_SENTENCE = _GNU_HEADER.partition(" This program is distributed")[0]
+_GNU_TITLE = ("{name} Version {v}, {date} Copyright (C) {years} Free Software Foundation, Inc. Everyone is permitted to copy and "
+              "distribute verbatim copies of this license document, but changing it is not allowed.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. {third}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+        "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, "
+        "INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+        "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY "
+        "OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+        "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_THIRD = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+          "products derived from this software without specific prior written permission. ")
+_MIT_WARRANTY = (" THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+                 "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+                 "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+                 "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+                 "DEALINGS IN THE SOFTWARE.")
+_ISC = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.")
+_GPL, _LGPL, _AGPL = (f"GNU {x}General Public License" for x in ("", "Lesser ", "Affero "))
+
+# id: names by which notices of one sentence call the licence
+_NAMES = {
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"),
+    "MIT": ("MIT License",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License"), "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License"),
+    "ISC": ("ISC License",),
+    "MPL-2.0": ("Mozilla Public License, v. 2.0", "Mozilla Public License 2.0", "Mozilla Public License, version 2.0"),
+    **{f"{short}-{v}{zero}": (f"{name}, version {v}{zero if zero != '.0' else ''}", f"{name} v{v}{zero}")
+       for short, name, v, zero in (("GPL", _GPL, 2, ".0"), ("GPL", _GPL, 3, ".0"), ("LGPL", _LGPL, 2, ".1"),
+                                    ("LGPL", _LGPL, 3, ".0"), ("AGPL", _AGPL, 3, ".0"))},
+}
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+       "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+_TAGS = ("Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0",
+         "CC0-1.0", *(f"CC-{c}-4.0" for c in _CC))
+
+
+def _plain(text: str) -> str:
+    return " ".join(words_of(text))
+
+
+def _notices() -> list[Notice]:
+    out = [Notice("Apache-2.0", T["Apache-2.0-header"], ("apache license version 2 0",)),
+           Notice("MIT", T["MIT-permission"], ("permission is hereby granted free of charge",)),
+           Notice("MIT", T["MIT-permission"] + _MIT_WARRANTY, ("permission is hereby granted free of charge",)),
+           Notice("BSD-2-Clause", _BSD.format(third=""), ("redistribution and use in source and binary forms",),
+                  ("neither the name", "advertising materials")),
+           Notice("BSD-3-Clause", _BSD.format(third=_THIRD), ("redistribution and use in source and binary forms", "neither the name"),
+                  ("advertising materials",)),
+           Notice("ISC", _ISC, ("for any purpose with or without fee", "provided that")),
+           Notice("MPL-2.0", T["MPL-2.0"], ("mozilla public license v 2 0",))]
+    for name, calls in _NAMES.items():
+        for call in calls:
+            out += [Notice(name, f"{start} the {call}", (_plain(call),))
+                    for start in ("This work is licensed under", "Licensed under", "Released under", "Distributed under the terms of")]
+    for short, name, v, date, years in (
+            ("GPL-2.0", _GPL, "2", "June 1991", "1989, 1991"), ("GPL-3.0", _GPL, "3", "29 June 2007", "2007"),
+            ("LGPL-2.1", _LGPL, "2.1", "February 1999", "1991, 1999"), ("LGPL-3.0", _LGPL, "3", "29 June 2007", "2007"),
+            ("AGPL-3.0", _AGPL, "3", "19 November 2007", "2007")):
+        # "version 2" is not "version 2.1"
+        never = ("version 2 1",) if v == "2" else ()
+        out += [Notice(short, t.format(name=name, v=v, date=date, years=years), (_plain(name), f"version {_plain(v)}"), never)
+                for t in (_GNU_HEADER, _GNU_SENTENCE, _GNU_TITLE)]
+    for code, long in _CC.items():
+        tag = f"CC-{code}-4.0"
+        out += [Notice(tag, f"Licensed under CC {code} 4.0", (_plain(f"CC {code} 4.0"),)),
+                *(Notice(tag, f"Licensed under a Creative Commons {long} 4.0{end}", (_plain(f"Creative Commons {long} 4.0"),))
+                  for end in (" International License", ""))]
+    out += [Notice("CC0-1.0", "Creative Commons CC0 1.0 Universal", ("creative commons cc0 1 0",))]
+    # identifiers are exact: the anchor is the whole line, and 'only' and 'or later' do not change the licence
+    return out + [Notice(tag, f"SPDX-License-Identifier: {tag}", (_plain(f"SPDX-License-Identifier: {tag}"),),
+                         tuple(_plain(f"SPDX-License-Identifier: {x}") for x in _TAGS if x.startswith(f"{tag}-"))) for tag in _TAGS]
 
 
 def words_of(text: str) -> list[str]:
@@ -62,6 +130,9 @@ def holds(words: str, phrase: str) -> bool:
     return f" {phrase} " in words
 
 
+NOTICES = _notices()
+
+
 def _texts(items) -> str:
     return f"cast(array({', '.join(f"'{x}'" for x in items)}) as array<string>)"
 

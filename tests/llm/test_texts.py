@@ -249,6 +249,25 @@ def test_notices_share_lines_and_span_blank_lines(spark):
     assert licenses.find_licenses(df).filter("doc_id = 3 and license is not null").count() == 0  # lines and paragraphs alone
 
 
+def test_published_notices_and_their_siblings(spark):
+    gnu = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License "
+           "as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+    want = {"This project is licensed under the MIT License.": "MIT", "Released under the BSD 2-Clause License.": "BSD-2-Clause",
+            "// SPDX-License-Identifier: GPL-2.0-only\nint x;": "GPL-2.0", "# SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1",
+            "/* SPDX-License-Identifier: MIT */": "MIT", gnu.format("", 3): "GPL-3.0", gnu.format("Affero ", 3): "AGPL-3.0",
+            gnu.format("", 2): "GPL-2.0", gnu.format("Lesser ", "2.1"): "LGPL-2.1", gnu.format("Lesser ", 3): "LGPL-3.0",
+            "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+            "This work is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+            "This work is licensed under the GNU Frobnicated General Public License, version 3.": None,
+            "This work is licensed under the GNU General Public License, version 4.": None, "We read about public licenses.": None,
+            **{f"Licensed under CC {c} 4.0.": f"CC-{c}-4.0" for c in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")},
+            "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "CC-BY-NC-SA-4.0"}
+    want |= {"Copyright 1999 me\n\n" + n.text + "\n\nint main;": n.license for n in notices.NOTICES}
+    df = spark.createDataFrame(list(enumerate(want)), "i long, text string")
+    got = {r["text"]: r["license"] for r in notices.find_notices(df).collect()}
+    assert got == want
+
+
 def test_notices_find_what_lines_hold(spark):
     lines, got = ({r["doc_id"]: r for r in QUERIES[q](spark, SF_MID).collect()} for q in ("op6_licenses", "op6_license_notices"))
     assert set(lines) == set(got)
