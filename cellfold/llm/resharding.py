@@ -23,12 +23,14 @@ empty result; equal rows get different slots; other columns pass through.
 from __future__ import annotations
 
 import heapq
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cellfold.llm.words import unused_name
+from cellfold.session import delete_tree
 
 SUB_BLOCKS = 16
 
@@ -157,11 +159,40 @@ def reshard(df: DataFrame, *, old_shard: Column, size: Column, key: Column, n_ne
 
 def rewrite_affected(placed: DataFrame, path: str) -> None:
     """Write the shards that gained or lost rows as ``shard=N`` folders below
-    ``path``; files of untouched shards need no rewrite. ``placed`` must still
-    hold the old shard as column ``old_shard``."""
-    gained = placed.filter("moved").select("shard")
-    lost = placed.filter("moved").select(F.col("old_shard").alias("shard"))
-    hit = gained.unionByName(lost).distinct()
-    (placed.join(hit, "shard", "left_semi").repartition("shard")
+    ``path``; folders of untouched shards stay as they are and those of drained
+    shards go. ``placed`` must still hold the old shard as column ``old_shard``;
+    rows whose old shard is null or negative count as moved. ``placed`` may be read from ``path``.
+
+    The new folders are complete beside ``path`` (``path`` + ``.staged-*``)
+    before the first old one is touched, and replaced ones lie in ``path`` +
+    ``.replaced-*`` until the last is in place. The folders are swapped one by one: after a
+    failure between two swaps both side folders are left for repair. The driver
+    holds one line per affected shard."""
+    spark, path = placed.sparkSession, path.rstrip("/")
+    old = F.coalesce(F.col("old_shard").cast("int"), F.lit(-1))
+    moved = placed.filter(old != F.col("shard"))
+    hit = moved.select("shard").unionByName(moved.select(old.alias("shard"))).distinct()
+    tag = uuid.uuid4().hex
+    staged, replaced = f"{path}.staged-{tag}", f"{path}.replaced-{tag}"
+    affected = sorted(r["shard"] for r in hit.filter("shard >= 0").collect())
+    (placed.filter(F.col("shard").isin(affected)).repartition("shard")
      .sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").mode("overwrite").parquet(path))
+     .write.partitionBy("shard").mode("errorifexists").parquet(staged))
+
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def move(a: str, b: str) -> None:
+        if not fs.rename(folder(a), folder(b)):
+            raise OSError(f"cannot move {a} to {b}; see {staged} and {replaced}")
+
+    fs.mkdirs(folder(path))
+    fs.mkdirs(folder(replaced))
+    for shard in affected:
+        name = f"/shard={shard}"
+        if fs.exists(folder(path + name)):
+            move(path + name, replaced + name)
+        if fs.exists(folder(staged + name)):  # else drained
+            move(staged + name, path + name)
+    delete_tree(spark, staged)
+    delete_tree(spark, replaced)

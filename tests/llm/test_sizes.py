@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellfold.llm.mixing import mix_sources, mixed_rows, split_quotas
-from cellfold.llm.resharding import cheapest_flow, reshard
+from cellfold.llm.resharding import cheapest_flow, reshard, rewrite_affected
 from cellfold.session import Stages
 from llm_cases import SF_MID, docs_of, edge_dir, rows  # noqa: F401
 
@@ -151,3 +151,24 @@ def test_reshard_keeps_rows_in_place_and_other_columns(spark):
     assert out.columns == ["id", "old", "_Hash", "bytes", "shard", "slot", "moved"]
     counts = dict(out.groupBy("old").agg(F.sum(F.col("moved").cast("int"))).collect())
     assert counts[0] == 925 - 250 and sum(counts.values()) == 925 - 250
+
+
+def test_rewrite_keeps_untouched_shards_and_drops_drained_ones(spark, tmp_path):
+    # 5 shards to 4: shard 1 keeps its 100 rows, shard 4 is drained, the others gain
+    olds = [80, 100, 70, 90, 60]
+    data = [(f"{o}-{k}", o, 10 + k) for o, n in enumerate(olds) for k in range(n)]
+    path = str(tmp_path / "shards")
+    df = spark.createDataFrame(data, "id string, old_shard int, bytes long")
+    df.withColumn("shard", F.col("old_shard")).write.partitionBy("shard").parquet(path)
+    before = {f.name for f in (tmp_path / "shards" / "shard=1").iterdir()}
+    rows = spark.read.parquet(path).withColumn("old_shard", F.col("shard"))
+    placed = reshard(rows, old_shard=F.col("old_shard"), size=F.col("bytes"), key=F.col("id"), n_new=4)
+    want = sorted(map(tuple, placed.select("id", "bytes", "shard", "slot").collect()))
+    rewrite_affected(placed, path)
+    assert {f.name for f in (tmp_path / "shards" / "shard=1").iterdir()} == before
+    assert sorted(f.name for f in (tmp_path / "shards").glob("shard=*")) == [f"shard={k}" for k in range(4)]
+    back = spark.read.option("mergeSchema", "true").parquet(path)
+    assert sorted((r["id"], r["bytes"]) for r in back.collect()) == sorted((i, b) for i, _, b in data)
+    slots = {(i, b): (s, k) for i, b, s, k in want}
+    assert all(r["shard"] == slots[r["id"], r["bytes"]][0] for r in back.collect())
+    assert [f.name for f in tmp_path.iterdir()] == ["shards"]
