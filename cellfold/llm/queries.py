@@ -147,8 +147,8 @@ FROM documents d LEFT JOIN per USING (doc_id)
 ORACLE_SQL = {
     "op1_near_duplicates": r"""
 WITH RECURSIVE word AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+  SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents),
 shingle AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM word WHERE len(w) > 0)),
 size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
