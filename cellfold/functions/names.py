@@ -14,3 +14,15 @@ def quote(name: str) -> str:
 def qcol(name: str) -> Column:
     """``col`` that never splits a name at dots."""
     return F.col(quote(name))
+
+
+def unused_names(df, *names: str) -> list[str]:
+    """Working column names that clash with none of ``df`` (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

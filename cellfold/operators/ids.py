@@ -2,120 +2,102 @@
 
 ``unique``    ``monotonically_increasing_id() + 1``: one pass, no job, no
               shuffle; ids have gaps and depend on the input's partitioning.
-``partition`` ``part * max_rows + position``: the reference formula, unique,
-              grouped by partition, with gaps when partitions are uneven.
-``ordered``   dense ``1..N`` in the order of the given keys, deterministic.
-
-``partition`` and ``ordered`` combine counts with positions, so both must come
-from one execution: partition index and position are written as columns into
-a materialised copy (shared scratch folder), and the counts are taken from
-those columns. Only per-partition counts reach the driver (one row per
-partition). ``ordered`` never uses a global window, which would put every row
-in one task: it range-partitions, sorts within partitions and adds the number
-of rows in earlier partitions.
+``partition`` position within the file plus the rows of earlier files (in path
+              order), for frames over Parquet files: no shuffle, and the same
+              ids however the files are split into tasks. Other frames get
+              ``part * max_rows + position``: unique, grouped by partition, with
+              gaps when partitions are uneven.
+``ordered``   dense ``1..N`` in the order of the given keys, deterministic
+              (``numbering.number_rows``: key ranges, no copy of the table).
+
+Only per-file, per-partition or per-range counts reach the driver. Frames
+without file positions have counts and positions taken from one materialised
+copy in the shared folder, since their partitions may differ between
+executions. No strategy uses a window over the whole table.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cellfold.functions.names import qcol
+from cellfold.functions.names import qcol, unused_names
+from cellfold.operators.numbering import in_range, number_rows
 from cellfold.session import Stages
 
 STRATEGIES = ("unique", "partition", "ordered")
 
-_P = "__cellfold_p"
-_O = "__cellfold_o"
-_SALT = "__cellfold_salt"
 # monotonically_increasing_id() = (partition index << 33) + position
 _POSITION_MASK = (1 << 33) - 1
 
 
-def _orderable(dt: T.DataType) -> bool:
-    if isinstance(dt, T.MapType) or type(dt).__name__ == "VariantType":
-        return False
-    if isinstance(dt, T.ArrayType):
-        return _orderable(dt.elementType)
-    if isinstance(dt, T.StructType):
-        return all(_orderable(f.dataType) for f in dt.fields)
-    return True
-
-
-def _key_columns(order_by: Sequence[str | Column]) -> list[Column]:
-    return [qcol(k) if isinstance(k, str) else k for k in order_by]
+def _file_ids(df: DataFrame, id_col: str) -> DataFrame | None:
+    """Ids from the row positions that Parquet scans report; None for a frame
+    whose rows have no such position."""
+    path, row, at = unused_names(df, "__path", "__row", "__file")
+    try:
+        placed = df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(row))
+    except AnalysisException:
+        return None
+    # one row per file reaches the driver, which holds the list of files anyway
+    sizes = sorted(placed.groupBy(path).agg(F.max(row) + 1).collect())
+    starts, seen = [], 0
+    for _, n in sizes:
+        starts.append(seen)
+        seen += n
+    paths = F.from_json(F.lit(json.dumps([p for p, _ in sizes])), "array<string>")
+    held = F.split(F.lit(",".join(map(str, starts or [0]))), ",").cast("array<bigint>")
+    placed = in_range(placed, F.col(path), at, paths, len(sizes))
+    return placed.select((F.element_at(held, F.greatest(F.col(at), F.lit(1))) + F.col(row) + 1).alias(id_col),
+                         *[qcol(c) for c in df.columns])
 
 
 def with_row_ids(df: DataFrame, strategy: str = "unique", id_col: str = "id",
                  order_by: Sequence[str | Column] | None = None,
                  unique_keys: bool = True, n_partitions: int | None = None,
-                 seed: int = 17,
                  stages: Stages | None = None) -> DataFrame:
     """``df`` with a leading non-null long ``id_col`` (>= 1) by ``strategy``.
 
-    For ``ordered``: ``order_by`` names the sort keys; ``n_partitions`` fixes
-    the number of range partitions, else adaptive execution sizes them from
-    ``spark.sql.shuffle.partitions`` (or its initial partition number) down to
-    the advisory partition size. With
-    ``unique_keys=False`` the remaining orderable columns and then a seeded
-    salt break ties, so rows that are equal in every column are spread over
-    range partitions (a hot key cannot fill one task) and the result is still
-    the same multiset of (id, row) pairs on every run.
+    For ``ordered``: ``order_by`` names the sort keys (ascending, nulls first);
+    ``n_partitions`` fixes the number of key ranges, else these hold about 8192
+    rows up to four per shuffle partition. With ``unique_keys=False`` the
+    remaining columns break ties, and rows that repeat in every column share
+    out their numbers, so a hot key cannot fill one task and the result is the
+    same multiset of (id, row) pairs on every run. The input is read several
+    times and has to hold the same rows each time.
+
+    ``stages`` takes the copy that ``partition`` makes of a frame without file
+    positions; its owner releases it.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"ids must be one of {STRATEGIES}, got {strategy!r}")
     if id_col in df.columns:
         raise ValueError(f"column {id_col!r} already exists")
     cols = [qcol(c) for c in df.columns]
-    # the caller who passes ``stages`` releases the copies after its last job
-    stages = stages or Stages(df.sparkSession)
 
     if strategy == "unique":
         return df.select((F.monotonically_increasing_id() + 1).alias(id_col), *cols)
 
-    if strategy == "partition":
-        staged = stages.save(df.select(
-            *cols,
-            F.spark_partition_id().alias(_P),
-            (F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK))).alias(_O),
-        ), "ids-partition")
-        top = staged.agg(F.max(F.col(_O)).alias("m")).collect()[0]["m"]
-        width = 0 if top is None else int(top) + 1
-        ident = F.col(_P).cast("long") * F.lit(width) + F.col(_O) + F.lit(1)
-        return staged.select(ident.alias(id_col), *[qcol(c) for c in df.columns])
-
-    if not order_by:
-        raise ValueError("ids='ordered' needs order_by")
-    spark = df.sparkSession
-    keys = _key_columns(order_by)
-    source = df
-    if not unique_keys:
-        named = {k for k in order_by if isinstance(k, str)}
-        keys += [qcol(f.name) for f in df.schema.fields
-                 if f.name not in named and _orderable(f.dataType)]
-        source = df.select(*cols, F.rand(seed).alias(_SALT))
-        keys.append(F.col(_SALT))
-    # without an explicit count, adaptive execution sizes the range partitions
-    # (merging neighbours keeps them contiguous, so offsets stay in key order)
-    ranged = (source.repartitionByRange(n_partitions, *keys) if n_partitions
-              else source.repartitionByRange(*keys)).sortWithinPartitions(*keys)
-    staged = stages.save(ranged.select(
+    if strategy == "ordered":
+        if not order_by:
+            raise ValueError("ids='ordered' needs order_by")
+        numbered = number_rows(df, id_col, order_by, unique_keys=unique_keys, n_ranges=n_partitions)
+        return numbered.select(id_col, *cols)
+
+    found = _file_ids(df, id_col)
+    if found is not None:
+        return found
+    part, place = unused_names(df, "__part", "__place")
+    staged = (stages or Stages(df.sparkSession)).save(df.select(
         *cols,
-        F.spark_partition_id().alias(_P),
-        (F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK))).alias(_O),
-    ), "ids-ordered")
-    # one row per partition reaches the driver
-    sizes = dict(staged.groupBy(_P).count().collect())
-    starts, acc = [], 0
-    for p in range(max(sizes, default=-1) + 1):
-        starts.append(acc)
-        acc += sizes.get(p, 0)
-    if not starts:
-        return staged.select(F.lit(1).cast("long").alias(id_col), *cols).where(F.lit(False))
-    # one number per partition, as one constant of the plan
-    starts = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
-    ident = F.element_at(starts, F.col(_P) + 1) + F.col(_O) + F.lit(1)
-    return staged.select(ident.alias(id_col), *[qcol(c) for c in df.columns])
+        F.spark_partition_id().alias(part),
+        (F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK))).alias(place),
+    ), "ids-partition")
+    top = staged.agg(F.max(place).alias("m")).collect()[0]["m"]
+    width = 0 if top is None else int(top) + 1
+    ident = F.col(part).cast("long") * F.lit(width) + F.col(place) + F.lit(1)
+    return staged.select(ident.alias(id_col), *cols)

@@ -43,10 +43,11 @@ from cellfold.operators.nested import (
     explode_column,
     split_struct_column,
 )
-from cellfold.operators.partitions import add_partition_column, partitions_length
+from cellfold.operators.numbering import group_row_numbers
+from cellfold.operators.partitions import add_partition_column, max_partition_length, partitions_length
 from cellfold.plans import sqltext as S
 from cellfold.plans.jobs import load_key_value, read_key_value, restore_table, write_key_value
-from cellfold.session import scratch_path
+from cellfold.session import Stages, scratch_path
 from cellfold.sinks.csv import write_csv
 from cellfold.sinks.workbook import write_workbooks
 from cellfold.sinks.zipped import write_zipped_csv
@@ -133,6 +134,10 @@ def q_id_num(spark, d):
     return id_num_columns(kv)
 
 
+def q_id_num_orders(spark, d):
+    return id_num_columns(key_value_columns(_table(spark, d, "orders"), ids="ordered", order_by=["o_orderkey"]))
+
+
 def q_restore_table(spark, d):
     table, _ = restore(combined_cells(_table(spark, d, "lineitem"), "lineitem"))
     return table
@@ -198,8 +203,9 @@ def q_combined_export(spark, d):
 
 def _emitted(export: DataFrame) -> DataFrame:
     """The rows of an ordered export numbered in the order they come out."""
-    return with_row_ids(export.withColumn("at", F.monotonically_increasing_id()), "ordered",
-                        order_by=["at"]).drop("at")
+    # staged, so that the order seen is the order of one execution of the sort
+    came_out = Stages(export.sparkSession).save(export.withColumn("at", F.monotonically_increasing_id()))
+    return with_row_ids(came_out, "ordered", order_by=["at"]).drop("at")
 
 
 def q_combined_export_order(spark, d):
@@ -245,6 +251,20 @@ def q_convert_struct(spark, d):
     return convert_struct_column(_nation_packed(spark, d))
 
 
+def _events_packed(spark, d):
+    e = _table(spark, d, "events")
+    info = F.struct("event_type", F.when(F.col("user_id") % 3 > 0, F.col("user_id")).alias("user_id"), "props")
+    return e.select("event_id", F.when(F.col("event_id") % 7 > 0, info).alias("info"))
+
+
+def q_split_struct_events(spark, d):
+    return split_struct_column(_events_packed(spark, d))
+
+
+def q_convert_struct_events(spark, d):
+    return convert_struct_column(_events_packed(spark, d))
+
+
 def q_array_column(spark, d):
     arr = array_column(string_columns(_table(spark, d, "supplier")))
     return arr.select(F.to_json("arr").alias("arr"))
@@ -303,6 +323,30 @@ def q_partition_ids(spark, d):
     return _id_summary(with_row_ids(_table(spark, d, "lineitem").repartition(8), "partition"))
 
 
+def q_partition_ids_rows(spark, d):
+    # ids from the positions of the rows in their files
+    return with_row_ids(_table(spark, d, "lineitem"), "partition")
+
+
+def q_group_row_numbers(spark, d):
+    # three groups of 200 thousand rows each (at sf0.1); ties by the other columns
+    return group_row_numbers(_table(spark, d, "lineitem"), ["l_returnflag"], LINEITEM_ORDER,
+                             unique_keys=False)
+
+
+def q_group_row_numbers_keys(spark, d):
+    # many small groups, null groups, an expression as key
+    o = _table(spark, d, "orders").withColumn("big", F.when(F.col("o_custkey") % 5 > 0, F.col("o_custkey")))
+    return group_row_numbers(o, ["big", "o_orderstatus"], [-F.col("o_totalprice"), "o_orderkey"], name="place")
+
+
+def q_max_partition_rows(spark, d):
+    # rows dealt to partitions by their flag: the largest holds the commonest flag
+    flag = F.ascii("l_returnflag") - F.lit(ord("A"))
+    dealt = _table(spark, d, "lineitem").repartitionById(26, flag)
+    return spark.createDataFrame([(max_partition_length(dealt),)], "n_rows long")
+
+
 def q_ordered_ids(spark, d):
     ids = with_row_ids(_table(spark, d, "part"), "ordered", order_by=["p_partkey"])
     return ids.select("id", "p_partkey", "p_name")
@@ -515,6 +559,9 @@ QUERIES: dict[str, Query] = {
     "meta_key_value": q_meta_key_value,
     "recover_schema": q_recover_schema,
     "id_num": q_id_num,
+    "id_num_orders": q_id_num_orders,
+    "split_struct_events": q_split_struct_events,
+    "convert_struct_events": q_convert_struct_events,
     "restore_table": q_restore_table,
     "combined_export": q_combined_export,
     "combined_export_text": q_combined_export_text,
@@ -534,6 +581,10 @@ QUERIES: dict[str, Query] = {
     "add_partition": q_add_partition,
     "unique_ids": q_unique_ids,
     "partition_ids": q_partition_ids,
+    "partition_ids_rows": q_partition_ids_rows,
+    "group_row_numbers": q_group_row_numbers,
+    "group_row_numbers_keys": q_group_row_numbers_keys,
+    "max_partition_rows": q_max_partition_rows,
     "ordered_ids": q_ordered_ids,
     "ordered_ids_rows": q_ordered_ids_rows,
     "audit_cells": q_audit_cells,
@@ -607,6 +658,9 @@ def _prefix_sql():
     return "SELECT " + ", ".join(f"{c} AS __{c}" for c, _ in _cols("customer")) + " FROM customer"
 
 
+_EVENTS_INFO = ("SELECT event_id, CASE WHEN event_id % 7 > 0 THEN event_type END AS event_type, "
+                "CASE WHEN event_id % 7 > 0 AND user_id % 3 > 0 THEN user_id END AS user_id, "
+                "CASE WHEN event_id % 7 > 0 THEN props END AS props FROM events")
 _NATION_INFO = ("SELECT n_nationkey, n_name, CASE WHEN n_regionkey <> 0 THEN n_regionkey END "
                 "AS n_regionkey FROM nation")
 
@@ -701,6 +755,10 @@ ORACLE_SQL: dict[str, str] = {
     "meta_key_value": _meta_sql("orders"),
     "recover_schema": _recover_sql(),
     "id_num": f"SELECT id, num, val FROM ({S.cells('region', _cols('region'), ['r_regionkey'])}) c",
+    "id_num_orders": _ORDERS_CELLS,
+    "split_struct_events": _EVENTS_INFO,
+    "convert_struct_events": ("SELECT event_id, concat_ws(',', event_type, CAST(user_id AS VARCHAR), props) "
+                              f"AS info FROM ({_EVENTS_INFO}) e"),
     "restore_table": _select_all("lineitem"),
     "combined_export": _meta_sql("nation") + " UNION ALL " + S.key_value(_NATION_CELLS),
     "combined_export_text": _meta_sql("nation") + " UNION ALL " + S.key_value(_NATION_CELLS),
@@ -728,6 +786,14 @@ ORACLE_SQL: dict[str, str] = {
                    "FROM lineitem"),
     "partition_ids": ("SELECT count(*) AS n_rows, count(*) AS n_ids, true AS ids_positive "
                       "FROM lineitem"),
+    "partition_ids_rows": "SELECT row_number() OVER () AS id, * FROM lineitem",
+    "group_row_numbers": ("SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY "
+                          f"{', '.join(LINEITEM_ORDER)}) AS row_number FROM lineitem"),
+    "group_row_numbers_keys": (
+        "SELECT *, row_number() OVER (PARTITION BY big, o_orderstatus ORDER BY -o_totalprice, o_orderkey) "
+        "AS place FROM (SELECT *, CASE WHEN o_custkey % 5 > 0 THEN o_custkey END AS big FROM orders) o"),
+    "max_partition_rows": ("SELECT max(n) AS n_rows FROM (SELECT count(*) AS n FROM lineitem "
+                           "GROUP BY l_returnflag) g"),
     "ordered_ids": "SELECT row_number() OVER (ORDER BY p_partkey) AS id, p_partkey, p_name "
                    "FROM part",
     "ordered_ids_rows": S.numbered("lineitem", LINEITEM_ORDER),
