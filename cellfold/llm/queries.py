@@ -8,11 +8,11 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.llm import chat, decontamination, licenses, near_dups, notices, quality, secrets, syncmers
+from cellfold.llm import chat, decontamination, licenses, merkle, near_dups, notices, quality, secrets, syncmers
 from cellfold.llm.mixing import mix_sources
 from cellfold.llm.resharding import reshard
 from cellfold.llm.url_rules import judge_urls
-from cellfold.llm.words import n_words, text_of
+from cellfold.llm.words import lower_ascii, n_words, text_of
 from cellfold.session import Stages
 
 OLD_SHARDS, NEW_SHARDS = 16, 24
@@ -116,8 +116,21 @@ def op10_url_rules(spark, d):
     return judge_urls(table(spark, d, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op12_merkle_manifest(spark, d):
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = table(spark, d, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = merkle.leaf([lower_ascii(F.col(c)) if c == "text" else F.col(c) for c in fields])
+    every = merkle.manifest(docs, Stages(spark), ident="doc_id", group="source", fields=fields,
+                            carried={"tampered": F.when(changed, lowered)})
+    out = every.select("doc_id", "leaf", "subroot", "root",
+                       merkle.digest(F.array_join(merkle.proof(F.col("path")), "")).alias("proof_sha256"),
+                       merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_mix_sources, op3_secrets, op4_syncmers, op5_decontaminate, op6_licenses, op6_license_notices, op7_reshard,
-                               op8_quality, op9_chat, op10_url_rules)}
+                               op8_quality, op9_chat, op10_url_rules, op12_merkle_manifest)}
 
 def _license_sql() -> str:
     grams = ", ".join(f"('{name}', '{g}')" for name, t in licenses.TEMPLATES.items() for g in licenses.bigrams_of(t))
