@@ -8,7 +8,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.llm import chat, decontamination, licenses, merkle, near_dups, notices, quality, secrets, syncmers
+from cellfold.llm import chat, decontamination, licenses, merkle, near_dups, notices, quality, secrets, spelling, syncmers
 from cellfold.llm.mixing import mix_sources
 from cellfold.llm.resharding import reshard
 from cellfold.llm.url_rules import judge_urls
@@ -129,8 +129,18 @@ def op12_merkle_manifest(spark, d):
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_spelling_variants(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.explode(spelling.word_runs(F.col("text"))).alias("run"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    docs = docs.select("run", h.alias("h"))
+    word = F.when(F.col("h") % 199 == 0, spelling.without(F.col("run"), F.pmod("h", F.length("run").cast("long")).cast("int")))
+    words = spelling.counted(docs.select(word.otherwise(F.col("run")).alias("word")), least_length=6, least_count=5)
+    return spelling.variants(words, Stages(spark))
+
+
 QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_mix_sources, op3_secrets, op4_syncmers, op5_decontaminate, op6_licenses, op6_license_notices, op7_reshard,
-                               op8_quality, op9_chat, op10_url_rules, op12_merkle_manifest)}
+                               op8_quality, op9_chat, op10_url_rules, op12_merkle_manifest,
+                               op13_spelling_variants)}
 
 def _license_sql() -> str:
     grams = ", ".join(f"('{name}', '{g}')" for name, t in licenses.TEMPLATES.items() for g in licenses.bigrams_of(t))
