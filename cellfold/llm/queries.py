@@ -8,7 +8,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.llm import chat, decontamination, licenses, merkle, near_dups, notices, quality, secrets, spelling, syncmers
+from cellfold.llm import chat, decontamination, licenses, merkle, near_dups, notices, quality, repeats, secrets, spelling, syncmers
 from cellfold.llm.mixing import mix_sources
 from cellfold.llm.resharding import reshard
 from cellfold.llm.url_rules import judge_urls
@@ -116,6 +116,11 @@ def op10_url_rules(spark, d):
     return judge_urls(table(spark, d, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op11_repeats(spark, d):
+    out = repeats.remove_repeats(table(spark, d, "documents"), Stages(spark))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op12_merkle_manifest(spark, d):
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     docs = table(spark, d, "documents")
@@ -139,7 +144,7 @@ def op13_spelling_variants(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_mix_sources, op3_secrets, op4_syncmers, op5_decontaminate, op6_licenses, op6_license_notices, op7_reshard,
-                               op8_quality, op9_chat, op10_url_rules, op12_merkle_manifest,
+                               op8_quality, op9_chat, op10_url_rules, op11_repeats, op12_merkle_manifest,
                                op13_spelling_variants)}
 
 def _license_sql() -> str:
