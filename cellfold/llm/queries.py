@@ -8,7 +8,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.llm import chat, decontamination, licenses, merkle, near_dups, notices, quality, repeats, secrets, spelling, syncmers
+from cellfold.llm import chat, corpus_sql, decontamination, licenses, merkle, near_dups, notices, quality, repeats, secrets, spelling, syncmers
 from cellfold.llm.mixing import mix_sources
 from cellfold.llm.resharding import reshard
 from cellfold.llm.url_rules import judge_urls
@@ -173,6 +173,9 @@ FROM documents d LEFT JOIN per USING (doc_id)
 
 
 ORACLE_SQL = {
+    "op11_repeats": corpus_sql.REPEATS,
+    "op12_merkle_manifest": corpus_sql.merkle(),
+    "op13_spelling_variants": corpus_sql.SPELLING,
     "op1_near_duplicates": r"""
 WITH RECURSIVE word AS (
   SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -1,0 +1,228 @@
+"""Repeated passages, the dataset manifest and spelling variants against plain versions."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_cases import DOC_SCHEMA, SF_MID, docs_of, edge_dir, rows  # noqa: F401
+
+from cellfold.llm import merkle, repeats, spelling
+from cellfold.session import Stages
+from pyspark.sql import functions as F
+
+LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def same(got, want):
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+# ------------------------------------------------------------- repeats
+
+def plain_repeats(docs):
+    """(id, kept, words, removed) by comparing all windows."""
+    split = [re.findall("[^\x20\x09-\x0D]+", t or "") for _, t in docs]
+    low = {}
+    for (i, _), w in zip(docs, split):
+        for k in range(len(w) - 12 if i is not None else 0):
+            x = tuple(w[k:k + 13])
+            low[x] = min(low.get(x, i), i)
+    out = []
+    for (i, _), w in zip(docs, split):
+        gone = [False] * len(w)
+        for k in range(len(w) - 12 if i is not None else 0):
+            if low[tuple(w[k:k + 13])] < i:
+                gone[k:k + 13] = [True] * 13
+        out.append((i, " ".join(x for x, g in zip(w, gone) if not g), len(w), sum(gone)))
+    return out
+
+
+def patchwork(seed, n=120):
+    """Texts of passages in any order and place, with runs and periods."""
+    r = random.Random(seed)
+    word = lambda: r.choice("abcdefgh") * r.randint(1, 2)
+    passages = [[word() for _ in range(r.randint(8, 40))] for _ in range(12)]
+    passages += [["x"] * 30, ["x"] * 14 + ["y"], ["a", "b"] * 20, ["a", "b", "c"] * 9, ["é ß", "\U0001F600"] * 8]
+    out = []
+    for i in range(n):
+        parts = []
+        for _ in range(r.randint(0, 6)):
+            p = list(r.choice(passages))
+            if r.random() < 0.4:
+                p[r.randrange(len(p))] = word()
+            if r.random() < 0.3:
+                p = p[r.randrange(5):]
+            parts += p + [f"u{r.random()}"] * r.randint(0, 2)
+        out.append((r.choice([i, i, i, i // 3, None]), r.choice([" ", "\n", " \t "]).join(parts)))
+    return out + [(7, None), (8, ""), (9, " \n"), (None, None)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeats_equal_all_windows(spark, seed):
+    docs = patchwork(seed)
+    # extra columns, with names that the operator uses itself
+    df = spark.createDataFrame([(*d, 1, "k", None) for d in docs], "doc_id long, text string, key int, kept string, id string")
+    with Stages(spark) as stages:
+        got = repeats.remove_repeats(df.repartition(5), stages).collect()
+    same([tuple(r) for r in got], plain_repeats(docs))
+    assert sum(r["n_removed"] for r in got) > 1000
+
+
+def test_repeats_of_edge_tables(spark, rows, edge_dir, docs_of):  # noqa: F811
+    want = [(i, n, gone, hashlib.sha256(kept.encode()).hexdigest())
+            for i, kept, n, gone in plain_repeats([(d["doc_id"], d["text"]) for d in docs_of(edge_dir)])]
+    same([(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in rows("op11", edge_dir)], want)
+    assert rows("op11", edge_dir + "/none") == []
+
+
+def test_windows_alike_have_one_anchor_and_few(spark):
+    """Equal windows have equal keys wherever they lie; about one anchor for five words."""
+    r = random.Random(1)
+    words = [f"w{r.randrange(400)}" for _ in range(20_000)]
+    text = (" ".join(words) + "\0" + " ".join(["start"] + words[50:9_000])).encode()
+    cut = text.index(b"\0")
+    w = repeats.Windows(np.frombuffer(text, dtype=np.uint8), np.array([0, cut, len(text)]))
+    assert len(w.at) == 20_000 - 12 + 8_951 - 12
+    first = {k: key for k, key in zip(w.at[w.owner[w.at] == 0], w.key[w.owner[w.at] == 0])}
+    second = list(zip(w.at[w.owner[w.at] == 1], w.key[w.owner[w.at] == 1]))
+    offset = w.n_words[0] + 1 - 50  # the second text starts with a word of its own
+    assert all(first[at - offset] == key for at, key in second[1:])
+    assert len(w.blocks()[0]) < len(w.at) / 3.5
+
+
+# -------------------------------------------------------------- merkle
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def plain_leaf(d, text):
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    return H(*[field(v) for v in (d["doc_id"], d["source"], d["lang"], d["n_chars"], text)])
+
+
+def plain_tree(now):
+    """(root, for each leaf its (place, run) on the way up)."""
+    paths, held = [[] for _ in now], [[i] for i in range(len(now))]
+    while len(now) > 1:
+        runs = [now[i:i + 16] for i in range(0, len(now), 16)]
+        for i, leaves in enumerate(held):
+            for leaf in leaves:
+                paths[leaf].append((i % 16, runs[i // 16]))
+        held = [sum(held[i:i + 16], []) for i in range(0, len(held), 16)]
+        now = [H(*r) for r in runs]
+    return now[0], paths
+
+
+def plain_manifest(docs):
+    groups = {}
+    for d in docs:
+        groups.setdefault(d["source"], []).append(d)
+    trees = []
+    for s in sorted(groups, key=lambda s: (s is not None, (s or "").encode())):
+        group = sorted(groups[s], key=lambda d: (d["doc_id"] is not None, d["doc_id"] or 0, plain_leaf(d, d["text"])))
+        leaves = [plain_leaf(d, d["text"]) for d in group]
+        trees.append((group, leaves, *plain_tree(leaves)))
+    if not trees:
+        return []
+    root, above = plain_tree([t[2] for t in trees])
+    out = []
+    for (group, leaves, sub, paths), more in zip(trees, above):
+        for d, leaf, path in zip(group, leaves, paths):
+            held = leaf
+            if d["doc_id"] is not None and zlib.crc32(str(d["doc_id"]).encode()) % 5 == 0:
+                held = plain_leaf(d, d["text"] and d["text"].translate(LOW))
+            for at, run in path + more:
+                held = H(*run[:at], held, *run[at + 1:])
+            sib = "".join(x for at, run in path + more for x in run[:at] + run[at + 1:])
+            out.append((d["doc_id"], leaf, sub, root, H(sib), held, held == root))
+    return out
+
+
+def test_manifest_of_edge_tables(rows, edge_dir, docs_of):  # noqa: F811
+    same([tuple(r.values()) for r in rows("op12", edge_dir)], plain_manifest(docs_of(edge_dir)))
+    assert rows("op12", edge_dir + "/none") == []
+
+
+@pytest.mark.parametrize("sizes", [[1], [16], [17, 1, 256, 257], [1] * 18, [300, 2]])
+def test_manifest_at_the_bounds_of_runs(spark, tmp_path, rows, sizes):  # noqa: F811
+    docs = [{"doc_id": 1000 * g + i // 2, "text": f"T{i // 2}", "lang": None, "source": None if g == 0 else f"s:{g}", "n_chars": i // 2}
+            for g, n in enumerate(sizes) for i in range(n)]  # every id twice
+    df = spark.createDataFrame([(*d.values(), "x", 1) for d in docs], DOC_SCHEMA + ", leaf string, tree int")
+    df.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    found = rows("op12", str(tmp_path))
+    same([tuple(r.values()) for r in found], plain_manifest(docs))
+    assert any(r["verified"] for r in found) or len(docs) == 1
+
+
+def test_a_changed_text_does_not_verify(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    changed = F.when(F.col("doc_id") % 10 == 3, merkle.leaf([F.col("doc_id"), F.concat("text", F.lit("."))]))
+    with Stages(spark) as stages:
+        every = merkle.manifest(docs, stages, ident="doc_id", group="lang", fields=["doc_id", "text"], carried={"changed": changed})
+        found = every.select((merkle.folded(F.coalesce("changed", "leaf"), F.col("path")) == F.col("root")).alias("ok"),
+                             (F.col("doc_id") % 10 != 3).alias("kept"), F.size(merkle.proof(F.col("path"))).alias("n")).collect()
+    assert len(found) == 1000 and all(r["ok"] == r["kept"] for r in found) and all(3 <= r["n"] <= 60 for r in found)
+
+
+# ------------------------------------------------------------ spelling
+
+def plain_variants(n):
+    """(word, form, root, n, near, form's n) by comparing all pairs of words."""
+    def near(a, b):
+        if len(a) > len(b):
+            a, b = b, a
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return len(a) + 1 == len(b) and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+    by = {}
+    for w in n:
+        by.setdefault(len(w), []).append(w)
+    all_near = {w: [v for k in (-1, 0, 1) for v in by.get(len(w) + k, []) if near(w, v)] for w in n}
+    form = {}
+    for w in n:
+        best = min(all_near[w], key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= 5 * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(all_near[w]), n.get(form[w])))
+    return out
+
+
+def test_variants_equal_all_pairs(spark):
+    r = random.Random(5)
+    letters = "aabéÿ\U0001F600×"
+    n = {"".join(r.choice(letters) for _ in range(r.randint(1, 6))): 5 ** r.randint(0, 7) + r.randint(0, 1) for _ in range(1500)}
+    n |= {"x" * k: 5 ** k for k in range(1, 9)}  # a chain of forms, runs of one letter
+    n[""] = 4
+    df = spark.createDataFrame([(*kv, 0) for kv in n.items()], "word string, n long, group int")
+    with Stages(spark) as stages:
+        got = [tuple(r) for r in spelling.variants(df, stages).collect()]
+        same(got, plain_variants(n))
+        assert {w: root for w, _, root, *_ in got}["x" * 2] == "x" * 8
+        assert spelling.variants(df.limit(0), stages).collect() == []
+        with pytest.raises(Exception, match="U.0000"):
+            spelling.variants(spark.createDataFrame([("a\0b", 1)], "word string, n long"), stages).collect()
+
+
+def plain_words(docs):
+    n = Counter()
+    for d in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", d["text"] or ""):
+            run = run.translate(LOW)
+            h = zlib.crc32(f"{'' if d['doc_id'] is None else d['doc_id']}:{run}".encode())
+            n[run[:h % len(run)] + run[h % len(run) + 1:] if h % 199 == 0 else run] += 1
+    return {w: c for w, c in n.items() if len(w) >= 6 and c >= 5}
+
+
+def test_spelling_of_given_and_edge_tables(rows, edge_dir, docs_of):  # noqa: F811
+    for folder in (edge_dir, SF_MID):
+        same([tuple(r.values()) for r in rows("op13", folder)], plain_variants(plain_words(docs_of(folder))))
+    assert rows("op13", edge_dir + "/none") == []
