@@ -27,6 +27,7 @@ from cellfold.operators.partitions import spread_input
 _ID = "__cellfold_id"
 RESTORE_MODES = ("strict", "lenient")
 BAD_TEXT = ("null", "raise")
+SLOTS = 64  # columns gathered by one aggregation: a bit of a long each
 
 
 # ---------------------------------------------------------------- melt side
@@ -200,8 +201,29 @@ def schema_frame(cells: DataFrame) -> DataFrame:
     ).where(F.col("name").isNotNull())
 
 
-def _is_column(k: int):
-    return lambda cell: cell["num"] == k
+def _gathered(data: DataFrame, n: int, strict: bool) -> DataFrame:
+    """One row per id with the text of column ``k`` as ``c<k>``, for more than
+    ``SLOTS`` columns in structs ``g<group>`` of that many. The greatest of
+    several cells stays; ``strict`` raises on them."""
+    slot = F.pmod(F.col("num") - 1, F.lit(SLOTS))
+    # one bit per column: fewer bits than cells mean that a cell came twice
+    counts = [F.count(F.lit(1)).alias("n"), F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.cast("int"))).alias("seen")]
+    twice = F.when(F.bit_count("seen") < F.col("n"), F.raise_error(F.concat(
+        F.lit("duplicate cell in row "), F.col("id").cast("string")))).otherwise(F.lit(True))
+    texts = lambda first, last: [
+        F.max(F.when(F.col("num") == k, F.col("val"))).alias(f"c{k}") for k in range(first, last + 1)]
+    if n <= SLOTS:
+        rows = data.groupBy("id").agg(*counts, *texts(1, n))
+        return rows.where(twice) if strict else rows
+    # slots are shared by all groups, a group's columns are those of its own numbers
+    group = F.floor((F.col("num") - 1) / SLOTS)
+    shared = [F.max(F.when(slot == j, F.col("val"))).alias(f"s{j}") for j in range(SLOTS)]
+    parts = data.groupBy("id", group.alias("g")).agg(*counts, *shared)
+    parts = parts.where(twice) if strict else parts
+    of = lambda g: F.struct(*[F.col(f"s{k - 1 - g * SLOTS}").alias(f"c{k}")
+                              for k in range(g * SLOTS + 1, min(n, (g + 1) * SLOTS) + 1)])
+    groups = range(-(-n // SLOTS))
+    return parts.groupBy("id").agg(*[F.max(F.when(F.col("g") == g, of(g))).alias(f"g{g}") for g in groups])
 
 
 def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
@@ -212,11 +234,11 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
     exactly its names, types, nullability and metadata. Row order is not
     promised, and no result depends on the order of cells.
 
-    One shuffle, by ``id``: the cells of an id are first reduced to one per
-    column, so an id's buffer holds a cell per column however many cells a
-    damaged table has for it; then they are gathered, sorted by column, and
-    column ``k`` is read at position ``k`` (searched for only in rows with
-    missing cells). The work is linear in the cells.
+    One shuffle at most, by ``id`` (none over bucketed cells). An aggregation by
+    id holds one slot per column, so its buffer is bounded however many cells a
+    damaged table has for an id, and it runs before the shuffle as well: cells
+    that lie together move as one row. Tables of more than ``SLOTS`` columns are
+    gathered in groups of columns first, so the work stays near linear in the cells.
 
     ``strict`` (default) fails on a duplicate cell, on a column number that the
     schema does not have, and on a null or negative row id or column number
@@ -241,17 +263,10 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
         data = cells.where(F.when(odd, F.raise_error(found)).otherwise(F.col("id") > 0))
     else:
         data = cells.where((F.col("id") > 0) & known)
-    single = data.repartition("id").groupBy("id", "num").agg(
-        F.max("val").alias("val"), F.count(F.lit(1)).alias("n"))
-    if mode == "strict":
-        single = single.where(F.when(F.col("n") > 1, F.raise_error(F.concat(
-            F.lit("duplicate cell in row "), F.col("id").cast("string")))).otherwise(F.lit(True)))
-    rows = single.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("num", "val"))).alias("cells"))
+    rows = _gathered(data, len(fields), mode == "strict")
     out = []
     for k, f in enumerate(fields, 1):
-        at = F.get(F.col("cells"), F.lit(k - 1))
-        searched = F.get(F.filter("cells", _is_column(k)), F.lit(0))
-        text = F.when(at["num"] == k, at["val"]).otherwise(searched["val"])
+        text = F.col(f"g{(k - 1) // SLOTS}")[f"c{k}"] if len(fields) > SLOTS else F.col(f"c{k}")
         value = from_text(text, f.dataType)
         if bad_text == "raise" and not isinstance(f.dataType, T.StringType):
             value = F.when(text.isNotNull() & value.isNull(), F.raise_error(
