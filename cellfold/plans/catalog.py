@@ -464,6 +464,13 @@ def q_parquet_restore_job(spark, d):
     return table
 
 
+def q_bucketed_restore(spark, d):
+    # cells in buckets by id: the restore of the whole table shuffles nothing
+    target = _scratch(spark, "restore-job-buckets")
+    load_key_value(spark, _table(spark, d, "lineitem"), target, name="lineitem", kv_format="buckets")
+    return restore_table(spark, target, kv_format="buckets")[0]
+
+
 def q_zip_read(spark, d):
     path = _scratch(spark, "zip-read")
     write_zipped_csv(_table(spark, d, "nation").repartition(3), path, {"header": "true"})
@@ -595,6 +602,7 @@ QUERIES: dict[str, Query] = {
     "load_job": q_load_job,
     "restore_job": q_restore_job,
     "parquet_restore_job": q_parquet_restore_job,
+    "bucketed_restore": q_bucketed_restore,
     "zip_read": q_zip_read,
     "zip_key_value": q_zip_key_value,
     "zip_restore_job": q_zip_restore_job,
@@ -806,6 +814,7 @@ ORACLE_SQL: dict[str, str] = {
     "load_job": _meta_sql("orders") + " UNION ALL " + S.key_value(_ORDERS_CELLS),
     "restore_job": _select_all("orders"),
     "parquet_restore_job": _select_all("lineitem"),
+    "bucketed_restore": _select_all("lineitem"),
     "zip_read": _select_all("nation"),
     "zip_key_value": S.key_value(S.cells("documents", [
         ("doc_id", "BIGINT"), ("text", "VARCHAR"), ("lang", "VARCHAR"), ("source", "VARCHAR"),

@@ -4,12 +4,14 @@ from them (T7).
 Layout written by ``load_key_value``: ``<target>/meta`` (n+1 rows, one file)
 and ``<target>/data`` (rows x columns cells). The interchange format is CSV
 or zipped CSV of ``(key, val)`` with an option set under which every text
-survives (``KEY_VALUE_CSV``), or parquet of typed ``(id, num, val)``.
+survives (``KEY_VALUE_CSV``), or parquet of typed ``(id, num, val)``, on request
+in buckets by id (``buckets``), from which a restore needs no shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,12 +27,13 @@ from cellfold.operators.keyvalue import (
     schema_name,
 )
 from cellfold.session import Stages
+from cellfold.sinks.buckets import read_buckets, write_buckets
 from cellfold.sinks.csv import write_csv
 from cellfold.sources.csv import read_csv, repartition_input
 from cellfold.sources.options import KEY_VALUE_CSV, KEY_VALUE_CSV_READ, overlay, parse_save_mode
 
 SOURCE_FORMATS = ("csv", "excel", "zip", "parquet")
-KV_FORMATS = ("csv", "parquet", "zip")
+KV_FORMATS = ("csv", "parquet", "zip", "buckets")
 KV_SCHEMA = "key string, val string"
 # a double quote run becomes one apostrophe when quote clearing is asked for
 _QUOTE_RUN, _QUOTE_REPLACEMENT = '"+', "'"
@@ -64,13 +67,16 @@ def write_key_value(kv: DataFrame, path: str, fmt: str = "csv",
                     options: Mapping[str, object] | None = None, mode: str | None = "overwrite",
                     n_files: int | None = None, coalesce: bool = False,
                     max_records_per_file: int | None = None) -> None:
-    """Write key-value cells as CSV (safe option set), zip or parquet.
+    """Write key-value cells as CSV (safe option set), zip, parquet or buckets.
 
     Takes ``(key, val)`` or ``(id, num, val)``. CSV and zip hold the text form
     ``(key, val)``; parquet holds typed ``(id long, num long, val string)``:
     no key text to build or parse, smaller files, and min/max statistics on
     ``id`` that let the metadata filter ``id = 0`` skip row groups.
     """
+    if fmt == "buckets":  # ``n_files`` buckets, a file each
+        write_buckets(_as_cells(kv), path, n_files, mode)
+        return
     frame = _as_cells(kv) if fmt == "parquet" else _as_key_value(kv)
     if n_files:
         frame = frame.coalesce(n_files) if coalesce else frame.repartition(n_files)
@@ -103,8 +109,8 @@ def read_key_value(spark: SparkSession, paths: str | Sequence[str], fmt: str = "
     if fmt == "csv":
         return (spark.read.schema(KV_SCHEMA)
                 .options(**overlay(KEY_VALUE_CSV_READ, options)).csv(paths))
-    if fmt == "parquet":
-        return _as_key_value(spark.read.parquet(*paths))
+    if fmt in ("parquet", "buckets"):
+        return _as_key_value(read_cells(spark, paths, fmt))
     if fmt == "zip":
         from cellfold.sources.zipped import read_zipped_csv
         opts = overlay(KEY_VALUE_CSV, {"comment": "", "mode": "FAILFAST"}, options)
@@ -115,9 +121,11 @@ def read_key_value(spark: SparkSession, paths: str | Sequence[str], fmt: str = "
 def read_cells(spark: SparkSession, paths: str | Sequence[str], fmt: str = "csv",
                options: Mapping[str, object] | None = None) -> DataFrame:
     """Read key-value files as ``(id, num, val)`` cells (parquet: as stored)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "parquet":
-        paths = [paths] if isinstance(paths, str) else list(paths)
         return _as_cells(spark.read.parquet(*paths))
+    if fmt == "buckets":
+        return reduce(DataFrame.unionByName, [read_buckets(spark, p) for p in paths])
     return id_num_columns(read_key_value(spark, paths, fmt, options))
 
 
@@ -152,6 +160,7 @@ def load_key_value(spark: SparkSession, source: str | DataFrame, target: str,
             data = clear_columns(data, _QUOTE_RUN, _QUOTE_REPLACEMENT)
         write_key_value(meta, meta_path, kv_format, write_options, mode, n_files=1, coalesce=True)
         write_key_value(data, data_path, kv_format, write_options, mode,
+                        n_files=n_partitions if kv_format == "buckets" else None,
                         max_records_per_file=max_records_per_file)
     return meta_path, data_path
 
@@ -176,7 +185,7 @@ def restore_table(spark: SparkSession, source: str | Sequence[str], kv_format: s
         data = read_cells(spark, f"{root}/data", kv_format, options)
         return plain_columns(data, schema, mode, bad_text), name
     paths = [source] if isinstance(source, str) else list(source)
-    if kv_format == "parquet":
+    if kv_format in ("parquet", "buckets"):
         # typed ids: the id-0 filter reaches the parquet scan
         return restore(read_cells(spark, paths, kv_format, options), mode, bad_text)
     return restore_key_value(read_key_value(spark, paths, kv_format, options), mode, bad_text)
