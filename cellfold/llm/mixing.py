@@ -17,7 +17,7 @@ times its size, and what such a limit frees is shared again by weight.
    of groups of 256 sources, then each group splits its share.
 3. Shards take disjoint runs of a source's blocks, as many as their leaf says.
    A document goes where its start lies. Shards are shuffled locally by a
-   second hash, see ``mixed_rows``.
+   second hash (``shuffle``), in whose order ``mixed_rows`` writes them.
 
 Everything is DataFrame expressions. Only the word counts by (source, hash
 bucket) are gathered by source, so a hot source is spread over its buckets.
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cellfold.llm.words import unused_name
+from cellfold.functions.names import qcol
 from cellfold.session import Stages
 
 WEIGHTS = (5, 2, 1)  # by source in code point order, repeating
@@ -121,7 +121,8 @@ def mix_sources(df: DataFrame, stages: Stages, *, source: Column, size: Column,
                 n_shards: int = 16, weights=WEIGHTS, max_repeat: int = 3, seed: int = 20_077) -> DataFrame:
     """``df`` with ``source_size`` (long), ``target`` (double, its source's),
     ``taken`` (long, words taken, repeats counted) and ``pieces``, an array of
-    (copy, words, shard): copy 0 is the first pass over the source. Every
+    (copy, words, shard, shuffle): copy 0 is the first pass over the source, shards
+    are read in the order of ``shuffle``. Every
     source's taken words equal its target, rounded; the document at the end
     of the line gives only the words still wanted.
 
@@ -129,10 +130,12 @@ def mix_sources(df: DataFrame, stages: Stages, *, source: Column, size: Column,
     ordered within (source, hash bucket). ``key`` must tell documents apart;
     rows with equal keys may swap places.
     """
-    src, sz, hsh, bkt, base, at, small, tgt = unused_name(
-        df, "_source", "_size", "_hash", "_bucket", "_base", "_at", "_small", "_target")
-    rows = df.drop(*OUTPUT).withColumns({
-        src: source, sz: F.coalesce(size.cast("long"), F.lit(0)), hsh: F.xxhash64(F.lit(seed), key)})
+    # the caller's columns travel in one struct, so that no name of theirs meets one of the plan
+    src, sz, hsh, bkt, at, k, row = "source", "words", "hash", "bucket", "at", "key", "row"
+    kept = [f for f in df.schema.fields if f.name.lower() not in OUTPUT]
+    packed = F.struct(*[qcol(f.name).alias(f"c{i}") for i, f in enumerate(kept)])
+    rows = df.select(source.alias(src), F.coalesce(size.cast("long"), F.lit(0)).alias(sz), key.alias(k), packed.alias(row))
+    rows = rows.withColumn(hsh, F.xxhash64(F.lit(seed), k))
     rows = rows.withColumn(bkt, F.pmod(F.col(hsh), F.lit(BUCKETS)).cast("int"))
     buckets = stages.save(rows.groupBy(F.col(src).alias("source"), F.col(bkt).alias("bucket"))
                           .agg(F.sum(sz).alias("size")), "mix-buckets")
@@ -151,34 +154,40 @@ def mix_sources(df: DataFrame, stages: Stages, *, source: Column, size: Column,
 
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = buckets.select(F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket"),
-                           F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias(base))
-    line = Window.partitionBy(src, bkt).orderBy(hsh, key, sz).rowsBetween(Window.unboundedPreceding, -1)
+                           F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("base"))
+    line = Window.partitionBy(src, bkt).orderBy(hsh, k, sz).rowsBetween(Window.unboundedPreceding, -1)
     placed = (rows.withColumn(at, F.coalesce(F.sum(sz).over(line), F.lit(0)))
               .join(bases, F.col(src).eqNullSafe(F.col("b_source")) & (F.col(bkt) == F.col("b_bucket")))
-              .withColumn(at, F.col(at) + F.col(base)).drop("b_source", "b_bucket", base)
-              .withColumnRenamed(sz, "__words"))
-    plan = plan.select("p_source", F.struct("source_size", "target", "words", "ends").alias(small))
+              .withColumn(at, F.col(at) + F.col("base")))
+    plan = plan.select("p_source", F.struct("source_size", "target", "words", "ends").alias("small"))
     placed = placed.join(plan, F.col(src).eqNullSafe(F.col("p_source")))
-    start = lambda k: F.col(at) + k * F.col(small)["source_size"]
+    start = lambda n: F.col(at) + n * F.col("small.source_size")
     pieces = F.array(*[F.struct(
-        F.lit(k).alias("copy"),
-        F.greatest(F.lit(0).cast("long"), F.least(F.col("__words"), F.col(small)["words"] - start(k))).alias("words"),
-        F.size(F.filter(F.col(small)["ends"], lambda e: e <= F.floor(start(k) / block))).alias("shard"))
-        for k in range(max_repeat)])
+        F.lit(n).alias("copy"),
+        F.greatest(F.lit(0).cast("long"), F.least(F.col(sz), F.col("small.words") - start(n))).alias("words"),
+        F.size(F.filter(F.col("small.ends"), lambda e: e <= F.floor(start(n) / block))).alias("shard"),
+        F.xxhash64(F.lit(seed + 1), k, F.lit(n)).alias("shuffle"))
+        for n in range(max_repeat)])
     return (placed.withColumn("pieces", F.filter(pieces, lambda p: p["words"] > 0))
-            .select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in OUTPUT],
-                    F.col(small)["source_size"].alias("source_size"), F.col(small)["target"].alias("target"),
+            .select(*[F.col(row)[f"c{i}"].alias(f.name, metadata=f.metadata) for i, f in enumerate(kept)],
+                    F.col("small.source_size").alias("source_size"), F.col("small.target").alias("target"),
                     F.aggregate("pieces", F.lit(0).cast("long"), lambda s, p: s + p["words"]).alias("taken"),
                     "pieces"))
 
 
-def mixed_rows(mixed: DataFrame, *, key: Column, size: Column, seed: int = 20_077) -> DataFrame:
+def mixed_rows(mixed: DataFrame, *, size: Column, n_shards: int = 16) -> DataFrame:
     """One row per whole document copy in the mix, in the columns of ``mixed``
-    but for the report, with ``shard`` and ``shuffle``: sort each shard by it to
-    read the shard in random order. The piece of a document that gives only
-    some of its words is kept whole if it gives half of them or more."""
-    piece, shard, shuffle = "__piece", "shard", "shuffle"
-    rest = [F.col(f"`{c}`") for c in mixed.columns if c.lower() not in (*OUTPUT, shard, shuffle)]
-    return (mixed.withColumn(piece, F.explode("pieces")).filter(F.col(f"{piece}.words") * 2 >= size)
-            .select(*rest, F.col(f"{piece}.shard").alias(shard),
-                    F.xxhash64(F.lit(seed + 1), key, F.col(f"{piece}.copy")).alias(shuffle)))
+    but for the report, shard by shard and shuffled within: a shard's rows
+    go to partitions by ranges of their ``shuffle``, in the order of it, so a shard
+    fills as many tasks and files as its part of the shuffle partitions. The
+    piece of a document that gives only some of its words is kept whole if it
+    gives half of them or more."""
+    kept = [f for f in mixed.schema.fields if f.name.lower() not in OUTPUT]
+    packed = F.struct(*[qcol(f.name).alias(f"c{i}") for i, f in enumerate(kept)])
+    rows = mixed.select(packed.alias("row"), F.coalesce(size.cast("long"), F.lit(0)).alias("size"),
+                        F.explode("pieces").alias("piece")).filter("piece.words * 2 >= size")
+    parts = max(1, int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions")) // n_shards)
+    part = F.least(F.floor((F.col("piece.shuffle") / 2.0 ** 64 + 0.5) * parts), F.lit(parts - 1))
+    placed = rows.repartitionById(n_shards * parts, (F.col("piece.shard") * parts + part).cast("int"))
+    return placed.sortWithinPartitions("piece.shard", "piece.shuffle").select(
+        *[F.col("row")[f"c{i}"].alias(f.name, metadata=f.metadata) for i, f in enumerate(kept)])

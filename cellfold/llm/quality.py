@@ -147,8 +147,9 @@ def fit(x: np.ndarray, y: np.ndarray, *, trees=TREES, depth=DEPTH, rate=RATE, bi
 
 def train(docs: DataFrame, labels: DataFrame, *, ident: str = "doc_id", text: str = "text", label: str = "quality",
           usable: Column, sample: int = SAMPLE) -> Forest:
-    """Fit on the documents of at most ``sample`` labels for which ``usable``
-    (an expression over ``labels``) holds."""
+    """Fit on at most ``sample`` documents of labels for which ``usable`` (an
+    expression over ``labels``) holds: those of least hash of their id. Rows that
+    repeat an id, a label and a text count once."""
     chosen = (labels.filter(usable & F.col(label).isin(0, 1) & F.col(ident).isNotNull())
               .select(F.col(ident).alias("__id"), F.col(label).cast("double").alias("__y"))
               .orderBy(F.xxhash64("__id"), "__id", "__y").limit(sample))
@@ -158,9 +159,13 @@ def train(docs: DataFrame, labels: DataFrame, *, ident: str = "doc_id", text: st
     def rows(batches):
         for batch in batches:
             x = statistics(batch.column(0))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(list(x), pa.list_(pa.float64()))],
+                                             names=["id", "y", "x"])
 
-    got = joined.select("__t", "__y").mapInArrow(rows, "y double, x array<double>").collect()
+    # an id may have several texts: the bound holds for the rows that are fitted
+    found = joined.select("__t", "__id", "__y").mapInArrow(
+        rows, T.StructType([T.StructField("id", docs.schema[ident].dataType), *T.StructType.fromDDL("y double, x array<double>")]))
+    got = found.distinct().orderBy(F.xxhash64("id"), "id", "y", "x").limit(sample).collect()
     got.sort(key=lambda r: (r["x"], r["y"]))
     x = np.array([r["x"] for r in got]).reshape(len(got), len(FEATURES))
     return fit(x, np.array([r["y"] for r in got]))

@@ -1,25 +1,20 @@
 """Secret scan (operator 3): fixed patterns and sliding-window entropy.
 
 Base kinds are patterns, see ``BASE``. The entropy kinds look at candidate
-strings, runs of 24 or more of ``A-Z a-z 0-9 + / _ -``. A candidate's character
-class is ``hex`` (hexadecimal digits with a letter and a digit) or ``mixed``
-(lower case, upper case and digit present); others are words or numbers and
-are left alone. A window of 20 characters slides over the candidate. The
+strings, runs of 20 or more of ``A-Z a-z 0-9 + / _ -``. The allow-list
+suppresses the path segments that it matches (``/`` parts segments), not the
+whole run; segments that are words are suppressed in paths only, and a word is
+shorter than a window. What is left between suppressed segments is classed and
+scanned by itself. Every candidate has a class with a threshold of its own:
+``hex``, ``mixed`` (lower case, upper case and digits), ``lower`` or ``upper`` with
+digits, ``letters``, else ``digits``.
+
+A window of 20 characters slides over the candidate. The
 count of every character in it is kept up to date by adding the character
 that enters and taking away the one that leaves, and with it the sum of
 ``c log2 c``, in whole units of 2^-20 bit so that sums are exact. The span
 reaches from the first to the last window whose Shannon entropy
-``log2 20 - sum / 20`` meets the threshold of the class. Candidates that a
-pattern of the allow-list finds are suppressed.
-
-The spans above are fixed by their tests. ``random_spans`` is the scan without
-their gaps: candidates have 20 characters or more, every candidate has a class
-with a threshold of its own (``hex``, ``mixed``, ``lower`` or ``upper`` with
-digits, ``letters``, else ``digits``), and the allow-list suppresses the path
-segment that it matches (``/`` parts segments), not the whole run. What is
-left between suppressed segments is classed and scanned by itself. Segments
-that are words are suppressed in paths only, and a word is shorter than a
-window.
+``log2 20 - sum / 20`` meets the threshold of the class.
 
 One projection over whole texts, no shuffle; expressions only. Defined cases:
 a null or empty text has no spans; rows are judged one by one, so repeated
@@ -43,19 +38,12 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]+", 0, 16),
     "hex": (r"[0-9a-f]{32,}", 0, 32),  # the runs of 32 or more are the runs that are kept
 }
-CANDIDATE = r"[A-Za-z0-9+/_-]{24,}"
 WINDOW = 20
-THRESHOLDS = {"hex": 3.0, "mixed": 3.8}  # bits a character
-RANDOM = r"[A-Za-z0-9+/_-]{20,}"  # as many as WINDOW
-RANDOM_THRESHOLDS = {"hex": 3.0, "mixed": 3.8, "lower": 3.5, "upper": 3.3, "letters": 3.6, "digits": 2.9}
+CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"  # as many as WINDOW
+THRESHOLDS = {"hex": 3.0, "mixed": 3.8, "lower": 3.5, "upper": 3.3, "letters": 3.6, "digits": 2.9}  # bits a character
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
     r"(?i)example|sample|placeholder|changeme|your[_-]?(api|secret|token|key)",
-    r"(?i)0123456789abcdef|abcdefghijklmnop",
-    r"/[A-Za-z_-]+/|^[A-Za-z_-]+/[A-Za-z_-]+/",  # paths made of words
-)
-ALLOWED_SEGMENTS = (
-    *ALLOWED[:2],
     r"(?i)^[_-]*(0123456789)?abcdefghijklmnop(qrstuvwxyz)?[_-]*$|0123456789abcdef",
 )
 _WORD = r"([A-Z]?[a-z]{2,18}|[A-Z]{3,19})"
@@ -63,7 +51,7 @@ WORDS = rf"^[_-]*{_WORD}([_-]+{_WORD})*[_-]*$"  # a segment of a path
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 UNIT = 1 << 20
 CHUNK = 512  # windows walked at a time: reading a character of a long string costs its position
-OUTPUT = ("n_assign", "n_access", "n_hex", "n_entropy", "base_spans", "all_spans", "n_random", "random_spans")
+OUTPUT = ("n_assign", "n_access", "n_hex", "n_entropy", "base_spans", "all_spans")
 
 
 def weight(count: int) -> int:
@@ -126,37 +114,27 @@ def _pieces(allowed) -> str:
             f"when {has('0-9')} and {has('a-z')} and {has('A-Z')} then 'mixed' "
             f"when {has('0-9')} and {has('a-z')} then 'lower' when {has('0-9')} and {has('A-Z')} then 'upper' "
             f"when {has('A-Za-z')} then 'letters' else 'digits' end")
-    return (f"transform(array({masked}), v -> transform({spans('v', RANDOM)}, "
+    return (f"transform(array({masked}), v -> transform({spans('v', CANDIDATE)}, "
             f"x -> named_struct('start', c.start + x.start, 'value', x.value, 'kind', {kind})))[0]")
 
 
-def find_secrets(df: DataFrame, *, text: str = "text", thresholds=THRESHOLDS, allowed=ALLOWED,
-                 random_thresholds=RANDOM_THRESHOLDS, allowed_segments=ALLOWED_SEGMENTS) -> DataFrame:
+def find_secrets(df: DataFrame, *, text: str = "text", thresholds=THRESHOLDS, allowed=ALLOWED) -> DataFrame:
     """``df`` with the counts per base kind, ``n_entropy``, and arrays
-    ``base_spans`` and ``all_spans`` of (start, no, kind, stop), sorted; and
-    ``random_spans``, the whole entropy scan, with its count ``n_random``."""
+    ``base_spans`` and ``all_spans`` of (start, no, kind, stop), sorted."""
     keep = [F.col(f"`{c}`") for c in df.columns if c.lower() not in OUTPUT]
-    t, base, runs, cand, part, hot, rand = unused_name(df, "_t", "_base", "_runs", "_cand", "_part", "_hot", "_random")
+    t, base, runs, part, hot = unused_name(df, "_t", "_base", "_runs", "_part", "_hot")
     kinds = list(BASE)
     at = df.withColumn(t, text_of(F.col(f"`{text}`")))
     parts = [f"transform({spans(t, p, group=g, least=n)}, x -> named_struct("
              f"'start', x.start, 'no', {k}, 'kind', '{kind}', 'stop', x.stop))"
              for k, (kind, (p, g, n)) in enumerate(BASE.items())]
-    skip = " or ".join(["false", *(f"x.value rlike {quoted(p)}" for p in allowed)])
-    kind = ("case when x.value rlike r'^[0-9a-fA-F]*$' and x.value rlike r'[0-9]' and x.value rlike r'[a-fA-F]' then 'hex' "
-            "when x.value rlike r'[0-9]' and x.value rlike r'[a-z]' and x.value rlike r'[A-Z]' then 'mixed' end")
-    at = at.withColumns({base: F.expr(f"array_sort(concat({', '.join(parts)}))"), runs: F.expr(spans(t, RANDOM))})
-    at = at.withColumns({
-        cand: F.expr(f"transform(filter({runs}, x -> x.value rlike {quoted(CANDIDATE)} and not ({skip})), x -> named_struct("
-                     f"'start', x.start, 'value', x.value, 'kind', {kind}))"),
-        part: F.expr(f"flatten(transform({runs}, c -> {_pieces(allowed_segments)}))")})
-    at = at.withColumns({hot: F.expr(_scanned(cand, thresholds, len(kinds))),
-                         rand: F.expr(_scanned(part, random_thresholds, len(kinds)))})
+    at = at.withColumns({base: F.expr(f"array_sort(concat({', '.join(parts)}))"), runs: F.expr(spans(t, CANDIDATE))})
+    at = at.withColumn(part, F.expr(f"flatten(transform({runs}, c -> {_pieces(allowed)}))"))
+    at = at.withColumn(hot, F.expr(_scanned(part, thresholds, len(kinds))))
     count = lambda k: F.size(F.filter(base, lambda x: x["no"] == k)).cast("long")
     return at.select(*keep, *[count(k).alias(f"n_{kind}") for k, kind in enumerate(kinds)],
                      F.size(hot).cast("long").alias("n_entropy"), F.col(base).alias("base_spans"),
-                     F.array_sort(F.concat(base, hot)).alias("all_spans"),
-                     F.size(rand).cast("long").alias("n_random"), F.col(rand).alias("random_spans"))
+                     F.array_sort(F.concat(base, hot)).alias("all_spans"))
 
 
 def joined(spans_column: str):

@@ -56,7 +56,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", default:
                      F.collect_set(F.length("path")).alias("lengths")).first()
     numbers = lambda xs: f"cast(array({', '.join(map(str, sorted(xs)))}) as array<int>)"
     u = f"`{url}`"
-    work_host, work_path = unused_name(pages, "_host", "_path")
+    work_host, work_path, h, p, best_of = unused_name(pages, "_host", "_path", "h", "p", "best")
     kept = [c for c in pages.columns if c == url or c.lower() not in ("host", "path", "rule", "verdict")]
     split = pages.select(*[F.col(f"`{c}`") for c in kept],
                          host_of(F.col(u)).alias(work_host), path_of(F.col(u)).alias(work_path))
@@ -78,8 +78,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", default:
     best = hits.groupBy("h", "p").agg(F.max(F.struct(
         (F.length("rh") + F.length("rp")).alias("a"), F.length("rh").alias("b"), (F.col("rv") == "block").alias("c"),
         F.concat("rh", "rp").alias("rule"), F.col("rv").alias("verdict"))).alias("best"))
-    return (split.join(best, (F.col(work_host) == F.col("h")) & (F.col(work_path) == F.col("p")), "left")
+    best = best.toDF(h, p, best_of)
+    return (split.join(best, (F.col(work_host) == F.col(h)) & (F.col(work_path) == F.col(p)), "left")
             .select(*[F.col(f"`{c}`") for c in kept],
                     F.col(work_host).alias("host"), F.col(work_path).alias("path"),
-                    F.col("best.rule").alias("rule"),
-                    F.coalesce("best.verdict", F.lit(default)).alias("verdict")))
+                    F.col(best_of)["rule"].alias("rule"),
+                    F.coalesce(F.col(best_of)["verdict"], F.lit(default)).alias("verdict")))

@@ -43,6 +43,17 @@ def test_edge_texts_and_missing_labels(spark, edge_dir):  # noqa: F811
     assert Q.score(docs.limit(0), forest).count() == 0
 
 
+def test_no_more_rows_are_fitted_than_the_bound(spark, monkeypatch):
+    docs = spark.range(50).selectExpr("id % 3 as doc_id", "concat('text number ', id) as text")
+    same = spark.range(50).selectExpr("id % 3 as doc_id", "'one text' as text")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1), (2, 1)], "doc_id long, quality int")
+    fitted, fit = [], Q.fit
+    monkeypatch.setattr(Q, "fit", lambda x, y: fitted.append(len(x)) or fit(x, y))
+    for frame, sample in ((docs, 2), (docs, 20), (same, 20)):
+        Q.train(frame, labels, usable=F.lit(True), sample=sample)
+    assert fitted == [2, fitted[1], 3] and 3 <= fitted[1] <= 20
+
+
 def test_trees_fit_a_known_rule():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 5))

@@ -8,6 +8,7 @@ from test_near_dups import by_brute_force
 from test_sizes import targets
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from cellfold.llm import decontamination as D
 from cellfold.session import Stages
 
@@ -72,3 +73,18 @@ def test_awkward_and_empty_tables(spark, edge_dir, tmp_path):  # noqa: F811
         assert sorted({r["doc_id"] for r in got if r["doc_id"]}) == ([] if kind != "documents" else [
             i for i in (4, 11, 12, 13, 15, 16, 17, 100) if any(r["doc_id"] == i for r in got)])
         assert bool(got) == (kind == "documents")
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["target", "taken", "pieces", "__words", "p_source", "source_size", "row", "__piece", "h", "id", "__y", "u", "gone"]
+    plain = spark.read.parquet(f"{SF_MID}/documents.parquet").where("doc_id % 5 = 0")
+    docs = plain.withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in names})
+    with Stages(spark) as stages:
+        a, b = plain, docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            a, b = (stages.save(stage(spark, d, SF_MID), name) for d in (a, b))
+            assert b.columns == docs.columns
+            assert sorted(texts(a), key=str) == sorted(texts(b), key=str)
+            assert all(r[n] == f"{n}{r['doc_id']}" for r in b.collect() for n in names)
+        last = corpus_pipeline.STAGES[-1][1](spark, b, SF_MID)
+        assert set(docs.columns) <= set(last.columns) and last.count() == b.count()

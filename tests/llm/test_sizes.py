@@ -60,13 +60,27 @@ def test_mix_shards_are_even_and_rows_follow(spark):
     # documents of one size: a shard's words are its blocks, but for the cut at every source's runs
     docs = spark.range(6000).selectExpr("id as doc_id", "concat('s', id % 5) as source", "'w' as text", "'clash' as Target")
     mixed = mix_sources(docs, Stages(spark), source=F.col("source"), size=F.lit(10), key=F.col("doc_id"))
-    out = mixed_rows(mixed, key=F.col("doc_id"), size=F.lit(10))
-    assert out.columns == ["doc_id", "source", "text", "shard", "shuffle"]
+    out = mixed_rows(mixed, size=F.lit(10))
+    assert out.columns == ["doc_id", "source", "text"]
     words = {r[0]: r[1] for r in mixed.select(F.explode("pieces").alias("p")).groupBy("p.shard").agg(F.sum("p.words")).collect()}
     assert set(words) == set(range(16)) and sum(words.values()) == 60_000
     # one block more or less, five short last blocks, a document at both ends of five runs
     assert max(words.values()) - min(words.values()) <= 117 + 5 * 117 + 2 * 5 * 10
-    assert out.count() == 6000
+    # rows leave shard by shard, in the order of the shuffle
+    places = [(p["shard"], p["shuffle"], r["doc_id"]) for r in mixed.collect() for p in r["pieces"] if 2 * p["words"] >= 10]
+    want = [i for _, _, i in sorted(places)]
+    assert [r["doc_id"] for r in out.collect()] == want and want != sorted(want)
+
+
+def test_mix_with_columns_of_any_name(spark):
+    names = ["target", "TAKEN", "pieces", "__words", "p_source", "b_source", "b_bucket", "shard", "shuffle", "__piece", "size", "row", "words"]
+    docs = spark.range(300).withColumns({n: F.concat(F.lit(n), F.col("id")) for n in names})
+    mixed = mix_sources(docs, Stages(spark), source=F.substring("p_source", -1, 1), size=F.length("TAKEN"), key=F.col("id"))
+    assert mixed.columns == ["id", *[n for n in names if n.lower() not in ("target", "taken", "pieces")],
+                             "source_size", "target", "taken", "pieces"]
+    assert all(r["shard"] == f"shard{r['id']}" and r["size"] == f"size{r['id']}" for r in mixed.collect())
+    out = mixed_rows(mixed, size=F.lit(1))
+    assert out.columns == ["id", *[n for n in names if n.lower() not in ("target", "taken", "pieces")]] and out.count() > 250
 
 
 def test_mix_of_nothing(edge_dir, rows):

@@ -28,26 +28,46 @@ def base_spans(text):
     return sorted(out)
 
 
+def pieces(run):
+    """(offset, piece) of what the allow-list leaves of a run, cut at its slashes."""
+    word = re.compile(secrets.WORDS)
+    kept, at = [], 0
+    for segment in run.split("/"):
+        out = ("/" in run and word.search(segment)) or any(re.search(p, segment) for p in secrets.ALLOWED)
+        kept.append((at, segment, bool(out) and segment != ""))
+        at += len(segment) + 1
+    chars = list(run)
+    for start, segment, out in kept:
+        if out:  # with the slashes beside it
+            for i in range(max(0, start - 1), min(len(chars), start + len(segment) + 1)):
+                chars[i] = " "
+    return [(m.start(), m[0]) for m in re.finditer("[^ ]{20,}", "".join(chars))]
+
+
+def class_of(s):
+    has = lambda p: re.search(p, s)
+    if re.fullmatch("[0-9a-fA-F]*", s) and has("[0-9]") and has("[a-fA-F]"):
+        return "hex"
+    if has("[0-9]"):
+        if has("[a-z]"):
+            return "mixed" if has("[A-Z]") else "lower"
+        return "upper" if has("[A-Z]") else "digits"
+    return "letters" if has("[A-Za-z]") else "digits"
+
+
 def entropy_spans(text):
     """Every window counted afresh."""
     out = []
-    for m in re.finditer(r"[A-Za-z0-9+/_-]{24,}", text):
-        s = m[0]
-        if any(re.search(p, s) for p in secrets.ALLOWED):
-            continue
-        if re.fullmatch("[0-9a-fA-F]*", s) and re.search("[0-9]", s) and re.search("[a-fA-F]", s):
-            kind = "hex"
-        elif re.search("[0-9]", s) and re.search("[a-z]", s) and re.search("[A-Z]", s):
-            kind = "mixed"
-        else:
-            continue
-        hot = []
-        for i in range(len(s) - secrets.WINDOW + 1):
-            counts = Counter(s[i:i + secrets.WINDOW]).values()
-            if -sum(c / 20 * math.log2(c / 20) for c in counts) >= secrets.THRESHOLDS[kind]:
-                hot.append(i)
-        if hot:
-            out.append((m.start() + hot[0], 3, "entropy_" + kind, m.start() + hot[-1] + secrets.WINDOW))
+    for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text):
+        for offset, s in pieces(m[0]):
+            kind = class_of(s)
+            hot = []
+            for i in range(len(s) - secrets.WINDOW + 1):
+                counts = Counter(s[i:i + secrets.WINDOW]).values()
+                if -sum(c / 20 * math.log2(c / 20) for c in counts) >= secrets.THRESHOLDS[kind]:
+                    hot.append(i)
+            if hot:
+                out.append((m.start() + offset + hot[0], 3, "entropy_" + kind, m.start() + offset + hot[-1] + secrets.WINDOW))
     return out
 
 
@@ -115,16 +135,16 @@ def test_every_class_is_scanned_and_only_segments_are_suppressed(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
     got = {r["i"]: r for r in secrets.find_secrets(df).collect()}
     for i, t in enumerate(texts):
-        spans = [(s["kind"].removeprefix("entropy_"), s["start"], s["stop"]) for s in got[i]["random_spans"]]
-        assert got[i]["n_random"] == len(spans)
+        spans = [(s["kind"].removeprefix("entropy_"), s["start"], s["stop"]) for s in got[i]["all_spans"] if s["no"] == 3]
+        assert got[i]["n_entropy"] == len(spans)
         if t in none:
             assert not spans, t
         elif t in found:
             kind, piece = found[t]
             bits = [-sum(c / 20 * math.log2(c / 20) for c in Counter(piece[k:k + 20]).values()) for k in range(len(piece) - 19)]
-            hot = [t.index(piece) + k for k, b in enumerate(bits) if b >= secrets.RANDOM_THRESHOLDS[kind]]
+            hot = [t.index(piece) + k for k, b in enumerate(bits) if b >= secrets.THRESHOLDS[kind]]
             assert spans == [(kind, hot[0], hot[-1] + 20)], t
-    assert sum(bool(got[i]["n_random"]) for i in range(len(texts) - 100, len(texts))) >= 98
+    assert sum(bool(got[i]["n_entropy"]) for i in range(len(texts) - 100, len(texts))) >= 98
 
 
 # ------------------------------------------------------------------ fingerprints

@@ -29,10 +29,10 @@ def judge(url, rules=URL_RULES):
 
 
 def test_verdicts_on_awkward_urls(spark):
-    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(URLS)], "page_id long, url string, Rule string")
+    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(URLS)], "page_id long, url string, Rule string").withColumns({"h": F.lit(1), "P": F.lit(2), "best": F.lit(3), "digest": F.lit(4)})
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     out = url_rules.judge_urls(pages, rules)
-    assert out.columns == ["page_id", "url", "host", "path", "rule", "verdict"]
+    assert out.columns == ["page_id", "url", "h", "P", "best", "digest", "host", "path", "rule", "verdict"]
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in out.collect()}
     assert got == {i: judge(u) for i, u in enumerate(URLS)}
 
