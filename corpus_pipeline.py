@@ -39,10 +39,12 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents, repeated as often as their source's target asks."""
-    size = n_words(F.col("text"))
-    mixed = mixing.mix_sources(docs, Stages(spark), source=F.col("source"), size=size, key=F.col("doc_id"))
-    return mixing.mixed_rows(mixed, key=F.col("doc_id"), size=size).select(*docs.columns)
+    """Whole documents, repeated as often as their source's target asks, in the
+    order of the output shards and shuffled within them."""
+    whole = docs.select(F.struct("*").alias("doc"))  # columns of any name stay as they are
+    size = n_words(F.col("doc.text"))
+    mixed = mixing.mix_sources(whole, Stages(spark), source=F.col("doc.source"), size=size, key=F.col("doc.doc_id"))
+    return mixing.mixed_rows(mixed, size=size).select("doc.*")
 
 
 def place(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +61,11 @@ ORACLE_SQL = None  # tests/llm/test_pipeline.py holds every stage against a plai
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, stages = table(spark, sf_dir, "documents"), Stages(spark)
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stages.save(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        own = Stages(spark)
+        docs = own.save(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:  # the rows of the stage before have been read
+            before.release()
+        before = own
     return docs
