@@ -6,6 +6,7 @@ aggregates combined by ``union`` (no joins).
 
 from __future__ import annotations
 
+import zlib
 from decimal import Decimal
 from functools import reduce
 
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellfold.functions.names import qcol
-from cellfold.functions.text import from_text
+from cellfold.functions.text import as_entries, from_text, to_text
+from cellfold.operators.numbering import orderable
 
 
 def _has_map(dt: T.DataType) -> bool:
@@ -27,18 +29,18 @@ def _has_map(dt: T.DataType) -> bool:
     return False
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """``df`` with map columns as sorted entry arrays, so set operations
-    (``exceptAll``), which refuse maps, can compare it."""
+def _comparable_columns(df: DataFrame) -> list[Column]:
     cols = []
     for f in df.schema.fields:
         c = qcol(f.name)
-        if isinstance(f.dataType, T.MapType):
-            c = F.array_sort(F.map_entries(c))
-        elif _has_map(f.dataType):
-            c = F.to_json(c)
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+        cols.append((as_entries(c, f.dataType) if _has_map(f.dataType) else c).alias(f.name))
+    return cols
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """``df`` with map columns as sorted entry arrays, so set operations
+    (``exceptAll``), which refuse maps, can compare it."""
+    return df.select(*_comparable_columns(df))
 
 
 def _metrics(df: DataFrame, values: dict[str, Column]) -> DataFrame:
@@ -113,15 +115,103 @@ def audit_round_trip(original: DataFrame, cells: DataFrame, restored: DataFrame,
         "columns": F.max(F.lit(n_cols)), "schema_equal": F.max(F.lit(int(same)))})])
 
 
-def describe_table(df: DataFrame) -> DataFrame:
-    """One row per column: ``(num, name, type, nullable, n_rows, n_nulls)``.
-
-    All counts come from a single aggregation pass over ``df``.
+CAPACITY = 1 << 16  # differing rows that the table of ``differing_rows`` is made for
+_TABLES = 3  # cells that a row falls into, one in each part of the table
+
+
+def _hashed(df: DataFrame) -> DataFrame:
+    """``df`` with ``h``, a hash of every row; nulls count by their place."""
+    cols = _comparable_columns(df)
+    return df.withColumn("h", F.xxhash64(*cols, *[c.isNull() for c in cols]))
+
+
+def _peeled(cells: dict[int, list[int]], width: int) -> dict[int, int] | None:
+    """The hashes that are left of both sides, with how many times more the first
+    side has them; None when the cells do not come apart."""
+    number = lambda text: zlib.crc32(text.encode())
+    found: dict[int, int] = {}
+    waiting = list(cells)
+    while waiting:
+        n, total, check = cells[waiting.pop()]
+        if n == 0 or total % n or number(f"c:{total // n}") * n != check:
+            continue  # empty, or several hashes in one cell
+        h = total // n
+        found[h] = found.get(h, 0) + n
+        for j in range(_TABLES):
+            at = j * width + number(f"{j}:{h}") % width
+            cell = cells.setdefault(at, [0, 0, 0])
+            cell[0], cell[1], cell[2] = cell[0] - n, cell[1] - h * n, cell[2] - number(f"c:{h}") * n
+            waiting.append(at)
+    return None if any(any(c) for c in cells.values()) else {h: n for h, n in found.items() if n}
+
+
+def differing_rows(original: DataFrame, restored: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The rows that two tables of equal columns do not share: their columns,
+    ``side`` (``missing``: more often in the first, ``extra``: in the second),
+    ``n`` (how many times more) and ``method``.
+
+    An invertible Bloom lookup table names them without a shuffle of rows: each
+    row falls into three cells, a cell adds up number, hash and check of its
+    rows, and the two tables are subtracted as they are added up. What the sides
+    share is gone then; cells with one hash give it away, and taking it out
+    frees others. The table has 1.5 cells for each of ``capacity`` differing rows;
+    it is all that reaches the driver, and the hashes found go back as a filter on
+    the two tables. More differences than that do not come apart: the hashes of all
+    rows are then shuffled and compared, and ``method`` says ``shuffle`` instead
+    of ``sketch``.
+    """
+    if restored.columns != original.columns:
+        raise ValueError("the tables have different columns")
+    width, names = max(8, capacity // 2), original.columns
+    slots = [f"c{i}" for i in range(len(names))]  # by position: no name meets one of the plan
+    sides = [("missing", 1, _hashed(original.toDF(*slots))), ("extra", -1, _hashed(restored.toDF(*slots)))]
+    rows = reduce(DataFrame.unionByName, [df.select("h", F.lit(sign).alias("sign")) for _, sign, df in sides])
+    crc = lambda tag: F.crc32(F.concat(F.lit(tag), F.col("h").cast("string")).cast("binary"))
+    places = F.array(*[F.lit(j * width) + crc(f"{j}:") % width for j in range(_TABLES)])
+    summed = lambda c: F.sum((c.cast("decimal(20,0)") * F.col("sign")).cast("decimal(38,0)"))
+    cells = (rows.select("h", "sign", F.explode(places).alias("at")).groupBy("at")
+             .agg(F.sum("sign").alias("n"), summed(F.col("h")).alias("total"), summed(crc("c:")).alias("check"))
+             .where("n <> 0 or total <> 0 or check <> 0"))
+    found = _peeled({r["at"]: [r["n"], int(r["total"]), int(r["check"])] for r in cells.collect()}, width)
+    if found is None:
+        hashes = rows.groupBy("h").agg(F.sum("sign").alias("n")).where("n <> 0")
+    else:  # no more than the cells
+        hashes = F.broadcast(original.sparkSession.createDataFrame(list(found.items()), "h long, n long"))
+    return reduce(DataFrame.union, [
+        df.join(hashes.where(F.col("n") * sign > 0), "h").dropDuplicates(["h"]).select(
+            *[F.col(s).alias(c) for s, c in zip(slots, names)], F.lit(side).alias("side"), F.abs("n").alias("n"),
+            F.lit("shuffle" if found is None else "sketch").alias("method"))
+        for side, sign, df in sides])
+
+
+def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """``n`` rows of ``df`` as cell texts: those whose text has the smallest
+    SHA-256. The same rows on every run, however the table is partitioned; each
+    task keeps ``n`` rows and nothing is sorted whole."""
+    texts = [to_text(qcol(f.name), f.dataType) for f in df.schema.fields]
+    print_ = F.sha2(F.concat_ws("\u0001", *[F.coalesce(t, F.lit("\u0002")) for t in texts]).cast("binary"), 256)
+    slots = [f"c{i}" for i in range(len(texts))]
+    top = df.select(print_.alias("print"), *[t.alias(s) for t, s in zip(texts, slots)]).orderBy("print", *slots).limit(n)
+    return top.select(*[F.col(s).alias(c) for s, c in zip(slots, df.columns)])
+
+
+def describe_table(df: DataFrame, sample: int = 0) -> DataFrame:
+    """One row per column: ``(num, name, type, nullable, n_rows, n_nulls)`` (D1),
+    and ``least`` and ``greatest``, the bounds of its values as cell text (null
+    for types without an order). ``sample`` rows of ``sample_rows`` (shown in its
+    order) add ``sample``, the column's cells in them.
+
+    All counts come from a single aggregation pass over ``df``; only the sample
+    reaches the driver.
     """
     fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("n_rows")] + [
-        F.count_if(qcol(f.name).isNull()).alias(f"n{k}") for k, f in enumerate(fields, 1)
-    ]
+    sampled = [list(r) for r in sample_rows(df, sample).collect()] if sample else []
+    bound = lambda f, pick: (to_text(pick(qcol(f.name)), f.dataType) if orderable(f.dataType)
+                             else F.lit(None).cast("string"))
+    aggs = [F.count(F.lit(1)).alias("n_rows")] + [x for k, f in enumerate(fields, 1) for x in (
+        F.count_if(qcol(f.name).isNull()).alias(f"n{k}"), bound(f, F.min).alias(f"min{k}"), bound(f, F.max).alias(f"max{k}"))]
+    cells = lambda k: [F.array(*[F.lit(r[k - 1]).cast("string") for r in sampled]).cast(
+        "array<string>").alias("sample")] if sample else []
     rows = F.array(*[
         F.struct(
             F.lit(k).cast("long").alias("num"),
@@ -130,6 +220,9 @@ def describe_table(df: DataFrame) -> DataFrame:
             F.lit(f.nullable).alias("nullable"),
             F.col("n_rows").alias("n_rows"),
             F.col(f"n{k}").alias("n_nulls"),
+            F.col(f"min{k}").alias("least"),
+            F.col(f"max{k}").alias("greatest"),
+            *cells(k),
         ) for k, f in enumerate(fields, 1)
     ])
     return df.agg(*aggs).select(F.inline(rows))

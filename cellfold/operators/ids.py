@@ -35,9 +35,16 @@ STRATEGIES = ("unique", "partition", "ordered")
 _POSITION_MASK = (1 << 33) - 1
 
 
+# plans in which a row is still one row of one file
+_ROW_BY_ROW = {"AdaptiveSparkPlan", "Scan parquet", "ColumnarToRow", "Filter", "Project", "Exchange", "Coalesce", "Sort"}
+
+
 def _file_ids(df: DataFrame, id_col: str) -> DataFrame | None:
     """Ids from the row positions that Parquet scans report; None for a frame
     whose rows have no such position."""
+    from cellfold.plans.inspect import operators
+    if not operators(df) <= _ROW_BY_ROW:  # a join, a union, an explode, a distinct ...
+        return None
     path, row, at = unused_names(df, "__path", "__row", "__file")
     try:
         placed = df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(row))

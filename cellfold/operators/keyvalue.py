@@ -36,8 +36,10 @@ def _ids(df: DataFrame, ids: str, order_by, id_col: str | Column | None,
          unique_keys: bool, stages=None) -> tuple[DataFrame, Column, list[str]]:
     """(frame with an id column, that column, the data columns)."""
     if id_col is not None:
-        ident = qcol(id_col) if isinstance(id_col, str) else id_col
-        return df, ident.cast("long"), list(df.columns)
+        ident = (qcol(id_col) if isinstance(id_col, str) else id_col).cast("long")
+        # id 0 is the metadata's: such rows would be read as the table's description
+        found = F.concat(F.lit("row ids have to be 1 or more, found "), F.coalesce(ident.cast("string"), F.lit("null")))
+        return df, F.when(ident >= 1, ident).otherwise(F.raise_error(found).cast("long")), list(df.columns)
     with_id = with_row_ids(df, ids, id_col=_ID, order_by=order_by,
                            unique_keys=unique_keys, stages=stages)
     return with_id, F.col(_ID), list(df.columns)
@@ -182,7 +184,10 @@ def schema_name(cells: DataFrame) -> tuple[T.StructType, str | None]:
     fields: list[T.StructField] = []
     for row in sorted((r for r in meta if r["num"] is not None and r["num"] > 0),
                       key=lambda r: r["num"]):
-        fields.extend(parse_field_json(row["val"]))
+        try:
+            fields.extend(parse_field_json(row["val"]))
+        except ValueError as e:
+            raise ValueError(f"metadata cell 0,{row['num']} is not the JSON of a field: {row['val']!r:.200}") from e
     return T.StructType(fields), (names[0] if names else None)
 
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.operators.audit import audit_round_trip, describe_table
+from cellfold.operators.audit import audit_round_trip, describe_table, differing_rows
 from cellfold.operators.columns import (
     clear_columns,
     id_num_columns,
@@ -36,6 +36,7 @@ from cellfold.operators.keyvalue import (
     schema_frame,
     schema_name,
 )
+from cellfold.operators.likeness import table_like
 from cellfold.operators.nested import (
     array_column,
     array_to_struct,
@@ -55,7 +56,7 @@ from cellfold.sources.csv import read_csv
 from cellfold.sources.workbook import read_workbooks
 from cellfold.sources.zipped import read_zipped_csv
 from cellfold.streaming.melt import start_key_value_stream
-from cellfold.sources.options import KEY_VALUE_CSV, KEY_VALUE_CSV_READ, overlay
+from cellfold.sources.options import KEY_VALUE_CSV, WHOLE_CSV_READ, overlay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -181,14 +182,18 @@ def q_meta_counts(spark, d):
 def _nested_events(spark, d):
     e = _table(spark, d, "events")
     return e.select("event_id", F.struct("ts", F.array("user_id", "event_id").alias("ids")).alias("info"),
-                    F.create_map(F.col("event_type"), F.col("value")).alias("measured"))
+                    F.create_map(F.col("event_type"), F.col("value")).alias("measured"),
+                    F.create_map("user_id", "value").alias("by_user"),
+                    F.array(F.create_map(F.to_date("ts"), F.col("event_type"))).alias("by_day"))
 
 
 def q_restore_nested(spark, d):
     table, _ = restore(combined_cells(_nested_events(spark, d), "events"))
     return table.select("event_id", "info.ts", F.col("info.ids")[0].alias("user_id"),
                         F.map_keys("measured")[0].alias("event_type"),
-                        F.map_values("measured")[0].alias("value"))
+                        F.map_values("measured")[0].alias("value"),
+                        F.element_at("by_user", F.col("info.ids")[0]).alias("value_of_user"),
+                        F.element_at(F.col("by_day")[0], F.to_date("info.ts")).alias("type_of_day"))
 
 
 def q_combined_export_text(spark, d):
@@ -366,9 +371,9 @@ def q_audit_cells(spark, d):
     return audit_round_trip(customer, cells, restored)
 
 
-def q_audit_damaged(spark, d):
+def _damaged_customer(spark, d):
     # every name whose text ends in 7 is lost and every balance's text spoilt in
-    # rows of segment BUILDING; the audit has to count both
+    # rows of segment BUILDING
     customer = _table(spark, d, "customer")
     ident, segment = F.col("c_custkey") + 1, F.col("c_mktsegment") == "BUILDING"
     in_building = melt_cells(customer.where(segment), id_col=ident, columns=["c_acctbal"])
@@ -377,12 +382,35 @@ def q_audit_damaged(spark, d):
                            .where(~((F.col("num") == 2) & F.col("val").endswith("7")))
                            .join(in_building.select("id", "num", F.lit(True).alias("bad")), ["id", "num"], "left")
                            .select("id", "num", F.when(F.col("bad"), "spoilt").otherwise(F.col("val")).alias("val"))))
-    restored, _ = restore(spoilt)
-    return audit_round_trip(customer, spoilt, restored)
+    return customer, spoilt, restore(spoilt)[0]
+
+
+def q_audit_damaged(spark, d):
+    # the audit has to count the lost and the spoilt cells
+    return audit_round_trip(*_damaged_customer(spark, d))
+
+
+def q_audit_damaged_rows(spark, d):
+    # and to name their rows, before and after
+    customer, _, restored = _damaged_customer(spark, d)
+    return differing_rows(customer, restored).select("c_custkey", "c_name", "c_acctbal", "side", "n")
+
+
+def q_table_like(spark, d):
+    # twice as many rows as orders, in its schema, within its ranges and null shares
+    orders = _table(spark, d, "orders")
+    orders = orders.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 4 > 0, F.col("o_orderpriority")))
+    made = table_like(orders, 2 * orders.count(), seed=7)
+    return describe_table(made).join(describe_table(orders).toDF(*[f"o_{c}" for c in describe_table(orders).columns]),
+                                     F.col("num") == F.col("o_num")).select(
+        "num", "name", "type", "n_rows",
+        (F.abs(F.col("n_nulls") / F.col("n_rows") - F.col("o_n_nulls") / F.col("o_n_rows")) < 0.02).alias("nulls_alike"),
+        (~F.col("type").isin("string") | ((F.col("least") >= F.col("o_least")) & (F.col("greatest") <= F.col("o_greatest"))))
+        .alias("texts_within"))
 
 
 def q_describe_table(spark, d):
-    return describe_table(_table(spark, d, "customer"))
+    return describe_table(_table(spark, d, "customer"), sample=5)
 
 
 # --------------------------------------------------------- sources, jobs
@@ -407,7 +435,7 @@ def q_csv_round_trip(spark, d):
     path = _scratch(spark, "csv-round-trip")
     write_csv(docs, path, KEY_VALUE_CSV)
     return (spark.read.schema(docs.schema)
-            .options(**overlay(KEY_VALUE_CSV_READ)).csv(path))
+            .options(**overlay(WHOLE_CSV_READ)).csv(path))
 
 
 def q_csv_malformed(spark, d):
@@ -471,6 +499,13 @@ def q_bucketed_restore(spark, d):
     return restore_table(spark, target, kv_format="buckets")[0]
 
 
+def q_csv_restore_documents(spark, d):
+    # whole documents, line breaks and all, through key-value CSV that can be split
+    target = _scratch(spark, "csv-restore")
+    load_key_value(spark, _table(spark, d, "documents"), target, name="documents")
+    return restore_table(spark, target)[0]
+
+
 def q_zip_read(spark, d):
     path = _scratch(spark, "zip-read")
     write_zipped_csv(_table(spark, d, "nation").repartition(3), path, {"header": "true"})
@@ -603,6 +638,7 @@ QUERIES: dict[str, Query] = {
     "restore_job": q_restore_job,
     "parquet_restore_job": q_parquet_restore_job,
     "bucketed_restore": q_bucketed_restore,
+    "csv_restore_documents": q_csv_restore_documents,
     "zip_read": q_zip_read,
     "zip_key_value": q_zip_key_value,
     "zip_restore_job": q_zip_restore_job,
@@ -617,6 +653,8 @@ QUERIES: dict[str, Query] = {
     "combined_export_text_order": q_combined_export_text_order,
     "partition_profile_empty": q_partition_profile_empty,
     "audit_damaged": q_audit_damaged,
+    "audit_damaged_rows": q_audit_damaged_rows,
+    "table_like": q_table_like,
     "csv_malformed": q_csv_malformed,
     "save_modes": q_save_modes,
     "load_files": q_load_files,
@@ -698,15 +736,35 @@ def _explode_sql():
 
 
 def _describe_sql():
-    parts = []
-    for k, (c, t, _) in enumerate(TABLES["customer"], start=1):
+    parts, cols = [], _cols("customer")
+    row = "concat_ws(chr(1), " + ", ".join(f"coalesce({S.text_of(c, t)}, chr(2))" for c, t in cols) + ")"
+    for k, (c, t) in enumerate(cols, start=1):
         st = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}[t]
+        text = S.text_of(c, t)
         parts.append(f"SELECT CAST({k} AS BIGINT) AS num, '{c}' AS name, '{st}' AS type, "
-                     f"true AS nullable, count(*) AS n_rows, "
-                     f"count(*) - count({c}) AS n_nulls FROM customer")
+                     f"true AS nullable, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, "
+                     f"CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest, "
+                     f"(SELECT list(t ORDER BY h) FROM (SELECT {text} AS t, sha256({row}) AS h FROM customer "
+                     "ORDER BY h LIMIT 5) s) AS sample FROM customer")
     return " UNION ALL ".join(parts)
 
 
+def _damaged_rows_sql():
+    spoilt = "c_mktsegment = 'BUILDING' AND c_acctbal IS NOT NULL"
+    return (f"WITH x AS (SELECT *, c_name LIKE '%7' AS lost, {spoilt} AS bad FROM customer) "
+            "SELECT c_custkey, c_name, c_acctbal, 'missing' AS side, CAST(1 AS BIGINT) AS n FROM x WHERE lost OR bad "
+            "UNION ALL SELECT c_custkey, CASE WHEN NOT lost THEN c_name END, CASE WHEN NOT bad THEN c_acctbal END, "
+            "'extra', 1 FROM x WHERE lost OR bad")
+
+
+def _table_like_sql():
+    return " UNION ALL ".join(
+        f"SELECT CAST({k} AS BIGINT) AS num, '{c}' AS name, '{dt}' AS type, 2 * count(*) AS n_rows, true AS nulls_alike, "
+        "true AS texts_within FROM orders" for k, (c, dt) in enumerate(
+            [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+             ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")], start=1))
+
+
 def _audit_sql():
     metrics = [("rows", "count(*)"), ("columns", "5"), ("cells_expected", "count(*) * 5"),
                ("data_cells", "count(*) * 5"), ("meta_cells", "6"),
@@ -815,6 +873,7 @@ ORACLE_SQL: dict[str, str] = {
     "restore_job": _select_all("orders"),
     "parquet_restore_job": _select_all("lineitem"),
     "bucketed_restore": _select_all("lineitem"),
+    "csv_restore_documents": _select_all("documents"),
     "zip_read": _select_all("nation"),
     "zip_key_value": S.key_value(S.cells("documents", [
         ("doc_id", "BIGINT"), ("text", "VARCHAR"), ("lang", "VARCHAR"), ("source", "VARCHAR"),
@@ -840,12 +899,15 @@ ORACLE_SQL: dict[str, str] = {
                                             id_expr="event_id + 1")),
     "key_value_id_subset": _id_subset_sql(),
     "meta_counts": _meta_counts_sql(),
-    "restore_nested": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "restore_nested": ("SELECT event_id, ts, user_id, event_type, value, value AS value_of_user, "
+                       "event_type AS type_of_day FROM events"),
     "combined_export_order": _export_order_sql(False),
     "combined_export_text_order": _export_order_sql(True),
     "partition_profile_empty": ("SELECT CAST(8 AS BIGINT) AS n_partitions, count(*) AS n_rows, "
                                 "true AS has_empty FROM orders"),
     "audit_damaged": _damaged_sql(),
+    "audit_damaged_rows": _damaged_rows_sql(),
+    "table_like": _table_like_sql(),
     "csv_malformed": ("SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, "
                       "CAST(p_size AS VARCHAR) AS p_size, count(*) OVER () AS n_counted "
                       "FROM part WHERE p_partkey % 7 <> 3"),

@@ -25,6 +25,12 @@ def exchanges(df: DataFrame) -> int:
     return len(re.findall(r"\bExchange\b", head)) - len(re.findall(r"BroadcastExchange", head))
 
 
+def operators(df: DataFrame) -> set[str]:
+    """Names of the operators in the physical plan."""
+    head = plan_text(df).split("\n\n\n", 1)[0]
+    return set(re.findall(r"^[\s:+*-]*([A-Z][A-Za-z ]*?)\s+\(\d+\)", head, re.M))
+
+
 def has_python_or_rdd_scan(df: DataFrame) -> bool:
     """True when the plan leaves the JVM (Python UDFs, ``mapInPandas``) or
     scans an RDD."""

@@ -26,6 +26,7 @@ from cellfold.operators.keyvalue import (
     restore_key_value,
     schema_name,
 )
+from cellfold.functions.text import from_one_line, one_line
 from cellfold.session import Stages
 from cellfold.sinks.buckets import read_buckets, write_buckets
 from cellfold.sinks.csv import write_csv
@@ -80,9 +81,11 @@ def write_key_value(kv: DataFrame, path: str, fmt: str = "csv",
     frame = _as_cells(kv) if fmt == "parquet" else _as_key_value(kv)
     if n_files:
         frame = frame.coalesce(n_files) if coalesce else frame.repartition(n_files)
-    if fmt in ("csv", "zip"):
+    null_text = overlay(KEY_VALUE_CSV, options).get("nullValue", "")
+    if fmt == "csv":  # a line per record: files can be split between tasks
+        frame = frame.withColumn("val", one_line(F.col("val"), null_text))
+    if fmt == "zip":
         # a cell that reads like the null text would come back as null
-        null_text = overlay(KEY_VALUE_CSV, options).get("nullValue", "")
         frame = frame.where(F.when(F.col("val") == null_text, F.raise_error(F.concat(
             F.lit(f"cell equals the null text {null_text!r}; set another nullValue: key "), F.col("key"))))
             .otherwise(F.lit(True)))
@@ -104,11 +107,13 @@ def write_key_value(kv: DataFrame, path: str, fmt: str = "csv",
 
 def read_key_value(spark: SparkSession, paths: str | Sequence[str], fmt: str = "csv",
                    options: Mapping[str, object] | None = None) -> DataFrame:
-    """Read key-value files written by ``write_key_value`` as ``(key, val)``."""
+    """Read key-value files written by ``write_key_value`` as ``(key, val)``. CSV
+    files of other writers may hold line breaks inside cells: give
+    ``multiLine=true`` for those (a task a file then)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "csv":
-        return (spark.read.schema(KV_SCHEMA)
-                .options(**overlay(KEY_VALUE_CSV_READ, options)).csv(paths))
+        read = spark.read.schema(KV_SCHEMA).options(**overlay(KEY_VALUE_CSV_READ, options)).csv(paths)
+        return read.select("key", from_one_line(F.col("val")).alias("val"))
     if fmt in ("parquet", "buckets"):
         return _as_key_value(read_cells(spark, paths, fmt))
     if fmt == "zip":

@@ -60,7 +60,9 @@ KEY_VALUE_CSV = {
     "charset": "UTF-8",
     "lineSep": "\n",  # an explicit separator keeps CRLF inside quoted values on read
 }
-KEY_VALUE_CSV_READ = {**KEY_VALUE_CSV, "multiLine": "true", "mode": "FAILFAST"}
+KEY_VALUE_CSV_READ = {**KEY_VALUE_CSV, "mode": "FAILFAST"}
+# the same for files with line breaks inside cells, which cannot be split
+WHOLE_CSV_READ = {**KEY_VALUE_CSV_READ, "multiLine": "true"}
 
 SAVE_MODES = ("append", "overwrite", "errorifexists", "ignore")
 
@@ -85,7 +87,7 @@ def overlay(*layers: Mapping[str, object] | None) -> dict[str, str]:
 
 
 _KNOWN_KEYS = sorted({k for d in (READER_CSV_DEFAULTS, READER_EXCEL_DEFAULTS, WRITER_CSV_DEFAULTS,
-                                   WRITER_EXCEL_DEFAULTS, KEY_VALUE_CSV_READ) for k in d}
+                                   WRITER_EXCEL_DEFAULTS, WHOLE_CSV_READ) for k in d}
                      | {"path", "sep", "encoding", "sheetName", "maxRowsPerFile",
                         "maxRecordsPerFile", "quoteAll"})
 

@@ -15,7 +15,7 @@ from cellfold.sinks.zipped import write_zipped_csv
 from cellfold.sources.csv import read_csv
 from cellfold.sources.options import (
     KEY_VALUE_CSV,
-    KEY_VALUE_CSV_READ,
+    WHOLE_CSV_READ,
     options_for,
     overlay,
     parse_save_mode,
@@ -74,7 +74,7 @@ def test_csv_malformed_count_equals_collect(spark, scratch):
 def test_csv_nasty_text_round_trip(spark, scratch, nasty):
     path = scratch("csv-nasty")
     write_csv(nasty, path, KEY_VALUE_CSV)
-    back = spark.read.schema(nasty.schema).options(**KEY_VALUE_CSV_READ).csv(path)
+    back = spark.read.schema(nasty.schema).options(**WHOLE_CSV_READ).csv(path)
     assert sorted(back.collect(), key=lambda r: r.i) == sorted(nasty.collect(), key=lambda r: r.i)
 
 
@@ -220,13 +220,14 @@ def test_load_jobs_release_only_their_own_stages(spark, scratch, monkeypatch):
     other = session.Stages(spark)
     kept = other.save(orders.limit(3), "other")
     target = scratch("release") + ".csv"  # the name of a target says nothing about its layout
-    load_key_value(spark, orders, target, ids="ordered", order_by=["o_orderkey"])
+    dealt = orders.distinct()  # rows without positions in files: these ids need a copy
+    load_key_value(spark, dealt, target, ids="partition")
     assert set(made) - set(other.paths) == set(gone) and gone and kept.count() == 3
     back, _ = restore_table(spark, target)
     assert same_rows(back, orders)
     bad = orders.withColumn("o_orderpriority", F.lit("\\N"))
     with pytest.raises(Exception, match="equals the null text"):
-        load_key_value(spark, bad, target, ids="ordered", order_by=["o_orderkey"])
+        load_key_value(spark, bad.distinct(), target + "-zip", kv_format="zip", ids="partition")
     assert set(made) - set(other.paths) == set(gone)
     other.release()
 
@@ -313,3 +314,24 @@ def test_zip_overwrite_leaves_new_files_only(spark, scratch):
 def test_workbook_numbers_keep_their_digits(stored, text):
     from cellfold.sources.workbook import _number_text
     assert _number_text(stored) == text
+
+
+def test_key_value_csv_is_split_and_keeps_every_text(spark, scratch, monkeypatch):
+    texts = ["", "\\N", "%=", "%=%n", "a%nb\nc", "\r", "\r\n", '"\n"', " x ", "\\", "\\\n\\", "%p%", ",", "\u2028", "#", None, "é\n\U0001F600"]
+    rows = [(i, t if i < len(texts) else f"line {i}\n" * 30) for i, t in enumerate(texts + [""] * 3000)]
+    df = spark.createDataFrame(rows, "n long, txt string").coalesce(1)
+    target = scratch("split")
+    load_key_value(spark, df, target, max_records_per_file=None, n_partitions=1)
+    had = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+        read = read_key_value(spark, f"{target}/data")
+        assert len(read.inputFiles()) == 1 and read.rdd.getNumPartitions() >= 4
+        back, _ = restore_table(spark, target)
+        assert same_rows(back, df)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", had)
+    # files of other writers, with line breaks inside cells
+    other = scratch("other")
+    write_csv(spark.createDataFrame([("1,1", "a\nb"), ("1,2", "c")], "key string, val string"), other, KEY_VALUE_CSV)
+    assert read_key_value(spark, other, options={"multiLine": "true"}).count() == 2
