@@ -1,7 +1,7 @@
 """Zipped-CSV sink: one archive per task, holding one CSV entry.
 
-A Python data source writer (``DataSourceArrowWriter``): each task streams its
-Arrow batches into ``_temporary/<attempt>.zip``; the driver's ``commit``
+Records are made by Spark (``to_csv``); a Python data source writer
+(``DataSourceArrowWriter``) packs them: each task streams its Arrow batches into ``_temporary/<attempt>.zip``; the driver's ``commit``
 moves the archives of successful tasks into place, ``abort`` removes them, so
 retried or lost tasks leave no partial or duplicate archive behind. This is
 the counterpart of the zipped-CSV source, used to produce its archives.
@@ -10,9 +10,6 @@ the counterpart of the zipped-CSV source, used to produce its archives.
 from __future__ import annotations
 
 import codecs
-import csv
-import io
-import itertools
 import zipfile
 from collections.abc import Iterator, Mapping
 
@@ -24,7 +21,6 @@ from cellfold.functions.text import to_text
 from cellfold.sinks.staged import StagedFiles, Staging
 from cellfold.sources.files import exists, open_output
 from cellfold.sources.options import WRITER_CSV_DEFAULTS, canonical, flag, overlay, parse_save_mode
-from cellfold.sources.zipped import csv_dialect
 
 FORMAT = "cellfold_zipcsv"
 
@@ -33,37 +29,35 @@ class ZippedCsvWriter(DataSourceArrowWriter):
     def __init__(self, options: Mapping[str, str], schema, overwrite: bool):
         self.options = overlay(WRITER_CSV_DEFAULTS, canonical(options))
         self.staging = Staging(self.options["path"], overwrite)
-        self.names = [f.name for f in schema.fields]
 
     def write(self, iterator: Iterator) -> StagedFiles:
         temp, final = self.staging.task_names(".zip")
         stem = final.rsplit("/", 1)[-1][:-len(".zip")]
         limit = int(self.options.get("maxRecordsPerFile", 0)) or None
-        null_value = self.options.get("nullValue", "")
-        dialect = csv_dialect(self.options)
-        dialect.setdefault("quoting", csv.QUOTE_MINIMAL)
-        rows = 0
+        rows, number, held, text = 0, 0, 0, None
         sink = open_output(temp)
         with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as zf:
-            records = (values for batch in iterator
-                       for values in zip(*(c.to_pylist() for c in batch.columns)))
-            for number in itertools.count():
-                entry = list(itertools.islice(records, 1))
-                if number and not entry:
-                    break
-                with zf.open(f"{stem}-{number:03d}.csv", "w", force_zip64=True) as raw:
-                    buffered = io.BufferedWriter(raw)
-                    # a stream writer sets the byte order mark that UTF-16 needs
-                    text = codecs.getwriter(self.options.get("charset", "UTF-8"))(buffered)
-                    out = csv.writer(text, lineterminator="\n", **dialect)
-                    if flag(self.options, "header"):
-                        out.writerow(self.names)
-                    more = itertools.islice(records, limit - 1 if limit else None)
-                    for values in itertools.chain(entry, more):
-                        out.writerow([null_value if v is None else v for v in values])
-                        rows += 1
-                    buffered.flush()
-                    buffered.detach()
+            def opened():
+                raw = zf.open(f"{stem}-{number:03d}.csv", "w", force_zip64=True)
+                # a stream writer sets the byte order mark that UTF-16 needs
+                out = codecs.getwriter(self.options.get("charset", "UTF-8"))(raw)
+                if flag(self.options, "header"):
+                    out.write(self.options["headerLine"] + "\n")
+                return out
+            for batch in iterator:
+                lines = batch.column(0)
+                while len(lines):
+                    if text is None or (limit and held >= limit):
+                        if text is not None:
+                            text.stream.close()
+                            number, held = number + 1, 0
+                        text = opened()
+                    part = lines.slice(0, limit - held if limit else len(lines))
+                    text.write("\n".join(part.to_pylist()) + "\n")
+                    rows, held, lines = rows + len(part), held + len(part), lines.slice(len(part))
+            if text is None:  # no rows: an entry with the header alone, or empty
+                text = opened()
+            text.stream.close()
         sink.close()
         return StagedFiles([(temp, final)], rows)
 
@@ -106,5 +100,16 @@ def write_zipped_csv(df: DataFrame, path: str, options: Mapping[str, object] | N
     slots = [f"__c{i}" for i in range(len(df.columns))]  # by position: names may repeat
     texts = df.toDF(*slots).select(*[to_text(F.col(c), f.dataType).alias(f.name)
                                      for c, f in zip(slots, df.schema.fields)])
-    opts = overlay(options, {"maxRecordsPerFile": max_records_per_file} if max_records_per_file else None)
-    texts.write.format(FORMAT).mode(save_mode).options(**opts).save(path)
+    opts = overlay(WRITER_CSV_DEFAULTS, options, {"maxRecordsPerFile": max_records_per_file} if max_records_per_file else None)
+    csv_options = {"sep": opts.get("delimiter", ","), "quote": opts.get("quote") or "\0", "escape": opts.get("escape") or "\0",
+                   "nullValue": opts.get("nullValue", ""), "emptyValue": '""', "lineSep": "\n",
+                   "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    # records are made by Spark's CSV writer; tasks pack them
+    lines = texts.toDF(*slots).select(F.to_csv(F.struct(*slots), csv_options).alias("line"))
+    opts["headerLine"] = _header(df, csv_options)
+    lines.write.format(FORMAT).mode(save_mode).options(**opts).save(path)
+
+
+def _header(df: DataFrame, csv_options: Mapping[str, str]) -> str:
+    names = df.sparkSession.range(1).select(F.struct(*[F.lit(c).alias(f"c{i}") for i, c in enumerate(df.columns)]).alias("s"))
+    return names.select(F.to_csv("s", csv_options)).first()[0] if df.columns else ""

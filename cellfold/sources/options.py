@@ -89,7 +89,7 @@ def overlay(*layers: Mapping[str, object] | None) -> dict[str, str]:
 _KNOWN_KEYS = sorted({k for d in (READER_CSV_DEFAULTS, READER_EXCEL_DEFAULTS, WRITER_CSV_DEFAULTS,
                                    WRITER_EXCEL_DEFAULTS, WHOLE_CSV_READ) for k in d}
                      | {"path", "sep", "encoding", "sheetName", "maxRowsPerFile",
-                        "maxRecordsPerFile", "quoteAll"})
+                        "maxRecordsPerFile", "quoteAll", "headerLine"})
 
 
 def canonical(options: Mapping[str, object] | None) -> dict[str, str]:

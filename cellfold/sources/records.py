@@ -38,6 +38,25 @@ def cell(fields_col: str, i: int, null_value: str | None) -> F.Column:
     return v
 
 
+def with_fields(records: DataFrame, n: int, opts: Mapping[str, str]) -> DataFrame:
+    """``fields`` from the CSV text ``line`` of records, by Spark's parser: the
+    texts of ``n`` cells, empty ones as empty text; another number of cells shows
+    in the size of the array."""
+    empty = "\u0001"  # what Spark reads as null: it takes an unquoted empty cell for it
+    same = {k: opts[k] for k in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace") if k in opts}
+    parsed = F.from_csv("line", ", ".join([f"c{i} string" for i in range(n)] + ["odd string"]), {
+        "sep": opts.get("delimiter", opts.get("sep", ",")), "quote": opts.get("quote", '"') or "\0",
+        "escape": opts.get("escape", "\\") or "\0", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "odd",
+        "nullValue": empty, "emptyValue": "", **same})
+    found = records.withColumn("parsed", parsed)
+    cells = [F.col(f"parsed.c{i}") for i in range(n)]
+    full = F.array(*[F.coalesce(c, F.lit("")) for c in cells])
+    # too few cells leave nulls behind, too many one text more than there are columns
+    other = F.array(*cells, F.lit(""))
+    return found.withColumn("fields", F.when(F.col("line") == "", F.array().cast("array<string>"))
+                            .when(F.col("parsed.odd").isNull(), full).otherwise(other)).drop("parsed")
+
+
 def safe_names(header: list[str | None], case_sensitive: bool = False) -> list[str]:
     """Column names from a header, as Spark's CSV reader makes them: an empty
     name becomes ``_c<i>`` and names that occur twice get their position."""

@@ -4,20 +4,29 @@ one logical table.
 Plan: list archives (``binaryFile`` with only ``path`` selected, so contents
 are not loaded) -> list entries per archive from its central directory (a
 Python task per group of archives) -> spread ``(archive, entry)`` pairs over
-tasks -> each task streams its entries through ``csv.reader`` and emits
-record batches -> header, null text, types and the malformed-row policy are
-applied JVM-side (``records.typed_table``). No archive content passes through
-the driver and archives larger than 2 GB work, as files are streamed; one
-entry is the unit of parallelism.
+tasks -> each task streams its entries in blocks and cuts them into records, a
+record being text up to a line break outside quotes -> Spark's CSV parser
+(``from_csv``) takes the cells; header, null text, types and the malformed-row
+policy are applied JVM-side too (``records.typed_table``).
+
+Cutting works on whole blocks with numpy: line breaks after an even number of
+quotes end records. Only blocks where that is not enough (a quote inside an
+unquoted cell, comment lines beside quotes) are walked, from one quote or line break to
+the next. No archive content passes through the driver and archives larger than
+2 GB work, as files are streamed; one entry is the unit of parallelism.
 """
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,11 +34,11 @@ from pyspark.sql import types as T
 from cellfold.session import ship_package
 from cellfold.sources.files import open_input
 from cellfold.sources.options import READER_CSV_DEFAULTS, flag, overlay
-from cellfold.sources.records import safe_names, typed_table
+from cellfold.sources.records import safe_names, typed_table, with_fields
 
 ENTRY_SCHEMA = "path string, entry string, entry_index int, size long"
-RECORD_SCHEMA = "path string, entry string, entry_index int, rec long, fields array<string>"
-_BATCH = 8192
+RECORD_SCHEMA = "path string, entry string, entry_index int, rec long, line string"
+_BLOCK = 4 << 20  # bytes cut at a time
 
 
 def _list_entries(batches: Iterator) -> Iterator:
@@ -58,51 +67,133 @@ def csv_dialect(opts: Mapping[str, str]) -> dict:
     return args
 
 
-class _Lines:
-    """Lines without comment lines. A line is a comment only where a record
-    may start: inside a quoted cell it is text. The caller sets ``fresh`` after
-    every record that it got."""
+class Cutter:
+    """Cuts the bytes of a CSV text into records. ``cut`` takes the next block and
+    gives the ends of the records that it completes."""
+
+    def __init__(self, opts: Mapping[str, str]):
+        code = lambda key, default="": ord((opts.get(key, default) or "\0")[0]) if opts.get(key, default) else -1
+        self.quote, self.escape, self.comment = code("quote", '"'), code("escape", "\\"), code("comment")
+        self.delimiter = (opts.get("delimiter") or opts.get("sep") or ",").encode()[-1]
+        if self.quote > 127 or self.escape > 127 or self.comment > 127:
+            raise ValueError("quote, escape and comment have to be ASCII characters")
+
+    def ends(self, data: np.ndarray, last: bool) -> np.ndarray:
+        """Positions after the line breaks that end records in ``data``, which
+        starts at a record."""
+        breaks = data == 10
+        alone = np.flatnonzero(data == 13)
+        if len(alone):  # a carriage return without a line feed breaks as well
+            alone = alone[alone + 1 < len(data)] if not last else alone
+            follows = np.minimum(alone + 1, len(data) - 1)
+            breaks[alone[(data[follows] != 10) | (follows == alone)]] = True
+        quotes = np.flatnonzero(data == self.quote) if self.quote >= 0 else alone[:0]
+        if self.escape >= 0 and self.escape != self.quote and len(quotes):
+            quotes = quotes[~self._escaped(data, quotes)]
+        at = np.flatnonzero(breaks)
+        starts = np.append(0, at + 1)
+        starts = starts[starts < len(data)]
+        comments = self.comment >= 0 and bool((data[starts] == self.comment).any())
+        if not len(quotes):
+            return at + 1
+        if comments or self._stray(data, quotes):
+            return self._walk(data, quotes, at)
+        inside = np.searchsorted(quotes, at) & 1
+        return at[inside == 0] + 1
 
-    def __init__(self, text: io.TextIOBase, comment: str | None):
-        self.text, self.comment, self.fresh = text, comment, True
+    def _escaped(self, data: np.ndarray, quotes: np.ndarray) -> np.ndarray:
+        """Which quotes follow an odd number of escape characters."""
+        odd, at, more = np.zeros(len(quotes), dtype=bool), quotes - 1, np.ones(len(quotes), dtype=bool)
+        while True:
+            more &= (at >= 0) & (data[np.maximum(at, 0)] == self.escape)
+            if not more.any():
+                return odd
+            odd ^= more
+            at = at - 1
 
-    def __iter__(self) -> "_Lines":
-        return self
+    def _stray(self, data: np.ndarray, quotes: np.ndarray) -> bool:
+        """Whether an opening quote stands elsewhere than at the start of a cell."""
+        opens = quotes[::2]
+        before = data[np.maximum(opens - 1, 0)]
+        doubled = np.zeros(len(opens), dtype=bool)
+        doubled[1:] = opens[1:] == quotes[1::2][:len(opens) - 1] + 1  # "" inside a cell
+        return bool((~((opens == 0) | (before == self.delimiter) | (before == 10) | (before == 13) | doubled)).any())
 
-    def __next__(self) -> str:
-        for line in self.text:
-            if self.fresh and self.comment and line.startswith(self.comment):
+    def _walk(self, data: np.ndarray, quotes: np.ndarray, breaks: np.ndarray) -> np.ndarray:
+        """The ends of records from one quote or break to the next."""
+        events = np.concatenate([quotes, breaks])
+        order = np.argsort(events, kind="stable")
+        kinds = (order >= len(quotes)).tolist()
+        out, start, inside, closed = [], 0, False, -2
+        for at, is_break in zip(events[order].tolist(), kinds):
+            comment = not inside and start < len(data) and data[start] == self.comment
+            if is_break:
+                if not inside or comment:
+                    out.append(at + 1)
+                    start, inside = at + 1, False
+            elif comment:
                 continue
-            self.fresh = False
-            return line
-        raise StopIteration
+            elif inside:
+                inside, closed = False, at
+            # a quote opens a cell at its start, and goes on with one that it doubles
+            elif at == start or data[at - 1] == self.delimiter or closed == at - 1:
+                inside = True
+        return np.array(out, dtype=np.int64)
+
+    def blocks(self, raw, charset: str):
+        """(bytes, ends of records) over a binary stream; the last record may have
+        no line break. Text of another charset is recoded."""
+        utf8 = charset.replace("-", "").upper() in ("UTF8", "USASCII", "ASCII")
+        source = raw if utf8 else io.TextIOWrapper(raw, encoding=charset, newline="")
+        rest = b""
+        while True:
+            block = source.read(max(_BLOCK, len(rest)))
+            block = block if utf8 else block.encode()
+            data = rest + block
+            if not data:
+                return
+            view = np.frombuffer(data, dtype=np.uint8)
+            ends = self.ends(view, last=not block)
+            if not block:
+                if not len(ends) or ends[-1] < len(data):
+                    ends = np.append(ends, len(data))
+                yield data, ends
+                return
+            if len(ends):
+                rest = data[ends[-1]:]
+                yield data[:ends[-1]], ends
+            else:
+                rest = data
 
 
 def _entry_reader(opts: Mapping[str, str], limit: int | None = None):
-    dialect = csv_dialect(opts)
+    cutter = Cutter(opts)
     charset = opts.get("charset", opts.get("encoding", "UTF-8"))
-    comment = opts.get("comment") or None
 
     def read(batches: Iterator) -> Iterator:
-        import pandas as pd
-        csv.field_size_limit(2**31 - 1)  # cells of any size
-        cols = ["path", "entry", "entry_index", "rec", "fields"]
-        for pdf in batches:
-            for path, entry, idx in zip(pdf["path"], pdf["entry"], pdf["entry_index"]):
-                with open_input(path) as fh, zipfile.ZipFile(fh) as zf, zf.open(entry) as raw:
-                    text = io.TextIOWrapper(raw, encoding=charset, newline="")
-                    buf = []
-                    lines = _Lines(text, comment)
-                    for rec_no, fields in enumerate(csv.reader(lines, **dialect)):
-                        lines.fresh = True
-                        if limit is not None and rec_no >= limit:
+        for batch in batches:
+            for row in batch.to_pylist():
+                done = 0
+                with open_input(row["path"]) as fh, zipfile.ZipFile(fh) as zf, zf.open(row["entry"]) as raw:
+                    for data, ends in cutter.blocks(raw, charset):
+                        if limit is not None and done >= limit:
                             break
-                        buf.append((path, entry, int(idx), rec_no, fields))
-                        if len(buf) >= _BATCH:
-                            yield pd.DataFrame(buf, columns=cols)
-                            buf = []
-                    if buf:
-                        yield pd.DataFrame(buf, columns=cols)
+                        n = len(ends)
+                        offsets = np.zeros(n + 1, dtype=np.int64)
+                        offsets[1:] = ends
+                        lines = pa.LargeStringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(data))
+                        if done == 0 and data.startswith(codecs.BOM_UTF8):
+                            lines = pc.replace_substring(lines, "\ufeff", "", max_replacements=1)
+                        if cutter.comment >= 0:
+                            lines = lines.filter(pc.invert(pc.starts_with(lines, chr(cutter.comment))))
+                        lines = pc.replace_substring_regex(lines, r"\r?\n\z|\r\z", "")
+                        n = len(lines)
+                        same = lambda v, t: pa.repeat(pa.scalar(v, t), n)
+                        yield pa.RecordBatch.from_arrays(
+                            [same(row["path"], pa.string()), same(row["entry"], pa.string()),
+                             same(row["entry_index"], pa.int32()), pa.array(np.arange(done, done + n)), lines.cast(pa.string())],
+                            names=["path", "entry", "entry_index", "rec", "line"])
+                        done += n
     return read
 
 
@@ -117,7 +208,7 @@ def zip_entries(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def zip_records(spark: SparkSession, path: str | Sequence[str],
                 options: Mapping[str, object] | None = None,
                 n_tasks: int | None = None) -> DataFrame:
-    """Raw records ``(path, entry, entry_index, rec, fields)`` of all entries.
+    """Raw records ``(path, entry, entry_index, rec, line)`` of all entries.
 
     Entries are hash-spread over ``n_tasks`` tasks (default: the shuffle
     partition count); the number is explicit so that adaptive execution does
@@ -126,7 +217,7 @@ def zip_records(spark: SparkSession, path: str | Sequence[str],
     opts = overlay(READER_CSV_DEFAULTS, options)
     n = n_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     entries = zip_entries(spark, path).repartition(n, "path", "entry")
-    return entries.mapInPandas(_entry_reader(opts), RECORD_SCHEMA)
+    return entries.mapInArrow(_entry_reader(opts), RECORD_SCHEMA)
 
 
 def _first_record(spark, path, opts) -> list[str] | None:
@@ -139,11 +230,14 @@ def _first_record(spark, path, opts) -> list[str] | None:
     entries = zip_entries(spark, path)
     read_one = _entry_reader(opts, limit=1)
     first = (entries.where(F.col("size") > 0).orderBy("path", "entry_index").limit(1)
-             .mapInPandas(read_one, RECORD_SCHEMA).select("fields").collect())
+             .mapInArrow(read_one, RECORD_SCHEMA).where("rec = 0").select("line").collect())
+    if not first:
+        first = (entries.mapInArrow(read_one, RECORD_SCHEMA).where("rec = 0")
+                 .orderBy("path", "entry_index").limit(1).select("line").collect())
     if not first:
-        first = (entries.mapInPandas(read_one, RECORD_SCHEMA)
-                 .orderBy("path", "entry_index").limit(1).select("fields").collect())
-    return list(first[0]["fields"]) if first else None
+        return None
+    csv.field_size_limit(2**31 - 1)
+    return next(csv.reader([first[0]["line"]], **csv_dialect(opts)), [])
 
 
 def read_zipped_csv(spark: SparkSession, path: str | Sequence[str],
@@ -173,4 +267,4 @@ def read_zipped_csv(spark: SparkSession, path: str | Sequence[str],
             return spark.createDataFrame([], T.StructType([]))
         sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
         names = safe_names(first, sensitive) if header else [f"_c{i}" for i in range(len(first))]
-    return typed_table(records, names, opts, st)
+    return typed_table(with_fields(records, len(names), opts), names, opts, st)
