@@ -1,29 +1,7 @@
-"""Licence scan (operator 6): Dice coefficient over word bigrams.
-
-A text's units are its lines and its paragraphs (lines up to a blank line,
-joined). A unit is normalised: A-Z lower-cased, everything but ``a-z 0-9`` is a
-space. Its set of word bigrams is compared with every template's:
-``2 * shared / (bigrams of the unit + bigrams of the template)``. A coefficient
-of ``least`` needs the smaller set to have ``least / (2 - least)`` of the
-larger at least, so a unit meets only templates within that size bound, and
-units outside all bounds are dropped before bigrams are made. The best
-template of a unit wins, ties by name.
-
-One projection over whole texts, no shuffle. Defined cases: null and empty
-texts have no licence; units of fewer than two words have no bigrams; repeated
-rows give equal results; other columns pass through, those named like an
-output column are replaced.
-"""
+"""Short licence notices and their word bigrams, for the licence scan (``notices``)."""
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from cellfold.llm.words import text_of, unused_name
-
 #: fixed values: public licence notices, by SPDX id
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -52,50 +30,9 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 LEAST = 0.75
-OUTPUT = ("n_units", "license", "dice", "matches")
 
 
 def bigrams_of(text: str) -> list[str]:
     """Distinct word bigrams of a template."""
     words = "".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split()
     return list(dict.fromkeys(map(" ".join, zip(words, words[1:]))))
-
-
-def find_licenses(df: DataFrame, *, text: str = "text", templates=TEMPLATES, least: float = LEAST) -> DataFrame:
-    """``df`` with ``n_units`` (long, units that match), ``license`` and
-    ``dice`` (the best match; null and 0.0 without one) and ``matches``, the
-    distinct matching units as an array of (dice, license), best first."""
-    keep = [F.col(f"`{c}`") for c in df.columns if c.lower() not in OUTPUT]
-    norm, units, grams, hits = unused_name(df, "_norm", "_units", "_grams", "_hits")
-    sets = {name: bigrams_of(t) for name, t in sorted(templates.items())}
-    ratio = least / (2 - least)
-    lo = min(math.ceil(len(g) * ratio - 1e-9) for g in sets.values()) + 1  # words: one more than bigrams
-    hi = max(math.floor(len(g) / ratio + 1e-9) for g in sets.values())
-
-    quoted = lambda words: "array(" + ", ".join(f"'{w}'" for w in words) + ")"
-    table = "array(" + ", ".join(f"named_struct('name', '{n}', 'grams', {quoted(g)})" for n, g in sets.items()) + ")"
-    known = quoted(dict.fromkeys(w for g in sets.values() for w in g))
-    # a unit may repeat bigrams, so only the lower bound holds for its words
-    word_lists = (f"filter(transform({units}, u -> split(trim(u), ' +')), w -> size(w) >= {lo})")
-    gram_sets = (f"transform({word_lists}, w -> array_distinct(transform("
-                 "sequence(1, size(w) - 1), i -> concat(get(w, i - 1), ' ', get(w, i)))))")
-    dice = "2D * size(array_intersect(g, t.grams)) / (size(g) + size(t.grams))"
-    bound = f"least(size(g), size(t.grams)) >= {ratio}D * greatest(size(g), size(t.grams)) - 1e-9D"
-    best = (f"array_max(transform(filter({table}, t -> {bound}), t -> named_struct('dice', {dice}, 'name', t.name)))")
-    lower = "translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    out = df.withColumn(norm, F.regexp_replace(F.expr(lower.format(t=text_expr(text))), r"[^a-z0-9\n]+", " "))
-    out = out.withColumn(units, F.expr(
-        f"array_distinct(concat(split({norm}, r'\\n'), transform(split({norm}, r'\\n[ \\n]*\\n'), "
-        f"p -> translate(p, '\\n', ' '))))"))
-    out = out.withColumn(grams, F.expr(
-        f"filter({gram_sets}, g -> size(g) <= {hi} and arrays_overlap(g, {known}))"))
-    out = out.withColumn(hits, F.expr(
-        f"sort_array(filter(transform({grams}, g -> {best}), b -> b.dice >= {least}D), false)"))
-    top = F.get(hits, F.lit(0))
-    return out.select(*keep, F.size(hits).cast("long").alias("n_units"), top["name"].alias("license"),
-                      F.coalesce(top["dice"], F.lit(0.0)).alias("dice"),
-                      F.transform(hits, lambda h: F.struct(h["dice"], h["name"].alias("license"))).alias("matches"))
-
-
-def text_expr(text: str) -> str:
-    return f"coalesce(cast(`{text}` as string), '')"

@@ -1,12 +1,17 @@
-"""Licence notices anywhere in a text (operator 6, the whole job).
-
-``licenses.find_licenses`` compares whole lines and paragraphs with a few
-templates, as its SQL and tests define. Here a notice may share its line with
-other text or span blank lines: units are lines, paragraphs, and windows of
-every notice's size in words, laid where an anchor of the notice stands. A unit
-counts if it holds all the notice's distinguishing phrases (family, version;
-the first is the anchor), none of those that only a sibling has, and the Dice
-coefficient over distinct word bigrams is ``LEAST`` or more. The best notice of
+"""Licence scan (operator 6): Dice coefficient over word bigrams.
+
+A text is normalised: A-Z lower-cased, everything but ``a-z 0-9`` and line
+breaks is a space. Its units are lines, paragraphs (lines up to a blank line,
+joined), and windows of every notice's size in words, laid where an anchor of the
+notice stands, so a notice may share its line with other text or span blank
+lines. The set of a unit's word bigrams is compared with every template's,
+``2 * shared / (bigrams of the unit + bigrams of the template)``; the sizes
+alone bound the coefficient from above, which prunes templates before bigrams are compared.
+
+A unit counts if it holds all the notice's distinguishing phrases (family,
+version; the first is the anchor), none of those that only a sibling has, and
+its coefficient is ``LEAST`` or more. An anchor that follows a negation (``not``,
+``nor``, ``non``, ``never``, up to ``REACH`` words before it) is none. The best notice of
 a unit wins: highest Dice, then most shared bigrams, then name.
 
 One projection over whole texts, no shuffle; texts without an anchor take one
@@ -29,6 +34,7 @@ from cellfold.llm.licenses import TEMPLATES as T
 from cellfold.llm.words import lower_ascii, text_of, unused_name
 
 OUTPUT = ("n_units", "license", "dice", "matches")
+REACH = 5  # words from a negation to the anchor, the anchor's first included
 
 
 class Notice(NamedTuple):
@@ -161,6 +167,9 @@ def find_notices(df: DataFrame, *, text: str = "text", notices=None, least: floa
     table = _table(notices)
     anchors = "r' (" + "|".join(sorted({n.must[0] for n in notices})) + ") '"
     none = "cast(array() as array<string>)"
+    # a negated anchor loses its first word, in all units alike
+    negated = (rf"(?<![a-z0-9])((?:not|nor|non|never)(?:[ \n]+[a-z0-9]+){{0,{REACH - 1}}}?)[ \n]+(?:"
+               + "|".join(sorted({n.must[0].replace(" ", r"[ \n]+") for n in notices})) + r")(?![a-z0-9])")
     # words before each anchor: every word of the padded text follows one space
     places = (f"aggregate(slice(p, 1, size(p) - 1), named_struct('n', 0, 'out', cast(array() as array<int>)), (a, x) -> "
               "named_struct('n', a.n + length(x) - length(replace(x, ' ', '')) + t.anchor_words, 'out', "
@@ -180,6 +189,8 @@ def find_notices(df: DataFrame, *, text: str = "text", notices=None, least: floa
     best = f"transform(array({grams}), g -> array_max(transform(filter({table}, t -> {fits}), t -> {scored})))[0]"
 
     out = df.withColumn(norm, F.regexp_replace(lower_ascii(text_of(F.col(f"`{text}`"))), r"[^a-z0-9\n]+", " "))
+    out = out.withColumn(norm, F.when(F.col(norm).rlike(negated), F.regexp_replace(norm, negated, "$1 "))
+                         .otherwise(F.col(norm)))
     out = out.withColumn(flat, F.concat(F.lit(" "), F.trim(F.regexp_replace(norm, r"[ \n]+", " ")), F.lit(" ")))
     out = out.withColumn(words, F.expr(f"if({flat} rlike {anchors}, split(trim({flat}), ' '), {none})"))
     out = out.withColumn(units, F.expr(

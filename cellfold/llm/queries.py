@@ -8,7 +8,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.llm import chat, corpus_sql, decontamination, licenses, merkle, near_dups, notices, quality, repeats, secrets, spelling, syncmers
+from cellfold.llm import chat, corpus_sql, decontamination, merkle, near_dups, notices, quality, repeats, secrets, spelling, syncmers
 from cellfold.llm.mixing import mix_sources
 from cellfold.llm.resharding import reshard
 from cellfold.llm.url_rules import judge_urls
@@ -69,11 +69,6 @@ def op5_decontaminate(spark, d):
 
 
 def op6_licenses(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    return licenses.find_licenses(docs).select("doc_id", "n_units", "license", "dice")
-
-
-def op6_license_notices(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     return notices.find_notices(docs).select("doc_id", "n_units", "license", "dice")
 
@@ -142,34 +137,10 @@ def op13_spelling_variants(spark, d):
     return spelling.variants(words, Stages(spark))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_mix_sources, op3_secrets, op4_syncmers, op5_decontaminate, op6_licenses, op6_license_notices, op7_reshard,
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_mix_sources, op3_secrets, op4_syncmers, op5_decontaminate, op6_licenses, op7_reshard,
                                op8_quality, op9_chat, op10_url_rules, op11_repeats, op12_merkle_manifest,
                                op13_spelling_variants)}
 
-def _license_sql() -> str:
-    grams = ", ".join(f"('{name}', '{g}')" for name, t in licenses.TEMPLATES.items() for g in licenses.bigrams_of(t))
-    return rf"""
-WITH tg(name, gram) AS (VALUES {grams}),
-t AS (SELECT name, count(*) AS n FROM tg GROUP BY name),
-norm AS (SELECT doc_id, regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9\n]+', ' ', 'g') AS x FROM documents),
-units AS (SELECT DISTINCT doc_id, u FROM (
-  SELECT doc_id, unnest(string_split(x, chr(10))) AS u FROM norm UNION ALL
-  SELECT doc_id, replace(unnest(string_split_regex(x, '\n[ \n]*\n')), chr(10), ' ') FROM norm)),
-words AS (SELECT doc_id, u, string_split_regex(trim(u), ' +') AS w FROM units),
-grams AS (SELECT DISTINCT doc_id, u, w[i] || ' ' || w[i + 1] AS gram
-  FROM (SELECT doc_id, u, w, unnest(range(1, len(w))) AS i FROM words WHERE len(w) > 1)),
-sizes AS (SELECT doc_id, u, count(*) AS n FROM grams GROUP BY doc_id, u),
-dice AS (SELECT g.doc_id, g.u, tg.name, count(*) AS shared FROM grams g JOIN tg USING (gram) GROUP BY ALL),
-scored AS (SELECT doc_id, u, name, CAST(2 * shared AS DOUBLE) / (sizes.n + t.n) AS dice
-  FROM dice JOIN sizes USING (doc_id, u) JOIN t USING (name)),
-best AS (SELECT doc_id, u, max(struct_pack(dice := dice, name := name)) AS b FROM scored
-  WHERE dice >= {licenses.LEAST} GROUP BY doc_id, u),
-per AS (SELECT doc_id, count(*) AS n_units, max(b) AS b FROM best GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n_units, 0) AS n_units, b.name AS license, coalesce(b.dice, 0) AS dice
-FROM documents d LEFT JOIN per USING (doc_id)
-"""
-
 
 ORACLE_SQL = {
     "op11_repeats": corpus_sql.REPEATS,
@@ -192,7 +163,6 @@ low AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM low LEFT JOIN size USING (doc_id)
 """,
-    "op6_licenses": _license_sql(),
     "op9_chat": r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
