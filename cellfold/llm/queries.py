@@ -48,20 +48,20 @@ def op3_secrets(spark, d):
 
 def op4_syncmers(spark, d):
     t = text_of(F.col("text"))
-    hashes = lambda text: syncmers.anchors(text)["hash"]
-    docs = table(spark, d, "documents").select("doc_id", t.alias("text"), hashes(F.col("text")).alias("marks"))
+    docs = table(spark, d, "documents").select("doc_id", t.alias("text"), syncmers.anchors(F.col("text")).alias("marks"))
     pairs = syncmers.with_next(docs, ident="doc_id", values=["text", "marks"], names=["next_text", "next_marks"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half),
                       F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
     out = pairs.select("doc_id", n.cast("long").alias("n_chars"), "marks", "next_marks", edited.alias("edited"))
-    out = out.withColumn("edited_marks", hashes(F.col("edited")))
+    out = out.withColumn("edited_marks", syncmers.anchors(F.col("edited")))
     return out.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                       syncmers.printed(F.col("marks")).alias("fingerprint"),
                       syncmers.printed(F.col("edited_marks")).alias("edited_fingerprint"),
                       syncmers.likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
-                      F.coalesce(syncmers.likeness(F.col("marks"), F.col("next_marks")), F.lit(0.0)).alias("near_next"))
+                      F.coalesce(syncmers.likeness(F.col("marks"), F.col("next_marks")), F.lit(0.0)).alias("near_next"),
+                      F.array_join(F.col("marks.pos"), " ").alias("positions"))
 
 
 def op5_decontaminate(spark, d):

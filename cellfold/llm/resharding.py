@@ -3,17 +3,17 @@
 Rows lie in old shards and are to lie in ``n_new`` shards whose row counts
 differ by one at most. Which rows move is a minimum-cost flow: every old shard
 supplies its rows, a row that stays costs nothing, a row that moves costs its
-bytes, and every new shard takes ``q`` or ``q + 1`` rows. The rows of an old
-shard are grouped into blocks by size class, small sizes first, so that the
-cost of moving more rows of a shard rises and the flow takes the cheapest
-blocks. Which shards take the extra row is part of the flow.
-
-The driver sees one line per (old shard, size class): at most 160 times the
-number of old shards, which is a parameter of the caller. The flow's answer is
-one run of rows per (old shard, new shard) pair in use, at most
-``n_old + n_new`` of them; Spark looks a row's run up by its rank in its old
-shard. The rank is a prefix count over blocks plus a row number inside one
-block; blocks are also cut by hash, so a hot shard or a hot size is spread.
+bytes, and every new shard takes ``q`` or ``q + 1`` rows. The smallest rows of a
+shard are the cheapest to move, so the flow only has to choose which shards take the
+extra row: a shard's rows are three blocks, those that move in any case, the
+one that stays only with an extra row (at its own size), and those that stay
+in any case. No placement with these counts moves fewer bytes.
+
+The driver sees one line per old shard, whose number is a parameter of the
+caller. The flow's answer is one run of rows per (old shard, new shard) pair in
+use, at most ``n_old + n_new`` of them; Spark looks a row's run up by its rank in its
+old shard by size. Ranks come from a sort in key ranges
+(``group_row_numbers``), so a hot shard or a hot size is spread over many tasks.
 
 Defined cases: a null or unknown old shard has no place to stay, so its rows
 are all placed; sizes are never null in the result; an empty table gives an
@@ -27,13 +27,11 @@ import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cellfold.llm.words import unused_name
+from cellfold.operators.numbering import group_row_numbers
 from cellfold.session import delete_tree
 
-SUB_BLOCKS = 16
-
 
 def cheapest_flow(blocks: dict[int, list[tuple[int, int]]], n_new: int) -> dict[int, list[tuple[int, int]]]:
     """Rows to send from every old shard to new ones, moving the fewest bytes.
@@ -117,37 +115,25 @@ def reshard(df: DataFrame, *, old_shard: Column, size: Column, key: Column, n_ne
 
     ``old_shard`` is an integer expression with a bounded number of values,
     ``size`` the bytes that moving a row costs, ``key`` decides among rows of
-    equal size. One job counts the blocks; the result shuffles rows once.
+    equal size. Small jobs count the shards and find their marginal rows; the result
+    shuffles rows once. ``df`` has to hold the same rows in each (a table or a stage).
     """
     spark = df.sparkSession
     df = df.drop("shard", "slot", "moved")
-    old, sz, cls, sub, hsh, base, rank, runs, run = unused_name(
-        df, "_old", "_size", "_class", "_sub", "_hash", "_base", "_rank", "_runs", "_run")
+    old, sz, hsh, rank, runs, run = unused_name(df, "_old", "_size", "_hash", "_rank", "_runs", "_run")
     rows = df.withColumns({old: F.coalesce(old_shard.cast("int"), F.lit(-1)),
-                           sz: F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)),
-                           hsh: F.xxhash64(key)})
-    rows = rows.withColumns({cls: F.floor(4 * F.log2(F.col(sz) + 1)).cast("int"),
-                             sub: F.pmod(F.col(hsh), F.lit(SUB_BLOCKS)).cast("int")})
-    blocks = rows.groupBy(old, cls, sub).agg(F.count("*").alias("n"), F.sum(sz).alias("b"))
-    seen: dict[int, list[tuple[int, int]]] = {}
-    for o, _, n, b in (blocks.groupBy(old, cls).agg(F.sum("n"), F.sum("b")).orderBy(old, cls).collect()):
-        seen.setdefault(o, []).append((n, b))
-
+                           sz: F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)), hsh: F.xxhash64(key)})
+    ranked = group_row_numbers(rows, [old], [sz, hsh, key], rank)
+    counts = dict(rows.groupBy(old).agg(F.count("*")).collect())
     found, fill = [], [0] * n_new
-    for o, parts in cheapest_flow(seen, n_new).items():
+    for o, parts in cheapest_flow(_blocks(ranked.select(old, sz, rank), counts, n_new), n_new).items():
         start = 0
         for j, n in parts:
             found.append((o, start, start + n, j, fill[j] - start))
             start, fill[j] = start + n, fill[j] + n
     lookup = (spark.createDataFrame(found, f"{old} int, a long, b long, shard int, shift long")
               .groupBy(old).agg(F.collect_list(F.struct("a", "b", "shard", "shift")).alias(runs)))
-
-    ahead = Window.partitionBy(old).orderBy(cls, sub).rowsBetween(Window.unboundedPreceding, -1)
-    bases = blocks.select(old, cls, sub, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias(base))
-    inside = Window.partitionBy(old, cls, sub).orderBy(sz, hsh, key)
-    placed = (rows.withColumn(rank, F.row_number().over(inside))
-              .join(bases, [old, cls, sub], "left")
-              .withColumn(rank, F.col(base) + F.col(rank) - 1)
+    placed = (ranked.withColumn(rank, F.col(rank) - 1)
               .join(F.broadcast(lookup), old, "left")  # at most n_old + n_new runs
               .withColumn(run, F.filter(F.col(runs), lambda r: (r["a"] <= F.col(rank))
                                         & (F.col(rank) < r["b"]))[0]))
@@ -157,6 +143,18 @@ def reshard(df: DataFrame, *, old_shard: Column, size: Column, key: Column, n_ne
                          (F.col(run)["shard"] != F.col(old)).alias("moved"))
 
 
+def _blocks(ranked: DataFrame, counts: dict[int, int], n_new: int) -> dict[int, list[tuple[int, int]]]:
+    """Per old shard (rows, bytes) of its three blocks. ``ranked``: (shard, size,
+    rank from 1). Only the size of the middle block, one row, bears on the flow."""
+    q = sum(counts.values()) // n_new
+    edge = {o: n - q for o, n in counts.items() if n > q and 0 <= o < n_new}
+    old, sz, rank = ranked.columns
+    wanted = ranked.sparkSession.createDataFrame(list(edge.items()), f"{old} int, {rank} long")  # one per old shard
+    marginal = dict(ranked.join(F.broadcast(wanted), [old, rank]).select(old, sz).collect())
+    return {o: [(edge[o] - 1, 0), (1, marginal[o]), (q, q * marginal[o])] if o in edge else [(n, 0)]
+            for o, n in counts.items()}
+
+
 def rewrite_affected(placed: DataFrame, path: str) -> None:
     """Write the shards that gained or lost rows as ``shard=N`` folders below
     ``path``; folders of untouched shards stay as they are and those of drained
@@ -175,7 +173,8 @@ def rewrite_affected(placed: DataFrame, path: str) -> None:
     tag = uuid.uuid4().hex
     staged, replaced = f"{path}.staged-{tag}", f"{path}.replaced-{tag}"
     affected = sorted(r["shard"] for r in hit.filter("shard >= 0").collect())
-    (placed.filter(F.col("shard").isin(affected)).repartition("shard")
+    # runs of slots, so that a large shard is written by several tasks, in order
+    (placed.filter(F.col("shard").isin(affected)).repartitionByRange("shard", "slot")
      .sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").mode("errorifexists").parquet(staged))
 

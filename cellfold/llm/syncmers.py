@@ -28,6 +28,7 @@ from pyspark.sql.window import Window
 from cellfold.llm.words import WORD, text_of, unused_name
 
 K, S = 6, 2
+SHIFT = 16  # words by which anchors of one diagonal may differ
 FAN = 64  # ids are ranged in steps of 64 bounds
 MOST_RANGES = FAN ** 3
 RANGE_ROWS = 2048
@@ -61,18 +62,44 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def printed(hashes: Column) -> Column:
+def printed(anchors_: Column) -> Column:
     """Anchor hashes in order as text, eight hexadecimal digits each."""
-    return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h.cast("long").bitwiseAND(0xFFFFFFFF)), 8, "0"))), " ")
+    return F.array_join(F.transform(anchors_["hash"], lambda h: F.lower(F.lpad(F.hex(h.cast("long").bitwiseAND(0xFFFFFFFF)), 8, "0"))), " ")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Shared anchors over the smaller number of anchors, both as sets, so that
-    a text counts as alike to one that holds it."""
-    both = F.size(F.array_intersect(a, b))
-    sizes = F.size(F.array_distinct(a)), F.size(F.array_distinct(b))
-    return (F.when(F.greatest(*sizes) == 0, F.lit(1.0)).when(F.least(*sizes) == 0, F.lit(0.0))
-            .otherwise(both / F.least(*sizes)))
+    """Positional likeness of two texts by their anchors (pos, hash): the shared
+    anchors on the diagonal that has most of them, over the smaller number of
+    distinct anchors. A diagonal is the shift between the two positions in steps
+    of ``SHIFT`` words, together with the next step, so small edits do not leave
+    it. A text counts as alike to one that holds it; the same passages in another
+    order do not. An anchor that a text repeats counts at its first position."""
+    side = lambda x, k: F.transform(x, lambda y: F.struct(y["hash"], F.lit(k).alias("side"), y["pos"]))
+    merged = F.array_sort(F.concat(side(a, 0), side(b, 1)))
+
+    def alone(m: Column) -> Column:  # first positions
+        return F.filter(m, lambda x, i: (i == 0) | (F.get(m, i - 1)["hash"] != x["hash"]) | (F.get(m, i - 1)["side"] != x["side"]))
+
+    def judged(f: Column) -> Column:
+        shift = lambda x, i: F.when((x["side"] == 0) & (F.get(f, i + 1)["hash"] == x["hash"]),
+                                    F.floor((x["pos"] - F.get(f, i + 1)["pos"]) / SHIFT))
+        shifts = F.array_sort(F.filter(F.transform(f, shift), lambda x: x.isNotNull()))
+        n_a = F.size(F.filter(f, lambda x: x["side"] == 0))
+        sizes = n_a, F.size(f) - n_a
+        return (F.when(F.greatest(*sizes) == 0, F.lit(1.0)).when(F.least(*sizes) == 0, F.lit(0.0))
+                .otherwise(_most(shifts) / F.least(*sizes)))
+    return _let(merged, lambda m: _let(alone(m), judged))
+
+
+def _most(shifts: Column) -> Column:
+    """The most entries of a sorted array that have one value or the next."""
+    def step(s: Column, x: Column) -> Column:
+        same = x == s["at"]
+        n = F.when(same, s["n"] + 1).otherwise(F.lit(1))
+        before = F.when(same, s["before"]).when(x == s["at"] + 1, s["n"]).otherwise(F.lit(0))
+        return F.struct(x.alias("at"), n.alias("n"), before.alias("before"), F.greatest(s["best"], n + before).alias("best"))
+    none = F.struct(F.lit(None).cast("long").alias("at"), F.lit(0).alias("n"), F.lit(0).alias("before"), F.lit(0).alias("best"))
+    return F.aggregate(shifts, none, step, lambda s: s["best"])
 
 
 def _range_of(ident: Column, bounds: list[int]) -> Column:
@@ -108,7 +135,7 @@ def with_next(df: DataFrame, *, ident: str, values: list[str], names: list[str])
     # the rows at a bound open their range and close the one before
     places = F.when(i.isin(bounds[0]), F.array(F.struct(own, F.lit(False), F.lit(False)),
                                                F.struct(F.lit(len(bounds) - 1), F.lit(True), F.lit(True))))
-    at_bound = F.array_contains(F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>"), i)
+    at_bound = F.get(F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>"), own) == i
     places = places.when(at_bound, F.array(F.struct(own, F.lit(False), F.lit(False)),
                                            F.struct(own - 1, F.lit(False), F.lit(True))))
     places = places.otherwise(F.array(F.struct(own, F.lit(False), F.lit(False)))).cast(

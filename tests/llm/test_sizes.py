@@ -158,6 +158,18 @@ def test_flow_moves_the_fewest_bytes():
         assert moved == least_bytes(olds, n_new)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_rows_that_move_have_the_fewest_bytes(spark, seed):
+    rng = random.Random(seed)
+    n_new = rng.randrange(2, 7)
+    olds = [[rng.choice([1, 8, 9, rng.randrange(1, 5000)]) for _ in range(rng.randrange(0, 120))] for _ in range(n_new)]
+    data = [(o, k, b) for o, s in enumerate(olds) for k, b in enumerate(s)]
+    df = spark.createDataFrame(data, "old int, k int, bytes long")
+    out = reshard(df, old_shard=F.col("old"), size=F.col("bytes"), key=F.struct("old", "k"), n_new=n_new)
+    moved = out.where("moved").agg(F.sum("bytes")).first()[0] or 0
+    assert moved == least_bytes(olds, n_new)
+
+
 def test_reshard_keeps_rows_in_place_and_other_columns(spark):
     df = spark.range(1000).selectExpr("id", "cast(id % 10 as int) slot", "cast(if(id < 900, 0, id % 4) as int) old",
                                       "'x' as _Hash", "id % 7 as bytes")

@@ -174,8 +174,33 @@ def test_anchors_by_definition(spark):
     assert " ".join(map(str, alone)) in " ".join(map(str, inside)) and len(alone) >= 55 // (syncmers.K - syncmers.S)
 
 
+def plain_likeness(a, b):
+    """Anchors (pos, hash): the most shared ones on a diagonal and the next, over the smaller set."""
+    first = [{}, {}]
+    for side, marks in zip(first, (a, b)):
+        for pos, h in marks:
+            side.setdefault(h, pos)
+    if not first[0] or not first[1]:
+        return float(first[0] == first[1])
+    shifts = Counter((first[0][h] - first[1][h]) // syncmers.SHIFT for h in set(first[0]) & set(first[1]))
+    return max((n + shifts[d + 1] for d, n in shifts.items()), default=0) / min(map(len, first))
+
+
+def test_likeness_reads_positions(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(200)) for x in "pq")
+    pairs = [(one, one), (one + " " + two, two + " " + one), (one, "x " * 300 + one), (one, one.replace("p90 ", "")), (one, two),
+             ("a b", "a b"), ("a b " * 50, "b a " * 60), (None, ""), ("", one)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i long, a string, b string").select(
+        "i", syncmers.anchors(F.col("a")).alias("a"), syncmers.anchors(F.col("b")).alias("b"))
+    got = df.select("i", "a", "b", syncmers.likeness(F.col("a"), F.col("b")).alias("near")).orderBy("i").collect()
+    assert [r["near"] for r in got] == [plain_likeness(r["a"], r["b"]) for r in got]
+    near = [r["near"] for r in got]
+    assert near[0] == near[5] == near[7] == 1 and near[4] == near[8] == 0
+    assert near[1] < 0.6 and near[2] > 0.9 and near[3] > 0.9  # another order is not alike, a shift and a lost word are
+
+
 @pytest.mark.parametrize("which", ["edge", SF_MID])
-def test_op4_contract(which, edge_dir, rows, docs_of, monkeypatch):  # noqa: F811
+def test_op4_contract(spark, which, edge_dir, rows, docs_of, monkeypatch):  # noqa: F811
     monkeypatch.setattr(syncmers, "RANGE_ROWS", 3 if which == "edge" else 100)
     folder = edge_dir if which == "edge" else which
     docs, got = docs_of(folder), rows("op4", folder)
@@ -183,7 +208,16 @@ def test_op4_contract(which, edge_dir, rows, docs_of, monkeypatch):  # noqa: F81
     ids = sorted({r["doc_id"] for r in docs if r["doc_id"] is not None})
     by = {r["doc_id"]: r["text"] or "" for r in docs}  # rows that share an id share the text here
     follow = dict(zip(ids, ids[1:] + ids[:1]))
-    seen = {}
+    seen, marks = {}, lambda r: list(zip(map(int, r["positions"].split()), r["fingerprint"].split()))
+    own, edited = {}, {}
+    for r in got:
+        own.setdefault(r["doc_id"], marks(r))
+    changed = [(r["edited_sha256"], e) for r in got for f in {follow.get(r["doc_id"]), r["doc_id"]}
+               for e in [by[r["doc_id"]][:(len(by[r["doc_id"]]) + 1) // 2] + (by[f] if f is not None else "")[:len(by[r["doc_id"]]) // 2]]
+               if hashlib.sha256(e.encode()).hexdigest() == r["edited_sha256"]]
+    frame = spark.createDataFrame(changed, "h string, t string").distinct().select("h", syncmers.anchors(F.col("t")).alias("a"))
+    for r in frame.collect():
+        edited[r["h"]] = [(a["pos"], f"{a['hash'] & 0xFFFFFFFF:08x}") for a in r["a"]]
     for r in got:
         text = by[r["doc_id"]]
         half = len(text) // 2
@@ -193,9 +227,10 @@ def test_op4_contract(which, edge_dir, rows, docs_of, monkeypatch):  # noqa: F81
         assert r["n_chars"] == len(text)
         assert r["edited_sha256"] in {hashlib.sha256(e.encode()).hexdigest() for e in edits}
         assert seen.setdefault(text, r["fingerprint"]) == r["fingerprint"]
-        a, b = (set(r[k].split()) for k in ("fingerprint", "edited_fingerprint"))
-        assert r["near_edited"] == (len(a & b) / min(len(a), len(b)) if a and b else float(a == b))
-        assert 0 <= r["near_next"] <= 1
+        assert r["edited_fingerprint"].split() == [h for _, h in edited[r["edited_sha256"]]]
+        assert r["near_edited"] == plain_likeness(marks(r), edited[r["edited_sha256"]])
+        after = {follow[r["doc_id"]], *([16] if r["doc_id"] == 16 else [])} if r["doc_id"] is not None else set()
+        assert r["near_next"] in ({plain_likeness(marks(r), own[f]) for f in after} or {0.0})
     long = [r for r in got if len(by[r["doc_id"]]) > 2000 and r["near_next"] < 0.2]
     if which != "edge":
         assert min(r["near_edited"] for r in long) > 0.3
