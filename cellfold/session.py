@@ -2,14 +2,16 @@
 
 Intermediate tables go to the folder the cluster names in
 ``spark.checkpoint.dir`` (a shared file system on a real cluster). Where that
-is unset they go below ``spark.sql.warehouse.dir``, which is always set and is
-shared on a cluster as well. Nothing is written to a machine-local temporary
-folder, and no setting is changed.
+is unset they go below ``spark.sql.warehouse.dir``; on a cluster a warehouse on
+the local file system, its default, is refused, since executors would not see each
+other's files. Nothing is written to a machine-local temporary folder, and no
+setting is changed.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +22,13 @@ _SCRATCH_SUBDIR = "cellfold-scratch"
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for intermediate data (see the module docstring)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    return (found or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if found:
+        return found.rstrip("/")
+    found = spark.conf.get("spark.sql.warehouse.dir")
+    one_machine = re.match(r"local(\[|$)", spark.conf.get("spark.master", "local"))
+    if not one_machine and not re.match(r"(?!file:)[a-z][a-z0-9+.-]*:", found):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share ({found} is on one machine)")
+    return found.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:

@@ -28,3 +28,21 @@ def test_oracle_sql_runs_and_names_match_for_cheap_queries(spark):
         cur = con.execute(E.oracle_sql()[name])
         oracle_cols = sorted(d[0] for d in cur.description)
         assert sorted(E.queries()[name](spark, SF_SMALL).columns) == oracle_cols, name
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+
+    from cellfold.session import shared_root
+
+    class Session:
+        def __init__(self, **conf):
+            self.conf = {k.replace("_", "."): v for k, v in conf.items()}
+
+    local, remote = "file:/w", "hdfs://n/w"
+    assert shared_root(Session(spark_master="local[4]", spark_sql_warehouse_dir=local)) == local
+    assert shared_root(Session(spark_master="yarn", spark_sql_warehouse_dir=remote)) == remote
+    assert shared_root(Session(spark_master="yarn", spark_sql_warehouse_dir=local, spark_checkpoint_dir="/mnt/x/")) == "/mnt/x"
+    for where in (local, "/w", "w"):
+        with pytest.raises(ValueError, match="all executors share"):
+            shared_root(Session(spark_master="spark://h:1", spark_sql_warehouse_dir=where))
