@@ -3,6 +3,8 @@ object stores), for sources and sinks that unpack archives or workbooks."""
 
 from __future__ import annotations
 
+import json
+import re
 from urllib.parse import quote, urlparse
 
 
@@ -78,3 +80,39 @@ def exists(uri: str) -> bool:
 
 def scheme(uri: str) -> str:
     return urlparse(_normalise(uri)).scheme
+
+
+MANIFEST = "_manifest-"  # and a number; the highest counts
+COMMITTED = re.compile(r"part-\d{5}-\d{3}-[0-9a-f]{32}\.")  # names that commits give
+
+
+def read_manifest(f, infos) -> tuple[int, list[str], list[str]]:
+    """(number, files of the commits, files to be ignored) of a folder's listing.
+    Without a manifest all files with names of commits count."""
+    found = max((i for i in infos if i.base_name.startswith(MANIFEST)), key=lambda i: i.base_name, default=None)
+    if found is None:
+        return 0, [i.base_name for i in infos if COMMITTED.match(i.base_name)], []
+    with f.open_input_file(found.path) as fh:
+        held = json.loads(fh.read())
+    return int(found.base_name[len(MANIFEST):]), held["files"], held["gone"]
+
+
+def current_files(paths: list[str]) -> list[str]:
+    """The given paths, with folders that hold a manifest replaced by the files
+    that count in them: those of its commits and those that others put there."""
+    from pyarrow import fs
+    out = []
+    for path in paths:
+        try:
+            f, root = filesystem(path)
+            infos = f.get_file_info(fs.FileSelector(root))
+        except (OSError, ValueError):  # a file, a pattern, a store that only Spark reads
+            infos = []
+        if not any(i.base_name.startswith(MANIFEST) for i in infos):
+            out.append(path)
+            continue
+        _, files, gone = read_manifest(f, infos)
+        wanted = {*files, *(i.base_name for i in infos if i.type == fs.FileType.File and not COMMITTED.match(i.base_name)
+                            and not i.base_name.startswith(("_", ".")) and i.base_name not in gone)}
+        out += [f"{path.rstrip('/')}/{i.base_name}" for i in infos if i.base_name in wanted]
+    return out

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellfold.session import ship_package
-from cellfold.sources.files import open_input
+from cellfold.sources.files import current_files, open_input
 from cellfold.sources.options import READER_EXCEL_DEFAULTS, flag, overlay
 from cellfold.sources.records import safe_names, typed_table
 
@@ -243,6 +243,9 @@ def _workbook_reader(opts: Mapping[str, str], limit: int | None = None):
 
 def _books(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``path`` of every workbook, whatever the case of its suffix."""
+    paths = current_files(paths)
+    if not paths:
+        return spark.createDataFrame([], "path string")
     files = (spark.read.format("binaryFile")
              .option("pathGlobFilter", "*.[xX][lL][sS][xXmM]").load(paths))
     return files.select("path")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellfold.session import ship_package
-from cellfold.sources.files import open_input
+from cellfold.sources.files import current_files, open_input
 from cellfold.sources.options import READER_CSV_DEFAULTS, flag, overlay
 from cellfold.sources.records import safe_names, typed_table, with_fields
 
@@ -200,8 +200,9 @@ def _entry_reader(opts: Mapping[str, str], limit: int | None = None):
 def zip_entries(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``(path, entry, entry_index, size)`` of every file entry of every archive."""
     ship_package(spark)
-    paths = [path] if isinstance(path, str) else list(path)
-    archives = spark.read.format("binaryFile").load(paths).select("path")
+    paths = current_files([path] if isinstance(path, str) else list(path))
+    archives = (spark.read.format("binaryFile").load(paths).select("path") if paths
+                else spark.createDataFrame([], "path string"))
     return archives.mapInPandas(_list_entries, ENTRY_SCHEMA)
 
 

@@ -335,3 +335,60 @@ def test_key_value_csv_is_split_and_keeps_every_text(spark, scratch, monkeypatch
     other = scratch("other")
     write_csv(spark.createDataFrame([("1,1", "a\nb"), ("1,2", "c")], "key string, val string"), other, KEY_VALUE_CSV)
     assert read_key_value(spark, other, options={"multiLine": "true"}).count() == 2
+
+
+@pytest.mark.parametrize("step", ["before", "after"])
+def test_a_failed_overwrite_leaves_one_table(spark, scratch, step):
+    """A commit that dies before its manifest is in place leaves the old rows, after it the new ones."""
+    from cellfold.sinks.staged import StagedFiles, Staging
+    from cellfold.sources.files import filesystem
+    path = scratch("torn")
+    old, new = (spark.createDataFrame([(k, i) for i in range(20)], "k string, i int").repartition(3) for k in ("old", "new"))
+    layout = {"header": "true"}
+    rows = lambda: sorted(tuple(r) for r in read_zipped_csv(spark, path, layout, schema="k string, i int").collect())
+    write_zipped_csv(old, path, layout)
+    other = scratch("other")  # an archive that somebody else adds is read too
+    write_zipped_csv(spark.createDataFrame([("foreign", 0)], "k string, i int").coalesce(1), other, layout)
+    f, root = filesystem(path)
+    one = next(n for n in os.listdir(filesystem(other)[1]) if n.endswith(".zip"))
+    f.copy_file(f"{filesystem(other)[1]}/{one}", f"{root}/foreign.zip")
+    before = rows()
+    assert {k for k, _ in before} == {"old", "foreign"} and len(before) == 21
+    # the same files, as a task would have staged them, committed by a driver that dies
+    side = scratch("side")
+    write_zipped_csv(new, side, layout)
+    staging = Staging(path, overwrite=True)
+    moves = []
+    for n, name in enumerate(x for x in os.listdir(filesystem(side)[1]) if x.endswith(".zip")):
+        final = f"part-{n:05d}-000-{staging.job}.zip"
+        f.create_dir(f"{root}/_temporary/{staging.job}")
+        f.copy_file(f"{filesystem(side)[1]}/{name}", f"{root}/_temporary/{staging.job}/{final}")
+        moves.append((f"{path}/_temporary/{staging.job}/{final}", f"{path}/{final}"))
+
+    import cellfold.sinks.staged as staged
+    real, dies = staged.filesystem, OSError("the driver is lost")
+
+    class Dying:
+        def __getattr__(self, name):
+            return getattr(f, name)
+
+        def move(self, a, b):
+            if step == "before" and "_manifest" in b:
+                raise dies
+            f.move(a, b)
+
+        def delete_file(self, p):
+            raise dies
+
+        delete_dir = delete_file
+    staged.filesystem = lambda uri: (Dying(), real(uri)[1])
+    try:
+        with pytest.raises(OSError, match="lost"):
+            staging.commit([StagedFiles(moves)])
+    finally:
+        staged.filesystem = real
+    assert rows() == (before if step == "before" else sorted(("new", i) for i in range(20)))
+    write_zipped_csv(old, path, layout, mode="append")  # the next writer goes on from what counts
+    assert {k for k, _ in rows()} == ({"old", "foreign"} if step == "before" else {"new", "old"})
+    write_zipped_csv(new, path, layout)
+    assert rows() == sorted(("new", i) for i in range(20)) and len([x for x in os.listdir(root) if x.startswith("_manifest")]) == 1
