@@ -195,6 +195,35 @@ def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
     return top.select(*[F.col(s).alias(c) for s, c in zip(slots, df.columns)])
 
 
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def profile_columns(df: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """One row per column with an order: ``num``, ``name``, ``n_distinct`` (about, to
+    two hundredths) and ``quartiles``, three values of it as cell text (numbers,
+    dates and times; null for other types), exact to the ``accuracy``-th part of
+    the rows. All from mergeable sketches of one aggregation: each task keeps a
+    bounded sketch per column, and nothing is sorted or shuffled but those.
+    """
+    fields = [(k, f) for k, f in enumerate(df.schema.fields, 1) if orderable(f.dataType)]
+    numeric = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    aggs = []
+    for k, f in fields:
+        c = qcol(f.name)
+        aggs.append(F.approx_count_distinct(c, 0.02).alias(f"d{k}"))
+        if isinstance(f.dataType, numeric):
+            # local times as times of the session, whose quantiles Spark takes
+            plain = c.cast("timestamp") if isinstance(f.dataType, T.TimestampNTZType) else c
+            aggs.append(F.percentile_approx(plain, list(QUARTILES), accuracy).cast(T.ArrayType(f.dataType)).alias(f"q{k}"))
+        else:
+            aggs.append(F.lit(None).cast("array<string>").alias(f"q{k}"))
+    texts = lambda k, f: (F.transform(f"q{k}", lambda x: to_text(x, f.dataType)) if isinstance(f.dataType, numeric)
+                          else F.col(f"q{k}"))
+    rows = F.array(*[F.struct(F.lit(k).cast("long").alias("num"), F.lit(f.name).alias("name"), F.col(f"d{k}").alias("n_distinct"),
+                              texts(k, f).alias("quartiles")) for k, f in fields])
+    return df.agg(*aggs).select(F.inline(rows))
+
+
 def describe_table(df: DataFrame, sample: int = 0) -> DataFrame:
     """One row per column: ``(num, name, type, nullable, n_rows, n_nulls)`` (D1),
     and ``least`` and ``greatest``, the bounds of its values as cell text (null

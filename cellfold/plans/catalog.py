@@ -9,11 +9,13 @@ in the result, so Spark and the oracle agree row for row.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.operators.audit import audit_round_trip, describe_table, differing_rows
+from cellfold.operators.audit import QUARTILES, audit_round_trip, describe_table, differing_rows, profile_columns
 from cellfold.operators.columns import (
     clear_columns,
     id_num_columns,
@@ -413,6 +415,20 @@ def q_describe_table(spark, d):
     return describe_table(_table(spark, d, "customer"), sample=5)
 
 
+def q_profile_columns(spark, d):
+    # distinct counts within 8 percent and quartiles within a thousandth of the rows, by exact counts
+    orders = _table(spark, d, "orders")
+    rows = []
+    for r in profile_columns(orders).collect():
+        c = F.col(r["name"])
+        near = F.abs(r["n_distinct"] - F.count_distinct(c)) <= F.greatest(0.08 * F.count_distinct(c), F.lit(1))
+        below = [F.abs(F.count_if(c <= F.lit(q).cast(orders.schema[r["name"]].dataType)) / F.count(c) - p) <= 0.001
+                 for q, p in zip(r["quartiles"] or [], QUARTILES)]
+        rows.append(F.struct(F.lit(r["num"]).alias("num"), F.lit(r["name"]).alias("name"), near.alias("near"),
+                             (reduce(and_, below) if below else F.lit(None).cast("boolean")).alias("quartiles_near")))
+    return orders.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 # --------------------------------------------------------- sources, jobs
 
 def q_csv_read(spark, d):
@@ -631,6 +647,7 @@ QUERIES: dict[str, Query] = {
     "ordered_ids_rows": q_ordered_ids_rows,
     "audit_cells": q_audit_cells,
     "describe_table": q_describe_table,
+    "profile_columns": q_profile_columns,
     "csv_read": q_csv_read,
     "csv_read_schema": q_csv_read_schema,
     "csv_round_trip": q_csv_round_trip,
@@ -765,6 +782,13 @@ def _table_like_sql():
              ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")], start=1))
 
 
+def _profile_sql():
+    return " UNION ALL ".join(
+        f"SELECT CAST({k} AS BIGINT) AS num, '{c}' AS name, count({c}) > 0 AS near, "
+        f"{'CAST(NULL AS BOOLEAN)' if t == 'VARCHAR' else f'count({c}) > 0'} AS quartiles_near FROM orders"
+        for k, (c, t) in enumerate(_cols("orders"), start=1))
+
+
 def _audit_sql():
     metrics = [("rows", "count(*)"), ("columns", "5"), ("cells_expected", "count(*) * 5"),
                ("data_cells", "count(*) * 5"), ("meta_cells", "6"),
@@ -865,6 +889,7 @@ ORACLE_SQL: dict[str, str] = {
     "ordered_ids_rows": S.numbered("lineitem", LINEITEM_ORDER),
     "audit_cells": _audit_sql(),
     "describe_table": _describe_sql(),
+    "profile_columns": _profile_sql(),
     "csv_read": ("SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, "
                  "p_size, p_retailprice FROM part"),
     "csv_read_schema": _select_all("orders"),

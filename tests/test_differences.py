@@ -9,7 +9,7 @@ from seeded import seeded_table
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellfold.operators.audit import describe_table, differing_rows, sample_rows
+from cellfold.operators.audit import describe_table, differing_rows, profile_columns, sample_rows
 from cellfold.operators.keyvalue import combined_cells, key_value_columns, melt_cells, restore, schema_name
 from cellfold.operators.likeness import table_like
 from cellfold.plans.inspect import exchanges
@@ -52,6 +52,19 @@ def test_samples_do_not_depend_on_partitions(spark):
     assert all(r["sample"] == [] and r["n_rows"] == 0 and r["least"] is None for r in empty)
 
 
+def test_profiles(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 10).cast("decimal(5,1)").alias("d"), F.concat(F.lit("t"), F.col("id") % 3).alias("t"),
+                                  F.expr("timestamp_ntz'2020-01-01' + make_dt_interval(id)").alias("n"), F.create_map("id", "id").alias("m"),
+                                  F.lit(None).cast("date").alias("none"))
+    got = {r["name"]: r for r in profile_columns(df).collect()}
+    assert set(got) == {"id", "d", "t", "n", "none"}  # maps have no order
+    assert got["id"]["quartiles"] == ["249", "499", "749"] and abs(got["id"]["n_distinct"] - 1000) <= 60
+    assert got["d"]["quartiles"] == ["2.0", "4.0", "7.0"] and got["d"]["n_distinct"] == 10
+    assert got["t"]["quartiles"] is None and got["t"]["n_distinct"] == 3
+    assert got["n"]["quartiles"][1] == "2021-05-14 00:00:00" and got["none"]["quartiles"] is None
+    assert {r["n_distinct"] for r in profile_columns(df.limit(0)).collect()} == {0}
+
+
 def test_tables_like_one(spark):
     schema = T.StructType([
         T.StructField("id", T.LongType(), False), T.StructField("d", T.DateType()), T.StructField("x", T.DoubleType()),
