@@ -41,13 +41,15 @@ _QUOTE_RUN, _QUOTE_REPLACEMENT = '"+', "'"
 
 
 def read_source(spark: SparkSession, path: str, fmt: str = "csv",
-                options: Mapping[str, object] | None = None, schema=None) -> DataFrame:
-    """Read the job's input in one of ``SOURCE_FORMATS``."""
+                options: Mapping[str, object] | None = None, schema=None,
+                stages: Stages | None = None) -> DataFrame:
+    """Read the job's input in one of ``SOURCE_FORMATS``; ``stages`` holds what is
+    unpacked once for several passes."""
     if fmt == "csv":
         return read_csv(spark, path, options, schema)
     if fmt == "zip":
         from cellfold.sources.zipped import read_zipped_csv
-        return read_zipped_csv(spark, path, options, schema)
+        return read_zipped_csv(spark, path, options, schema, stages=stages)
     if fmt == "excel":
         from cellfold.sources.workbook import read_workbooks
         return read_workbooks(spark, path, options, schema)
@@ -151,14 +153,14 @@ def load_key_value(spark: SparkSession, source: str | DataFrame, target: str,
     the reference's turning of quote runs into ``'`` (lossy; restore accepts
     the metadata it produces). Returns the two output paths.
     """
-    df = source if isinstance(source, DataFrame) else read_source(
-        spark, source, fmt, read_options)
     if name is None:
         name = source.rstrip("/").rsplit("/", 1)[-1] if isinstance(source, str) else "table"
-    df = repartition_input(df, n_partitions)
-    meta = meta_cells(spark, df.schema, name)
     meta_path, data_path = f"{target.rstrip('/')}/meta", f"{target.rstrip('/')}/data"
     with Stages(spark) as stages:  # this job's own; freed after a failure too
+        df = source if isinstance(source, DataFrame) else read_source(
+            spark, source, fmt, read_options, stages=stages)
+        df = repartition_input(df, n_partitions)
+        meta = meta_cells(spark, df.schema, name)
         data = melt_cells(df, ids=ids, order_by=order_by, stages=stages)
         if clear_quotes:
             meta = clear_columns(meta, _QUOTE_RUN, _QUOTE_REPLACEMENT)

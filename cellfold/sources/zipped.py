@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellfold.session import ship_package
+from cellfold.session import Stages, ship_package
 from cellfold.sources.files import current_files, open_input
 from cellfold.sources.options import READER_CSV_DEFAULTS, flag, overlay
 from cellfold.sources.records import safe_names, typed_table, with_fields
@@ -244,7 +244,7 @@ def _first_record(spark, path, opts) -> list[str] | None:
 def read_zipped_csv(spark: SparkSession, path: str | Sequence[str],
                     options: Mapping[str, object] | None = None,
                     schema: T.StructType | str | None = None,
-                    n_tasks: int | None = None) -> DataFrame:
+                    n_tasks: int | None = None, stages: Stages | None = None) -> DataFrame:
     """Read all CSV entries of the archives under ``path`` as one table (S3).
 
     Options as for CSV (reference defaults: no header, ``,``, ``"``, ``\\``,
@@ -252,7 +252,9 @@ def read_zipped_csv(spark: SparkSession, path: str | Sequence[str],
     ``timestampFormat`` are obeyed. Column names come from
     the first entry's header (``header=true``) or are ``_c0…``; every entry is
     parsed to one schema: the given one, one inferred over all entries in a
-    single pass (``inferSchema=true``), or all strings.
+    single pass (``inferSchema=true``), or all strings. Inference reads all
+    records first: with ``stages`` they are unpacked once, into a stage that its owner
+    frees after the last use of the result; without, once more for the result.
     """
     opts = overlay(READER_CSV_DEFAULTS, options)
     st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -268,4 +270,6 @@ def read_zipped_csv(spark: SparkSession, path: str | Sequence[str],
             return spark.createDataFrame([], T.StructType([]))
         sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
         names = safe_names(first, sensitive) if header else [f"_c{i}" for i in range(len(first))]
+        if stages is not None and flag(opts, "inferSchema"):
+            records = stages.save(records, "zip-records")
     return typed_table(with_fields(records, len(names), opts), names, opts, st)

@@ -392,3 +392,19 @@ def test_a_failed_overwrite_leaves_one_table(spark, scratch, step):
     assert {k for k, _ in rows()} == ({"old", "foreign"} if step == "before" else {"new", "old"})
     write_zipped_csv(new, path, layout)
     assert rows() == sorted(("new", i) for i in range(20)) and len([x for x in os.listdir(root) if x.startswith("_manifest")]) == 1
+
+
+def test_inference_unpacks_archives_once(spark, scratch):
+    from cellfold.plans.inspect import has_python_or_rdd_scan
+    from cellfold.session import Stages
+    orders, path = spark.read.parquet(f"{SF_SMALL}/orders.parquet").drop("o_orderdate"), scratch("once")
+    layout = {"header": "true", "inferSchema": "true"}
+    write_zipped_csv(orders.repartition(3), path, layout)
+    with Stages(spark) as stages:
+        read = read_zipped_csv(spark, path, layout, stages=stages)
+        assert not has_python_or_rdd_scan(read) and len(stages.paths) == 1
+        assert same_rows(read.select(*[F.col(c).cast(t) for c, t in orders.dtypes]), orders)
+    target = scratch("once-loaded")
+    load_key_value(spark, path, target, name="orders", fmt="zip", read_options=layout)
+    back, name = restore_table(spark, target)
+    assert name == "orders" and back.count() == orders.count()
