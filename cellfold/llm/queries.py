@@ -48,8 +48,9 @@ def op3_secrets(spark, d):
 
 def op4_syncmers(spark, d):
     t = text_of(F.col("text"))
-    docs = table(spark, d, "documents").select("doc_id", t.alias("text"), syncmers.anchors(F.col("text")).alias("marks"))
+    docs = table(spark, d, "documents").select("doc_id", t.alias("text"), syncmers.packed(syncmers.anchors(F.col("text"))).alias("marks"))
     pairs = syncmers.with_next(docs, ident="doc_id", values=["text", "marks"], names=["next_text", "next_marks"])
+    pairs = pairs.withColumns({c: syncmers.unpacked(F.col(c)) for c in ("marks", "next_marks")})
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half),

@@ -62,6 +62,19 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def packed(anchors_: Column) -> Column:
+    """Anchors as longs (position above hash), eight bytes each: a shuffle writes
+    four times as much for structs."""
+    return F.transform(anchors_, lambda x: F.shiftleft(x["pos"].cast("long"), 32).bitwiseOR(
+        x["hash"].cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
+
+
+def unpacked(longs: Column) -> Column:
+    """The anchors that ``packed`` was given."""
+    return F.transform(longs, lambda x: F.struct(
+        F.shiftright(x, 32).cast("int").alias("pos"), F.shiftright(F.shiftleft(x, 32), 32).cast("int").alias("hash")))
+
+
 def printed(anchors_: Column) -> Column:
     """Anchor hashes in order as text, eight hexadecimal digits each."""
     return F.array_join(F.transform(anchors_["hash"], lambda h: F.lower(F.lpad(F.hex(h.cast("long").bitwiseAND(0xFFFFFFFF)), 8, "0"))), " ")
