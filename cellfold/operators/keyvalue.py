@@ -9,10 +9,12 @@ table name and ``0,k`` the one-field schema JSON of column ``k``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import or_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,8 @@ from cellfold.functions.text import check_supported, from_text, non_null, to_tex
 from cellfold.operators.columns import id_num_columns
 from cellfold.operators.ids import with_row_ids
 from cellfold.operators.partitions import spread_input
+from cellfold.plans.inspect import exchanges
+from cellfold.session import ship_package
 
 _ID = "__cellfold_id"
 RESTORE_MODES = ("strict", "lenient")
@@ -206,29 +210,75 @@ def schema_frame(cells: DataFrame) -> DataFrame:
     ).where(F.col("name").isNotNull())
 
 
+def _packed(n: int):
+    """An Arrow step that makes one row of cells that lie together: ``id``, for
+    more than ``SLOTS`` columns their group ``g``, the number ``n`` of cells, a bit
+    ``seen`` per column and the texts ``c<slot>``. A row ends where the id changes or the
+    column numbers do not ascend, so no cell comes twice in one."""
+    width = min(n, SLOTS)
+
+    def pack(batches: Iterator) -> Iterator:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, num = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            group, slot = np.divmod(num - 1, SLOTS)
+            breaks = (ids[1:] != ids[:-1]) | (group[1:] != group[:-1]) | (slot[1:] <= slot[:-1])
+            starts = np.append(0, np.flatnonzero(breaks) + 1)
+            sizes = np.diff(np.append(starts, len(ids)))
+            row = np.repeat(np.arange(len(starts)), sizes)
+            bits = np.left_shift(np.uint64(1), slot.astype(np.uint64))
+            seen = np.bitwise_or.reduceat(bits, starts).view(np.int64)
+            by_slot = np.argsort(slot.astype(np.uint8), kind="stable")
+            ends = np.cumsum(np.bincount(slot, minlength=width))
+            texts = []
+            for first, last in zip(np.append(0, ends), ends):
+                cells = by_slot[first:last]
+                if len(cells) < len(starts):
+                    at = np.full(len(starts), -1)
+                    at[row[cells]] = cells
+                    cells = pa.array(at, mask=at < 0)
+                texts.append(batch.column(2).take(pa.array(cells)))
+            keys = {"id": ids[starts]} if n <= SLOTS else {"id": ids[starts], "g": group[starts]}
+            longs = {k: pa.array(v) for k, v in (keys | {"n": sizes, "seen": seen}).items()}
+            yield pa.RecordBatch.from_arrays([*longs.values(), *texts], [*longs, *[f"c{k}" for k in range(width)]])
+    return pack
+
+
+def _by_id(data: DataFrame) -> bool:
+    """Whether the rows of an id lie in one partition already, as those of buckets do."""
+    return exchanges(data.groupBy("id").count()) == exchanges(data)
+
+
 def _gathered(data: DataFrame, n: int, strict: bool) -> DataFrame:
     """One row per id with the text of column ``k`` as ``c<k>``, for more than
     ``SLOTS`` columns in structs ``g<group>`` of that many. The greatest of
     several cells stays; ``strict`` raises on them."""
-    slot = F.pmod(F.col("num") - 1, F.lit(SLOTS))
+    width, keys = min(n, SLOTS), ["id"] if n <= SLOTS else ["id", "g"]
+    slots = [f"c{k}" for k in range(width)]
+    if _by_id(data):
+        slot = F.pmod(F.col("num") - 1, F.lit(SLOTS))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.cast("int"))
+        group = F.floor((F.col("num") - 1) / SLOTS)
+        packed = data.select("id", group.alias("g"), F.lit(1).cast("long").alias("n"), bit.alias("seen"),
+                             *[F.when(slot == k, F.col("val")).alias(c) for k, c in enumerate(slots)])
+    else:
+        # rows are packed in the order that cells come in, and only then shuffled: an
+        # aggregation would sort all cells of a task before the shuffle
+        ship_package(data.sparkSession)
+        layout = ", ".join([f"{k} long" for k in (*keys, "n", "seen")] + [f"{c} string" for c in slots])
+        packed = data.select("id", "num", "val").mapInArrow(_packed(n), layout).repartition("id")
+    rows = packed.groupBy(*keys).agg(F.sum("n").alias("n"), F.bit_or("seen").alias("seen"), *[F.max(c).alias(c) for c in slots])
     # one bit per column: fewer bits than cells mean that a cell came twice
-    counts = [F.count(F.lit(1)).alias("n"), F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.cast("int"))).alias("seen")]
     twice = F.when(F.bit_count("seen") < F.col("n"), F.raise_error(F.concat(
         F.lit("duplicate cell in row "), F.col("id").cast("string")))).otherwise(F.lit(True))
-    texts = lambda first, last: [
-        F.max(F.when(F.col("num") == k, F.col("val"))).alias(f"c{k}") for k in range(first, last + 1)]
+    rows = rows.where(twice) if strict else rows
     if n <= SLOTS:
-        rows = data.groupBy("id").agg(*counts, *texts(1, n))
-        return rows.where(twice) if strict else rows
-    # slots are shared by all groups, a group's columns are those of its own numbers
-    group = F.floor((F.col("num") - 1) / SLOTS)
-    shared = [F.max(F.when(slot == j, F.col("val"))).alias(f"s{j}") for j in range(SLOTS)]
-    parts = data.groupBy("id", group.alias("g")).agg(*counts, *shared)
-    parts = parts.where(twice) if strict else parts
-    of = lambda g: F.struct(*[F.col(f"s{k - 1 - g * SLOTS}").alias(f"c{k}")
+        return rows.select("id", *[F.col(c).alias(f"c{k}") for k, c in enumerate(slots, 1)])
+    of = lambda g: F.struct(*[F.col(f"c{k - 1 - g * SLOTS}").alias(f"c{k}")
                               for k in range(g * SLOTS + 1, min(n, (g + 1) * SLOTS) + 1)])
     groups = range(-(-n // SLOTS))
-    return parts.groupBy("id").agg(*[F.max(F.when(F.col("g") == g, of(g))).alias(f"g{g}") for g in groups])
+    return rows.groupBy("id").agg(*[F.max(F.when(F.col("g") == g, of(g))).alias(f"g{g}") for g in groups])
 
 
 def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
@@ -239,11 +289,12 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
     exactly its names, types, nullability and metadata. Row order is not
     promised, and no result depends on the order of cells.
 
-    One shuffle at most, by ``id`` (none over bucketed cells). An aggregation by
-    id holds one slot per column, so its buffer is bounded however many cells a
-    damaged table has for an id, and it runs before the shuffle as well: cells
-    that lie together move as one row. Tables of more than ``SLOTS`` columns are
-    gathered in groups of columns first, so the work stays near linear in the cells.
+    One shuffle at most, by ``id`` (none over bucketed cells). Cells that lie
+    together are packed into one row before it, batch by batch, with no sort. The
+    aggregation by id after it holds one slot per column, so its buffer is bounded
+    however many cells a damaged table has for an id. Tables of more than ``SLOTS``
+    columns are gathered in groups of columns first, so the work stays near linear
+    in the cells.
 
     ``strict`` (default) fails on a duplicate cell, on a column number that the
     schema does not have, and on a null or negative row id or column number
