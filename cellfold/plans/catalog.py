@@ -102,6 +102,12 @@ def _scratch(spark: SparkSession, tag: str) -> str:
     return scratch_path(spark, tag)
 
 
+def _parts(df: DataFrame, least: int, rows: int) -> DataFrame:
+    """``df`` in ``least`` partitions, in more where these would hold over ``rows`` rows:
+    a task writes a partition, so its work must not grow with the table."""
+    return df.repartition(max(least, -(-df.count() // rows)))
+
+
 # ------------------------------------------------------------------ melt
 
 def q_key_value(spark, d):
@@ -529,13 +535,13 @@ def q_zip_read(spark, d):
 
 
 def q_zip_entries(spark, d):
-    # three archives of several entries, each with its header; ';' and a date format
+    # three archives or more of several entries, each with its header; ';' and a date format
     path = _scratch(spark, "zip-entries")
     orders = _table(spark, d, "orders").select(
         "o_orderkey", "o_orderpriority", "o_totalprice",
         F.date_format("o_orderdate", "dd.MM.yyyy").alias("o_orderdate"))
     layout = {"header": "true", "sep": ";"}
-    write_zipped_csv(orders.repartition(3), path, layout, max_records_per_file=1000)
+    write_zipped_csv(_parts(orders, 3, 50_000), path, layout, max_records_per_file=1000)
     return read_zipped_csv(spark, path, layout | {"inferSchema": "true", "dateFormat": "dd.MM.yyyy"})
 
 

@@ -29,6 +29,8 @@ _CANDIDATES = [
     ("timestamp", T.TimestampType(), r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}"),
 ]
 
+_PROBE = 100  # records that are asked first
+
 
 def cell(fields_col: str, i: int, null_value: str | None) -> F.Column:
     """Text of field ``i``; the null text (and a missing field) gives null."""
@@ -38,6 +40,12 @@ def cell(fields_col: str, i: int, null_value: str | None) -> F.Column:
     return v
 
 
+def _once(df: DataFrame, name: str, value: F.Column) -> DataFrame:
+    """``df`` with ``value`` computed once a row: the optimizer copies a projected
+    expression to each of its uses (a filter has several), but no generated one."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def with_fields(records: DataFrame, n: int, opts: Mapping[str, str]) -> DataFrame:
     """``fields`` from the CSV text ``line`` of records, by Spark's parser: the
     texts of ``n`` cells, empty ones as empty text; another number of cells shows
@@ -48,13 +56,13 @@ def with_fields(records: DataFrame, n: int, opts: Mapping[str, str]) -> DataFram
         "sep": opts.get("delimiter", opts.get("sep", ",")), "quote": opts.get("quote", '"') or "\0",
         "escape": opts.get("escape", "\\") or "\0", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "odd",
         "nullValue": empty, "emptyValue": "", **same})
-    found = records.withColumn("parsed", parsed)
+    found = _once(records, "parsed", parsed)
     cells = [F.col(f"parsed.c{i}") for i in range(n)]
     full = F.array(*[F.coalesce(c, F.lit("")) for c in cells])
     # too few cells leave nulls behind, too many one text more than there are columns
     other = F.array(*cells, F.lit(""))
-    return found.withColumn("fields", F.when(F.col("line") == "", F.array().cast("array<string>"))
-                            .when(F.col("parsed.odd").isNull(), full).otherwise(other)).drop("parsed")
+    return _once(found, "fields", F.when(F.col("line") == "", F.array().cast("array<string>"))
+                 .when(F.col("parsed.odd").isNull(), full).otherwise(other)).drop("parsed")
 
 
 def safe_names(header: list[str | None], case_sensitive: bool = False) -> list[str]:
@@ -76,18 +84,26 @@ def parse_cell(text: F.Column, dt: T.DataType, opts: Mapping[str, str]) -> F.Col
 
 
 def infer_types(texts: DataFrame, names: list[str], opts: Mapping[str, str]) -> T.StructType:
-    """One aggregation pass: for each column and candidate type, does every
-    non-null text parse? Returns the narrowest type per column."""
+    """For each column and candidate type, does every non-null text parse? Returns
+    the narrowest type per column. One aggregation pass over all records; a few
+    first ones rule out the candidates that these refute already, whose parsing would
+    fail on most of the others too, at the price of an exception each."""
     formats = {"date": opts.get("dateFormat"), "timestamp": opts.get("timestampFormat")}
-    checks = []
+    checks = {}
     for i, name in enumerate(names):
         v = qcol(name)
         for tag, dt, shape in _CANDIDATES:
             ok = parse_cell(v, dt, opts).isNotNull()
             if shape is not None and not formats.get(tag):
                 ok = ok & v.rlike(shape)
-            checks.append(F.bool_and(v.isNull() | ok).alias(f"{i}_{tag}"))
-    row = texts.agg(*checks).collect()[0].asDict() if checks else {}
+            checks[f"{i}_{tag}"] = F.bool_and(v.isNull() | ok)
+
+    def holds(rows: DataFrame) -> dict:
+        return rows.agg(*[c.alias(k) for k, c in checks.items()]).collect()[0].asDict() if checks else {}
+    first = texts.select(*[qcol(c) for c in names]).limit(_PROBE)
+    probed = holds(texts.sparkSession.createDataFrame(first.collect(), first.schema))
+    checks = {k: c for k, c in checks.items() if probed[k] is not False}
+    row = holds(texts)
     fields = []
     for i, name in enumerate(names):
         chosen: T.DataType = T.StringType()

@@ -23,6 +23,7 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -171,29 +172,35 @@ def _entry_reader(opts: Mapping[str, str], limit: int | None = None):
     charset = opts.get("charset", opts.get("encoding", "UTF-8"))
 
     def read(batches: Iterator) -> Iterator:
-        for batch in batches:
-            for row in batch.to_pylist():
-                done = 0
-                with open_input(row["path"]) as fh, zipfile.ZipFile(fh) as zf, zf.open(row["entry"]) as raw:
-                    for data, ends in cutter.blocks(raw, charset):
-                        if limit is not None and done >= limit:
-                            break
-                        n = len(ends)
-                        offsets = np.zeros(n + 1, dtype=np.int64)
-                        offsets[1:] = ends
-                        lines = pa.LargeStringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(data))
-                        if done == 0 and data.startswith(codecs.BOM_UTF8):
-                            lines = pc.replace_substring(lines, "\ufeff", "", max_replacements=1)
-                        if cutter.comment >= 0:
-                            lines = lines.filter(pc.invert(pc.starts_with(lines, chr(cutter.comment))))
-                        lines = pc.replace_substring_regex(lines, r"\r?\n\z|\r\z", "")
-                        n = len(lines)
-                        same = lambda v, t: pa.repeat(pa.scalar(v, t), n)
-                        yield pa.RecordBatch.from_arrays(
-                            [same(row["path"], pa.string()), same(row["entry"], pa.string()),
-                             same(row["entry_index"], pa.int32()), pa.array(np.arange(done, done + n)), lines.cast(pa.string())],
-                            names=["path", "entry", "entry_index", "rec", "line"])
-                        done += n
+        rows = (row for batch in batches for row in batch.to_pylist())
+        # an archive stays open, its directory read once, for its entries that come in a row
+        for path, entries in groupby(rows, key=lambda row: row["path"]):
+            with open_input(path) as fh, zipfile.ZipFile(fh) as zf:
+                for row in entries:
+                    yield from records(row, zf)
+
+    def records(row: dict, zf: zipfile.ZipFile) -> Iterator:
+        done = 0
+        with zf.open(row["entry"]) as raw:
+            for data, ends in cutter.blocks(raw, charset):
+                if limit is not None and done >= limit:
+                    break
+                n = len(ends)
+                offsets = np.zeros(n + 1, dtype=np.int64)
+                offsets[1:] = ends
+                lines = pa.LargeStringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(data))
+                if done == 0 and data.startswith(codecs.BOM_UTF8):
+                    lines = pc.replace_substring(lines, "\ufeff", "", max_replacements=1)
+                if cutter.comment >= 0:
+                    lines = lines.filter(pc.invert(pc.starts_with(lines, chr(cutter.comment))))
+                lines = pc.replace_substring_regex(lines, r"\r?\n\z|\r\z", "")
+                n = len(lines)
+                same = lambda v, t: pa.repeat(pa.scalar(v, t), n)
+                yield pa.RecordBatch.from_arrays(
+                    [same(row["path"], pa.string()), same(row["entry"], pa.string()),
+                     same(row["entry_index"], pa.int32()), pa.array(np.arange(done, done + n)), lines.cast(pa.string())],
+                    names=["path", "entry", "entry_index", "rec", "line"])
+                done += n
     return read
 
 
@@ -213,11 +220,12 @@ def zip_records(spark: SparkSession, path: str | Sequence[str],
 
     Entries are hash-spread over ``n_tasks`` tasks (default: the shuffle
     partition count); the number is explicit so that adaptive execution does
-    not fold the tiny listing into one task.
+    not fold the tiny listing into one task. Each task takes its entries archive by
+    archive, so it reads the directory of an archive once.
     """
     opts = overlay(READER_CSV_DEFAULTS, options)
     n = n_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = zip_entries(spark, path).repartition(n, "path", "entry")
+    entries = zip_entries(spark, path).repartition(n, "path", "entry").sortWithinPartitions("path", "entry_index")
     return entries.mapInArrow(_entry_reader(opts), RECORD_SCHEMA)
 
 
