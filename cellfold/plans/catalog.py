@@ -550,7 +550,7 @@ def q_zip_documents(spark, d):
     path = _scratch(spark, "zip-documents")
     docs = _table(spark, d, "documents")
     layout = {"header": "true", "nullValue": "\\N"}
-    write_zipped_csv(docs.repartition(4), path, layout, max_records_per_file=200)
+    write_zipped_csv(_parts(docs, 4, 10_000), path, layout, max_records_per_file=200)
     return read_zipped_csv(spark, path, layout, schema=docs.schema)
 
 
@@ -572,13 +572,13 @@ def q_zip_restore_job(spark, d):
 
 def q_workbook_read(spark, d):
     path = _scratch(spark, "workbook-read")
-    write_workbooks(_table(spark, d, "supplier").repartition(3), path, {"header": "true"})
+    write_workbooks(_parts(_table(spark, d, "supplier"), 3, 50_000), path, {"header": "true"})
     return read_workbooks(spark, path, {"header": "true", "inferSchema": "true"})
 
 
 def q_workbook_load_job(spark, d):
     books, target = _scratch(spark, "workbook-src"), _scratch(spark, "workbook-load")
-    write_workbooks(_table(spark, d, "supplier").repartition(2), books, {"header": "true"})
+    write_workbooks(_parts(_table(spark, d, "supplier"), 2, 50_000), books, {"header": "true"})
     meta, data = load_key_value(spark, books, target, name="supplier", fmt="excel",
                                 read_options={"header": "true", "inferSchema": "true"},
                                 ids="ordered", order_by=["s_suppkey"])

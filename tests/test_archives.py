@@ -57,3 +57,12 @@ def test_types_that_the_first_records_suggest_are_checked_on_all(spark, scratch,
 def test_archives_grow_in_number(spark):
     assert catalog._parts(spark.range(10), 3, 4).rdd.getNumPartitions() == 3
     assert catalog._parts(spark.range(41), 3, 4).rdd.getNumPartitions() == 11
+
+
+def test_documents_fill_more_archives_as_they_grow(spark, scratch, monkeypatch):
+    folder, path = local(scratch("zip-docs-in")), scratch("zip-docs")
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.concat(F.lit("#\n\""), "id").alias("text"))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    monkeypatch.setattr(catalog, "_scratch", lambda *_: path)
+    assert same_rows(catalog.q_zip_documents(spark, folder), docs)
+    assert sum(f.endswith(".zip") for f in os.listdir(local(path))) == 6
