@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cellfold.operators.keyvalue import SLOTS, _packed, combined_cells, melt_cells, plain_columns, restore
 from cellfold.plans.inspect import plan_text
+from cellfold.plans.jobs import load_key_value, restore_table
 
 
 def sorts_below_the_exchange(df) -> int:
@@ -45,3 +46,11 @@ def test_cells_in_any_order(spark, n):
         plain_columns(mixed.unionByName(mixed.where("id = 9 and num = 2")), table.schema).collect()
     twice = mixed.unionByName(mixed.withColumn("val", F.lit(None).cast("string")))
     assert same_rows(plain_columns(twice, table.schema, mode="lenient"), table)
+
+
+def test_parquet_cells_are_not_sorted_before_the_shuffle(spark, scratch):
+    orders, target = spark.read.parquet(f"{SF_SMALL}/orders.parquet"), scratch("pq-pack")
+    load_key_value(spark, orders, target, name="orders", kv_format="parquet")
+    table, _ = restore_table(spark, target, kv_format="parquet")
+    assert sorts_below_the_exchange(table) == 0
+    assert same_rows(table, orders)
