@@ -54,3 +54,11 @@ def test_parquet_cells_are_not_sorted_before_the_shuffle(spark, scratch):
     table, _ = restore_table(spark, target, kv_format="parquet")
     assert sorts_below_the_exchange(table) == 0
     assert same_rows(table, orders)
+
+
+def test_nested_cells_are_not_sorted_before_the_shuffle(spark):
+    rows = spark.range(300).select("id", F.struct(F.col("id").alias("a"), F.array("id").alias("b")).alias("s"),
+                                   F.create_map("id", F.concat(F.lit("v"), "id")).alias("m"))
+    table, _ = restore(combined_cells(rows, "nested"))
+    assert sorts_below_the_exchange(table) == 0
+    assert sorted(r["id"] for r in table.where("s.a = id and s.b[0] = id and m[id] = concat('v', id)").collect()) == list(range(300))
