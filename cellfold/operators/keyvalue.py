@@ -32,6 +32,7 @@ _ID = "__cellfold_id"
 RESTORE_MODES = ("strict", "lenient")
 BAD_TEXT = ("null", "raise")
 SLOTS = 64  # columns gathered by one aggregation: a bit of a long each
+CELLS_PER_TASK = 2_000_000  # of a restore after its shuffle, where the number of cells is known
 
 
 # ---------------------------------------------------------------- melt side
@@ -250,7 +251,16 @@ def _by_id(data: DataFrame) -> bool:
     return exchanges(data.groupBy("id").count()) == exchanges(data)
 
 
-def _gathered(data: DataFrame, n: int, strict: bool) -> DataFrame:
+def _shuffled(packed: DataFrame, n_cells: int | None) -> DataFrame:
+    """``packed`` by id, in more partitions than the session's where these would hold
+    over ``CELLS_PER_TASK`` cells each: a task sorts its partition, which would outgrow its memory."""
+    needed = -(-(n_cells or 0) // CELLS_PER_TASK)
+    if needed > int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return packed.repartition(needed, "id")
+    return packed.repartition("id")
+
+
+def _gathered(data: DataFrame, n: int, strict: bool, n_cells: int | None = None) -> DataFrame:
     """One row per id with the text of column ``k`` as ``c<k>``, for more than
     ``SLOTS`` columns in structs ``g<group>`` of that many. The greatest of
     several cells stays; ``strict`` raises on them."""
@@ -267,7 +277,7 @@ def _gathered(data: DataFrame, n: int, strict: bool) -> DataFrame:
         # aggregation would sort all cells of a task before the shuffle
         ship_package(data.sparkSession)
         layout = ", ".join([f"{k} long" for k in (*keys, "n", "seen")] + [f"{c} string" for c in slots])
-        packed = data.select("id", "num", "val").mapInArrow(_packed(n), layout).repartition("id")
+        packed = _shuffled(data.select("id", "num", "val").mapInArrow(_packed(n), layout), n_cells)
     rows = packed.groupBy(*keys).agg(F.sum("n").alias("n"), F.bit_or("seen").alias("seen"), *[F.max(c).alias(c) for c in slots])
     # one bit per column: fewer bits than cells mean that a cell came twice
     twice = F.when(F.bit_count("seen") < F.col("n"), F.raise_error(F.concat(
@@ -282,7 +292,7 @@ def _gathered(data: DataFrame, n: int, strict: bool) -> DataFrame:
 
 
 def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
-                  bad_text: str = "null") -> DataFrame:
+                  bad_text: str = "null", n_cells: int | None = None) -> DataFrame:
     """Restore the typed table from ``(id, num, val)`` cells (T5).
 
     One row per data id (> 0) that has a cell of a column of ``schema``, with
@@ -302,6 +312,8 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
     and drops the cells that fit nowhere. A missing cell gives null in both.
     ``bad_text="raise"`` fails on a non-null cell that does not parse as its
     type; by default such a cell becomes null (count them with the audit).
+    ``n_cells``, the number of cells where the caller knows it (roughly is enough),
+    sets the partitions of the shuffle for tables too large for the session's number.
     """
     if mode not in RESTORE_MODES:
         raise ValueError(f"mode must be one of {RESTORE_MODES}")
@@ -319,7 +331,7 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
         data = cells.where(F.when(odd, F.raise_error(found)).otherwise(F.col("id") > 0))
     else:
         data = cells.where((F.col("id") > 0) & known)
-    rows = _gathered(data, len(fields), mode == "strict")
+    rows = _gathered(data, len(fields), mode == "strict", n_cells)
     out = []
     for k, f in enumerate(fields, 1):
         text = F.col(f"g{(k - 1) // SLOTS}")[f"c{k}"] if len(fields) > SLOTS else F.col(f"c{k}")
@@ -335,23 +347,23 @@ def plain_columns(cells: DataFrame, schema: T.StructType, mode: str = "strict",
     return rows.select(*out)
 
 
-def restore(cells: DataFrame, mode: str = "strict", bad_text: str = "null"
-            ) -> tuple[DataFrame, str | None]:
+def restore(cells: DataFrame, mode: str = "strict", bad_text: str = "null",
+            n_cells: int | None = None) -> tuple[DataFrame, str | None]:
     """Combined cells (metadata + data) -> (typed table, table name).
 
     The schema is always recovered from the id-0 rows.
     """
     schema, name = schema_name(cells)
-    return plain_columns(cells, schema, mode, bad_text), name
+    return plain_columns(cells, schema, mode, bad_text, n_cells), name
 
 
-def restore_key_value(kv: DataFrame, mode: str = "strict", bad_text: str = "null"
-                      ) -> tuple[DataFrame, str | None]:
+def restore_key_value(kv: DataFrame, mode: str = "strict", bad_text: str = "null",
+                      n_cells: int | None = None) -> tuple[DataFrame, str | None]:
     """Combined ``(key, val)`` table -> (typed table, table name).
 
     The metadata rows are those whose parsed id is 0, however the key is written.
     """
-    return restore(id_num_columns(kv), mode, bad_text)
+    return restore(id_num_columns(kv), mode, bad_text, n_cells)
 
 
 # ----------------------------------------------------------- combined form

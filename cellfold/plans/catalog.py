@@ -108,6 +108,11 @@ def _parts(df: DataFrame, least: int, rows: int) -> DataFrame:
     return df.repartition(max(least, -(-df.count() // rows)))
 
 
+def _n_cells(df: DataFrame) -> int:
+    """Cells of a table of files that know their number of rows."""
+    return df.count() * len(df.columns)
+
+
 # ------------------------------------------------------------------ melt
 
 def q_key_value(spark, d):
@@ -148,7 +153,8 @@ def q_id_num_orders(spark, d):
 
 
 def q_restore_table(spark, d):
-    table, _ = restore(combined_cells(_table(spark, d, "lineitem"), "lineitem"))
+    lineitem = _table(spark, d, "lineitem")
+    table, _ = restore(combined_cells(lineitem, "lineitem"), n_cells=_n_cells(lineitem))
     return table
 
 
@@ -156,14 +162,14 @@ def q_restore_combined(spark, d):
     # one text (key, val) table with metadata and data rows, schema recovered from it
     orders = _table(spark, d, "orders")
     kv = meta_columns(orders, "orders").unionByName(key_value_columns(orders))
-    return restore_key_value(kv)[0]
+    return restore_key_value(kv, n_cells=_n_cells(orders))[0]
 
 
 def q_restore_lenient(spark, d):
     orders = _table(spark, d, "orders")
     cells = combined_cells(orders, "orders")
     schema, _ = schema_name(cells)
-    return plain_columns(cells, schema, mode="lenient")
+    return plain_columns(cells, schema, mode="lenient", n_cells=_n_cells(orders))
 
 
 def q_key_value_subset(spark, d):

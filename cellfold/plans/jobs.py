@@ -172,6 +172,11 @@ def load_key_value(spark: SparkSession, source: str | DataFrame, target: str,
     return meta_path, data_path
 
 
+def _counted(cells: DataFrame, kv_format: str) -> int | None:
+    """The number of cells of parquet files, from their footers; other formats would be read for it."""
+    return cells.count() if kv_format == "parquet" else None
+
+
 def restore_table(spark: SparkSession, source: str | Sequence[str], kv_format: str = "csv",
                   options: Mapping[str, object] | None = None, mode: str = "strict",
                   bad_text: str = "null", layout: str = "folders") -> tuple[DataFrame, str | None]:
@@ -190,9 +195,10 @@ def restore_table(spark: SparkSession, source: str | Sequence[str], kv_format: s
         root = source.rstrip("/")
         schema, name = schema_name(read_cells(spark, f"{root}/meta", kv_format, options))
         data = read_cells(spark, f"{root}/data", kv_format, options)
-        return plain_columns(data, schema, mode, bad_text), name
+        return plain_columns(data, schema, mode, bad_text, _counted(data, kv_format)), name
     paths = [source] if isinstance(source, str) else list(source)
     if kv_format in ("parquet", "buckets"):
         # typed ids: the id-0 filter reaches the parquet scan
-        return restore(read_cells(spark, paths, kv_format, options), mode, bad_text)
+        cells = read_cells(spark, paths, kv_format, options)
+        return restore(cells, mode, bad_text, _counted(cells, kv_format))
     return restore_key_value(read_key_value(spark, paths, kv_format, options), mode, bad_text)

@@ -1,10 +1,13 @@
 """Cells packed into rows before the shuffle of a restore."""
 
+import re
+
 import pyarrow as pa
 import pytest
 from conftest import SF_SMALL, same_rows
 from pyspark.sql import functions as F
 
+from cellfold.operators import keyvalue
 from cellfold.operators.keyvalue import SLOTS, _packed, combined_cells, melt_cells, plain_columns, restore
 from cellfold.plans.inspect import plan_text
 from cellfold.plans.jobs import load_key_value, restore_table
@@ -62,3 +65,19 @@ def test_nested_cells_are_not_sorted_before_the_shuffle(spark):
     table, _ = restore(combined_cells(rows, "nested"))
     assert sorts_below_the_exchange(table) == 0
     assert sorted(r["id"] for r in table.where("s.a = id and s.b[0] = id and m[id] = concat('v', id)").collect()) == list(range(300))
+
+
+def partitions_after_the_shuffle(df) -> int:
+    return int(re.search(r"Exchange hashpartitioning\(id[^,]*, (\d+)\)", plan_text(df, "simple"))[1])
+
+
+def test_restore_from_parquet_has_partitions_for_its_cells(spark, scratch, monkeypatch):
+    # the session's 8 partitions would each grow with the table, and with them what a task sorts
+    orders, target = spark.read.parquet(f"{SF_SMALL}/orders.parquet"), scratch("pq-parts")
+    load_key_value(spark, orders, target, name="orders", kv_format="parquet")
+    cells = spark.read.parquet(f"{target}/data").count()
+    assert partitions_after_the_shuffle(restore_table(spark, target, kv_format="parquet")[0]) == 8
+    monkeypatch.setattr(keyvalue, "CELLS_PER_TASK", cells // 20)
+    table, _ = restore_table(spark, target, kv_format="parquet")
+    assert partitions_after_the_shuffle(table) >= 20
+    assert same_rows(table, orders)
