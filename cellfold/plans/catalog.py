@@ -202,7 +202,8 @@ def _nested_events(spark, d):
 
 
 def q_restore_nested(spark, d):
-    table, _ = restore(combined_cells(_nested_events(spark, d), "events"))
+    events = _nested_events(spark, d)
+    table, _ = restore(combined_cells(events, "events"), n_cells=_n_cells(events))
     return table.select("event_id", "info.ts", F.col("info.ids")[0].alias("user_id"),
                         F.map_keys("measured")[0].alias("event_type"),
                         F.map_values("measured")[0].alias("value"),

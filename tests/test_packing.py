@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellfold.operators import keyvalue
 from cellfold.operators.keyvalue import SLOTS, _packed, combined_cells, melt_cells, plain_columns, restore
+from cellfold.plans.catalog import QUERIES
 from cellfold.plans.inspect import plan_text
 from cellfold.plans.jobs import load_key_value, restore_table
 
@@ -81,3 +82,11 @@ def test_restore_from_parquet_has_partitions_for_its_cells(spark, scratch, monke
     table, _ = restore_table(spark, target, kv_format="parquet")
     assert partitions_after_the_shuffle(table) >= 20
     assert same_rows(table, orders)
+
+
+def test_restore_nested_has_partitions_for_its_cells(spark, monkeypatch):
+    monkeypatch.setattr(keyvalue, "CELLS_PER_TASK", 200)
+    table = QUERIES["restore_nested"](spark, SF_SMALL)
+    n_events = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert partitions_after_the_shuffle(table) == -(-n_events * 5 // 200) > 8
+    assert table.count() == n_events
